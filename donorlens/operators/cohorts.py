@@ -21,6 +21,9 @@ from donorlens.functions.timecols import add_months_py, as_of_date
 from donorlens.operators.base import matrix_sizes
 from donorlens.schemas import HORIZON, PCT
 
+# Decimal places of the unrounded ARPPU (the reference keeps the NUMERIC quotient).
+ARPPU_SCALE = 6
+
 
 def cohort_month_revenue(matrix: DataFrame) -> DataFrame:
     """M-08: cohort_month, month, revenue for every calendar month with paid orders."""
@@ -54,14 +57,14 @@ def slot_activity(matrix: DataFrame, as_of: dt.date | str | None = None, horizon
 def revenue_arppu_long(matrix: DataFrame, as_of=None, horizon: int = HORIZON) -> DataFrame:
     """M-09/M-10 long: cohort_month, slot, total_users, revenue_cents, revenue, arppu.
 
-    Empty slot -> revenue 0 and ARPPU 0. ARPPU is kept unrounded to 10 decimals.
+    Empty slot -> revenue 0 and ARPPU 0. ARPPU is kept "unrounded": to ARPPU_SCALE (6) decimals, half away from zero.
     """
     s = slot_activity(matrix, as_of, horizon, 1)
     rc = F.coalesce(F.col("revenue_cents"), F.lit(0).cast("long"))
     den = F.coalesce(F.when(F.col("total_users") != 0, F.col("total_users")), F.lit(1)) * F.lit(100)
     return s.select("cohort_month", "slot", "total_users", rc.alias("revenue_cents"),
                     cents_to_money(rc).alias("revenue"),
-                    ratio_decimal(rc, den, 10).alias("arppu"))
+                    ratio_decimal(rc, den, ARPPU_SCALE).alias("arppu"))
 
 
 def _running_from_oldest(value: str) -> F.Column:

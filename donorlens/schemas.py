@@ -8,7 +8,7 @@ MONEY_IN = T.DecimalType(18, 2)
 MONEY = T.DecimalType(38, 2)
 PCT = T.DecimalType(5, 2)
 RATIO2 = T.DecimalType(38, 2)
-RATIO10 = T.DecimalType(38, 10)
+RATIO6 = T.DecimalType(38, 6)
 
 
 def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -66,7 +66,7 @@ RFM = _s(
 )
 COHORTS = _s(("user_id", T.LongType()), ("cohort_month", T.DateType()))
 REVENUE_ARPPU = _s(("cohort_month", T.DateType()), ("total_users", T.LongType()),
-                   *_slots("revenue_month_", MONEY), *_slots("arppu_month_", RATIO10))
+                   *_slots("revenue_month_", MONEY), *_slots("arppu_month_", RATIO6))
 ARPPU_CUMULATIVE = _s(("cohort_month", T.DateType()), ("total_users", T.LongType()),
                       *_slots("cumulative_arppu_", RATIO2))
 LTV_COHORTS = _s(("cohort_month", T.DateType()), ("total_users", T.LongType()),
@@ -79,7 +79,7 @@ AC_COHORT = _s(("cohort", T.StringType()), ("unique_users", T.LongType()),
                *[(f"average_check_month_{k}", RATIO2) for k in range(1, HORIZON)])
 CDR = _s(("month", T.DateType()), ("churn_rate", RATIO2), ("new_donors_ratio", RATIO2),
          ("avg_days_between_donations", RATIO2))
-PAID_ONLY = _s(("user_id", T.LongType()), ("order_id", T.LongType()), ("order_date", T.TimestampType()),
+PAID_ONLY = _s(("user_id", T.LongType()), ("order_id", T.LongType()), ("order_date", T.TimestampNTZType()),
                ("order_price", MONEY_IN))
 
 
@@ -90,7 +90,7 @@ def long_schema(value: str, t: T.DataType) -> T.StructType:
 LTV_T = long_schema("ltv", RATIO2)
 REVENUE_T = long_schema("revenue", MONEY)
 LTV_CUM_T = long_schema("ltv_cumulative", RATIO2)
-ARPPU_T = long_schema("arppu", RATIO10)
+ARPPU_T = long_schema("arppu", RATIO6)
 ARPPU_CUM_T = long_schema("cumulative_arppu", RATIO2)
 RR_T = long_schema("rr", PCT)
 AC_T = long_schema("average_check", RATIO2)
