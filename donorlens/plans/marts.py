@@ -83,7 +83,8 @@ class MartPlan:
 
     ``orders``: canonical orders (any status). ``activity``: the (user_id, ts) stream whose
     first action defines the all-user cohorts for LTV; defaults to all orders of any status.
-    ``grid``: an already materialised donor x month grid, if the caller has one.
+    ``grid``: an already materialised donor x month grid (optionally with the cohort columns
+    of ``base.with_cohort``), if the caller has one.
     """
     orders: DataFrame
     as_of: dt.date | str | None = None
@@ -109,7 +110,8 @@ class MartPlan:
 
     @cached_property
     def grid_with_cohort(self) -> DataFrame:
-        return base.with_cohort(self.donor_grid)
+        g = self.donor_grid
+        return g if "cohort_month" in g.columns else base.with_cohort(g)
 
     @cached_property
     def matrix(self) -> DataFrame:
