@@ -1,24 +1,27 @@
-"""Cohort x as-of slot marts (M-08..M-15), long form first.
-
-Slots are calendar months anchored to the as-of date, not months since acquisition:
-slot k (k = 1..horizon) is the month ``k-1`` months before the as-of month; the average
-check numbers the same months 0..horizon-1 (offset 0 = as-of month).
-
-Every function here runs on the cohort matrix (cohort x month, at most months^2 rows) or on
-cohort sizes, so the work after the grid is independent of the number of orders. Dense
-cohort x slot frames are generated with ``explode(sequence(..))`` - no cross join.
+"""Cohort x as-of slot marts (M-08..M-15).
+
+Slots are calendar months anchored to the as-of date, not months since acquisition. This
+module numbers them by *offset* o = 0..horizon-1 (month = as-of month - o). Revenue, ARPPU,
+LTV and retention publish slot k = o + 1 (``*_12`` is the oldest month, ``*_1`` the as-of
+month); the average check publishes the offsets themselves (``current_month``, ``month_1``..).
+
+All slot marts come from one table, ``slot_wide``: a single conditional aggregate per paid
+cohort straight over the donor x month grid (map-side partial aggregation leaves one row per
+cohort per task, so the shuffle is tiny whatever the volume). Cumulative columns are sums of
+columns, not windows, and the long forms are a narrow ``stack`` of the wide marts
+(``reshape``) - no join or shuffle after the aggregate except LTV's join of two
+months-sized tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from donorlens.functions.numeric import cents_to_money, ratio_decimal
 from donorlens.functions.timecols import add_months_py, as_of_date
-from donorlens.operators.base import matrix_sizes
 from donorlens.schemas import HORIZON, PCT
 
 # Decimal places of the unrounded ARPPU (the reference keeps the NUMERIC quotient).
@@ -30,95 +33,101 @@ def cohort_month_revenue(matrix: DataFrame) -> DataFrame:
     return matrix.select("cohort_month", "month", cents_to_money("revenue_cents").alias("revenue"))
 
 
-def _dense_slots(sizes: DataFrame, as_of: dt.date, horizon: int, first: int) -> DataFrame:
-    """cohort_month, total_users, slot, month: one row per cohort and slot."""
-    am = add_months_py(as_of, 0)
-    slot = F.explode(F.sequence(F.lit(first), F.lit(first + horizon - 1)))
-    return (sizes.select("cohort_month", "total_users", slot.alias("slot"))
-            .withColumn("month", F.add_months(F.lit(am), -(F.col("slot") - F.lit(first))))
-            .withColumn("slot", F.col("slot").cast("int")))
-
-
-def slot_activity(matrix: DataFrame, as_of: dt.date | str | None = None, horizon: int = HORIZON,
-                  first: int = 1, sizes: DataFrame | None = None) -> DataFrame:
-    """Dense cohort x slot with the matrix measures (NULL where the cohort had no order).
+def slot_wide(grid_with_cohort: DataFrame, as_of: dt.date | str | None = None,
+              horizon: int = HORIZON) -> DataFrame:
+    """cohort_month, total_users, and per offset o: active_o, orders_o, rev_o.
 
-    ``sizes`` defaults to the paid cohort sizes; only matrix rows inside the slot window are
-    joined (both sides are months-sized).
+    total_users = customers whose first paid month is the cohort month (each is active then).
+    active_o = distinct customers with a paid order in slot month o (the grid has one row per
+    customer and month, so a count is a distinct count); orders_o, rev_o = orders and cents.
+    Slot sums are NULL when the cohort had no order in that month.
     """
     as_of = as_of_date(as_of)
-    sizes = matrix_sizes(matrix) if sizes is None else sizes
-    lo, hi = add_months_py(as_of, -(horizon - 1)), add_months_py(as_of, 0)
-    in_window = matrix.where(F.col("month").between(F.lit(lo), F.lit(hi))).select(
-        "cohort_month", "month", "active_users", "orders", "revenue_cents")
-    return _dense_slots(sizes, as_of, horizon, first).join(in_window, ["cohort_month", "month"], "left")
+    month = F.col("month")
+    aggs = [F.count(F.when(month == F.col("cohort_month"), F.lit(1))).alias("total_users")]
+    for o in range(horizon):
+        is_slot = month == F.lit(add_months_py(as_of, -o))
+        aggs += [F.count(F.when(is_slot, F.lit(1))).alias(f"active_{o}"),
+                 F.sum(F.when(is_slot, F.col("n_orders"))).alias(f"orders_{o}"),
+                 F.sum(F.when(is_slot, F.col("revenue_cents"))).alias(f"rev_{o}")]
+    return grid_with_cohort.groupBy("cohort_month").agg(*aggs)
 
 
-def revenue_arppu_long(matrix: DataFrame, as_of=None, horizon: int = HORIZON) -> DataFrame:
-    """M-09/M-10 long: cohort_month, slot, total_users, revenue_cents, revenue, arppu.
+def _rev(o: int) -> Column:
+    return F.coalesce(F.col(f"rev_{o}"), F.lit(0).cast("long"))
 
-    Empty slot -> revenue 0 and ARPPU 0. ARPPU is kept "unrounded": to ARPPU_SCALE (6) decimals, half away from zero.
-    """
-    s = slot_activity(matrix, as_of, horizon, 1)
-    rc = F.coalesce(F.col("revenue_cents"), F.lit(0).cast("long"))
-    den = F.coalesce(F.when(F.col("total_users") != 0, F.col("total_users")), F.lit(1)) * F.lit(100)
-    return s.select("cohort_month", "slot", "total_users", rc.alias("revenue_cents"),
-                    cents_to_money(rc).alias("revenue"),
-                    ratio_decimal(rc, den, ARPPU_SCALE).alias("arppu"))
 
+def _arppu_den() -> Column:
+    """COALESCE(NULLIF(total_users, 0), 1), in cents per currency unit."""
+    return F.coalesce(F.when(F.col("total_users") != 0, F.col("total_users")), F.lit(1)) * F.lit(100)
 
-def _running_from_oldest(value: str) -> F.Column:
-    """Sum of ``value`` over slots horizon..k (oldest to the current one), per cohort."""
-    w = (Window.partitionBy("cohort_month").orderBy(F.col("slot").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return F.sum(value).over(w)
 
+def _desc(horizon: int) -> list[int]:
+    return list(range(horizon, 0, -1))
 
-def arppu_cumulative_long(revenue_long: DataFrame) -> DataFrame:
-    """M-11: cumulative_arppu = round(sum of slot revenue horizon..k / cohort size, 2)."""
-    cum = _running_from_oldest("revenue_cents")
-    den = F.coalesce(F.when(F.col("total_users") != 0, F.col("total_users")), F.lit(1)) * F.lit(100)
-    return revenue_long.select("cohort_month", "slot", "total_users",
-                               ratio_decimal(cum, den, 2).alias("cumulative_arppu"))
 
+def revenue_arppu(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-09/M-10: revenue_month_k (0 when empty) and unrounded arppu_month_k = revenue / size."""
+    ks = _desc(horizon)
+    return sw.select("cohort_month", "total_users",
+                     *[cents_to_money(_rev(k - 1)).alias(f"revenue_month_{k}") for k in ks],
+                     *[ratio_decimal(_rev(k - 1), _arppu_den(), ARPPU_SCALE).alias(f"arppu_month_{k}") for k in ks])
 
-def ltv_long(revenue_long: DataFrame, all_user_sizes: DataFrame, as_of=None,
-             horizon: int = HORIZON) -> DataFrame:
-    """M-12 long: rows are all-user (first action) cohorts; revenue from paid cohorts of the
-    same calendar month (0 when none); ltv = round(revenue / all-user cohort size, 2).
 
-    Paid cohorts without an all-user cohort of the same month drop out, as in the reference.
-    """
-    as_of = as_of_date(as_of)
-    dense = _dense_slots(all_user_sizes, as_of, horizon, 1)
-    rev = revenue_long.select("cohort_month", "slot", F.col("revenue_cents").alias("paid_cents"))
-    j = dense.join(rev, ["cohort_month", "slot"], "left")
-    rc = F.coalesce(F.col("paid_cents"), F.lit(0).cast("long"))
-    return j.select("cohort_month", "slot", "total_users", rc.alias("revenue_cents"),
-                    cents_to_money(rc).alias("revenue"),
-                    ratio_decimal(rc, F.col("total_users") * F.lit(100), 2).alias("ltv"))
-
-
-def ltv_cumulative_long(ltv: DataFrame) -> DataFrame:
-    """M-13: running sum of the already rounded LTV values, oldest slot first."""
-    return ltv.select("cohort_month", "slot", "total_users",
-                      _running_from_oldest("ltv").cast(ltv.schema["ltv"].dataType).alias("ltv_cumulative"))
+def arppu_cumulative(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-11: cumulative_arppu_k = round(sum of slot revenue from slot ``horizon`` down to k
+    / cohort size, 2) - the sum of the unrounded ARPPUs, rounded once."""
+    cols = []
+    for k in _desc(horizon):
+        total = None
+        for j in range(horizon, k - 1, -1):
+            total = _rev(j - 1) if total is None else total + _rev(j - 1)
+        cols.append(ratio_decimal(total, _arppu_den(), 2).alias(f"cumulative_arppu_{k}"))
+    return sw.select("cohort_month", "total_users", *cols)
 
 
-def retention_long(matrix: DataFrame, as_of=None, horizon: int = HORIZON) -> DataFrame:
-    """M-14: rr = round(100 * distinct active customers in the slot / cohort size, 2); 0 if none.
+def ltv(sw: DataFrame, all_user_sizes: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-12: rows are the all-user (first action) cohorts with their size; revenue_month_k is
+    the slot revenue of the paid cohort of the same calendar month (0 when none);
+    ltv_month_k = round(revenue / all-user cohort size, 2).
 
-    The grid already holds one row per (customer, month), so the distinct count is a plain
-    count in the matrix: no COUNT(DISTINCT) expansion.
+    Paid cohorts without an all-user cohort of the same month drop out, as in the reference.
+    Both sides of the join have one row per cohort month.
     """
-    s = slot_activity(matrix, as_of, horizon, 1)
-    active = F.coalesce(F.col("active_users"), F.lit(0).cast("long"))
-    return s.select("cohort_month", "slot", "total_users",
-                    ratio_decimal(active, F.col("total_users"), 2, mult=100).cast(PCT).alias("rr"))
-
-
-def average_check_long(matrix: DataFrame, as_of=None, horizon: int = HORIZON) -> DataFrame:
-    """M-15: offsets 0..horizon-1; average_check = round(revenue / orders, 2), NULL if no order."""
-    s = slot_activity(matrix, as_of, horizon, 0)
-    return s.select("cohort_month", "slot", F.col("total_users").alias("unique_users"),
-                    ratio_decimal(F.col("revenue_cents"), F.col("orders") * F.lit(100), 2).alias("average_check"))
+    ks = _desc(horizon)
+    paid = sw.select("cohort_month", *[F.col(f"rev_{k - 1}") for k in ks])
+    j = all_user_sizes.join(paid, "cohort_month", "left")
+    return j.select("cohort_month", "total_users",
+                    *[cents_to_money(_rev(k - 1)).alias(f"revenue_month_{k}") for k in ks],
+                    *[ratio_decimal(_rev(k - 1), F.col("total_users") * F.lit(100), 2).alias(f"ltv_month_{k}")
+                      for k in ks])
+
+
+def ltv_cumulative(ltv_wide: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-13: ltv_cumulative_k = sum of the already rounded ltv_month_j, j = horizon..k."""
+    cols = []
+    for k in _desc(horizon):
+        total = None
+        for j in range(horizon, k - 1, -1):
+            c = F.col(f"ltv_month_{j}")
+            total = c if total is None else total + c
+        cols.append(total.cast("decimal(38,2)").alias(f"ltv_cumulative_{k}"))
+    return ltv_wide.select("cohort_month", "total_users", *cols)
+
+
+def retention(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-14: cohort (``YYYY-MM``), total_users, ``RR Month k`` = round(100 * active / size, 2)."""
+    return sw.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "total_users",
+                     *[ratio_decimal(F.col(f"active_{k - 1}"), F.col("total_users"), 2, mult=100)
+                       .cast(PCT).alias(f"RR Month {k}") for k in _desc(horizon)])
+
+
+def average_check(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """M-15: cohort, unique_users, average check = round(revenue / orders, 2) per offset;
+    NULL when the cohort had no order that month."""
+    def name(o: int) -> str:
+        return "average_check_current_month" if o == 0 else f"average_check_month_{o}"
+    return sw.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"),
+                     F.col("total_users").alias("unique_users"),
+                     *[ratio_decimal(F.col(f"rev_{o}"), F.col(f"orders_{o}") * F.lit(100), 2).alias(name(o))
+                       for o in range(horizon)])

@@ -1,8 +1,8 @@
-"""Wide marts from the long forms, and the unpivots T-01..T-07.
+"""The unpivots T-01..T-07 and the generic reshapes.
 
-The marts are computed long (cohort_month, slot, value); ``widen`` names the slots for the
-wide dashboard contracts, and ``to_long`` turns any wide mart back into (cohort_month, month,
-value) with one ``stack`` generator (one scan instead of a 12-way UNION ALL).
+``to_long`` turns a wide slot mart into (cohort_month, month, value) with one ``stack``
+generator: a narrow operator in the same stage as its input, instead of a 12-way UNION ALL
+that scans the wide table 12 times. ``widen`` is the inverse (conditional aggregation).
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from donorlens.functions.numeric import cents_to_money, ratio_decimal
 from donorlens.functions.timecols import as_of_date, as_of_epoch, whole_days_between
+from donorlens.session import materialize
 
 # Segment labels and the three-digit codes (recency, frequency, monetary score)
 # of each, in the order they are tested. Code 231 is in no list and gets NULL.
@@ -99,13 +100,26 @@ def with_group(scored: DataFrame) -> DataFrame:
         F.col("monetary_score").cast("string")))
 
 
-def rfm(grid: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def rfm_scored(grid: DataFrame, as_of: dt.date | str | None = None, materialize_base: bool = True) -> DataFrame:
+    """M-01 + M-02 + group code, with the customer-level base written once.
+
+    The base feeds the statistics, the scores and the group shares; materialised in the shared
+    checkpoint folder, those three reads cost one Parquet scan each instead of three
+    recomputations of the customer aggregate.
+    """
+    b = rfm_base(grid, as_of)
+    if materialize_base:
+        b = materialize(b, "rfm_base")
+    return with_group(rfm_scores(b))
+
+
+def rfm(grid: DataFrame, as_of: dt.date | str | None = None, materialize_base: bool = True) -> DataFrame:
     """Full RFM mart (M-01..M-04), schema ``schemas.RFM``.
 
     The share table is joined back by broadcast: its size is bounded by 64 rows by
     construction (three scores in 1..4), whatever the number of customers.
     """
-    grouped = with_group(rfm_scores(rfm_base(grid, as_of)))
+    grouped = rfm_scored(grid, as_of, materialize_base)
     shares = rfm_group_shares(grouped)
     return grouped.join(F.broadcast(shares), "rfm_group", "left").select(
         "customer_id", "recency_days", "frequency",

@@ -120,12 +120,12 @@ def q_rfm_base_events(spark, d):
 
 def q_rfm_scores(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_scores(rfm.rfm_base(p.donor_grid, p.as_of))
+    return rfm.rfm_scored(p.donor_grid, p.as_of).drop("rfm_group")
 
 
 def q_rfm_group_share(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_group_shares(rfm.with_group(rfm.rfm_scores(rfm.rfm_base(p.donor_grid, p.as_of))))
+    return rfm.rfm_group_shares(rfm.rfm_scored(p.donor_grid, p.as_of))
 
 
 def q_rfm_segments(spark, d):

@@ -27,54 +27,6 @@ def conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-# ---- wide marts --------------------------------------------------------------------------
-
-_DESC = list(range(HORIZON, 0, -1))
-
-
-def revenue_arppu_wide(rev_long: DataFrame) -> DataFrame:
-    """M-09/M-10 ``cohorts_revenue_arppu_data``."""
-    w = reshape.widen(rev_long, ["cohort_month", "total_users"],
-                      {"revenue": lambda k: f"revenue_month_{k}", "arppu": lambda k: f"arppu_month_{k}"}, _DESC)
-    return conform(w, schemas.REVENUE_ARPPU)
-
-
-def arppu_cumulative_wide(cum_long: DataFrame) -> DataFrame:
-    """M-11 ``arppu_cumulative``."""
-    w = reshape.widen(cum_long, ["cohort_month", "total_users"],
-                      {"cumulative_arppu": lambda k: f"cumulative_arppu_{k}"}, _DESC)
-    return conform(w, schemas.ARPPU_CUMULATIVE)
-
-
-def ltv_cohorts_wide(ltv_long: DataFrame) -> DataFrame:
-    """M-12 ``ltv_cohorts``."""
-    w = reshape.widen(ltv_long, ["cohort_month", "total_users"],
-                      {"revenue": lambda k: f"revenue_month_{k}", "ltv": lambda k: f"ltv_month_{k}"}, _DESC)
-    return conform(w, schemas.LTV_COHORTS)
-
-
-def cumulative_ltv_wide(cum_long: DataFrame) -> DataFrame:
-    """M-13 ``cumulative_ltv``."""
-    w = reshape.widen(cum_long, ["cohort_month", "total_users"],
-                      {"ltv_cumulative": lambda k: f"ltv_cumulative_{k}"}, _DESC)
-    return conform(w, schemas.CUMULATIVE_LTV)
-
-
-def rr_wide(rr_long: DataFrame) -> DataFrame:
-    """M-14 ``rr_cohorts`` (text cohort ``YYYY-MM``)."""
-    w = reshape.widen(rr_long, [F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "total_users"],
-                      {"rr": lambda k: f"RR Month {k}"}, _DESC)
-    return conform(w, schemas.RR_COHORTS)
-
-
-def ac_wide(ac_long: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """M-15 ``ac_cohort``: offset 0 is ``average_check_current_month``."""
-    name = lambda k: "average_check_current_month" if k == 0 else f"average_check_month_{k}"
-    w = reshape.widen(ac_long, [F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "unique_users"],
-                      {"average_check": name}, list(range(horizon)))
-    return conform(w, schemas.AC_COHORT)
-
-
 # ---- the plan ------------------------------------------------------------------------------
 
 @dataclass
@@ -125,30 +77,10 @@ class MartPlan:
     def all_user_sizes(self) -> DataFrame:
         return base.cohort_sizes(self.all_user_cohorts)
 
-    # long forms
-    @cached_property
-    def revenue_long(self) -> DataFrame:
-        return cohorts.revenue_arppu_long(self.matrix, self.as_of, self.horizon)
-
     @cached_property
-    def arppu_cum_long(self) -> DataFrame:
-        return cohorts.arppu_cumulative_long(self.revenue_long)
-
-    @cached_property
-    def ltv_long(self) -> DataFrame:
-        return cohorts.ltv_long(self.revenue_long, self.all_user_sizes, self.as_of, self.horizon)
-
-    @cached_property
-    def ltv_cum_long(self) -> DataFrame:
-        return cohorts.ltv_cumulative_long(self.ltv_long)
-
-    @cached_property
-    def rr_long(self) -> DataFrame:
-        return cohorts.retention_long(self.matrix, self.as_of, self.horizon)
-
-    @cached_property
-    def ac_long(self) -> DataFrame:
-        return cohorts.average_check_long(self.matrix, self.as_of, self.horizon)
+    def slots(self) -> DataFrame:
+        """Per paid cohort: size and the slot measures (``cohorts.slot_wide``)."""
+        return cohorts.slot_wide(self.grid_with_cohort, self.as_of, self.horizon)
 
     # published marts
     def rfm(self) -> DataFrame:
@@ -161,22 +93,22 @@ class MartPlan:
         return conform(base.paid_cohorts(self.donor_grid), schemas.COHORTS)
 
     def cohorts_revenue_arppu_data(self) -> DataFrame:
-        return revenue_arppu_wide(self.revenue_long)
+        return conform(cohorts.revenue_arppu(self.slots, self.horizon), schemas.REVENUE_ARPPU)
 
     def arppu_cumulative(self) -> DataFrame:
-        return arppu_cumulative_wide(self.arppu_cum_long)
+        return conform(cohorts.arppu_cumulative(self.slots, self.horizon), schemas.ARPPU_CUMULATIVE)
 
     def ltv_cohorts(self) -> DataFrame:
-        return ltv_cohorts_wide(self.ltv_long)
+        return conform(cohorts.ltv(self.slots, self.all_user_sizes, self.horizon), schemas.LTV_COHORTS)
 
     def cumulative_ltv(self) -> DataFrame:
-        return cumulative_ltv_wide(self.ltv_cum_long)
+        return conform(cohorts.ltv_cumulative(self.ltv_cohorts(), self.horizon), schemas.CUMULATIVE_LTV)
 
     def rr_cohorts(self) -> DataFrame:
-        return rr_wide(self.rr_long)
+        return conform(cohorts.retention(self.slots, self.horizon), schemas.RR_COHORTS)
 
     def ac_cohort(self) -> DataFrame:
-        return ac_wide(self.ac_long, self.horizon)
+        return conform(cohorts.average_check(self.slots, self.horizon), schemas.AC_COHORT)
 
     def cdr(self) -> DataFrame:
         return conform(churn.cdr(self.grid_with_cohort), schemas.CDR)
@@ -184,30 +116,27 @@ class MartPlan:
     def paid_only(self) -> DataFrame:
         return conform(base.paid_only(self.orders, self.paid_value), schemas.PAID_ONLY)
 
-    # long marts straight from the long forms (equal to the unpivots of the wide marts)
-    def _long(self, df: DataFrame, value: str, schema, slot: str = "slot") -> DataFrame:
-        return conform(df.select("cohort_month", F.col(slot).alias("month"), value), schema)
-
+    # long marts T-01..T-07: one narrow stack over the wide mart
     def ltv_t(self) -> DataFrame:
-        return self._long(self.ltv_long, "ltv", schemas.LTV_T)
+        return conform(reshape.ltv_t(self.ltv_cohorts()), schemas.LTV_T)
 
     def revenue_t(self) -> DataFrame:
-        return self._long(self.ltv_long, "revenue", schemas.REVENUE_T)
+        return conform(reshape.revenue_t(self.ltv_cohorts()), schemas.REVENUE_T)
 
     def ltv_cum_t(self) -> DataFrame:
-        return self._long(self.ltv_cum_long, "ltv_cumulative", schemas.LTV_CUM_T)
+        return conform(reshape.ltv_cum_t(self.cumulative_ltv()), schemas.LTV_CUM_T)
 
     def arppu_t(self) -> DataFrame:
-        return self._long(self.revenue_long, "arppu", schemas.ARPPU_T)
+        return conform(reshape.arppu_t(self.cohorts_revenue_arppu_data()), schemas.ARPPU_T)
 
     def arppu_cum_t(self) -> DataFrame:
-        return self._long(self.arppu_cum_long, "cumulative_arppu", schemas.ARPPU_CUM_T)
+        return conform(reshape.arppu_cum_t(self.arppu_cumulative()), schemas.ARPPU_CUM_T)
 
     def rr_t(self) -> DataFrame:
-        return self._long(self.rr_long, "rr", schemas.RR_T)
+        return conform(reshape.rr_t(self.rr_cohorts()), schemas.RR_T)
 
     def ac_t(self) -> DataFrame:
-        return self._long(self.ac_long, "average_check", schemas.AC_T)
+        return conform(reshape.ac_t(self.ac_cohort(), self.horizon), schemas.AC_T)
 
     MART_NAMES = ("rfm", "cohorts_all", "cohorts_paid", "cohorts_revenue_arppu_data", "arppu_cumulative",
                   "ltv_cohorts", "cumulative_ltv", "rr_cohorts", "ac_cohort", "cdr", "ltv_t", "revenue_t",

@@ -28,7 +28,7 @@ from donorlens.functions.timecols import as_of_date
 from donorlens.operators import base, merge, quality
 from donorlens.plans.marts import MartPlan
 from donorlens.schemas import EVENTS_KEY, ORDERS_KEY
-from donorlens.session import check_session, scratch_path
+from donorlens.session import check_session, materialize
 from donorlens.sources import exports
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, activity_from_export, orders_from_export,
                                       orders_from_tpch, read_table)
@@ -132,10 +132,8 @@ def build_plan(spark: SparkSession, orders: DataFrame, as_of, paid_value: str,
                activity: DataFrame | None) -> MartPlan:
     """MartPlan over a grid-with-cohort materialised in the shared checkpoint folder."""
     plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=activity)
-    grid_path = scratch_path(spark, "grid")
-    plan.grid_with_cohort.write.parquet(grid_path)
-    return MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity,
-                    grid=spark.read.parquet(grid_path))
+    grid = materialize(plan.grid_with_cohort, "grid")
+    return MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=grid)
 
 
 def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
@@ -70,3 +70,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for a materialised intermediate table."""
     base = checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "donorlens", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a fresh path in the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan (Spark does not reuse the
+    shuffles when the branches prune different columns) and to cut lineage: a lost executor
+    costs a re-read of the files, not a recomputation from the sources.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
