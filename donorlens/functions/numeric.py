@@ -2,9 +2,14 @@
 
 Money is carried as whole cents in ``long`` columns inside the marts (fast, exact,
 order-independent sums) and turned into ``Decimal`` only on output. Every rounded ratio is
-computed by integer division on ``Decimal(38,0)`` operands, so the result is the exact value
+computed by integer division on ``Decimal`` operands, so the result is the exact value
 rounded half away from zero - the rounding of PostgreSQL ``ROUND(numeric, s)`` - with no
 intermediate rounding at a fixed decimal scale.
+
+Each helper returns one Spark SQL expression. Arguments are SQL expression text (a column
+name is one) or ``Column`` objects; with text arguments the whole formula is a single
+``F.expr`` - one parse instead of dozens of Python-to-JVM calls, which matters for the wide
+marts that generate hundreds of these columns.
 """
 
 from __future__ import annotations
@@ -15,47 +20,72 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from donorlens.functions.timecols import col_of
-
 INT38 = DecimalType(38, 0)
 MONEY = DecimalType(38, 2)
 
+# Operand precisions for the exact integer division: x / y with x Decimal(24,0) and y
+# Decimal(13,0) is computed by Spark at scale 14, enough to keep (y-1)/y below 1, so floor()
+# of the quotient is the exact integer quotient. Overflow of a cast raises under ANSI mode.
+_X_PREC, _Y_PREC = 24, 13
+
 
-def to_cents(amount: str | Column) -> Column:
-    """Decimal(18,2) amount -> whole cents (long). Exact for any 2-decimal amount."""
-    return (col_of(amount) * F.lit(100)).cast("long")
+def ratio_scaled_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
+    """SQL: ``round(num * mult / den, scale) * 10^scale`` as an integral DECIMAL, half away
+    from zero; NULL when ``den`` is 0 or NULL (the reference's ``NULLIF(den, 0)``)."""
+    k2 = 2 * mult * 10**scale
+    x = f"CAST(CAST(abs({num}) AS DECIMAL({_X_PREC},0)) * {k2} + ({den}) AS DECIMAL({_X_PREC},0))"
+    y = f"CAST(({den}) * 2 AS DECIMAL({_Y_PREC},0))"
+    q = f"floor({x} / {y})"
+    return f"(CASE WHEN ({den}) != 0 THEN (CASE WHEN ({num}) < 0 THEN -{q} ELSE {q} END) END)"
 
 
-def cents_to_money(cents: str | Column) -> Column:
-    """Whole cents -> Decimal(38,2)."""
-    return scaled_to_decimal(col_of(cents), 2)
+def scaled_to_decimal_sql(q: str, scale: int) -> str:
+    """SQL: integer ``q`` -> DECIMAL(38, scale) holding ``q / 10^scale`` (exact)."""
+    if scale == 0:
+        return f"CAST({q} AS DECIMAL(38,0))"
+    return (f"CAST(CAST({q} AS DECIMAL(25,0)) / CAST({10**scale} AS DECIMAL({scale + 1},0)) "
+            f"AS DECIMAL(38,{scale}))")
+
+
+def ratio_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
+    """SQL: ``round(num * mult / den, scale)`` as DECIMAL(38, scale); NULL when den is 0."""
+    return scaled_to_decimal_sql(ratio_scaled_sql(num, den, scale, mult), scale)
 
 
-def scaled_to_decimal(q: Column, scale: int) -> Column:
-    """Integer ``q`` -> Decimal(38, scale) holding ``q / 10**scale`` (exact).
+def cents_to_money_sql(cents: str) -> str:
+    return scaled_to_decimal_sql(cents, 2)
 
-    Operand precisions are kept small enough that Spark's decimal division keeps a result
-    scale >= ``scale``, so no digit is lost.
-    """
+
+# ---- Column API --------------------------------------------------------------------------------
+
+def _c(x: str | Column) -> Column:
+    return F.expr(x) if isinstance(x, str) else x
+
+
+def to_cents(amount: str | Column) -> Column:
+    """Decimal(18,2) amount -> whole cents (long). Exact for any 2-decimal amount."""
+    return (_c(amount) * F.lit(100)).cast("long")
+
+
+def scaled_to_decimal(q: str | Column, scale: int) -> Column:
+    if isinstance(q, str):
+        return F.expr(scaled_to_decimal_sql(q, scale))
     if scale == 0:
         return q.cast(INT38)
     quotient = q.cast(DecimalType(25, 0)) / F.lit(10**scale).cast(DecimalType(scale + 1, 0))
     return quotient.cast(DecimalType(38, scale))
 
 
-# Operand precisions for the exact integer division below: x / y with x Decimal(24,0) and
-# y Decimal(13,0) is computed by Spark at scale 14, enough to keep (y-1)/y below 1, so floor()
-# of the quotient is the exact integer quotient. Overflow of the cast raises under ANSI mode.
-_X_PREC, _Y_PREC = 24, 13
+def cents_to_money(cents: str | Column) -> Column:
+    """Whole cents -> Decimal(38,2)."""
+    return scaled_to_decimal(cents, 2)
 
 
 def ratio_scaled(num: str | Column, den: str | Column, scale: int = 2, mult: int = 1) -> Column:
-    """``round(num * mult / den, scale)`` as the scaled integer, half away from zero.
-
-    ``num`` and ``den`` are integer columns; ``den`` must be >= 0. NULL when ``den`` is 0 or
-    NULL (the reference's ``NULLIF(den, 0)`` guard). Returned as Decimal(p, 0).
-    """
-    num, den = col_of(num), col_of(den)
+    """Column form of ``ratio_scaled_sql`` (``den`` must be >= 0)."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(ratio_scaled_sql(num, den, scale, mult))
+    num, den = _c(num), _c(den)
     k2 = 2 * mult * 10**scale
     x = (F.abs(num).cast(DecimalType(_X_PREC, 0)) * F.lit(k2) + den).cast(DecimalType(_X_PREC, 0))
     y = (den * F.lit(2)).cast(DecimalType(_Y_PREC, 0))
@@ -66,4 +96,6 @@ def ratio_scaled(num: str | Column, den: str | Column, scale: int = 2, mult: int
 
 def ratio_decimal(num: str | Column, den: str | Column, scale: int = 2, mult: int = 1) -> Column:
     """``round(num * mult / den, scale)`` as Decimal(38, scale); NULL when ``den`` is 0."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(ratio_sql(num, den, scale, mult))
     return scaled_to_decimal(ratio_scaled(num, den, scale, mult), scale)

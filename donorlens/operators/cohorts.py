@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlens.functions.numeric import cents_to_money, ratio_decimal
+from donorlens.functions.numeric import cents_to_money, cents_to_money_sql, ratio_sql
 from donorlens.functions.timecols import add_months_py, as_of_date
 from donorlens.schemas import HORIZON, PCT
 
@@ -40,26 +40,25 @@ def slot_wide(grid_with_cohort: DataFrame, as_of: dt.date | str | None = None,
     total_users = customers whose first paid month is the cohort month (each is active then).
     active_o = distinct customers with a paid order in slot month o (the grid has one row per
     customer and month, so a count is a distinct count); orders_o, rev_o = orders and cents.
-    Slot sums are NULL when the cohort had no order in that month.
+    Slot sums are NULL when the cohort had no order in that month. The slot months are date
+    literals, so the 3 * horizon conditional aggregates stay inside one codegen'd hash aggregate.
     """
     as_of = as_of_date(as_of)
-    month = F.col("month")
-    aggs = [F.count(F.when(month == F.col("cohort_month"), F.lit(1))).alias("total_users")]
+    aggs = ["count(CASE WHEN month = cohort_month THEN 1 END) AS total_users"]
     for o in range(horizon):
-        is_slot = month == F.lit(add_months_py(as_of, -o))
-        aggs += [F.count(F.when(is_slot, F.lit(1))).alias(f"active_{o}"),
-                 F.sum(F.when(is_slot, F.col("n_orders"))).alias(f"orders_{o}"),
-                 F.sum(F.when(is_slot, F.col("revenue_cents"))).alias(f"rev_{o}")]
-    return grid_with_cohort.groupBy("cohort_month").agg(*aggs)
+        m = f"month = DATE'{add_months_py(as_of, -o).isoformat()}'"
+        aggs += [f"count(CASE WHEN {m} THEN 1 END) AS active_{o}",
+                 f"sum(CASE WHEN {m} THEN n_orders END) AS orders_{o}",
+                 f"sum(CASE WHEN {m} THEN revenue_cents END) AS rev_{o}"]
+    return grid_with_cohort.groupBy("cohort_month").agg(*[F.expr(a) for a in aggs])
 
 
-def _rev(o: int) -> Column:
-    return F.coalesce(F.col(f"rev_{o}"), F.lit(0).cast("long"))
+def _rev(o: int) -> str:
+    return f"coalesce(rev_{o}, 0L)"
 
 
-def _arppu_den() -> Column:
-    """COALESCE(NULLIF(total_users, 0), 1), in cents per currency unit."""
-    return F.coalesce(F.when(F.col("total_users") != 0, F.col("total_users")), F.lit(1)) * F.lit(100)
+# COALESCE(NULLIF(total_users, 0), 1), in cents per currency unit
+_ARPPU_DEN = "coalesce(nullif(total_users, 0), 1) * 100"
 
 
 def _desc(horizon: int) -> list[int]:
@@ -69,9 +68,9 @@ def _desc(horizon: int) -> list[int]:
 def revenue_arppu(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """M-09/M-10: revenue_month_k (0 when empty) and unrounded arppu_month_k = revenue / size."""
     ks = _desc(horizon)
-    return sw.select("cohort_month", "total_users",
-                     *[cents_to_money(_rev(k - 1)).alias(f"revenue_month_{k}") for k in ks],
-                     *[ratio_decimal(_rev(k - 1), _arppu_den(), ARPPU_SCALE).alias(f"arppu_month_{k}") for k in ks])
+    return sw.selectExpr("cohort_month", "total_users",
+                         *[f"{cents_to_money_sql(_rev(k - 1))} AS revenue_month_{k}" for k in ks],
+                         *[f"{ratio_sql(_rev(k - 1), _ARPPU_DEN, ARPPU_SCALE)} AS arppu_month_{k}" for k in ks])
 
 
 def arppu_cumulative(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -79,11 +78,9 @@ def arppu_cumulative(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
     / cohort size, 2) - the sum of the unrounded ARPPUs, rounded once."""
     cols = []
     for k in _desc(horizon):
-        total = None
-        for j in range(horizon, k - 1, -1):
-            total = _rev(j - 1) if total is None else total + _rev(j - 1)
-        cols.append(ratio_decimal(total, _arppu_den(), 2).alias(f"cumulative_arppu_{k}"))
-    return sw.select("cohort_month", "total_users", *cols)
+        total = " + ".join(_rev(j - 1) for j in range(horizon, k - 1, -1))
+        cols.append(f"{ratio_sql(total, _ARPPU_DEN, 2)} AS cumulative_arppu_{k}")
+    return sw.selectExpr("cohort_month", "total_users", *cols)
 
 
 def ltv(sw: DataFrame, all_user_sizes: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -95,31 +92,28 @@ def ltv(sw: DataFrame, all_user_sizes: DataFrame, horizon: int = HORIZON) -> Dat
     Both sides of the join have one row per cohort month.
     """
     ks = _desc(horizon)
-    paid = sw.select("cohort_month", *[F.col(f"rev_{k - 1}") for k in ks])
+    paid = sw.select("cohort_month", *[f"rev_{k - 1}" for k in ks])
     j = all_user_sizes.join(paid, "cohort_month", "left")
-    return j.select("cohort_month", "total_users",
-                    *[cents_to_money(_rev(k - 1)).alias(f"revenue_month_{k}") for k in ks],
-                    *[ratio_decimal(_rev(k - 1), F.col("total_users") * F.lit(100), 2).alias(f"ltv_month_{k}")
-                      for k in ks])
+    return j.selectExpr("cohort_month", "total_users",
+                        *[f"{cents_to_money_sql(_rev(k - 1))} AS revenue_month_{k}" for k in ks],
+                        *[f"{ratio_sql(_rev(k - 1), 'total_users * 100', 2)} AS ltv_month_{k}" for k in ks])
 
 
 def ltv_cumulative(ltv_wide: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """M-13: ltv_cumulative_k = sum of the already rounded ltv_month_j, j = horizon..k."""
     cols = []
     for k in _desc(horizon):
-        total = None
-        for j in range(horizon, k - 1, -1):
-            c = F.col(f"ltv_month_{j}")
-            total = c if total is None else total + c
-        cols.append(total.cast("decimal(38,2)").alias(f"ltv_cumulative_{k}"))
-    return ltv_wide.select("cohort_month", "total_users", *cols)
+        total = " + ".join(f"ltv_month_{j}" for j in range(horizon, k - 1, -1))
+        cols.append(f"CAST({total} AS DECIMAL(38,2)) AS ltv_cumulative_{k}")
+    return ltv_wide.selectExpr("cohort_month", "total_users", *cols)
 
 
 def retention(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """M-14: cohort (``YYYY-MM``), total_users, ``RR Month k`` = round(100 * active / size, 2)."""
-    return sw.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "total_users",
-                     *[ratio_decimal(F.col(f"active_{k - 1}"), F.col("total_users"), 2, mult=100)
-                       .cast(PCT).alias(f"RR Month {k}") for k in _desc(horizon)])
+    pct = f"DECIMAL({PCT.precision},{PCT.scale})"
+    return sw.selectExpr("date_format(cohort_month, 'yyyy-MM') AS cohort", "total_users",
+                         *[f"CAST({ratio_sql(f'active_{k - 1}', 'total_users', 2, 100)} AS {pct}) AS `RR Month {k}`"
+                           for k in _desc(horizon)])
 
 
 def average_check(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -127,7 +121,5 @@ def average_check(sw: DataFrame, horizon: int = HORIZON) -> DataFrame:
     NULL when the cohort had no order that month."""
     def name(o: int) -> str:
         return "average_check_current_month" if o == 0 else f"average_check_month_{o}"
-    return sw.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"),
-                     F.col("total_users").alias("unique_users"),
-                     *[ratio_decimal(F.col(f"rev_{o}"), F.col(f"orders_{o}") * F.lit(100), 2).alias(name(o))
-                       for o in range(horizon)])
+    return sw.selectExpr("date_format(cohort_month, 'yyyy-MM') AS cohort", "total_users AS unique_users",
+                         *[f"{ratio_sql(f'rev_{o}', f'orders_{o} * 100', 2)} AS {name(o)}" for o in range(horizon)])

@@ -26,17 +26,19 @@ EVENTS_AS_OF = dt.date(2024, 2, 1)
 
 
 def comparable(df: DataFrame) -> DataFrame:
+    """Decimal -> double, small integers -> bigint, timestamp -> timestamp_ntz."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            cols.append(f"CAST({name} AS DOUBLE) AS {name}")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("long")
+            cols.append(f"CAST({name} AS BIGINT) AS {name}")
         elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast(T.TimestampNTZType())
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            cols.append(f"CAST({name} AS TIMESTAMP_NTZ) AS {name}")
+        else:
+            cols.append(name)
+    return df.selectExpr(*cols)
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:

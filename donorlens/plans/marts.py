@@ -23,8 +23,8 @@ from donorlens.sources.tables import PAID_STATUS, activity_from_orders
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
-    """D-10: cast and order the columns of a mart to its fixed schema."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    """D-10: cast and order the columns of a mart to its fixed schema (no-op casts vanish)."""
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 # ---- the plan ------------------------------------------------------------------------------
