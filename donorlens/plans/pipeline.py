@@ -122,7 +122,10 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
             merged = old.unionByName(incoming)
         table = commit_table(spark, merged, table_dir, run_id)
         quality.assert_unique(table, key, name)  # D-07
-    commit_table(spark, exports.updated_manifest(manifest, changed.select("file_name", "md5")), manifest_dir, run_id)
+    # the digests taken before the load, not a re-evaluation of the listing after it: a file
+    # rewritten meanwhile must show up as changed on the next run
+    seen = spark.createDataFrame([(r["file_name"], r["md5"]) for r in changed_rows], "file_name string, md5 string")
+    commit_table(spark, exports.updated_manifest(manifest, seen), manifest_dir, run_id)
     return report
 
 
