@@ -63,14 +63,20 @@ def donor_month_grid(paid: DataFrame, precision: str = "minute") -> DataFrame:
 
 
 def with_cohort(grid: DataFrame) -> DataFrame:
-    """Grid + cohort_month (first paid month) + next_month (next active month or NULL).
+    """Grid + per-customer columns, all from one shuffle of the grid by customer:
 
-    One window, partitioned by customer and ordered by month: the running minimum of an
-    ascending month is the first month. Partitions hold at most one row per month.
+    cohort_month (first paid month), next_month (next active month or NULL), and the
+    customer's totals cust_last_s, cust_orders, cust_cents (for RFM). The running minimum of
+    an ascending month is the first month; the totals use the same partitioning, so Spark adds
+    no exchange for them. Partitions hold at most one row per calendar month.
     """
-    w = Window.partitionBy("customer_id").orderBy("month")
-    return (grid.withColumn("cohort_month", F.min("month").over(w))
-                .withColumn("next_month", F.lead("month").over(w)))
+    by_customer = Window.partitionBy("customer_id")
+    ordered = by_customer.orderBy("month")
+    return (grid.withColumn("cohort_month", F.min("month").over(ordered))
+                .withColumn("next_month", F.lead("month").over(ordered))
+                .withColumn("cust_last_s", F.max("last_s").over(by_customer))
+                .withColumn("cust_orders", F.sum("n_orders").over(by_customer))
+                .withColumn("cust_cents", F.sum("revenue_cents").over(by_customer)))
 
 
 def first_activity_cohorts(activity: DataFrame) -> DataFrame:
@@ -81,7 +87,14 @@ def first_activity_cohorts(activity: DataFrame) -> DataFrame:
 
 
 def paid_cohorts(grid: DataFrame) -> DataFrame:
-    """M-06: user_id, cohort_month = month of the first paid order."""
+    """M-06: user_id, cohort_month = month of the first paid order.
+
+    A filter on a grid that already carries ``cohort_month`` (one row per customer: its first
+    month), else one aggregate by customer.
+    """
+    if "cohort_month" in grid.columns:
+        return grid.where(F.col("month") == F.col("cohort_month")).select(
+            F.col("customer_id").alias("user_id"), "cohort_month")
     return grid.groupBy(F.col("customer_id").alias("user_id")).agg(F.min("month").alias("cohort_month"))
 
 

@@ -30,14 +30,21 @@ def rfm_base(grid: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """M-01: customer_id, recency_days, frequency, monetary_cents per paying customer.
 
     recency_days is the day field of (as-of midnight - last order): elapsed seconds / 86400
-    truncated toward zero, not a calendar-date difference.
+    truncated toward zero, not a calendar-date difference. On a grid with the customer
+    columns of ``base.with_cohort`` this is a filter (one row per customer: its first month);
+    on a bare grid it is one aggregate by customer.
     """
     as_of = as_of_date(as_of)
-    per_customer = grid.groupBy("customer_id").agg(
-        F.max("last_s").alias("last_s"),
-        F.sum("n_orders").alias("frequency"),
-        F.sum("revenue_cents").alias("monetary_cents"),
-    )
+    if "cust_last_s" in grid.columns:
+        per_customer = grid.where(F.col("month") == F.col("cohort_month")).select(
+            "customer_id", F.col("cust_last_s").alias("last_s"), F.col("cust_orders").alias("frequency"),
+            F.col("cust_cents").alias("monetary_cents"))
+    else:
+        per_customer = grid.groupBy("customer_id").agg(
+            F.max("last_s").alias("last_s"),
+            F.sum("n_orders").alias("frequency"),
+            F.sum("revenue_cents").alias("monetary_cents"),
+        )
     return per_customer.select(
         "customer_id",
         whole_days_between(F.lit(as_of_epoch(as_of)), F.col("last_s")).cast("int").alias("recency_days"),

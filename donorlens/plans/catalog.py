@@ -112,22 +112,22 @@ def q_union_by_name_missing_columns(spark, d):
 
 def q_rfm_base(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_base(p.donor_grid, p.as_of)
+    return rfm.rfm_base(p.grid_with_cohort, p.as_of)
 
 
 def q_rfm_base_events(spark, d):
     p = _events_plan(spark, d)
-    return rfm.rfm_base(p.donor_grid, p.as_of)
+    return rfm.rfm_base(p.grid_with_cohort, p.as_of)
 
 
 def q_rfm_scores(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_scored(p.donor_grid, p.as_of).drop("rfm_group")
+    return rfm.rfm_scored(p.grid_with_cohort, p.as_of).drop("rfm_group")
 
 
 def q_rfm_group_share(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_group_shares(rfm.rfm_scored(p.donor_grid, p.as_of))
+    return rfm.rfm_group_shares(rfm.rfm_scored(p.grid_with_cohort, p.as_of))
 
 
 def q_rfm_segments(spark, d):

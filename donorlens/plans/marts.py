@@ -84,7 +84,7 @@ class MartPlan:
 
     # published marts
     def rfm(self) -> DataFrame:
-        return conform(rfm.rfm(self.donor_grid, self.as_of), schemas.RFM)
+        return conform(rfm.rfm(self.grid_with_cohort, self.as_of), schemas.RFM)
 
     def cohorts_all(self) -> DataFrame:
         return conform(self.all_user_cohorts, schemas.COHORTS)
