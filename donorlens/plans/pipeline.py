@@ -22,7 +22,6 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.operators import base, merge, quality
@@ -79,36 +78,40 @@ def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
 
 
 def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str) -> DataFrame:
-    """Write ``df`` to a new run directory, publish it, return the published table."""
+    """Write ``df`` to the run's directory, publish it, return the published table.
+
+    Idempotent per run id: when the pointer already names this run's directory the table was
+    committed by an earlier attempt of the same run and is returned as is (it may be the input
+    of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
+    published are overwritten.
+    """
     target = _run_dir(table_dir, run_id)
-    df.write.mode("errorifexists").parquet(target)
-    write_pointer(spark, table_dir, target)
+    if read_pointer(spark, table_dir) != target:
+        df.write.mode("overwrite").parquet(target)
+        write_pointer(spark, table_dir, target)
     return spark.read.parquet(target)
 
 
 # ---- ingest ----------------------------------------------------------------------------------
 
-def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
-                   mode: str = "upsert") -> dict | None:
-    """D-01..D-07 for one landing folder. Returns None when no file is new or changed.
+def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir: str, run_id: str,
+               mode: str = "upsert") -> dict:
+    """Keyed load of the given export files (path, file_name, md5) into the state tables,
+    then the manifest. D-03..D-07.
 
     ``mode``: ``upsert`` (a changed row replaces the stored one), ``insert_ignore`` (the stored
     row is kept, the reference's ON CONFLICT DO NOTHING) or ``append`` (the reference's load).
     """
-    manifest_dir, orders_dir, events_dir = (f"{state_dir}/manifest", f"{state_dir}/orders", f"{state_dir}/events")
-    manifest = current_table(spark, manifest_dir)
-    changed = exports.changed_files(exports.file_digests(spark, landing_dir), manifest)
-    # one row per changed file: a file listing, bounded by the number of files
-    changed_rows = changed.select("path", "file_name", "md5").collect()
-    if not changed_rows:
-        return None
-    order_paths, event_paths = exports.route([r["path"] for r in changed_rows])
-    report = {"files": [r["file_name"] for r in changed_rows]}
+    manifest_dir = f"{state_dir}/manifest"
+    order_paths, event_paths = exports.route([p for p, _, _ in files])
     key_of = {"orders": ORDERS_KEY, "events": EVENTS_KEY}
-    for name, paths, reader, table_dir in (("orders", order_paths, exports.read_orders_export, orders_dir),
-                                           ("events", event_paths, exports.read_events_export, events_dir)):
+    for name, paths, reader in (("orders", order_paths, exports.read_orders_export),
+                                ("events", event_paths, exports.read_events_export)):
         if not paths:
             continue
+        table_dir = f"{state_dir}/{name}"
+        if read_pointer(spark, table_dir) == _run_dir(table_dir, run_id):
+            continue  # already loaded by an earlier attempt of this run (a replayed micro-batch)
         incoming = reader(spark, paths).drop("_source_file")
         old = current_table(spark, table_dir)
         key = [key_of[name]]
@@ -124,9 +127,42 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
         quality.assert_unique(table, key, name)  # D-07
     # the digests taken before the load, not a re-evaluation of the listing after it: a file
     # rewritten meanwhile must show up as changed on the next run
-    seen = spark.createDataFrame([(r["file_name"], r["md5"]) for r in changed_rows], "file_name string, md5 string")
-    commit_table(spark, exports.updated_manifest(manifest, seen), manifest_dir, run_id)
-    return report
+    seen = spark.createDataFrame([(f, m) for _, f, m in files], "file_name string, md5 string")
+    commit_table(spark, exports.updated_manifest(current_table(spark, manifest_dir), seen), manifest_dir, run_id)
+    return {"files": [f for _, f, _ in files]}
+
+
+def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
+                   mode: str = "upsert") -> dict | None:
+    """D-01..D-07 for one landing folder. Returns None when no file is new or changed."""
+    manifest = current_table(spark, f"{state_dir}/manifest")
+    changed = exports.changed_files(exports.file_digests(spark, landing_dir), manifest)
+    # one row per changed file: a file listing, bounded by the number of files
+    files = [(r["path"], r["file_name"], r["md5"]) for r in changed.select("path", "file_name", "md5").collect()]
+    if not files:
+        return None
+    return load_files(spark, files, state_dir, run_id, mode)
+
+
+def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
+                  names: tuple[str, ...] | None = None) -> dict:
+    """Marts from the current export state tables (paid status ``Paid``, all-user cohorts
+    from the events)."""
+    state = f"{out_dir.rstrip('/')}/_state"
+    raw_orders = current_table(spark, f"{state}/orders")
+    raw_events = current_table(spark, f"{state}/events")
+    if raw_orders is None:
+        return {"skipped": "no orders loaded yet"}
+    orders = orders_from_export(raw_orders)
+    activity = activity_from_export(raw_events) if raw_events is not None else None
+    return _write_all(spark, orders, activity, PAID_STATUS, as_of, out_dir, run_id, names)
+
+
+def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names) -> dict:
+    rejected_path = f"{out_dir.rstrip('/')}/rejected/run={run_id}"
+    base.rejected_orders(orders).write.mode("overwrite").parquet(rejected_path)
+    plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity)
+    return {"marts": write_marts(spark, plan, out_dir, run_id, names), "rejected_path": rejected_path}
 
 
 # ---- marts ------------------------------------------------------------------------------------
@@ -141,14 +177,22 @@ def build_plan(spark: SparkSession, orders: DataFrame, as_of, paid_value: str,
 
 def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,
                 names: tuple[str, ...] | None = None) -> str:
+    """One Parquet table per mart under a new run directory, then publish the pointer.
+
+    ``overwrite`` inside the run directory makes a replayed run (same id) idempotent.
+    """
     snap = f"{out_dir.rstrip('/')}/marts/as_of={plan.as_of.isoformat()}"
     target = _run_dir(snap, run_id)
     for name in names or MartPlan.MART_NAMES:
-        getattr(plan, name)().write.mode("errorifexists").parquet(f"{target}/{name}")
+        getattr(plan, name)().write.mode("overwrite").parquet(f"{target}/{name}")
     write_pointer(spark, snap, target)
     return target
 
 
+def new_run_id() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+
+
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
                  mode: str = "upsert", names: tuple[str, ...] | None = None) -> dict:
@@ -160,7 +204,7 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     first-action cohorts from orders of any status).
     """
     check_session(spark)
-    run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    run_id = new_run_id()
     as_of = as_of_date(as_of)
     report: dict = {"run_id": run_id, "as_of": as_of.isoformat()}
     if source == "exports":
@@ -170,19 +214,10 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
             report["skipped"] = "no new or changed file"
             return report
         report.update(ingested)
-        raw_orders = current_table(spark, f"{state}/orders")
-        raw_events = current_table(spark, f"{state}/events")
-        orders = orders_from_export(raw_orders)
-        activity = activity_from_export(raw_events) if raw_events is not None else None
-        paid_value = PAID_STATUS
+        report.update(refresh_marts(spark, out_dir, as_of, run_id, names))
     elif source == "tpch":
         orders = orders_from_tpch(read_table(spark, orders_dir, "orders"))
-        activity, paid_value = None, TPCH_PAID_STATUS
+        report.update(_write_all(spark, orders, None, TPCH_PAID_STATUS, as_of, out_dir, run_id, names))
     else:
         raise ValueError(f"unknown source {source!r}")
-    rejected = base.rejected_orders(orders)
-    plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity)
-    report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
-    report["rejected_path"] = f"{out_dir.rstrip('/')}/rejected/run={run_id}"
-    rejected.write.mode("errorifexists").parquet(report["rejected_path"])
     return report
