@@ -84,8 +84,8 @@ def q_unique_key_assertion(spark, d):
 # re-sends 1999 with a corrected price. The boundaries are part of the test data, not a cap.
 def _loads(spark, d):
     o = _orders(spark, d)
-    existing = o.where(F.col("order_ts") < F.lit(dt.datetime(2000, 1, 1)))
-    incoming = (o.where(F.col("order_ts") >= F.lit(dt.datetime(1999, 1, 1)))
+    existing = o.where(F.col("order_ts") < F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    incoming = (o.where(F.col("order_ts") >= F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"))
                 .withColumn("amount", (F.col("amount") + F.lit(1)).cast("decimal(18,2)")))
     return existing, incoming
 
