@@ -36,13 +36,16 @@ class MartPlan:
     ``orders``: canonical orders (any status). ``activity``: the (user_id, ts) stream whose
     first action defines the all-user cohorts for LTV; defaults to all orders of any status.
     ``grid``: an already materialised donor x month grid (optionally with the cohort columns
-    of ``base.with_cohort``), if the caller has one.
+    of ``base.with_cohort``), if the caller has one; ``slot_table`` / ``user_sizes``: already
+    materialised ``slots`` / ``all_user_sizes``.
     """
     orders: DataFrame
     as_of: dt.date | str | None = None
     paid_value: str = PAID_STATUS
     activity: DataFrame | None = None
     grid: DataFrame | None = None
+    slot_table: DataFrame | None = None
+    user_sizes: DataFrame | None = None
     horizon: int = HORIZON
     precision: str = "minute"
     _cache: dict = field(default_factory=dict, repr=False)
@@ -75,11 +78,15 @@ class MartPlan:
 
     @cached_property
     def all_user_sizes(self) -> DataFrame:
+        if self.user_sizes is not None:
+            return self.user_sizes
         return base.cohort_sizes(self.all_user_cohorts)
 
     @cached_property
     def slots(self) -> DataFrame:
         """Per paid cohort: size and the slot measures (``cohorts.slot_wide``)."""
+        if self.slot_table is not None:
+            return self.slot_table
         return cohorts.slot_wide(self.grid_with_cohort, self.as_of, self.horizon)
 
     # published marts
