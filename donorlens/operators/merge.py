@@ -1,9 +1,10 @@
 """Keyed loads (D-05): append, insert-if-absent, upsert.
 
-Without a table format that has MERGE, a keyed load is an anti-join plus a union; the caller
-writes the result to a *new* path and switches to it (overwriting the path that is being read
-would delete the input before it is read). Both joins shuffle on the key only; AQE's skew-join
-handling splits a hot key partition.
+Without a table format that has MERGE, a keyed load is an anti-join plus a union. Insert-if-
+absent and append only add rows, so a store can write just ``new_rows`` as a new segment; an
+upsert has to rewrite, to a *new* path that is then published (overwriting the path being read
+would delete the input before it is read). The joins shuffle on the key only (or broadcast the
+batch's keys when AQE measures them small); AQE's skew-join handling splits a hot key.
 """
 
 from __future__ import annotations
@@ -13,19 +14,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``incoming`` whose key is not in ``existing`` (reads only its key columns)."""
+    return incoming.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+
+
 def insert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` plus the rows of ``incoming`` whose key is not there yet
-    (``ON CONFLICT DO NOTHING``)."""
-    new_rows = incoming.join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(new_rows.select(*existing.columns))
+    (``ON CONFLICT DO NOTHING``). A keyed store appends ``new_rows`` instead of rewriting."""
+    return existing.unionByName(new_rows(existing, incoming, keys).select(*existing.columns))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``incoming`` wins on key conflicts (``ON CONFLICT DO UPDATE``)."""
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(incoming.select(*existing.columns))
-
-
-def dedupe_incoming(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep one row per key of a batch (a changed file re-sent whole must not duplicate)."""
-    return incoming.dropDuplicates(list(keys))

@@ -42,26 +42,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def read_pointer(spark: SparkSession, dir_path: str) -> str | None:
+def read_segments(spark: SparkSession, dir_path: str) -> list[str]:
+    """The directories named by ``dir_path/_CURRENT`` (one per line); [] when unpublished."""
     fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/_CURRENT")
     if not fs.exists(p):
-        return None
+        return []
     stream = fs.open(p)
+    out = []
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = reader.readLine()
+        while line is not None:
+            if line.strip():
+                out.append(line.strip())
+            line = reader.readLine()
     finally:
         stream.close()
-    return line.strip() if line else None
+    return out
+
+
+def read_pointer(spark: SparkSession, dir_path: str) -> str | None:
+    """The last published directory (for single-directory snapshots such as the marts)."""
+    segs = read_segments(spark, dir_path)
+    return segs[-1] if segs else None
 
 
-def write_pointer(spark: SparkSession, dir_path: str, target: str) -> None:
-    """Publish ``target``: write the pointer to a temporary name, then rename over it."""
+def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str]) -> None:
+    """Publish ``target`` (one directory or a list of segments): write the pointer to a
+    temporary name, then rename it over the old one."""
+    targets = [target] if isinstance(target, str) else list(target)
     fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/_CURRENT")
     tmp = jvm.org.apache.hadoop.fs.Path(dir_path.rstrip("/") + f"/_CURRENT.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     try:
-        out.write(bytearray((target + "\n").encode("utf-8")))
+        out.write(bytearray("".join(t + "\n" for t in targets).encode("utf-8")))
     finally:
         out.close()
     if fs.exists(p):
@@ -74,23 +88,28 @@ def _run_dir(base_dir: str, run_id: str) -> str:
 
 
 def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    target = read_pointer(spark, table_dir)
-    return spark.read.parquet(target) if target else None
+    """The published table: the union of its segments (one scan, Parquet reads them together)."""
+    segs = read_segments(spark, table_dir)
+    return spark.read.parquet(*segs) if segs else None
 
 
-def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str) -> DataFrame:
-    """Write ``df`` to the run's directory, publish it, return the published table.
+def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str,
+                 append: bool = False) -> DataFrame:
+    """Write ``df`` to the run's directory and publish it - as the whole table, or with
+    ``append`` as one more segment (only the new rows are written). Returns the table.
 
-    Idempotent per run id: when the pointer already names this run's directory the table was
-    committed by an earlier attempt of the same run and is returned as is (it may be the input
-    of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
+    Idempotent per run id: when the pointer already names this run's directory the data was
+    committed by an earlier attempt of the same run and is not written again (it may be an
+    input of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
     published are overwritten.
     """
     target = _run_dir(table_dir, run_id)
-    if read_pointer(spark, table_dir) != target:
+    segs = read_segments(spark, table_dir)
+    if target not in segs:
         df.write.mode("overwrite").parquet(target)
-        write_pointer(spark, table_dir, target)
-    return spark.read.parquet(target)
+        segs = (segs + [target]) if append else [target]
+        write_pointer(spark, table_dir, segs)
+    return spark.read.parquet(*segs)
 
 
 # ---- ingest ----------------------------------------------------------------------------------
@@ -111,21 +130,27 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
         if not paths:
             continue
         table_dir = f"{state_dir}/{name}"
-        if read_pointer(spark, table_dir) == _run_dir(table_dir, run_id):
+        if _run_dir(table_dir, run_id) in read_segments(spark, table_dir):
             continue  # already loaded by an earlier attempt of this run (a replayed micro-batch)
         incoming = reader(spark, paths).drop("_source_file")
         old = current_table(spark, table_dir)
         key = [key_of[name]]
+        quality.assert_unique(incoming, key, f"{name} batch")  # D-07 within the batch
         if old is None:
-            merged = incoming
+            commit_table(spark, incoming, table_dir, run_id)
         elif mode == "upsert":
-            merged = merge.upsert(old, incoming, key)
+            # a keyed update rewrites the table (no MERGE without a table format that has one)
+            table = commit_table(spark, merge.upsert(old, incoming, key), table_dir, run_id)
+            quality.assert_unique(table, key, name)
         elif mode == "insert_ignore":
-            merged = merge.insert_ignore(old, incoming, key)
+            # only the rows with new keys are written, as one more segment: the stored table is
+            # read for its key column only and never rewritten
+            commit_table(spark, merge.new_rows(old, incoming, key), table_dir, run_id, append=True)
         else:
-            merged = old.unionByName(incoming)
-        table = commit_table(spark, merged, table_dir, run_id)
-        quality.assert_unique(table, key, name)  # D-07
+            clash = incoming.join(old.select(*key), key, "left_semi").count()
+            if clash:
+                raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
+            commit_table(spark, incoming, table_dir, run_id, append=True)
     # the digests taken before the load, not a re-evaluation of the listing after it: a file
     # rewritten meanwhile must show up as changed on the next run
     seen = spark.createDataFrame([(f, m) for _, f, m in files], "file_name string, md5 string")

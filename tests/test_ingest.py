@@ -124,3 +124,21 @@ def test_pipeline_marts_equal_the_lazy_plan(spark, tmpdir_run):
         written = spark.read.parquet(f"{r['marts']}/{name}")
         assert written.columns == df.columns, name
         assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0, name
+
+
+def test_insert_ignore_appends_a_segment_without_rewriting(spark, tmpdir_run):
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid")]))
+    run_pipeline(spark, out_dir=out, as_of="2024-01-31", source="exports", landing_dir=land, mode="insert_ignore")
+    first = read_pointer(spark, os.path.join(out, "_state", "orders"))
+    _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 999, "Paid"),
+                                                         (2, 8, "06.01.2024 10:11", 30, "Paid")]))
+    run_pipeline(spark, out_dir=out, as_of="2024-01-31", source="exports", landing_dir=land, mode="insert_ignore")
+    from donorlens.plans.pipeline import read_segments
+    segs = read_segments(spark, os.path.join(out, "_state", "orders"))
+    assert len(segs) == 2 and segs[0] == first                        # first segment kept as is
+    assert spark.read.parquet(segs[1]).count() == 1                   # only the new key written
+    state = current_table(spark, os.path.join(out, "_state", "orders"))
+    assert sorted((r[0], float(r[1])) for r in state.select("OrderIdsMindboxId", "OrderTotalPrice").collect()) == \
+        [(1, 100.0), (2, 30.0)]                                       # stored row kept
