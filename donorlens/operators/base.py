@@ -79,6 +79,13 @@ def with_cohort(grid: DataFrame) -> DataFrame:
                 .withColumn("cust_cents", F.sum("revenue_cents").over(by_customer)))
 
 
+def rejected_activity(activity: DataFrame) -> DataFrame:
+    """Quarantine of the activity stream: no user or an unparsable/missing time."""
+    reason = F.when(F.col("user_id").isNull(), F.lit("null_user")).otherwise(F.lit("bad_timestamp"))
+    return (activity.where(F.col("user_id").isNull() | F.col("ts").isNull())
+            .withColumn("reject_reason", reason))
+
+
 def first_activity_cohorts(activity: DataFrame) -> DataFrame:
     """M-05: user_id, cohort_month = month of the user's first action of any kind."""
     return (activity.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())

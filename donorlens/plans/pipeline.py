@@ -23,6 +23,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.operators import base, merge, quality
@@ -125,6 +126,7 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
     manifest_dir = f"{state_dir}/manifest"
     order_paths, event_paths = exports.route([p for p, _, _ in files])
     key_of = {"orders": ORDERS_KEY, "events": EVENTS_KEY}
+    rows_per_file: dict[str, int] = {}
     for name, paths, reader in (("orders", order_paths, exports.read_orders_export),
                                 ("events", event_paths, exports.read_events_export)):
         if not paths:
@@ -132,7 +134,7 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
         table_dir = f"{state_dir}/{name}"
         if _run_dir(table_dir, run_id) in read_segments(spark, table_dir):
             continue  # already loaded by an earlier attempt of this run (a replayed micro-batch)
-        incoming = reader(spark, paths).drop("_source_file")
+        incoming = reader(spark, paths)  # keeps _source_file: the export file of each row
         old = current_table(spark, table_dir)
         key = [key_of[name]]
         quality.assert_unique(incoming, key, f"{name} batch")  # D-07 within the batch
@@ -151,11 +153,15 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
             if clash:
                 raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
             commit_table(spark, incoming, table_dir, run_id, append=True)
+        counts = (exports.rows_per_file(current_table(spark, table_dir)
+                                        .where(F.col("_source_file").isin([p.rsplit("/", 1)[-1] for p in paths])))
+                  .collect())  # one row per loaded file
+        rows_per_file.update({r["_source_file"]: r["rows"] for r in counts})
     # the digests taken before the load, not a re-evaluation of the listing after it: a file
     # rewritten meanwhile must show up as changed on the next run
     seen = spark.createDataFrame([(f, m) for _, f, m in files], "file_name string, md5 string")
     commit_table(spark, exports.updated_manifest(current_table(spark, manifest_dir), seen), manifest_dir, run_id)
-    return {"files": [f for _, f, _ in files]}
+    return {"files": [f for _, f, _ in files], "rows_per_file": rows_per_file}
 
 
 def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
@@ -185,10 +191,20 @@ def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
 
 
 def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names) -> dict:
-    rejected_path = f"{out_dir.rstrip('/')}/rejected/run={run_id}"
-    base.rejected_orders(orders).write.mode("overwrite").parquet(rejected_path)
+    """Quarantine unattributable rows (written and counted), then build and write the marts."""
+    root = out_dir.rstrip("/")
+    report = {}
+    rejected = {"orders": base.rejected_orders(orders)}
+    if activity is not None:
+        rejected["events"] = base.rejected_activity(activity)
+    for name, df in rejected.items():
+        path = f"{root}/rejected/{name}/run={run_id}"
+        df.write.mode("overwrite").parquet(path)
+        report[f"rejected_{name}"] = spark.read.parquet(path).count()  # from the Parquet footers
+        report[f"rejected_{name}_path"] = path
     plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity)
-    return {"marts": write_marts(spark, plan, out_dir, run_id, names), "rejected_path": rejected_path}
+    report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
+    return report
 
 
 # ---- marts ------------------------------------------------------------------------------------

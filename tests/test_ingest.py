@@ -78,7 +78,9 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
 
     r1 = run_pipeline(spark, out_dir=out, as_of="2024-02-29", source="exports", landing_dir=land)
     assert sorted(r1["files"]) == ["events_1.csv", "events_2.csv", "orders.csv"]
-    assert spark.read.parquet(r1["rejected_path"]).count() == 1      # the unparsable time
+    assert r1["rows_per_file"] == {"orders.csv": 5, "events_1.csv": 2, "events_2.csv": 1}
+    assert r1["rejected_orders"] == 1 and r1["rejected_events"] == 0  # the unparsable time
+    assert spark.read.parquet(r1["rejected_orders_path"]).first()["reject_reason"] == "bad_timestamp"
     rfm = {r["customer_id"]: r for r in spark.read.parquet(f"{r1['marts']}/rfm").collect()}
     assert set(rfm) == {7, 8} and rfm[7]["frequency"] == 2
     assert spark.read.parquet(f"{r1['marts']}/cohorts_all").count() == 3   # users 7, 8, 9 from events
@@ -89,7 +91,7 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
     orders[1] = (2, 7, "07.02.2024 11:00:05", 55, "Paid")               # one row changed
     _write(os.path.join(land, "orders.csv"), _orders_csv(orders))
     r3 = run_pipeline(spark, out_dir=out, as_of="2024-02-29", source="exports", landing_dir=land)
-    assert r3["files"] == ["orders.csv"]
+    assert r3["files"] == ["orders.csv"] and r3["rows_per_file"] == {"orders.csv": 5}
     state = current_table(spark, os.path.join(out, "_state", "orders"))
     assert state.count() == 5 and state.select("OrderIdsMindboxId").distinct().count() == 5
     assert float(state.where(F.col("OrderIdsMindboxId") == 2).first()["OrderTotalPrice"]) == 55.0
