@@ -121,9 +121,3 @@ def cohort_matrix(grid_with_cohort: DataFrame) -> DataFrame:
         F.sum("n_orders").alias("orders"),
         F.sum("revenue_cents").alias("revenue_cents"),
     )
-
-
-def matrix_sizes(matrix: DataFrame) -> DataFrame:
-    """Cohort sizes read off the matrix diagonal (each customer is active in its cohort month)."""
-    return matrix.where(F.col("month") == F.col("cohort_month")).select(
-        "cohort_month", F.col("active_users").alias("total_users"))

@@ -9,7 +9,7 @@ it whose size is bounded by the number of months. The pipeline materialises the
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -48,7 +48,6 @@ class MartPlan:
     user_sizes: DataFrame | None = None
     horizon: int = HORIZON
     precision: str = "minute"
-    _cache: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.as_of = as_of_date(self.as_of)

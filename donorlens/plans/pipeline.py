@@ -113,6 +113,14 @@ def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str
     return spark.read.parquet(*segs)
 
 
+def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None) -> DataFrame:
+    """Rewrite an append-only table's segments as one (maintenance for many small loads)."""
+    table = current_table(spark, table_dir)
+    if table is None or len(read_segments(spark, table_dir)) <= 1:
+        return table
+    return commit_table(spark, table, table_dir, run_id or new_run_id())
+
+
 # ---- ingest ----------------------------------------------------------------------------------
 
 def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir: str, run_id: str,

@@ -144,3 +144,14 @@ def test_insert_ignore_appends_a_segment_without_rewriting(spark, tmpdir_run):
     state = current_table(spark, os.path.join(out, "_state", "orders"))
     assert sorted((r[0], float(r[1])) for r in state.select("OrderIdsMindboxId", "OrderTotalPrice").collect()) == \
         [(1, 100.0), (2, 30.0)]                                       # stored row kept
+
+
+def test_compaction_keeps_rows(spark, tmpdir_run):
+    from donorlens.plans.pipeline import commit_table, compact_table, read_segments
+    t = os.path.join(tmpdir_run, "t")
+    commit_table(spark, spark.createDataFrame([(1,)], "k long"), t, "a")
+    commit_table(spark, spark.createDataFrame([(2,), (3,)], "k long"), t, "b", append=True)
+    assert len(read_segments(spark, t)) == 2
+    compact_table(spark, t, "c")
+    assert read_segments(spark, t) == [os.path.join(t, "run=c")]
+    assert sorted(r[0] for r in current_table(spark, t).collect()) == [1, 2, 3]
