@@ -2,7 +2,7 @@
 
 The file source keeps, in its checkpoint, the set of files it has already handed over, so
 each ``availableNow`` (or periodic) trigger sees only new files. Each micro-batch carries one
-row per new file (path, name, md5 - the content column is read only for the digest) and
+row per new file (its path; the content column is never read by the stream) and
 ``foreachBatch`` runs the same keyed load and mart refresh as the batch pipeline, with the
 micro-batch id as the run id: a replayed batch finds its own committed tables and does not
 load twice.
@@ -17,24 +17,23 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.plans import pipeline
 from donorlens.session import check_session
+from donorlens.sources import exports
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def new_files_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame: path, file_name, md5 of each new ``*.csv`` file."""
+    """Streaming DataFrame: path of each new ``*.csv`` file (the content column is not read)."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(landing_dir).select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), F.md5("content").alias("md5"))
+    return reader.load(landing_dir).select("path")
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_location: str,
@@ -47,9 +46,11 @@ def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # one row per new file: bounded by maxFilesPerTrigger / the files that arrived
-        files = [(r["path"], r["file_name"], r["md5"]) for r in batch.collect()]
-        if not files:
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
             return
+        # content digests for the manifest: a distributed line scan, not one task per file
+        files = [(r["path"], r["file_name"], r["md5"]) for r in exports.digests_of(spark, paths).collect()]
         run_id = f"epoch-{epoch_id:010d}"
         pipeline.load_files(spark, files, state, run_id, mode)
         if refresh:

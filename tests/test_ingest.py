@@ -155,3 +155,18 @@ def test_compaction_keeps_rows(spark, tmpdir_run):
     compact_table(spark, t, "c")
     assert read_segments(spark, t) == [os.path.join(t, "run=c")]
     assert sorted(r[0] for r in current_table(spark, t).collect()) == [1, 2, 3]
+
+
+def test_line_digest_detects_changed_added_and_removed_lines(spark, tmpdir_run):
+    def digests():
+        return {r["file_name"]: r["md5"] for r in exports.file_digests(spark, tmpdir_run).collect()}
+    _write(os.path.join(tmpdir_run, "a.csv"), "h\n1\n2\n")
+    d0 = digests()
+    _write(os.path.join(tmpdir_run, "a.csv"), "h\n2\n1\n")          # reordered: same rows
+    assert digests() == d0
+    for text in ("h\n1\n3\n", "h\n1\n2\n2\n", "h\n1\n"):
+        _write(os.path.join(tmpdir_run, "a.csv"), text)
+        assert digests() != d0
+    md5 = exports.file_digests(spark, tmpdir_run, method="md5").first()
+    import hashlib
+    assert md5["md5"] == hashlib.md5(b"h\n1\n").hexdigest()
