@@ -22,10 +22,11 @@ def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
 def insert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` plus the rows of ``incoming`` whose key is not there yet
     (``ON CONFLICT DO NOTHING``). A keyed store appends ``new_rows`` instead of rewriting."""
-    return existing.unionByName(new_rows(existing, incoming, keys).select(*existing.columns))
+    return existing.unionByName(new_rows(existing, incoming, keys), allowMissingColumns=True)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``incoming`` wins on key conflicts (``ON CONFLICT DO UPDATE``)."""
+    """``incoming`` wins on key conflicts (``ON CONFLICT DO UPDATE``). Columns are matched by
+    name; a column only one side has is NULL on the other (export layouts may grow)."""
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(incoming.select(*existing.columns))
+    return kept.unionByName(incoming, allowMissingColumns=True)

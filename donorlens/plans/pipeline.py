@@ -91,7 +91,7 @@ def _run_dir(base_dir: str, run_id: str) -> str:
 def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
     """The published table: the union of its segments (one scan, Parquet reads them together)."""
     segs = read_segments(spark, table_dir)
-    return spark.read.parquet(*segs) if segs else None
+    return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs) if segs else None
 
 
 def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str,
@@ -110,7 +110,7 @@ def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str
         df.write.mode("overwrite").parquet(target)
         segs = (segs + [target]) if append else [target]
         write_pointer(spark, table_dir, segs)
-    return spark.read.parquet(*segs)
+    return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs)
 
 
 def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None) -> DataFrame:

@@ -81,16 +81,46 @@ def updated_manifest(manifest: DataFrame | None, changed: DataFrame) -> DataFram
     return manifest.join(new.select("file_name"), "file_name", "left_anti").unionByName(new)
 
 
-def read_export(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """D-03: lenient ``;`` CSV read; rows with too many fields dropped, short rows padded.
-
-    Adds ``_source_file`` for per-file counts and lineage.
+def read_header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+    """Column names from the first line of one file (read through the cluster file system;
+    only that line is read). A UTF-8 byte-order mark and surrounding quotes are dropped."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine() or ""
+    finally:
+        stream.close()
+    return [c.strip().strip('"') for c in line.lstrip("\ufeff").split(sep)]
+
+
+def read_export(spark: SparkSession, paths: Sequence[str], schema: T.StructType, sep: str = ";") -> DataFrame:
+    """D-03: lenient ``;`` CSV read by header name.
+
+    Files are grouped by their header line and each group is read in one scan with an all-string
+    schema taken from that header plus a sentinel column ``_extra``: a row with more fields than
+    the header fills the sentinel and is skipped, a short row is padded with NULLs. The columns
+    of ``schema`` are then taken by name and cast with ``try_cast`` (a bad value becomes NULL and
+    its row is quarantined downstream); a column missing from a file is NULL; any other column
+    is carried along as text. Adds ``_source_file``.
     """
-    with_sentinel = T.StructType(list(schema.fields) + [T.StructField("_extra", T.StringType())])
-    df = (spark.read.schema(with_sentinel).option("sep", ";").option("header", True)
-          .option("mode", "PERMISSIVE").csv(list(paths)))
-    return (df.where(F.col("_extra").isNull()).drop("_extra")
-            .withColumn("_source_file", F.col("_metadata.file_name")))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:  # one header line per file
+        groups.setdefault(tuple(read_header(spark, path, sep)), []).append(path)
+    known = {f.name: f.dataType for f in schema.fields}
+    frames = []
+    for header, files in groups.items():
+        raw = T.StructType([T.StructField(c, T.StringType()) for c in header]
+                           + [T.StructField("_extra", T.StringType())])
+        df = (spark.read.schema(raw).option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+              .csv(files).where(F.col("_extra").isNull()))
+        cols = [F.expr(f"try_cast(`{n}` AS {t.simpleString()})").alias(n) if n in header
+                else F.lit(None).cast(t).alias(n) for n, t in known.items()]
+        cols += [F.col(f"`{c}`") for c in header if c not in known]
+        frames.append(df.select(*cols, F.col("_metadata.file_name").alias("_source_file")))
+    return union_by_name(frames)
 
 
 def route(paths: Sequence[str]) -> tuple[list[str], list[str]]:

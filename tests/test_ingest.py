@@ -170,3 +170,37 @@ def test_line_digest_detects_changed_added_and_removed_lines(spark, tmpdir_run):
     md5 = exports.file_digests(spark, tmpdir_run, method="md5").first()
     import hashlib
     assert md5["md5"] == hashlib.md5(b"h\n1\n").hexdigest()
+
+
+def test_route_union_and_rows_per_file(spark, tmpdir_run):
+    orders, events = exports.route(["/x/orders.csv", "/x/ev_1.csv", "/y/ev_2.csv"])
+    assert orders == ["/x/orders.csv"] and events == ["/x/ev_1.csv", "/y/ev_2.csv"]
+    a = spark.createDataFrame([(1, "u")], "id long, user string")
+    b = spark.createDataFrame([(2.5, 2)], "value double, id long")
+    u = exports.union_by_name([a, b])
+    assert u.columns == ["id", "user", "value"]
+    assert sorted(map(tuple, u.collect()), key=repr) == sorted([(1, "u", None), (2, None, 2.5)], key=repr)
+    _write(os.path.join(tmpdir_run, "e1.csv"), EVENTS_HEADER + "1;7;01.01.2024 09:00\n2;8;02.01.2024 09:00\n")
+    _write(os.path.join(tmpdir_run, "e2.csv"), EVENTS_HEADER + "3;9;03.01.2024 09:00\n")
+    df = exports.read_events_export(spark, [os.path.join(tmpdir_run, f) for f in ("e1.csv", "e2.csv")])
+    assert {r["_source_file"]: r["rows"] for r in exports.rows_per_file(df).collect()} == {"e1.csv": 2, "e2.csv": 1}
+
+
+def test_export_columns_are_taken_by_header_name(spark, tmpdir_run):
+    # reordered columns, an extra column, a BOM, and a file without the price column
+    a = os.path.join(tmpdir_run, "orders.csv")
+    _write(a, "﻿OrderTotalPrice;Extra;OrderIdsMindboxId;OrderFirstActionIdsMindboxId;OrderCustomerIdsMindboxId;"
+              "OrderFirstActionDateTimeUtc;OrderLineStatusIdsExternalId\n"
+              "12.50;zz;1;1001;7;05.01.2024 10:11;Paid\n"
+              "oops;zz;2;1002;7;05.01.2024 10:12;Paid\n"
+              "1;zz;3;1003;7;05.01.2024 10:12;Paid;too;many\n")
+    b = os.path.join(tmpdir_run, "orders_old.csv")
+    _write(b, "OrderIdsMindboxId;OrderCustomerIdsMindboxId;OrderFirstActionDateTimeUtc\n4;8;06.01.2024 10:00\n")
+    df = exports.read_orders_export(spark, [a, b])
+    rows = {r["OrderIdsMindboxId"]: r for r in df.collect()}
+    assert set(rows) == {1, 2, 4}                                     # the long row is skipped
+    assert float(rows[1]["OrderTotalPrice"]) == 12.5 and rows[1]["Extra"] == "zz"
+    assert rows[1]["OrderCustomerIdsMindboxId"] == 7
+    assert rows[2]["OrderTotalPrice"] is None                         # unparsable -> NULL
+    assert rows[4]["OrderTotalPrice"] is None and rows[4]["Extra"] is None
+    assert rows[4]["_source_file"] == "orders_old.csv"
