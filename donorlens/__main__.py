@@ -6,7 +6,7 @@ import argparse
 import json
 
 from donorlens.plans.pipeline import run_pipeline
-from donorlens.session import build_session
+from donorlens.session import apply_cluster_conf, build_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -20,6 +20,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
+    if not spark.sparkContext.master.startswith("local"):
+        apply_cluster_conf(spark)
     report = run_pipeline(spark, out_dir=a.out, as_of=a.as_of, source=a.source, landing_dir=a.landing,
                           orders_dir=a.orders_dir, mode=a.mode)
     print(json.dumps(report))

@@ -16,6 +16,21 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings for a large cluster (applied by the command line unless spark-submit already set
+# them). The heavy shuffle is the donor x month grid: start with many partitions and let AQE
+# coalesce them to ~256 MiB each; split skewed join partitions; read ~256 MiB per scan task.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4096",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 
 def build_session(master: str | None = None, app: str = "donorlens", shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -43,6 +58,13 @@ def build_session(master: str | None = None, app: str = "donorlens", shuffle_par
     return spark
 
 
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Set ``CLUSTER_CONF`` values the session does not set already (runtime SQL settings)."""
+    for k, v in CLUSTER_CONF.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+
+
 def check_session(spark: SparkSession) -> None:
     for k, v in REQUIRED.items():
         got = spark.conf.get(k, None)
