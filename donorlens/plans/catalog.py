@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 from donorlens.functions.timecols import format_text_ts, parse_text_ts
 from donorlens.operators import base, churn, merge, quality, reshape, rfm
 from donorlens.plans.marts import MartPlan
-from donorlens.sources.tables import (TPCH_PAID_STATUS, orders_from_tpch, purchases_from_events,
-                                      read_table)
+from donorlens.session import scratch_path
+from donorlens.sources import exports
+from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, orders_from_tpch,
+                                      purchases_from_events, read_table)
 
 ORDERS_AS_OF = dt.date(2001, 8, 1)
 EVENTS_AS_OF = dt.date(2024, 2, 1)
@@ -68,6 +70,48 @@ def q_parse_event_times(spark, d):
                      parse_text_ts(format_text_ts("ts", with_seconds=True)).alias("ts_second"))
 
 
+def q_parse_order_times(spark, d):
+    """P-60 on orders: the order date written as text without and with seconds, parsed back."""
+    o = read_table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("order_id"),
+                    parse_text_ts(format_text_ts("o_orderdate", with_seconds=False)).alias("ts_minute"),
+                    parse_text_ts(format_text_ts("o_orderdate", with_seconds=True)).alias("ts_second"))
+
+
+def export_orders_csv(spark: SparkSession, d: str) -> list[str]:
+    """The driver's ``orders`` written as a ``;`` export in the source layout (text times,
+    status ``Paid`` for ``F``) to a fresh folder under the shared checkpoint folder; returns
+    the file paths (a listing: one entry per file)."""
+    o = read_table(spark, d, "orders")
+    path = scratch_path(spark, "orders-export")
+    (o.select(F.col("o_orderkey").alias("OrderIdsMindboxId"),
+              F.col("o_orderkey").alias("OrderFirstActionIdsMindboxId"),
+              F.col("o_custkey").alias("OrderCustomerIdsMindboxId"),
+              format_text_ts("o_orderdate").alias("OrderFirstActionDateTimeUtc"),
+              F.col("o_totalprice").cast("decimal(18,2)").alias("OrderTotalPrice"),
+              F.when(F.col("o_orderstatus") == TPCH_PAID_STATUS, F.lit(PAID_STATUS))
+               .otherwise(F.col("o_orderstatus")).alias("OrderLineStatusIdsExternalId"))
+      .write.option("sep", ";").option("header", True).csv(path))
+    return [r["path"] for r in exports.list_csv(spark, path).select("path").collect()]
+
+
+def q_csv_ingest(spark, d):
+    """D-01, D-03: the export read back by header name and parsed into canonical orders."""
+    return orders_from_export(exports.read_orders_export(spark, export_orders_csv(spark, d)))
+
+
+def q_changed_files(spark, d):
+    """D-01, D-02: content digests of the export files against an empty manifest."""
+    folder = export_orders_csv(spark, d)[0].rsplit("/", 1)[0]
+    return exports.changed_files(exports.file_digests(spark, folder), None).select("file_name", "md5")
+
+
+def q_rfm_segments_from_export(spark, d):
+    """The whole source path: CSV text -> parse -> paid orders (``Paid``) -> RFM mart."""
+    orders = orders_from_export(exports.read_orders_export(spark, export_orders_csv(spark, d)))
+    return MartPlan(orders, as_of=ORDERS_AS_OF, paid_value=PAID_STATUS).rfm()
+
+
 def q_duplicate_keys_lineitem(spark, d):
     return quality.duplicate_keys(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -162,6 +206,18 @@ def q_cohort_revenue_arppu(spark, d):
     return _plan(spark, d).cohorts_revenue_arppu_data()
 
 
+def q_cohort_revenue_slots(spark, d):
+    """M-09 alone: revenue per paid cohort in the 12 as-of slots."""
+    return _plan(spark, d).cohorts_revenue_arppu_data().select(
+        "cohort_month", "total_users", *[f"revenue_month_{k}" for k in range(12, 0, -1)])
+
+
+def q_cohort_arppu(spark, d):
+    """M-10 alone: unrounded ARPPU per paid cohort in the 12 as-of slots."""
+    return _plan(spark, d).cohorts_revenue_arppu_data().select(
+        "cohort_month", "total_users", *[f"arppu_month_{k}" for k in range(12, 0, -1)])
+
+
 def q_arppu_cumulative(spark, d):
     return _plan(spark, d).arppu_cumulative()
 
@@ -240,6 +296,10 @@ def q_ac_long(spark, d):
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paid_orders_extract": q_paid_orders_extract,
     "parse_event_times": q_parse_event_times,
+    "parse_order_times": q_parse_order_times,
+    "csv_ingest": q_csv_ingest,
+    "changed_files": q_changed_files,
+    "rfm_segments_from_export": q_rfm_segments_from_export,
     "duplicate_keys_lineitem": q_duplicate_keys_lineitem,
     "unique_key_assertion": q_unique_key_assertion,
     "upsert_by_key": q_upsert_by_key,
@@ -256,6 +316,8 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_sizes": q_cohort_sizes,
     "cohort_month_revenue": q_cohort_month_revenue,
     "cohort_revenue_arppu": q_cohort_revenue_arppu,
+    "cohort_revenue_slots": q_cohort_revenue_slots,
+    "cohort_arppu": q_cohort_arppu,
     "arppu_cumulative": q_arppu_cumulative,
     "ltv_cohorts": q_ltv_cohorts,
     "ltv_cumulative": q_ltv_cumulative,

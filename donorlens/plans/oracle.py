@@ -51,6 +51,17 @@ PARSE_EVENT_TIMES = """
 SELECT event_id, date_trunc('minute', ts) AS ts_minute, date_trunc('second', ts) AS ts_second
 FROM events"""
 
+PARSE_ORDER_TIMES = """
+SELECT o_orderkey AS order_id, date_trunc('minute', o_orderdate) AS ts_minute,
+       date_trunc('second', o_orderdate) AS ts_second
+FROM orders"""
+
+CSV_INGEST = """
+SELECT o_custkey AS customer_id, o_orderkey AS order_id,
+       CASE WHEN o_orderstatus = 'F' THEN 'Paid' ELSE o_orderstatus END AS status,
+       o_orderdate AS order_ts, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM orders"""
+
 DUPLICATE_KEYS_LINEITEM = """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, COUNT(*) AS dup_count
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
@@ -202,6 +213,16 @@ SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
        {', '.join(f"{rnd(f'rev_{k}', _ARPPU_DEN, ARPPU_SCALE)} AS arppu_month_{k}" for k in _DESC)}
 FROM revenue_slots"""
 
+COHORT_REVENUE_SLOTS = REVENUE_ARPPU_CTES + f"""
+SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
+       {', '.join(f"{dbl(f'rev_{k}', 2)} AS revenue_month_{k}" for k in _DESC)}
+FROM revenue_slots"""
+
+COHORT_ARPPU = REVENUE_ARPPU_CTES + f"""
+SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
+       {', '.join(f"{rnd(f'rev_{k}', _ARPPU_DEN, ARPPU_SCALE)} AS arppu_month_{k}" for k in _DESC)}
+FROM revenue_slots"""
+
 ARPPU_CUMULATIVE = REVENUE_ARPPU_CTES + f"""
 SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
        {', '.join(rnd(' + '.join(f'rev_{j}' for j in range(H, k - 1, -1)), _ARPPU_DEN, 2) + f' AS cumulative_arppu_{k}' for k in _DESC)}
@@ -350,6 +371,9 @@ AC_LONG = _unpivot(AVERAGE_CHECK, "CAST(CONCAT(cohort, '-01') AS DATE)",
 ORACLE: dict[str, str] = {
     "paid_orders_extract": PAID_ORDERS_EXTRACT,
     "parse_event_times": PARSE_EVENT_TIMES,
+    "parse_order_times": PARSE_ORDER_TIMES,
+    "csv_ingest": CSV_INGEST,
+    "rfm_segments_from_export": RFM_SEGMENTS,
     "duplicate_keys_lineitem": DUPLICATE_KEYS_LINEITEM,
     "unique_key_assertion": UNIQUE_KEY_ASSERTION,
     "upsert_by_key": UPSERT_BY_KEY,
@@ -366,6 +390,8 @@ ORACLE: dict[str, str] = {
     "cohort_sizes": COHORT_SIZES,
     "cohort_month_revenue": COHORT_MONTH_REVENUE,
     "cohort_revenue_arppu": COHORT_REVENUE_ARPPU,
+    "cohort_revenue_slots": COHORT_REVENUE_SLOTS,
+    "cohort_arppu": COHORT_ARPPU,
     "arppu_cumulative": ARPPU_CUMULATIVE,
     "ltv_cohorts": LTV_COHORTS,
     "ltv_cumulative": LTV_CUMULATIVE,
