@@ -13,7 +13,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
+    # month grids and the as-of midnight are calendar values in UTC
     "spark.sql.session.timeZone": "UTC",
+    # an overflowing decimal or long operation must fail, not turn into NULL
+    "spark.sql.ansi.enabled": "true",
 }
 
 # Settings for a large cluster (applied by the command line unless spark-submit already set
