@@ -62,6 +62,28 @@ def donor_month_grid(paid: DataFrame, precision: str = "minute") -> DataFrame:
     )
 
 
+def merge_grids(grid: DataFrame, delta: DataFrame) -> DataFrame:
+    """Fold the grid of newly added orders into a stored grid: counts and sums add, first/last
+    times combine by min/max. Exact for added rows (insert-if-absent and append loads)."""
+    return (grid.select(*GRID_COLUMNS).unionByName(delta.select(*GRID_COLUMNS))
+            .groupBy("customer_id", "month").agg(
+                F.sum("n_orders").alias("n_orders"), F.sum("revenue_cents").alias("revenue_cents"),
+                F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s")))
+
+
+GRID_COLUMNS = ("customer_id", "month", "n_orders", "revenue_cents", "first_s", "last_s")
+
+
+def first_actions(activity: DataFrame) -> DataFrame:
+    """user_id, first_ts: each user's first action (the state behind the all-user cohorts)."""
+    return (activity.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+            .groupBy("user_id").agg(F.min("ts").alias("first_ts")))
+
+
+def merge_first_actions(stored: DataFrame, delta: DataFrame) -> DataFrame:
+    return (stored.unionByName(delta).groupBy("user_id").agg(F.min("first_ts").alias("first_ts")))
+
+
 def with_cohort(grid: DataFrame) -> DataFrame:
     """Grid + per-customer columns, all from one shuffle of the grid by customer:
 

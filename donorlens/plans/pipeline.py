@@ -43,9 +43,9 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def read_segments(spark: SparkSession, dir_path: str) -> list[str]:
+def read_segments(spark: SparkSession, dir_path: str, name: str = "_CURRENT") -> list[str]:
     """The directories named by ``dir_path/_CURRENT`` (one per line); [] when unpublished."""
-    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/_CURRENT")
+    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/" + name)
     if not fs.exists(p):
         return []
     stream = fs.open(p)
@@ -68,12 +68,12 @@ def read_pointer(spark: SparkSession, dir_path: str) -> str | None:
     return segs[-1] if segs else None
 
 
-def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str]) -> None:
+def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str], name: str = "_CURRENT") -> None:
     """Publish ``target`` (one directory or a list of segments): write the pointer to a
     temporary name, then rename it over the old one."""
     targets = [target] if isinstance(target, str) else list(target)
-    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/_CURRENT")
-    tmp = jvm.org.apache.hadoop.fs.Path(dir_path.rstrip("/") + f"/_CURRENT.{uuid.uuid4().hex}")
+    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/" + name)
+    tmp = jvm.org.apache.hadoop.fs.Path(dir_path.rstrip("/") + f"/{name}.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray("".join(t + "\n" for t in targets).encode("utf-8")))
@@ -185,33 +185,80 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
     return load_files(spark, files, state_dir, run_id, mode)
 
 
+def _derived_state(spark: SparkSession, state: str, source: str, derived: str, run_id: str,
+                   build, merge_fn) -> DataFrame | None:
+    """Maintain a table derived from an append-only source table.
+
+    The derived table records (in ``_COVERS``) the source segments it was built from. When the
+    source only gained segments since then, only those are read and folded in with
+    ``merge_fn``; when the source was rewritten (an upsert), it is rebuilt from the whole
+    source. Either way the cost of a refresh after an append is O(new rows + derived table).
+    """
+    src_dir, dst_dir = f"{state}/{source}", f"{state}/{derived}"
+    segs = read_segments(spark, src_dir)
+    if not segs:
+        return None
+    covers = read_segments(spark, dst_dir, "_COVERS")
+    stored = current_table(spark, dst_dir)
+    if covers == segs and stored is not None:
+        return stored
+    if stored is not None and covers and segs[:len(covers)] == covers:
+        new = segs[len(covers):]
+        table = merge_fn(stored, build(spark.read.option("mergeSchema", len(new) > 1).parquet(*new)))
+    else:
+        table = build(current_table(spark, src_dir))
+    out = commit_table(spark, table, dst_dir, run_id)
+    write_pointer(spark, dst_dir, segs, "_COVERS")
+    return out
+
+
+def _orders_grid(raw_orders: DataFrame) -> DataFrame:
+    return base.donor_month_grid(base.paid_orders(orders_from_export(raw_orders), PAID_STATUS))
+
+
+def _events_first(raw_events: DataFrame) -> DataFrame:
+    return base.first_actions(activity_from_export(raw_events))
+
+
 def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
                   names: tuple[str, ...] | None = None) -> dict:
-    """Marts from the current export state tables (paid status ``Paid``, all-user cohorts
-    from the events)."""
+    """Marts from the export state tables (paid status ``Paid``, all-user cohorts from the
+    events).
+
+    The donor x month grid of the paid orders and the users' first actions are state tables
+    maintained incrementally from the loads (``_derived_state``), so a refresh after an
+    append-only load does not re-aggregate all orders.
+    """
     state = f"{out_dir.rstrip('/')}/_state"
     raw_orders = current_table(spark, f"{state}/orders")
-    raw_events = current_table(spark, f"{state}/events")
     if raw_orders is None:
         return {"skipped": "no orders loaded yet"}
-    orders = orders_from_export(raw_orders)
-    activity = activity_from_export(raw_events) if raw_events is not None else None
-    return _write_all(spark, orders, activity, PAID_STATUS, as_of, out_dir, run_id, names)
+    grid = _derived_state(spark, state, "orders", "grid", run_id, _orders_grid, base.merge_grids)
+    first = _derived_state(spark, state, "events", "first_actions", run_id, _events_first,
+                           base.merge_first_actions)
+    activity = (first.select("user_id", F.col("first_ts").alias("ts")) if first is not None else None)
+    raw_events = current_table(spark, f"{state}/events")
+    rejected_events = base.rejected_activity(activity_from_export(raw_events)) if raw_events is not None else None
+    return _write_all(spark, orders_from_export(raw_orders), activity, PAID_STATUS, as_of, out_dir, run_id, names,
+                      grid=grid, rejected_events=rejected_events)
 
 
-def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names) -> dict:
+def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names, grid=None,
+               rejected_events=None) -> dict:
     """Quarantine unattributable rows (written and counted), then build and write the marts."""
     root = out_dir.rstrip("/")
     report = {}
     rejected = {"orders": base.rejected_orders(orders)}
-    if activity is not None:
+    if rejected_events is not None:
+        rejected["events"] = rejected_events
+    elif activity is not None:
         rejected["events"] = base.rejected_activity(activity)
     for name, df in rejected.items():
         path = f"{root}/rejected/{name}/run={run_id}"
         df.write.mode("overwrite").parquet(path)
         report[f"rejected_{name}"] = spark.read.parquet(path).count()  # from the Parquet footers
         report[f"rejected_{name}_path"] = path
-    plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity)
+    plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity, grid)
     report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
     return report
 
@@ -219,16 +266,17 @@ def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, name
 # ---- marts ------------------------------------------------------------------------------------
 
 def build_plan(spark: SparkSession, orders: DataFrame, as_of, paid_value: str,
-               activity: DataFrame | None) -> MartPlan:
+               activity: DataFrame | None, grid: DataFrame | None = None) -> MartPlan:
     """MartPlan over intermediates materialised in the shared checkpoint folder.
 
-    The windowed grid (customer x month) is the one large intermediate; the cohort slot
-    table and the all-user cohort sizes have one row per cohort month and feed 12 and 4 marts.
+    The windowed grid (customer x month) is the one large intermediate (built from ``grid``
+    when the caller maintains one); the cohort slot table and the all-user cohort sizes have one
+    row per cohort month and feed 12 and 4 marts.
     """
-    plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=activity)
-    grid = materialize(plan.grid_with_cohort, "grid")
-    plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=grid)
-    return MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=grid,
+    plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=activity, grid=grid)
+    gwc = materialize(plan.grid_with_cohort, "grid")
+    plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=gwc)
+    return MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=gwc,
                     slot_table=materialize(plan.slots, "slots"),
                     user_sizes=materialize(plan.all_user_sizes, "user_sizes"))
 
