@@ -238,3 +238,13 @@ def test_incremental_grid_equals_full_recompute(spark, tmpdir_run):
         a = spark.read.parquet(f"{r_inc['marts']}/{name}")
         b = spark.read.parquet(f"{r_full['marts']}/{name}")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_command_line_runs_the_pipeline(spark, tmpdir_run, capsys):
+    import json
+
+    from donorlens.__main__ import main
+    main(["--out", tmpdir_run, "--source", "tpch", "--orders-dir", "/root/testdata/sf0.001", "--as-of", "2001-08-01"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["as_of"] == "2001-08-01" and report["rejected_orders"] == 0
+    assert spark.read.parquet(f"{report['marts']}/cdr").count() > 0
