@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.operators import base, merge, quality
-from donorlens.plans.marts import MartPlan
+from donorlens import schemas
+from donorlens.plans.marts import MartPlan, conform
 from donorlens.schemas import EVENTS_KEY, ORDERS_KEY
 from donorlens.session import check_session, materialize
 from donorlens.sources import exports
-from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, activity_from_export, orders_from_export,
-                                      orders_from_tpch, read_table)
+from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, activity_from_export, activity_from_orders,
+                                      orders_from_export, orders_from_tpch, read_table)
 
 
 # ---- pointers on the cluster file system (Hadoop FS through the session's JVM) -----------------
@@ -95,10 +96,13 @@ def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
 
 
 def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str,
-                 append: bool = False) -> DataFrame:
+                 append: bool = False, covers: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the run's directory and publish it - as the whole table, or with
     ``append`` as one more segment (only the new rows are written). Returns the table.
 
+    ``covers`` (the source segments a derived table was built from) is written into the run
+    directory before the pointer is published, so data and coverage become visible together.
+
     Idempotent per run id: when the pointer already names this run's directory the data was
     committed by an earlier attempt of the same run and is not written again (it may be an
     input of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
@@ -108,11 +112,19 @@ def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str
     segs = read_segments(spark, table_dir)
     if target not in segs:
         df.write.mode("overwrite").parquet(target)
+        if covers is not None:
+            write_pointer(spark, target, covers, "_COVERS")
         segs = (segs + [target]) if append else [target]
         write_pointer(spark, table_dir, segs)
     return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs)
 
 
+def covered_segments(spark: SparkSession, table_dir: str) -> list[str]:
+    """Source segments a derived table covers (from its newest segment); [] when none."""
+    segs = read_segments(spark, table_dir)
+    return read_segments(spark, segs[-1], "_COVERS") if segs else []
+
+
 def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None) -> DataFrame:
     """Rewrite an append-only table's segments as one (maintenance for many small loads)."""
     table = current_table(spark, table_dir)
@@ -186,30 +198,31 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
 
 
 def _derived_state(spark: SparkSession, state: str, source: str, derived: str, run_id: str,
-                   build, merge_fn) -> DataFrame | None:
+                   build, merge_fn=None) -> DataFrame | None:
     """Maintain a table derived from an append-only source table.
 
-    The derived table records (in ``_COVERS``) the source segments it was built from. When the
-    source only gained segments since then, only those are read and folded in with
-    ``merge_fn``; when the source was rewritten (an upsert), it is rebuilt from the whole
-    source. Either way the cost of a refresh after an append is O(new rows + derived table).
+    The derived table records (``_COVERS``, committed with its data) the source segments it was
+    built from. When the source only gained segments since then, only those are read: their
+    derived rows are folded in with ``merge_fn`` (an aggregate state such as the grid), or,
+    without one, appended as one more segment (row-level states such as the paid orders).
+    When the source was rewritten (an upsert or a compaction), the table is rebuilt from the
+    whole source. After an append-only load a refresh costs O(new rows + derived state).
     """
     src_dir, dst_dir = f"{state}/{source}", f"{state}/{derived}"
     segs = read_segments(spark, src_dir)
     if not segs:
         return None
-    covers = read_segments(spark, dst_dir, "_COVERS")
+    covers = covered_segments(spark, dst_dir)
     stored = current_table(spark, dst_dir)
-    if covers == segs and stored is not None:
+    if stored is not None and covers == segs:
         return stored
     if stored is not None and covers and segs[:len(covers)] == covers:
         new = segs[len(covers):]
-        table = merge_fn(stored, build(spark.read.option("mergeSchema", len(new) > 1).parquet(*new)))
-    else:
-        table = build(current_table(spark, src_dir))
-    out = commit_table(spark, table, dst_dir, run_id)
-    write_pointer(spark, dst_dir, segs, "_COVERS")
-    return out
+        delta = build(spark.read.option("mergeSchema", len(new) > 1).parquet(*new))
+        if merge_fn is None:
+            return commit_table(spark, delta, dst_dir, run_id, append=True, covers=segs)
+        return commit_table(spark, merge_fn(stored, delta), dst_dir, run_id, covers=segs)
+    return commit_table(spark, build(current_table(spark, src_dir)), dst_dir, run_id, covers=segs)
 
 
 def _orders_grid(raw_orders: DataFrame) -> DataFrame:
@@ -225,22 +238,55 @@ def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
     """Marts from the export state tables (paid status ``Paid``, all-user cohorts from the
     events).
 
-    The donor x month grid of the paid orders and the users' first actions are state tables
-    maintained incrementally from the loads (``_derived_state``), so a refresh after an
-    append-only load does not re-aggregate all orders.
+    Everything read from the orders and events is a state table maintained incrementally from
+    the loads (``_derived_state``): the donor x month grid of the paid orders, each user's first
+    action, the paid-orders extract and the quarantined rows. A refresh after an append-only
+    load therefore never re-reads all orders. ``paid_only`` is published in the snapshot as a
+    pointer to its immutable state segments rather than copied.
     """
     state = f"{out_dir.rstrip('/')}/_state"
-    raw_orders = current_table(spark, f"{state}/orders")
-    if raw_orders is None:
+    if not read_segments(spark, f"{state}/orders"):
         return {"skipped": "no orders loaded yet"}
     grid = _derived_state(spark, state, "orders", "grid", run_id, _orders_grid, base.merge_grids)
     first = _derived_state(spark, state, "events", "first_actions", run_id, _events_first,
                            base.merge_first_actions)
-    activity = (first.select("user_id", F.col("first_ts").alias("ts")) if first is not None else None)
-    raw_events = current_table(spark, f"{state}/events")
-    rejected_events = base.rejected_activity(activity_from_export(raw_events)) if raw_events is not None else None
-    return _write_all(spark, orders_from_export(raw_orders), activity, PAID_STATUS, as_of, out_dir, run_id, names,
-                      grid=grid, rejected_events=rejected_events)
+    paid = _derived_state(spark, state, "orders", "paid_only", run_id, _orders_paid_only)
+    report = {}
+    for name, src, build in (("orders", "orders", _orders_rejected), ("events", "events", _events_rejected)):
+        rej = _derived_state(spark, state, src, f"rejected_{name}", run_id, build)
+        if rej is not None:
+            report[f"rejected_{name}"] = rej.count()
+            report[f"rejected_{name}_path"] = f"{state}/rejected_{name}"
+    if first is None:  # no events loaded: first actions from the orders of any status
+        first = base.first_actions(activity_from_orders(base.valid_orders(
+            orders_from_export(current_table(spark, f"{state}/orders")))))
+    activity = first.select("user_id", F.col("first_ts").alias("ts"))
+    plan = build_plan(spark, None, as_of, PAID_STATUS, activity, grid)
+    todo = [n for n in (names or MartPlan.MART_NAMES) if n != "paid_only"]
+    target = write_marts(spark, plan, out_dir, run_id, tuple(todo), publish=False)
+    if names is None or "paid_only" in names:
+        write_pointer(spark, f"{target}/paid_only", read_segments(spark, f"{state}/paid_only"))
+    write_pointer(spark, _snapshot_dir(out_dir, plan.as_of), target)
+    report["marts"] = target
+    return report
+
+
+def _orders_paid_only(raw_orders: DataFrame) -> DataFrame:
+    return conform(base.paid_only(base.valid_orders(orders_from_export(raw_orders)), PAID_STATUS), schemas.PAID_ONLY)
+
+
+def _orders_rejected(raw_orders: DataFrame) -> DataFrame:
+    return base.rejected_orders(orders_from_export(raw_orders))
+
+
+def _events_rejected(raw_events: DataFrame) -> DataFrame:
+    return base.rejected_activity(activity_from_export(raw_events))
+
+
+def read_mart(spark: SparkSession, snapshot: str, name: str) -> DataFrame:
+    """A mart of a published snapshot (a Parquet directory or a pointer to state segments)."""
+    path = f"{snapshot.rstrip('/')}/{name}"
+    return current_table(spark, path) if read_segments(spark, path) else spark.read.parquet(path)
 
 
 def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names, grid=None,
@@ -281,15 +327,19 @@ def build_plan(spark: SparkSession, orders: DataFrame, as_of, paid_value: str,
                     user_sizes=materialize(plan.all_user_sizes, "user_sizes"))
 
 
+def _snapshot_dir(out_dir: str, as_of) -> str:
+    return f"{out_dir.rstrip('/')}/marts/as_of={as_of.isoformat()}"
+
+
 def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,
-                names: tuple[str, ...] | None = None, parallel: int = 8) -> str:
+                names: tuple[str, ...] | None = None, parallel: int = 8, publish: bool = True) -> str:
     """One Parquet table per mart under a new run directory, then publish the pointer.
 
     The marts are independent jobs; ``parallel`` of them are submitted at once from driver
     threads so the small ones fill executors the large ones leave idle. ``overwrite`` inside
     the run directory makes a replayed run (same id) idempotent.
     """
-    snap = f"{out_dir.rstrip('/')}/marts/as_of={plan.as_of.isoformat()}"
+    snap = _snapshot_dir(out_dir, plan.as_of)
     target = _run_dir(snap, run_id)
 
     def write(name: str) -> None:
@@ -303,7 +353,8 @@ def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,
     else:
         for n in todo:
             write(n)
-    write_pointer(spark, snap, target)
+    if publish:
+        write_pointer(spark, snap, target)
     return target
 
 

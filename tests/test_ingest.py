@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from donorlens.functions.timecols import parse_text_ts
 from donorlens.operators import base, merge, quality
-from donorlens.plans.pipeline import current_table, read_pointer, run_pipeline
+from donorlens.plans.pipeline import current_table, read_mart, read_pointer, run_pipeline
 from donorlens.sources import exports
 
 
@@ -80,7 +80,7 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
     assert sorted(r1["files"]) == ["events_1.csv", "events_2.csv", "orders.csv"]
     assert r1["rows_per_file"] == {"orders.csv": 5, "events_1.csv": 2, "events_2.csv": 1}
     assert r1["rejected_orders"] == 1 and r1["rejected_events"] == 0  # the unparsable time
-    assert spark.read.parquet(r1["rejected_orders_path"]).first()["reject_reason"] == "bad_timestamp"
+    assert current_table(spark, r1["rejected_orders_path"]).first()["reject_reason"] == "bad_timestamp"
     rfm = {r["customer_id"]: r for r in spark.read.parquet(f"{r1['marts']}/rfm").collect()}
     assert set(rfm) == {7, 8} and rfm[7]["frequency"] == 2
     assert spark.read.parquet(f"{r1['marts']}/cohorts_all").count() == 3   # users 7, 8, 9 from events
@@ -96,7 +96,7 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
     assert state.count() == 5 and state.select("OrderIdsMindboxId").distinct().count() == 5
     assert float(state.where(F.col("OrderIdsMindboxId") == 2).first()["OrderTotalPrice"]) == 55.0
     assert read_pointer(spark, os.path.join(out, "marts", "as_of=2024-02-29")) == r3["marts"]
-    paid = spark.read.parquet(f"{r3['marts']}/paid_only")
+    paid = read_mart(spark, r3["marts"], "paid_only")
     assert paid.count() == 3 and paid.where(F.col("order_date").isNull()).count() == 0   # bad time quarantined
     manifest = current_table(spark, os.path.join(out, "_state", "manifest"))
     assert manifest.count() == 3
@@ -227,16 +227,18 @@ def test_incremental_grid_equals_full_recompute(spark, tmpdir_run):
     _write(os.path.join(inc_land, "orders.csv"), _orders_csv(batch1 + batch2))
     _write(os.path.join(inc_land, "ev_2.csv"), EVENTS_HEADER + ev2)
     r_inc = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_inc"), landing_dir=inc_land, **kw)
-    grid_dir = os.path.join(tmpdir_run, "out_inc", "_state", "grid")
-    assert len(read_segments(spark, grid_dir, "_COVERS")) == 2          # built from two order segments
+    from donorlens.plans.pipeline import covered_segments
+    state = os.path.join(tmpdir_run, "out_inc", "_state")
+    assert len(covered_segments(spark, os.path.join(state, "grid"))) == 2   # folded from two order segments
+    assert len(read_segments(spark, os.path.join(state, "paid_only"))) == 2  # second batch appended, not copied
 
     _write(os.path.join(full_land, "orders.csv"), _orders_csv(batch1 + batch2))
     _write(os.path.join(full_land, "ev_1.csv"), EVENTS_HEADER + ev1)
     _write(os.path.join(full_land, "ev_2.csv"), EVENTS_HEADER + ev2)
     r_full = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_full"), landing_dir=full_land, **kw)
     for name in ("rfm", "cohorts_all", "cohorts_paid", "ltv_cohorts", "rr_cohorts", "ac_cohort", "cdr", "paid_only"):
-        a = spark.read.parquet(f"{r_inc['marts']}/{name}")
-        b = spark.read.parquet(f"{r_full['marts']}/{name}")
+        a = read_mart(spark, r_inc["marts"], name)
+        b = read_mart(spark, r_full["marts"], name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 
 
