@@ -102,3 +102,23 @@ def test_slot_wide_is_one_aggregate_over_the_grid(spark):
     p = tplan(spark, "/root/testdata/sf0.001")
     plan = cohorts.revenue_arppu(p.slots)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 0
+
+
+def test_empty_orders_give_empty_marts(spark, orders_df):
+    orders = orders_df([(1, 1, "Cancelled", "2024-01-05 10:00", 100)])
+    p = MartPlan(orders, as_of="2024-03-31")
+    for name in ("rfm", "cohorts_paid", "cohorts_revenue_arppu_data", "arppu_cumulative", "rr_cohorts", "ac_cohort",
+                 "cdr", "paid_only", "rr_t", "ac_t"):
+        assert getattr(p, name)().count() == 0, name
+    # the unpaid order still makes an all-user cohort, with zero revenue and LTV
+    ltv = p.ltv_cohorts().collect()
+    assert len(ltv) == 1 and float(ltv[0]["ltv_month_3"]) == 0.0
+
+
+def test_as_of_before_all_orders_has_empty_slots(spark, orders_df):
+    orders = orders_df([(1, 1, "Paid", "2024-05-05 10:00", 100)])
+    p = MartPlan(orders, as_of="2024-01-15")
+    r = p.cohorts_revenue_arppu_data().collect()[0]
+    assert all(float(r[f"revenue_month_{k}"]) == 0.0 for k in range(1, 13))
+    assert all(v is None for k, v in p.ac_cohort().collect()[0].asDict().items() if k.startswith("average_check"))
+    assert p.rfm().collect()[0]["recency_days"] < 0      # a future order: negative, truncated toward zero
