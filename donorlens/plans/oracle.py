@@ -1,9 +1,11 @@
 """DuckDB oracle SQL for the registered queries.
 
-Written in the shape of the original SQL marts (conditional aggregates per slot, COUNT
-DISTINCT, range self-joins, UNION ALL unpivots), not in the shape of the Spark plans, so the
-two are independent. Rounding follows ROUND(numeric, s) (half away from zero) through integer
-arithmetic on cents and counts; DuckDB's DOUBLE division would round differently.
+An independent formulation of the mart definitions, deliberately not the shape of the Spark
+plans: the slot marts are built long first (cohort sizes x ``range(0, 12)`` left-joined to a
+cohort x month table) and widened at the end, cumulative columns are window frames, churn is a
+correlated ``EXISTS``, the next-three-months cadence a correlated aggregate, the RFM statistics
+one-row CTE. Rounding follows ROUND(numeric, s) (half away from zero) through integer arithmetic
+on cents and counts; DuckDB's DOUBLE division would round differently.
 """
 
 from __future__ import annotations
@@ -35,11 +37,6 @@ CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 PAID = "o_orderstatus = 'F'"
 
 
-def slot_month(k: int, as_of: str = AS_OF) -> str:
-    """Slot k (1 = as-of month), as the reference writes it."""
-    return f"(date_trunc('month', {as_of}) - INTERVAL {k - 1} MONTH)"
-
-
 # ---- ingest and maintenance ----------------------------------------------------------------
 
 PAID_ORDERS_EXTRACT = f"""
@@ -104,269 +101,236 @@ SELECT event_id, user_id, ts, CAST(NULL AS DOUBLE) AS value FROM events WHERE ev
 UNION ALL
 SELECT event_id, user_id, ts, value FROM events WHERE event_type NOT IN ('click', 'view')"""
 
-# ---- RFM ---------------------------------------------------------------------------------------
+# ---- shared CTEs ------------------------------------------------------------------------------
 
+# paid orders: customer, order time, calendar month, whole cents
+PO = f"""po AS (
+  SELECT o_custkey AS cid, o_orderdate AS t, CAST(date_trunc('month', o_orderdate) AS DATE) AS mon,
+         {CENTS} AS cents
+  FROM orders WHERE {PAID})"""
+# first paid month per customer, and cohort sizes
+FM = "fm AS (SELECT cid, MIN(mon) AS fmon FROM po GROUP BY cid)"
+SIZES = "sizes AS (SELECT fmon, COUNT(*) AS n FROM fm GROUP BY fmon)"
+# paid cohort x calendar month
+CM = """cm AS (
+  SELECT fm.fmon, po.mon, SUM(po.cents) AS rev, COUNT(*) AS n_orders, COUNT(DISTINCT po.cid) AS users
+  FROM po JOIN fm ON po.cid = fm.cid GROUP BY fm.fmon, po.mon)"""
 
-def _rfm_data(source: str, as_of: str) -> str:
-    """source: SELECT customer_id, ts, cents of the paid orders."""
-    return f"""
-rfm_src AS ({source}),
-rfm_data AS (
-  SELECT customer_id,
-         CAST(extract(day FROM (CAST({as_of} AS TIMESTAMP) - MAX(date_trunc('minute', ts)))) AS BIGINT) AS recency_days,
-         CAST(COUNT(*) AS BIGINT) AS frequency,
-         CAST(SUM(cents) AS BIGINT) AS monetary_cents
-  FROM rfm_src GROUP BY customer_id)"""
 
+def slots_long(sizes: str = "sizes", key: str = "fmon", size: str = "n", as_of: str = AS_OF) -> str:
+    """Every cohort x offset 0..11 with the calendar month of the offset (0 = as-of month)."""
+    return f"""sl AS (
+  SELECT s.{key} AS cohort_month, s.{size} AS total_users, r.o AS off,
+         CAST(date_trunc('month', {as_of}) - to_months(r.o) AS DATE) AS smon
+  FROM {sizes} s CROSS JOIN range(0, {H}) r(o))"""
 
-_ORDERS_SRC = f"SELECT o_custkey AS customer_id, o_orderdate AS ts, {CENTS} AS cents FROM orders WHERE {PAID}"
-_EVENTS_SRC = ("SELECT user_id AS customer_id, ts, CAST(round(value * 100) AS BIGINT) AS cents "
-               "FROM events WHERE event_type = 'purchase'")
 
+# long cohort x slot with the paid measures (NULL when the cohort had no order that month)
+SV = """sv AS (
+  SELECT sl.*, cm.rev, cm.n_orders, cm.users
+  FROM sl LEFT JOIN cm ON cm.fmon = sl.cohort_month AND cm.mon = sl.smon)"""
+PAID_SLOTS = f"WITH {PO}, {FM}, {SIZES}, {CM}, {slots_long()}, {SV}"
 
-def _score(col: str, larger: bool) -> str:
-    a = f"(SELECT AVG({col}) FROM rfm_data)"
-    s = f"(SELECT STDDEV_SAMP({col}) FROM rfm_data)"
-    if larger:
-        return (f"CAST(CASE WHEN {col} >= {a} + {s} THEN 4 WHEN {col} >= {a} THEN 3 "
-                f"WHEN {col} >= {a} - {s} THEN 2 ELSE 1 END AS BIGINT)")
-    return (f"CAST(CASE WHEN {col} <= {a} - {s} THEN 4 WHEN {col} <= {a} THEN 3 "
-            f"WHEN {col} <= {a} + {s} THEN 2 ELSE 1 END AS BIGINT)")
-
-
-def _rfm_ctes(source: str, as_of: str) -> str:
-    return f"""WITH {_rfm_data(source, as_of)},
-rfm_scores AS (
-  SELECT customer_id, recency_days, frequency, monetary_cents,
-         {_score('recency_days', False)} AS recency_score,
-         {_score('frequency', True)} AS frequency_score,
-         {_score('monetary_cents', True)} AS monetary_score
-  FROM rfm_data),
-rfm_grouped AS (
-  SELECT *, CONCAT(recency_score, frequency_score, monetary_score) AS rfm_group FROM rfm_scores),
-rfm_percentages AS (
-  SELECT rfm_group, COUNT(*) AS group_count,
-         {rnd('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2, 100)} AS percent_rfm
-  FROM rfm_grouped GROUP BY rfm_group)"""
+
+def widen(src: str, keys: str, cols: list[tuple[str, str]]) -> str:
+    """Long (key.., off, values) -> one column per (expression at an offset); ``cols`` lists
+    (output name, SQL of the value with ``{o}`` for the offset test)."""
+    sel = ",\n       ".join(f"MAX(CASE WHEN off = {o} THEN {expr} END) AS \"{name}\"" for name, expr, o in cols)
+    return f"SELECT {keys},\n       {sel}\nFROM {src} GROUP BY {keys}"
+
+
+def _k_cols(prefix: str, expr: str) -> list:
+    """slot k = offset k-1, columns ordered k = 12..1 as in the marts."""
+    return [(f"{prefix}{k}", expr, k - 1) for k in range(H, 0, -1)]
 
 
-def _segment_case(col: str) -> str:
-    whens = " ".join(
-        f"WHEN {col} IN ({', '.join(repr(c) for c in codes)}) THEN '{label}'" for label, codes in SEGMENTS)
-    return f"CASE {whens} ELSE NULL END"
+# ---- RFM ---------------------------------------------------------------------------------------
+
+def _rfm_base(src: str, as_of: str) -> str:
+    """rb: customer_id, recency_days (day field of as-of midnight - last order at minute
+    precision), frequency, monetary_cents. ``src`` yields (cid, t, cents)."""
+    return f"""src AS ({src}),
+rb AS (
+  SELECT cid AS customer_id,
+         CAST(extract(day FROM (CAST({as_of} AS TIMESTAMP) - MAX(date_trunc('minute', t)))) AS BIGINT) AS recency_days,
+         COUNT(*) AS frequency, CAST(SUM(cents) AS BIGINT) AS monetary_cents
+  FROM src GROUP BY cid)"""
+
+
+_ORDERS_SRC = f"SELECT o_custkey AS cid, o_orderdate AS t, {CENTS} AS cents FROM orders WHERE {PAID}"
+_EVENTS_SRC = ("SELECT user_id AS cid, ts AS t, CAST(round(value * 100) AS BIGINT) AS cents "
+               "FROM events WHERE event_type = 'purchase'")
+
+
+def _grade(x: str, mean: str, sd: str, up: bool) -> str:
+    """4..1 by mean +- one sample sd; NULL sd leaves only the mean test."""
+    if up:
+        tests = [(f"{x} >= {mean} + {sd}", 4), (f"{x} >= {mean}", 3), (f"{x} >= {mean} - {sd}", 2)]
+    else:
+        tests = [(f"{x} <= {mean} - {sd}", 4), (f"{x} <= {mean}", 3), (f"{x} <= {mean} + {sd}", 2)]
+    return "CAST(CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in tests) + " ELSE 1 END AS BIGINT)"
+
+
+def _rfm_scored(src: str, as_of: str) -> str:
+    return f"""WITH {_rfm_base(src, as_of)},
+st AS (
+  SELECT AVG(recency_days) AS mr, STDDEV_SAMP(recency_days) AS dr, AVG(frequency) AS mf,
+         STDDEV_SAMP(frequency) AS df, AVG(monetary_cents) AS mm, STDDEV_SAMP(monetary_cents) AS dm FROM rb),
+sc AS (
+  SELECT rb.*, {_grade('recency_days', 'st.mr', 'st.dr', False)} AS recency_score,
+         {_grade('frequency', 'st.mf', 'st.df', True)} AS frequency_score,
+         {_grade('monetary_cents', 'st.mm', 'st.dm', True)} AS monetary_score
+  FROM rb CROSS JOIN st),
+gr AS (SELECT *, CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
+              AS rfm_group FROM sc),
+shares AS (
+  SELECT rfm_group, COUNT(*) AS group_count,
+         {rnd('COUNT(*)', '(SELECT COUNT(*) FROM gr)', 2, 100)} AS percent_rfm
+  FROM gr GROUP BY rfm_group)"""
 
 
-RFM_BASE = f"WITH {_rfm_data(_ORDERS_SRC, AS_OF)} SELECT * FROM rfm_data"
-RFM_BASE_EVENTS = f"WITH {_rfm_data(_EVENTS_SRC, EV_AS_OF)} SELECT * FROM rfm_data"
-RFM_SCORES = _rfm_ctes(_ORDERS_SRC, AS_OF) + " SELECT * FROM rfm_scores"
-RFM_GROUP_SHARE = _rfm_ctes(_ORDERS_SRC, AS_OF) + " SELECT * FROM rfm_percentages"
+def _segment(col: str) -> str:
+    return "CASE " + " ".join(f"WHEN {col} IN ({', '.join(repr(c) for c in codes)}) THEN '{label}'"
+                              for label, codes in SEGMENTS) + " END"
 
 
-def _rfm_mart(source: str, as_of: str) -> str:
-    return _rfm_ctes(source, as_of) + f"""
-SELECT rg.customer_id, rg.recency_days, rg.frequency, CAST(rg.monetary_cents AS DOUBLE) / 100 AS monetary,
-       rg.recency_score, rg.frequency_score, rg.monetary_score, rg.rfm_group, rp.percent_rfm,
-       {_segment_case('rg.rfm_group')} AS cats
-FROM rfm_grouped rg LEFT JOIN rfm_percentages rp ON rg.rfm_group = rp.rfm_group"""
+def _rfm_mart(src: str, as_of: str) -> str:
+    return _rfm_scored(src, as_of) + f"""
+SELECT g.customer_id, g.recency_days, g.frequency, CAST(g.monetary_cents AS DOUBLE) / 100 AS monetary,
+       g.recency_score, g.frequency_score, g.monetary_score, g.rfm_group, s.percent_rfm,
+       {_segment('g.rfm_group')} AS cats
+FROM gr g JOIN shares s ON g.rfm_group = s.rfm_group"""
 
 
+RFM_BASE = f"WITH {_rfm_base(_ORDERS_SRC, AS_OF)} SELECT * FROM rb"
+RFM_BASE_EVENTS = f"WITH {_rfm_base(_EVENTS_SRC, EV_AS_OF)} SELECT * FROM rb"
+RFM_SCORES = _rfm_scored(_ORDERS_SRC, AS_OF) + " SELECT * FROM sc"
+RFM_GROUP_SHARE = _rfm_scored(_ORDERS_SRC, AS_OF) + " SELECT * FROM shares"
 RFM_SEGMENTS = _rfm_mart(_ORDERS_SRC, AS_OF)
 RFM_SEGMENTS_EVENTS = _rfm_mart(_EVENTS_SRC, EV_AS_OF)
 
 # ---- cohorts ------------------------------------------------------------------------------------
 
-COHORT_PAID = f"""cohort AS (
-  SELECT o_custkey AS user_id, date_trunc('month', MIN(o_orderdate)) AS cohort_month
-  FROM orders WHERE {PAID} GROUP BY o_custkey)"""
-COHORT_ALL = """cohorts_all AS (
-  SELECT o_custkey AS user_id, date_trunc('month', MIN(o_orderdate)) AS cohort_month
-  FROM orders GROUP BY o_custkey)"""
-USER_COUNTS = "user_counts AS (SELECT cohort_month, COUNT(user_id) AS total_users FROM cohort GROUP BY cohort_month)"
-
-COHORTS_ALL = f"WITH {COHORT_ALL} SELECT user_id, CAST(cohort_month AS DATE) AS cohort_month FROM cohorts_all"
-COHORTS_PAID = f"WITH {COHORT_PAID} SELECT user_id, CAST(cohort_month AS DATE) AS cohort_month FROM cohort"
-COHORT_SIZES = f"WITH {COHORT_PAID}, {USER_COUNTS} SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users FROM user_counts"
-
-MONTHLY_REVENUE = f"""monthly_revenue AS (
-  SELECT c.cohort_month, date_trunc('month', o.o_orderdate) AS month, SUM({CENTS}) AS rev
-  FROM cohort c JOIN orders o ON c.user_id = o.o_custkey
-  WHERE o.{PAID} GROUP BY c.cohort_month, date_trunc('month', o.o_orderdate))"""
-
-COHORT_MONTH_REVENUE = f"""WITH {COHORT_PAID}, {MONTHLY_REVENUE}
-SELECT CAST(cohort_month AS DATE) AS cohort_month, CAST(month AS DATE) AS month, {dbl('rev', 2)} AS revenue
-FROM monthly_revenue"""
-
-_DESC = range(H, 0, -1)
-
-# revenue per slot in cents (rev_k) and cohort size, as the base of ARPPU, LTV and cumulatives
-REVENUE_SLOTS = f"""revenue_slots AS (
-  SELECT u.cohort_month, u.total_users,
-         {', '.join(f"SUM(CASE WHEN m.month = {slot_month(k)} THEN m.rev ELSE 0 END) AS rev_{k}" for k in _DESC)}
-  FROM user_counts u LEFT JOIN monthly_revenue m ON u.cohort_month = m.cohort_month
-  GROUP BY u.cohort_month, u.total_users)"""
-_ARPPU_DEN = "COALESCE(NULLIF(total_users, 0), 1) * 100"
-
-REVENUE_ARPPU_CTES = f"WITH {COHORT_PAID}, {USER_COUNTS}, {MONTHLY_REVENUE}, {REVENUE_SLOTS}"
-COHORT_REVENUE_ARPPU = REVENUE_ARPPU_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(f"{dbl(f'rev_{k}', 2)} AS revenue_month_{k}" for k in _DESC)},
-       {', '.join(f"{rnd(f'rev_{k}', _ARPPU_DEN, ARPPU_SCALE)} AS arppu_month_{k}" for k in _DESC)}
-FROM revenue_slots"""
-
-COHORT_REVENUE_SLOTS = REVENUE_ARPPU_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(f"{dbl(f'rev_{k}', 2)} AS revenue_month_{k}" for k in _DESC)}
-FROM revenue_slots"""
-
-COHORT_ARPPU = REVENUE_ARPPU_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(f"{rnd(f'rev_{k}', _ARPPU_DEN, ARPPU_SCALE)} AS arppu_month_{k}" for k in _DESC)}
-FROM revenue_slots"""
-
-ARPPU_CUMULATIVE = REVENUE_ARPPU_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(rnd(' + '.join(f'rev_{j}' for j in range(H, k - 1, -1)), _ARPPU_DEN, 2) + f' AS cumulative_arppu_{k}' for k in _DESC)}
-FROM revenue_slots"""
-
-LTV_CTES = f"""WITH {COHORT_PAID}, {USER_COUNTS}, {MONTHLY_REVENUE}, {REVENUE_SLOTS}, {COHORT_ALL},
-ltv AS (
-  SELECT a.cohort_month, COUNT(a.user_id) AS total_users,
-         {', '.join(f"COALESCE(b.rev_{k}, 0) AS rev_{k}" for k in _DESC)},
-         {', '.join(rq(f"COALESCE(b.rev_{k}, 0)", "100 * COUNT(a.user_id)", 2) + f" AS ltvq_{k}" for k in _DESC)}
-  FROM cohorts_all a LEFT JOIN revenue_slots b ON a.cohort_month = b.cohort_month
-  GROUP BY a.cohort_month, {', '.join(f'b.rev_{k}' for k in _DESC)})"""
-
-LTV_COHORTS = LTV_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(f"{dbl(f'rev_{k}', 2)} AS revenue_month_{k}" for k in _DESC)},
-       {', '.join(f"{dbl(f'ltvq_{k}', 2)} AS ltv_month_{k}" for k in _DESC)}
-FROM ltv"""
-
-LTV_CUMULATIVE = LTV_CTES + f"""
-SELECT CAST(cohort_month AS DATE) AS cohort_month, total_users,
-       {', '.join(dbl(' + '.join(f'ltvq_{j}' for j in range(H, k - 1, -1)), 2) + f' AS ltv_cumulative_{k}' for k in _DESC)}
-FROM ltv"""
-
-RETENTION_RATE = f"""WITH {COHORT_PAID},
-active_users AS (
-  SELECT o_custkey, date_trunc('month', o_orderdate) AS active_month FROM orders WHERE {PAID}),
-{USER_COUNTS}
-SELECT strftime(c.cohort_month, '%Y-%m') AS cohort, u.total_users,
-       {', '.join(rnd(f"COUNT(DISTINCT CASE WHEN a.active_month = {slot_month(k)} THEN a.o_custkey END)", 'u.total_users', 2, 100) + f' AS "RR Month {k}"' for k in _DESC)}
-FROM cohort c LEFT JOIN active_users a ON c.user_id = a.o_custkey
-JOIN user_counts u ON c.cohort_month = u.cohort_month
-GROUP BY c.cohort_month, u.total_users"""
-
-
-def _ac_col(k: int) -> str:
-    m = f"date_trunc('month', {AS_OF} - INTERVAL {k} MONTH)"
-    cond = f"date_trunc('month', o_orderdate) = {m}"
-    name = "average_check_current_month" if k == 0 else f"average_check_month_{k}"
-    return rnd(f"SUM(CASE WHEN {cond} THEN {CENTS} ELSE 0 END)",
-               f"100 * COUNT(CASE WHEN {cond} THEN 1 END)", 2) + f" AS {name}"
-
-
-AVERAGE_CHECK = f"""WITH {COHORT_PAID}
-SELECT strftime(cohort_month, '%Y-%m') AS cohort, COUNT(DISTINCT user_id) AS unique_users,
-       {', '.join(_ac_col(k) for k in range(H))}
-FROM orders JOIN cohort ON orders.o_custkey = cohort.user_id
-WHERE {PAID}
-GROUP BY cohort_month"""
-
-# ---- donor activity, churn, cadence ---------------------------------------------------------
-
-DONOR_ACTIVITY = f"""donor_activity AS (
-  SELECT o_custkey AS donor_id, date_trunc('month', o_orderdate) AS month, COUNT(*) AS donation_count
-  FROM orders WHERE {PAID} GROUP BY o_custkey, date_trunc('month', o_orderdate))"""
-
-DONOR_MONTH_GRID = f"""
-SELECT o_custkey AS customer_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-       COUNT(*) AS n_orders, CAST(SUM({CENTS}) AS BIGINT) AS revenue_cents
-FROM orders WHERE {PAID} GROUP BY o_custkey, date_trunc('month', o_orderdate)"""
-
-DONOR_STATUS = """donor_status AS (
-  SELECT da1.month, COUNT(DISTINCT da1.donor_id) AS total_donors, COUNT(DISTINCT da2.donor_id) AS retained_donors
-  FROM donor_activity da1
-  LEFT JOIN donor_activity da2
-    ON da1.donor_id = da2.donor_id AND da2.month > da1.month AND da2.month <= da1.month + INTERVAL 3 MONTH
-  GROUP BY da1.month)"""
+COHORTS_ALL = """
+SELECT o_custkey AS user_id, CAST(date_trunc('month', MIN(o_orderdate)) AS DATE) AS cohort_month
+FROM orders GROUP BY o_custkey"""
+COHORTS_PAID = f"WITH {PO}, {FM} SELECT cid AS user_id, fmon AS cohort_month FROM fm"
+COHORT_SIZES = f"WITH {PO}, {FM}, {SIZES} SELECT fmon AS cohort_month, n AS total_users FROM sizes"
+COHORT_MONTH_REVENUE = f"""WITH {PO}, {FM}, {CM}
+SELECT fmon AS cohort_month, mon AS month, {dbl('rev', 2)} AS revenue FROM cm"""
+
+_ARPPU_DEN = "100 * COALESCE(NULLIF(total_users, 0), 1)"
+_REV = "COALESCE(rev, 0)"
+_KEYS = "cohort_month, total_users"
+
+COHORT_REVENUE_SLOTS = PAID_SLOTS + "\n" + widen("sv", _KEYS, _k_cols("revenue_month_", dbl(_REV, 2)))
+COHORT_ARPPU = PAID_SLOTS + "\n" + widen("sv", _KEYS, _k_cols("arppu_month_", rnd(_REV, _ARPPU_DEN, ARPPU_SCALE)))
+COHORT_REVENUE_ARPPU = PAID_SLOTS + "\n" + widen(
+    "sv", _KEYS, _k_cols("revenue_month_", dbl(_REV, 2)) + _k_cols("arppu_month_", rnd(_REV, _ARPPU_DEN, ARPPU_SCALE)))
+
+# running revenue from the oldest slot (offset 11) down to each offset
+CUM = """cum AS (
+  SELECT sv.*, SUM(COALESCE(rev, 0)) OVER (PARTITION BY cohort_month ORDER BY off DESC
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS crev
+  FROM sv)"""
+ARPPU_CUMULATIVE = (PAID_SLOTS + f", {CUM}\n"
+                    + widen("cum", _KEYS, _k_cols("cumulative_arppu_", rnd("crev", _ARPPU_DEN, 2))))
+
+# LTV: all-user cohorts (first order of any status) x slots, paid revenue of the same month
+LTV_LONG_CTES = f"""WITH {PO}, {FM}, {CM},
+au AS (SELECT CAST(date_trunc('month', MIN(o_orderdate)) AS DATE) AS amon FROM orders GROUP BY o_custkey),
+asz AS (SELECT amon, COUNT(*) AS n FROM au GROUP BY amon),
+{slots_long('asz', 'amon', 'n')},
+paid_slot AS (SELECT fmon, mon, SUM(rev) AS rev FROM cm GROUP BY fmon, mon),
+lv AS (
+  SELECT sl.*, COALESCE(p.rev, 0) AS rev,
+         {rq('COALESCE(p.rev, 0)', '100 * sl.total_users', 2)} AS ltvq
+  FROM sl LEFT JOIN paid_slot p ON p.fmon = sl.cohort_month AND p.mon = sl.smon),
+lc AS (
+  SELECT lv.*, SUM(ltvq) OVER (PARTITION BY cohort_month ORDER BY off DESC
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cltvq
+  FROM lv)"""
+LTV_COHORTS = LTV_LONG_CTES + "\n" + widen(
+    "lv", _KEYS, _k_cols("revenue_month_", dbl("rev", 2)) + _k_cols("ltv_month_", dbl("ltvq", 2)))
+LTV_CUMULATIVE = LTV_LONG_CTES + "\n" + widen("lc", _KEYS, _k_cols("ltv_cumulative_", dbl("cltvq", 2)))
+
+_RR = rnd("COALESCE(users, 0)", "total_users", 2, 100)
+RETENTION_RATE = PAID_SLOTS + "\n" + widen(
+    "(SELECT strftime(cohort_month, '%Y-%m') AS cohort, * EXCLUDE (cohort_month) FROM sv)", "cohort, total_users",
+    _k_cols("RR Month ", _RR))
+
+_AC = rnd("rev", "100 * n_orders", 2)
+AVERAGE_CHECK = PAID_SLOTS + "\n" + widen(
+    "(SELECT strftime(cohort_month, '%Y-%m') AS cohort, total_users AS unique_users, * EXCLUDE (cohort_month, total_users) FROM sv)",
+    "cohort, unique_users",
+    [("average_check_current_month", _AC, 0)] + [(f"average_check_month_{o}", _AC, o) for o in range(1, H)])
+
+# ---- donor activity, churn, cadence ------------------------------------------------------------
+
+DM = "dm AS (SELECT DISTINCT cid, mon FROM po)"
+
+DONOR_MONTH_GRID = f"""WITH {PO}
+SELECT cid AS customer_id, mon AS month, COUNT(*) AS n_orders, CAST(SUM(cents) AS BIGINT) AS revenue_cents
+FROM po GROUP BY cid, mon"""
+
+# a donor of month m is retained when the same donor has a paid month in (m, m + 3 months]
+RET = f"""ret AS (
+  SELECT d.mon, COUNT(*) AS total_donors,
+         COUNT(*) FILTER (WHERE EXISTS (
+           SELECT 1 FROM dm later WHERE later.cid = d.cid AND later.mon > d.mon
+                                    AND later.mon <= d.mon + INTERVAL 3 MONTH)) AS retained_donors
+  FROM dm d GROUP BY d.mon)"""
 _CHURN = rnd("total_donors - retained_donors", "total_donors", 2, 100)
 
-CHURN_RATE = f"""WITH {DONOR_ACTIVITY}, {DONOR_STATUS}
-SELECT CAST(month AS DATE) AS month, total_donors, retained_donors,
-       CASE WHEN total_donors > 0 THEN {_CHURN} ELSE NULL END AS churn_rate
-FROM donor_status"""
-
-NEW_DONOR_CTES = f"""{DONOR_ACTIVITY},
-first_donors AS (SELECT donor_id, MIN(month) AS first_month FROM donor_activity GROUP BY donor_id),
-monthly_new_donors AS (SELECT date_trunc('month', first_month) AS month, COUNT(*) AS new_donors_count
-                       FROM first_donors GROUP BY date_trunc('month', first_month)),
-total_donors AS (
-  SELECT date_trunc('month', o_orderdate) AS month, COUNT(DISTINCT o_custkey) AS total_donors_count
-  FROM orders WHERE {PAID} GROUP BY date_trunc('month', o_orderdate)),
-new_donors_ratio AS (
-  SELECT td.month, COALESCE(mnd.new_donors_count, 0) AS new_donors, td.total_donors_count AS total_donors,
-         {rnd('COALESCE(mnd.new_donors_count, 0)', 'td.total_donors_count', 2, 100)} AS new_donors_ratio
-  FROM total_donors td LEFT JOIN monthly_new_donors mnd ON td.month = mnd.month)"""
-
-NEW_DONOR_RATIO = f"""WITH {NEW_DONOR_CTES}
-SELECT CAST(month AS DATE) AS month, CAST(new_donors AS BIGINT) AS new_donors, total_donors, new_donors_ratio
-FROM new_donors_ratio"""
-
-SPAN_CTES = f"""monthly_donors AS (
-  SELECT date_trunc('month', o_orderdate) AS month, o_custkey, COUNT(*) AS donation_count,
-         MIN(date_trunc('minute', o_orderdate)) AS first_donation_date,
-         MAX(date_trunc('minute', o_orderdate)) AS last_donation_date
-  FROM orders WHERE {PAID}
-  GROUP BY date_trunc('month', o_orderdate), o_custkey HAVING COUNT(*) > 1),
-avg_days AS (
-  SELECT month, COUNT(*) AS repeat_donors,
-         {rq('SUM(CAST(epoch(last_donation_date) - epoch(first_donation_date) AS BIGINT))', '86400 * COUNT(*)', 2)} AS q
-  FROM monthly_donors GROUP BY month),
-next_three_months AS (
-  SELECT cur.month, {rq('SUM(nxt.q)', '100 * COUNT(nxt.q)', 2)} AS q
-  FROM avg_days cur LEFT JOIN avg_days nxt
-    ON nxt.month > cur.month AND nxt.month <= cur.month + INTERVAL 3 MONTH
-  GROUP BY cur.month)"""
-
-DONATION_SPAN = f"""WITH {SPAN_CTES}
-SELECT CAST(month AS DATE) AS month, repeat_donors, {dbl('q', 2)} AS avg_days_between_donations FROM avg_days"""
-
-DONATION_SPAN_NEXT3 = f"""WITH {SPAN_CTES}
-SELECT CAST(month AS DATE) AS month, {dbl('q', 2)} AS avg_days_between_donations FROM next_three_months"""
-
-CDR = f"""WITH {NEW_DONOR_CTES}, {DONOR_STATUS},
-churn_rate AS (SELECT month, CASE WHEN total_donors > 0 THEN {_CHURN} ELSE NULL END AS churn_rate FROM donor_status),
-{SPAN_CTES}
-SELECT CAST(cr.month AS DATE) AS month, cr.churn_rate,
-       COALESCE(ndr.new_donors_ratio, 0) AS new_donors_ratio,
-       COALESCE({dbl('n3m.q', 2)}, 0) AS avg_days_between_donations
-FROM churn_rate cr
-LEFT JOIN new_donors_ratio ndr ON cr.month = ndr.month
-LEFT JOIN next_three_months n3m ON cr.month = n3m.month"""
-
-
-# ---- unpivots: 12-way UNION ALL over the wide mart ----------------------------------------------
-
-def _unpivot(wide_sql: str, key: str, cols: dict[int, str], value: str) -> str:
-    parts = [f"SELECT {key} AS cohort_month, CAST({k} AS BIGINT) AS month, \"{c}\" AS {value} FROM wide"
-             for k, c in cols.items()]
-    return f"WITH wide AS ({wide_sql})\n" + "\nUNION ALL\n".join(parts)
-
-
-def _slots(prefix: str) -> dict[int, str]:
-    return {k: f"{prefix}{k}" for k in range(1, H + 1)}
-
-
-LTV_LONG = _unpivot(LTV_COHORTS, "cohort_month", _slots("ltv_month_"), "ltv")
-REVENUE_LONG = _unpivot(LTV_COHORTS, "cohort_month", _slots("revenue_month_"), "revenue")
-LTV_CUM_LONG = _unpivot(LTV_CUMULATIVE, "cohort_month", _slots("ltv_cumulative_"), "ltv_cumulative")
-ARPPU_LONG = _unpivot(COHORT_REVENUE_ARPPU, "cohort_month", _slots("arppu_month_"), "arppu")
-ARPPU_CUM_LONG = _unpivot(ARPPU_CUMULATIVE, "cohort_month", _slots("cumulative_arppu_"), "cumulative_arppu")
-RR_LONG = _unpivot(RETENTION_RATE, "CAST(strptime(cohort || '-01', '%Y-%m-%d') AS DATE)", _slots("RR Month "), "rr")
-AC_LONG = _unpivot(AVERAGE_CHECK, "CAST(CONCAT(cohort, '-01') AS DATE)",
-                   {0: "average_check_current_month", **{k: f"average_check_month_{k}" for k in range(1, H)}},
-                   "average_check")
+CHURN_RATE = f"""WITH {PO}, {DM}, {RET}
+SELECT mon AS month, total_donors, retained_donors, {_CHURN} AS churn_rate FROM ret"""
+
+NEWR = f"""newr AS (
+  SELECT dm.mon, COUNT(*) FILTER (WHERE dm.mon = fm.fmon) AS new_donors, COUNT(*) AS total_donors
+  FROM dm JOIN fm ON dm.cid = fm.cid GROUP BY dm.mon)"""
+_NEW = rnd("new_donors", "total_donors", 2, 100)
+NEW_DONOR_RATIO = f"""WITH {PO}, {FM}, {DM}, {NEWR}
+SELECT mon AS month, new_donors, total_donors, {_NEW} AS new_donors_ratio FROM newr"""
+
+# months with donors of two or more paid orders: their first-to-last span, averaged (2 places,
+# kept as the scaled integer q); then for each such month the rounded mean of q over the
+# following three calendar months
+SPAN = f"""rep AS (
+  SELECT mon, cid, epoch(MAX(date_trunc('minute', t))) - epoch(MIN(date_trunc('minute', t))) AS secs
+  FROM po GROUP BY mon, cid HAVING COUNT(*) >= 2),
+sp AS (SELECT mon, COUNT(*) AS repeat_donors, {rq('SUM(CAST(secs AS BIGINT))', '86400 * COUNT(*)', 2)} AS q
+       FROM rep GROUP BY mon),
+nx AS (
+  SELECT a.mon,
+         (SELECT {rq('SUM(b.q)', '100 * COUNT(b.q)', 2)} FROM sp b
+           WHERE b.mon > a.mon AND b.mon <= a.mon + INTERVAL 3 MONTH) AS q
+  FROM sp a)"""
+
+DONATION_SPAN = f"""WITH {PO}, {SPAN}
+SELECT mon AS month, repeat_donors, {dbl('q', 2)} AS avg_days_between_donations FROM sp"""
+DONATION_SPAN_NEXT3 = f"""WITH {PO}, {SPAN}
+SELECT mon AS month, {dbl('q', 2)} AS avg_days_between_donations FROM nx"""
+
+CDR = f"""WITH {PO}, {FM}, {DM}, {RET}, {NEWR}, {SPAN}
+SELECT r.mon AS month, {rnd('r.total_donors - r.retained_donors', 'r.total_donors', 2, 100)} AS churn_rate,
+       COALESCE({rnd('n.new_donors', 'n.total_donors', 2, 100)}, 0) AS new_donors_ratio,
+       COALESCE({dbl('x.q', 2)}, 0) AS avg_days_between_donations
+FROM ret r JOIN newr n ON n.mon = r.mon LEFT JOIN nx x ON x.mon = r.mon"""
+
+# ---- long marts: straight from the long forms -------------------------------------------------
+
+
+def _long(ctes: str, src: str, key: str, value: str, month: str = "off + 1") -> str:
+    return f"{ctes}\nSELECT {key} AS cohort_month, CAST({month} AS BIGINT) AS month, {value} FROM {src}"
+
+
+LTV_LONG = _long(LTV_LONG_CTES, "lv", "cohort_month", f"{dbl('ltvq', 2)} AS ltv")
+REVENUE_LONG = _long(LTV_LONG_CTES, "lv", "cohort_month", f"{dbl('rev', 2)} AS revenue")
+LTV_CUM_LONG = _long(LTV_LONG_CTES, "lc", "cohort_month", f"{dbl('cltvq', 2)} AS ltv_cumulative")
+ARPPU_LONG = _long(PAID_SLOTS, "sv", "cohort_month", f"{rnd(_REV, _ARPPU_DEN, ARPPU_SCALE)} AS arppu")
+ARPPU_CUM_LONG = _long(PAID_SLOTS + f", {CUM}", "cum", "cohort_month", f"{rnd('crev', _ARPPU_DEN, 2)} AS cumulative_arppu")
+RR_LONG = _long(PAID_SLOTS, "sv", "cohort_month", f"{_RR} AS rr")
+AC_LONG = _long(PAID_SLOTS, "sv", "cohort_month", f"{_AC} AS average_check", month="off")
 
 ORACLE: dict[str, str] = {
     "paid_orders_extract": PAID_ORDERS_EXTRACT,
