@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from donorlens.functions.timecols import format_text_ts, parse_text_ts
 from donorlens.operators import base, churn, merge, quality, reshape, rfm
 from donorlens.plans.marts import MartPlan
+from donorlens.schemas import ORDERS_CSV
 from donorlens.session import scratch_path
 from donorlens.sources import exports
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, orders_from_tpch,
@@ -84,13 +85,14 @@ def export_orders_csv(spark: SparkSession, d: str) -> list[str]:
     the file paths (a listing: one entry per file)."""
     o = read_table(spark, d, "orders")
     path = scratch_path(spark, "orders-export")
-    (o.select(F.col("o_orderkey").alias("OrderIdsMindboxId"),
-              F.col("o_orderkey").alias("OrderFirstActionIdsMindboxId"),
-              F.col("o_custkey").alias("OrderCustomerIdsMindboxId"),
-              format_text_ts("o_orderdate").alias("OrderFirstActionDateTimeUtc"),
-              F.col("o_totalprice").cast("decimal(18,2)").alias("OrderTotalPrice"),
+    key, first_action, customer, ts, price, status = ORDERS_CSV.fieldNames()
+    (o.select(F.col("o_orderkey").alias(key),
+              F.col("o_orderkey").alias(first_action),
+              F.col("o_custkey").alias(customer),
+              format_text_ts("o_orderdate").alias(ts),
+              F.col("o_totalprice").cast("decimal(18,2)").alias(price),
               F.when(F.col("o_orderstatus") == TPCH_PAID_STATUS, F.lit(PAID_STATUS))
-               .otherwise(F.col("o_orderstatus")).alias("OrderLineStatusIdsExternalId"))
+               .otherwise(F.col("o_orderstatus")).alias(status))
       .write.option("sep", ";").option("header", True).csv(path))
     return [r["path"] for r in exports.list_csv(spark, path).select("path").collect()]
 
