@@ -45,3 +45,18 @@ def test_status_filter_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan
     scan = re.search(r"ReadSchema: (struct<[^>]*>)", plan).group(1)
     assert "o_orderpriority" not in scan
+
+
+def test_pipeline_marts_read_the_materialised_grid_not_the_orders(spark):
+    """After build_plan, only the paid-orders extract reads the orders table; the all-user cohorts
+    read the activity stream (here: orders of any status); every other mart reads the
+    materialised grid or the months-sized tables derived from it."""
+    from donorlens.plans.marts import MartPlan
+    from donorlens.plans.pipeline import build_plan
+    from donorlens.sources.tables import TPCH_PAID_STATUS, orders_from_tpch, read_table
+    orders = orders_from_tpch(read_table(spark, SF, "orders"))
+    plan = build_plan(spark, orders, "2001-08-01", TPCH_PAID_STATUS, None)
+    for name in MartPlan.MART_NAMES:
+        text = getattr(plan, name)()._jdf.queryExecution().executedPlan().toString()
+        scans_orders = "orders.parquet" in text
+        assert scans_orders == (name in ("paid_only", "cohorts_all")), name
