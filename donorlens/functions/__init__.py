@@ -1,0 +1 @@
+"""Time and exact-number column expressions."""

@@ -1,0 +1 @@
+"""Composition: the mart plan, the refresh pipeline, the registered queries and their oracle SQL."""
