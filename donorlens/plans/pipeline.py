@@ -30,7 +30,7 @@ from donorlens.operators import base, merge, quality
 from donorlens import schemas
 from donorlens.plans.marts import MartPlan, conform
 from donorlens.schemas import EVENTS_KEY, ORDERS_KEY
-from donorlens.session import check_session, materialize
+from donorlens.session import check_session, materialize, scratch_scope
 from donorlens.sources import exports
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, activity_from_export, activity_from_orders,
                                       orders_from_export, orders_from_tpch, read_table)
@@ -364,29 +364,34 @@ def new_run_id() -> str:
 
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
-                 mode: str = "upsert", names: tuple[str, ...] | None = None) -> dict:
+                 mode: str = "upsert", names: tuple[str, ...] | None = None,
+                 keep_intermediates: bool = False) -> dict:
     """The whole refresh.
 
     ``source="exports"``: CSV exports in ``landing_dir`` (paid status ``Paid``, first-action
     cohorts from the events). Nothing is recomputed when no file changed.
     ``source="tpch"``: the driver's Parquet ``orders`` in ``orders_dir`` (paid status ``F``,
     first-action cohorts from orders of any status).
+    The intermediates this run writes to the checkpoint folder are deleted once the marts are
+    written, unless ``keep_intermediates``.
     """
     check_session(spark)
     run_id = new_run_id()
     as_of = as_of_date(as_of)
     report: dict = {"run_id": run_id, "as_of": as_of.isoformat()}
-    if source == "exports":
-        state = f"{out_dir.rstrip('/')}/_state"
-        ingested = ingest_exports(spark, landing_dir, state, run_id, mode)
-        if ingested is None:
-            report["skipped"] = "no new or changed file"
-            return report
-        report.update(ingested)
-        report.update(refresh_marts(spark, out_dir, as_of, run_id, names))
-    elif source == "tpch":
-        orders = orders_from_tpch(read_table(spark, orders_dir, "orders"))
-        report.update(_write_all(spark, orders, None, TPCH_PAID_STATUS, as_of, out_dir, run_id, names))
-    else:
-        raise ValueError(f"unknown source {source!r}")
+    with scratch_scope(spark, cleanup=not keep_intermediates) as scratch:
+        if source == "exports":
+            state = f"{out_dir.rstrip('/')}/_state"
+            ingested = ingest_exports(spark, landing_dir, state, run_id, mode)
+            if ingested is None:
+                report["skipped"] = "no new or changed file"
+                return report
+            report.update(ingested)
+            report.update(refresh_marts(spark, out_dir, as_of, run_id, names))
+        elif source == "tpch":
+            orders = orders_from_tpch(read_table(spark, orders_dir, "orders"))
+            report.update(_write_all(spark, orders, None, TPCH_PAID_STATUS, as_of, out_dir, run_id, names))
+        else:
+            raise ValueError(f"unknown source {source!r}")
+        report["intermediates"] = list(scratch)
     return report

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,6 +101,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "donorlens", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
 
 
+_SCOPES: list[list[str]] = []
+_SCOPES_LOCK = threading.Lock()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, cleanup: bool = True) -> Iterator[list[str]]:
+    """Record the paths ``materialize`` writes inside the block (from any thread) and, with
+    ``cleanup``, delete exactly those paths from the shared folder when the block ends. Use it
+    around work whose outputs no longer read the intermediates (the pipeline's mart writes)."""
+    paths: list[str] = []
+    with _SCOPES_LOCK:
+        _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        with _SCOPES_LOCK:
+            _SCOPES.remove(paths)
+        if cleanup:
+            jvm = spark.sparkContext._jvm
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            for path in paths:
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a fresh path in the shared checkpoint folder and read it back.
 
@@ -108,4 +136,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    with _SCOPES_LOCK:
+        for scope in _SCOPES:
+            scope.append(path)
     return spark.read.parquet(path)

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.plans import pipeline
-from donorlens.session import check_session
+from donorlens.session import check_session, scratch_scope
 from donorlens.sources import exports
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -54,7 +54,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint
         run_id = f"epoch-{epoch_id:010d}"
         pipeline.load_files(spark, files, state, run_id, mode)
         if refresh:
-            pipeline.refresh_marts(spark, out_dir, as_of_date(as_of), run_id)
+            with scratch_scope(spark):
+                pipeline.refresh_marts(spark, out_dir, as_of_date(as_of), run_id)
 
     writer = (new_files_stream(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(handle).option("checkpointLocation", checkpoint_location))

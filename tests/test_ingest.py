@@ -121,6 +121,7 @@ def test_pipeline_marts_equal_the_lazy_plan(spark, tmpdir_run):
     from donorlens.plans.catalog import ORDERS_AS_OF, _plan
     sf = "/root/testdata/sf0.001"
     r = run_pipeline(spark, out_dir=tmpdir_run, as_of=ORDERS_AS_OF, source="tpch", orders_dir=sf)
+    assert r["intermediates"] and not any(os.path.exists(p.replace("file:", "")) for p in r["intermediates"])
     lazy = _plan(spark, sf)
     for name, df in lazy.marts().items():
         written = spark.read.parquet(f"{r['marts']}/{name}")
