@@ -91,7 +91,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="donorlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    # only the folder name is needed: intermediates are written as Parquet tables under it
+    # (no RDD checkpoint, so no setCheckpointDir, which would add a directory per call)
     return d
 
 
