@@ -62,16 +62,20 @@ def donor_month_grid(paid: DataFrame, precision: str = "minute") -> DataFrame:
     )
 
 
-def merge_grids(grid: DataFrame, delta: DataFrame) -> DataFrame:
-    """Fold the grid of newly added orders into a stored grid: counts and sums add, first/last
-    times combine by min/max. Exact for added rows (insert-if-absent and append loads)."""
-    return (grid.select(*GRID_COLUMNS).unionByName(delta.select(*GRID_COLUMNS))
-            .groupBy("customer_id", "month").agg(
-                F.sum("n_orders").alias("n_orders"), F.sum("revenue_cents").alias("revenue_cents"),
-                F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s")))
+GRID_COLUMNS = ("customer_id", "month", "n_orders", "revenue_cents", "first_s", "last_s")
 
 
-GRID_COLUMNS = ("customer_id", "month", "n_orders", "revenue_cents", "first_s", "last_s")
+def combine_grids(parts: DataFrame) -> DataFrame:
+    """Combine partial grids (e.g. one per loaded segment) into one row per (customer, month):
+    counts and sums add, first/last times combine by min/max. A partial aggregate."""
+    return parts.groupBy("customer_id", "month").agg(
+        F.sum("n_orders").alias("n_orders"), F.sum("revenue_cents").alias("revenue_cents"),
+        F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s"))
+
+
+def merge_grids(grid: DataFrame, delta: DataFrame) -> DataFrame:
+    """Fold the grid of newly added orders into a stored grid."""
+    return combine_grids(grid.select(*GRID_COLUMNS).unionByName(delta.select(*GRID_COLUMNS)))
 
 
 def first_actions(activity: DataFrame) -> DataFrame:
@@ -80,8 +84,8 @@ def first_actions(activity: DataFrame) -> DataFrame:
             .groupBy("user_id").agg(F.min("ts").alias("first_ts")))
 
 
-def merge_first_actions(stored: DataFrame, delta: DataFrame) -> DataFrame:
-    return (stored.unionByName(delta).groupBy("user_id").agg(F.min("first_ts").alias("first_ts")))
+def combine_first_actions(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("user_id").agg(F.min("first_ts").alias("first_ts"))
 
 
 def with_cohort(grid: DataFrame) -> DataFrame:

@@ -96,13 +96,10 @@ def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
 
 
 def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str,
-                 append: bool = False, covers: list[str] | None = None) -> DataFrame:
+                 append: bool = False) -> DataFrame:
     """Write ``df`` to the run's directory and publish it - as the whole table, or with
     ``append`` as one more segment (only the new rows are written). Returns the table.
 
-    ``covers`` (the source segments a derived table was built from) is written into the run
-    directory before the pointer is published, so data and coverage become visible together.
-
     Idempotent per run id: when the pointer already names this run's directory the data was
     committed by an earlier attempt of the same run and is not written again (it may be an
     input of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
@@ -112,17 +109,46 @@ def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str
     segs = read_segments(spark, table_dir)
     if target not in segs:
         df.write.mode("overwrite").parquet(target)
-        if covers is not None:
-            write_pointer(spark, target, covers, "_COVERS")
         segs = (segs + [target]) if append else [target]
         write_pointer(spark, table_dir, segs)
     return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs)
 
 
-def covered_segments(spark: SparkSession, table_dir: str) -> list[str]:
-    """Source segments a derived table covers (from its newest segment); [] when none."""
+def _leaf(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` completed (its ``_SUCCESS`` marker exists)."""
+    fs, p, _ = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    return bool(fs.exists(p))
+
+
+def upsert_segments(spark: SparkSession, table_dir: str, old: DataFrame, incoming: DataFrame,
+                    key: list[str], run_id: str) -> None:
+    """Keyed update with copy-on-write at segment granularity.
+
+    Only the stored segments holding a key of the batch are rewritten: their rows without such
+    a key become the segment ``run=<id>.kept``, the batch becomes ``run=<id>``, and every other
+    segment stays as it is (with the tables derived from it). Which segments are touched is one
+    semi-join of the stored key column with the batch keys, collected as a list of segment
+    names (bounded by the number of segments).
+    """
     segs = read_segments(spark, table_dir)
-    return read_segments(spark, segs[-1], "_COVERS") if segs else []
+    seg_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    hits = (old.select(*key, seg_name.alias("_segment")).join(incoming.select(*key), key, "left_semi")
+            .select("_segment").distinct().collect())
+    touched = {r["_segment"] for r in hits}
+    target = _run_dir(table_dir, run_id)
+    new_segs = [sg for sg in segs if _leaf(sg) not in touched]
+    if touched:
+        kept = (spark.read.option("mergeSchema", True).parquet(*[sg for sg in segs if _leaf(sg) in touched])
+                .join(incoming.select(*key), key, "left_anti"))
+        kept_dir = target + ".kept"
+        kept.write.mode("overwrite").parquet(kept_dir)
+        new_segs.append(kept_dir)
+    incoming.write.mode("overwrite").parquet(target)
+    write_pointer(spark, table_dir, new_segs + [target])
 
 
 def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None) -> DataFrame:
@@ -164,8 +190,8 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
         if old is None:
             commit_table(spark, incoming, table_dir, run_id)
         elif mode == "upsert":
-            # a keyed update rewrites the table (no MERGE without a table format that has one)
-            commit_table(spark, merge.upsert(old, incoming, key), table_dir, run_id)
+            # rewrites only the segments holding superseded keys (copy-on-write per segment)
+            upsert_segments(spark, table_dir, old, incoming, key, run_id)
         elif mode == "insert_ignore":
             # only the rows with new keys are written, as one more segment: the stored table is
             # read for its key column only and never rewritten
@@ -197,32 +223,29 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
     return load_files(spark, files, state_dir, run_id, mode)
 
 
-def _derived_state(spark: SparkSession, state: str, source: str, derived: str, run_id: str,
-                   build, merge_fn=None) -> DataFrame | None:
-    """Maintain a table derived from an append-only source table.
+def _derived_segments(spark: SparkSession, state: str, source: str, derived: str,
+                      build) -> tuple[DataFrame | None, int]:
+    """A table derived segment by segment from a segmented source table.
 
-    The derived table records (``_COVERS``, committed with its data) the source segments it was
-    built from. When the source only gained segments since then, only those are read: their
-    derived rows are folded in with ``merge_fn`` (an aggregate state such as the grid), or,
-    without one, appended as one more segment (row-level states such as the paid orders).
-    When the source was rewritten (an upsert or a compaction), the table is rebuilt from the
-    whole source. After an append-only load a refresh costs O(new rows + derived state).
+    Each source segment ``.../<source>/<name>`` has its derived part in ``.../<derived>/<name>``,
+    built once (a write is complete when its ``_SUCCESS`` marker exists) and reused while the
+    source segment is published. After any load only the new segments are built - an upsert
+    replaces just the segments it touched - so maintaining the state costs O(new segments).
+    Returns the union of the parts of the current source segments and their number.
     """
-    src_dir, dst_dir = f"{state}/{source}", f"{state}/{derived}"
-    segs = read_segments(spark, src_dir)
-    if not segs:
-        return None
-    covers = covered_segments(spark, dst_dir)
-    stored = current_table(spark, dst_dir)
-    if stored is not None and covers == segs:
-        return stored
-    if stored is not None and covers and segs[:len(covers)] == covers:
-        new = segs[len(covers):]
-        delta = build(spark.read.option("mergeSchema", len(new) > 1).parquet(*new))
-        if merge_fn is None:
-            return commit_table(spark, delta, dst_dir, run_id, append=True, covers=segs)
-        return commit_table(spark, merge_fn(stored, delta), dst_dir, run_id, covers=segs)
-    return commit_table(spark, build(current_table(spark, src_dir)), dst_dir, run_id, covers=segs)
+    src_segs = read_segments(spark, f"{state}/{source}")
+    if not src_segs:
+        return None, 0
+    dst_dir = f"{state}/{derived}"
+    parts = []
+    for seg in src_segs:
+        part = f"{dst_dir}/{_leaf(seg)}"
+        if not _committed(spark, part):
+            build(spark.read.parquet(seg)).write.mode("overwrite").parquet(part)
+        parts.append(part)
+    if read_segments(spark, dst_dir) != parts:
+        write_pointer(spark, dst_dir, parts)
+    return spark.read.option("mergeSchema", len(parts) > 1).parquet(*parts), len(parts)
 
 
 def _orders_grid(raw_orders: DataFrame) -> DataFrame:
@@ -238,22 +261,24 @@ def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
     """Marts from the export state tables (paid status ``Paid``, all-user cohorts from the
     events).
 
-    Everything read from the orders and events is a state table maintained incrementally from
-    the loads (``_derived_state``): the donor x month grid of the paid orders, each user's first
-    action, the paid-orders extract and the quarantined rows. A refresh after an append-only
-    load therefore never re-reads all orders. ``paid_only`` is published in the snapshot as a
-    pointer to its immutable state segments rather than copied.
+    Everything read from the orders and events is derived segment by segment
+    (``_derived_segments``): a partial donor x month grid, the users' first actions, the
+    paid-orders extract and the quarantined rows of each loaded segment. The partial grids and
+    first actions are combined by one partial aggregate; ``paid_only`` is published in the
+    snapshot as a pointer to its immutable parts rather than copied. A refresh after any load
+    therefore never re-reads the segments that did not change.
     """
     state = f"{out_dir.rstrip('/')}/_state"
     if not read_segments(spark, f"{state}/orders"):
         return {"skipped": "no orders loaded yet"}
-    grid = _derived_state(spark, state, "orders", "grid", run_id, _orders_grid, base.merge_grids)
-    first = _derived_state(spark, state, "events", "first_actions", run_id, _events_first,
-                           base.merge_first_actions)
-    paid = _derived_state(spark, state, "orders", "paid_only", run_id, _orders_paid_only)
+    grid, n = _derived_segments(spark, state, "orders", "grid", _orders_grid)
+    grid = base.combine_grids(grid) if n > 1 else grid
+    first, n = _derived_segments(spark, state, "events", "first_actions", _events_first)
+    first = base.combine_first_actions(first) if n > 1 else first
+    _derived_segments(spark, state, "orders", "paid_only", _orders_paid_only)
     report = {}
     for name, src, build in (("orders", "orders", _orders_rejected), ("events", "events", _events_rejected)):
-        rej = _derived_state(spark, state, src, f"rejected_{name}", run_id, build)
+        rej, _ = _derived_segments(spark, state, src, f"rejected_{name}", build)
         if rej is not None:
             report[f"rejected_{name}"] = rej.count()
             report[f"rejected_{name}_path"] = f"{state}/rejected_{name}"

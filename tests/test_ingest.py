@@ -228,9 +228,8 @@ def test_incremental_grid_equals_full_recompute(spark, tmpdir_run):
     _write(os.path.join(inc_land, "orders.csv"), _orders_csv(batch1 + batch2))
     _write(os.path.join(inc_land, "ev_2.csv"), EVENTS_HEADER + ev2)
     r_inc = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_inc"), landing_dir=inc_land, **kw)
-    from donorlens.plans.pipeline import covered_segments
     state = os.path.join(tmpdir_run, "out_inc", "_state")
-    assert len(covered_segments(spark, os.path.join(state, "grid"))) == 2   # folded from two order segments
+    assert len(read_segments(spark, os.path.join(state, "grid"))) == 2       # one partial grid per order segment
     assert len(read_segments(spark, os.path.join(state, "paid_only"))) == 2  # second batch appended, not copied
 
     _write(os.path.join(full_land, "orders.csv"), _orders_csv(batch1 + batch2))
@@ -254,7 +253,7 @@ def test_command_line_runs_the_pipeline(spark, tmpdir_run, capsys):
 
 
 def test_replayed_load_and_repeated_refresh_do_not_double_count(spark, tmpdir_run):
-    from donorlens.plans.pipeline import covered_segments, load_files, read_segments, refresh_marts
+    from donorlens.plans.pipeline import load_files, read_segments, refresh_marts
     land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
     os.makedirs(land)
     _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid"),
@@ -270,9 +269,43 @@ def test_replayed_load_and_repeated_refresh_do_not_double_count(spark, tmpdir_ru
     refresh_marts(spark, out, dt_date("2024-01-31"), "r3")
     grid3 = sorted(map(tuple, current_table(spark, os.path.join(state, "grid")).collect()))
     assert grid1 == grid3 and grid1[0][2] == 2                          # 2 orders in the one cell
-    assert covered_segments(spark, os.path.join(state, "grid")) == read_segments(spark, os.path.join(state, "orders"))
+    leaves = lambda d: [p.rsplit("/", 1)[-1] for p in read_segments(spark, os.path.join(state, d))]
+    assert leaves("grid") == leaves("orders") == ["run=r1"]
 
 
 def dt_date(s):
     import datetime
     return datetime.date.fromisoformat(s)
+
+
+def test_upsert_rewrites_only_touched_segments_and_marts_stay_exact(spark, tmpdir_run):
+    from donorlens.plans.pipeline import read_segments
+    land, out, full = (os.path.join(tmpdir_run, d) for d in ("landing", "out", "full"))
+    os.makedirs(land)
+    os.makedirs(full)
+    a = [(1, 7, "05.01.2024 10:11", 100, "Paid"), (2, 7, "07.02.2024 11:00", 50, "Paid"),
+         (3, 8, "09.02.2024 12:00", 70, "Paid")]
+    b = [(2, 7, "07.02.2024 11:00", 55, "Paid"), (4, 9, "10.02.2024 12:00", 20, "Paid")]   # 2 corrected, 4 new
+    c = [(5, 8, "01.03.2024 12:00", 30, "Paid")]                                         # only new keys
+    kw = dict(as_of="2024-03-31", source="exports", mode="upsert")
+    _write(os.path.join(land, "orders.csv"), _orders_csv(a))
+    run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
+    _write(os.path.join(land, "orders.csv"), _orders_csv(b))
+    run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
+    orders_dir = os.path.join(out, "_state", "orders")
+    segs_b = read_segments(spark, orders_dir)
+    assert [p.rsplit("/", 1)[-1].endswith(".kept") for p in segs_b] == [True, False]   # a rewritten as kept + b
+    assert spark.read.parquet(segs_b[0]).count() == 2                                  # keys 1, 3 kept
+    _write(os.path.join(land, "orders.csv"), _orders_csv(c))
+    r = run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
+    segs_c = read_segments(spark, orders_dir)
+    assert segs_c[:2] == segs_b and len(segs_c) == 3                                   # nothing rewritten
+    grid_parts = read_segments(spark, os.path.join(out, "_state", "grid"))
+    assert [p.rsplit("/", 1)[-1] for p in grid_parts] == [p.rsplit("/", 1)[-1] for p in segs_c]
+
+    _write(os.path.join(full, "orders.csv"), _orders_csv([a[0], a[2]] + b + c))
+    r_full = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_full"), landing_dir=full, **kw)
+    for name in ("rfm", "cohorts_paid", "cohorts_revenue_arppu_data", "ltv_cohorts", "rr_cohorts", "ac_cohort",
+                 "cdr", "paid_only", "arppu_t"):
+        x, y = read_mart(spark, r["marts"], name), read_mart(spark, r_full["marts"], name)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
