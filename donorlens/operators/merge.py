@@ -1,9 +1,10 @@
-"""Keyed loads (D-05): append, insert-if-absent, upsert.
+"""Keyed loads (D-05): append, insert-if-absent, upsert, as DataFrame expressions.
 
-Without a table format that has MERGE, a keyed load is an anti-join plus a union. Insert-if-
-absent and append only add rows, so a store can write just ``new_rows`` as a new segment; an
-upsert has to rewrite, to a *new* path that is then published (overwriting the path being read
-would delete the input before it is read). The joins shuffle on the key only (or broadcast the
+Without a table format that has MERGE, a keyed load is an anti-join plus a union. The stored
+table is never overwritten in place (that would delete the input before it is read): the
+pipeline writes new segments and publishes a pointer - insert-if-absent and append add the
+``new_rows`` as one segment, an upsert rewrites only the segments holding superseded keys
+(``plans.pipeline.upsert_segments``). The joins shuffle on the key only (or broadcast the
 batch's keys when AQE measures them small); AQE's skew-join handling splits a hot key.
 """
 
