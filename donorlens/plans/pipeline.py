@@ -212,15 +212,27 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
 
 
 def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
-                   mode: str = "upsert") -> dict | None:
-    """D-01..D-07 for one landing folder. Returns None when no file is new or changed."""
+                   mode: str = "upsert", compact_over: int | None = None) -> dict | None:
+    """D-01..D-07 for one landing folder. Returns None when no file is new or changed.
+
+    ``compact_over``: after the load, rewrite a state table whose segment count exceeds it as
+    one segment (its derived parts are then rebuilt once). Off by default: on a large table
+    compaction is a maintenance job to schedule, not a side effect of every load.
+    """
     manifest = current_table(spark, f"{state_dir}/manifest")
     changed = exports.changed_files(exports.file_digests(spark, landing_dir), manifest)
     # one row per changed file: a file listing, bounded by the number of files
     files = [(r["path"], r["file_name"], r["md5"]) for r in changed.select("path", "file_name", "md5").collect()]
     if not files:
         return None
-    return load_files(spark, files, state_dir, run_id, mode)
+    report = load_files(spark, files, state_dir, run_id, mode)
+    if compact_over is not None:
+        for name in ("orders", "events"):
+            table_dir = f"{state_dir}/{name}"
+            if len(read_segments(spark, table_dir)) > compact_over:
+                compact_table(spark, table_dir, f"{run_id}.compact")
+                report.setdefault("compacted", []).append(name)
+    return report
 
 
 def _derived_segments(spark: SparkSession, state: str, source: str, derived: str,
@@ -390,7 +402,7 @@ def new_run_id() -> str:
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
                  mode: str = "upsert", names: tuple[str, ...] | None = None,
-                 keep_intermediates: bool = False) -> dict:
+                 keep_intermediates: bool = False, compact_over: int | None = None) -> dict:
     """The whole refresh.
 
     ``source="exports"``: CSV exports in ``landing_dir`` (paid status ``Paid``, first-action
@@ -407,7 +419,7 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     with scratch_scope(spark, cleanup=not keep_intermediates) as scratch:
         if source == "exports":
             state = f"{out_dir.rstrip('/')}/_state"
-            ingested = ingest_exports(spark, landing_dir, state, run_id, mode)
+            ingested = ingest_exports(spark, landing_dir, state, run_id, mode, compact_over)
             if ingested is None:
                 report["skipped"] = "no new or changed file"
                 return report

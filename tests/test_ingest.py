@@ -309,3 +309,20 @@ def test_upsert_rewrites_only_touched_segments_and_marts_stay_exact(spark, tmpdi
                  "cdr", "paid_only", "arppu_t"):
         x, y = read_mart(spark, r["marts"], name), read_mart(spark, r_full["marts"], name)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+
+
+def test_compaction_threshold_keeps_marts_exact(spark, tmpdir_run):
+    from donorlens.plans.pipeline import read_segments
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    rows = [(1, 7, "05.01.2024 10:11", 100, "Paid"), (2, 8, "07.02.2024 11:00", 50, "Paid"),
+            (3, 7, "09.02.2024 12:00", 70, "Paid")]
+    kw = dict(as_of="2024-03-31", source="exports", mode="insert_ignore", compact_over=2)
+    reports = []
+    for i in range(3):  # three loads, one new order each
+        _write(os.path.join(land, "orders.csv"), _orders_csv(rows[: i + 1]))
+        reports.append(run_pipeline(spark, out_dir=out, landing_dir=land, **kw))
+    assert reports[2].get("compacted") == ["orders"]
+    assert len(read_segments(spark, os.path.join(out, "_state", "orders"))) == 1
+    rfm = {r["customer_id"]: r["frequency"] for r in read_mart(spark, reports[2]["marts"], "rfm").collect()}
+    assert rfm == {7: 2, 8: 1}
