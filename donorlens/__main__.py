@@ -17,13 +17,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", choices=["exports", "tpch"], default="exports")
     ap.add_argument("--as-of", help="as-of date YYYY-MM-DD (default: today)")
     ap.add_argument("--mode", choices=["upsert", "insert_ignore", "append"], default="upsert")
+    ap.add_argument("--compact-over", type=int, help="compact a state table with more segments than this")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     if not spark.sparkContext.master.startswith("local"):
         apply_cluster_conf(spark)
     report = run_pipeline(spark, out_dir=a.out, as_of=a.as_of, source=a.source, landing_dir=a.landing,
-                          orders_dir=a.orders_dir, mode=a.mode)
+                          orders_dir=a.orders_dir, mode=a.mode, compact_over=a.compact_over)
     print(json.dumps(report))
 
 
