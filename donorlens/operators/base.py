@@ -62,9 +62,6 @@ def donor_month_grid(paid: DataFrame, precision: str = "minute") -> DataFrame:
     )
 
 
-GRID_COLUMNS = ("customer_id", "month", "n_orders", "revenue_cents", "first_s", "last_s")
-
-
 def combine_grids(parts: DataFrame) -> DataFrame:
     """Combine partial grids (e.g. one per loaded segment) into one row per (customer, month):
     counts and sums add, first/last times combine by min/max. A partial aggregate."""
@@ -73,11 +70,6 @@ def combine_grids(parts: DataFrame) -> DataFrame:
         F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s"))
 
 
-def merge_grids(grid: DataFrame, delta: DataFrame) -> DataFrame:
-    """Fold the grid of newly added orders into a stored grid."""
-    return combine_grids(grid.select(*GRID_COLUMNS).unionByName(delta.select(*GRID_COLUMNS)))
-
-
 def first_actions(activity: DataFrame) -> DataFrame:
     """user_id, first_ts: each user's first action (the state behind the all-user cohorts)."""
     return (activity.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())

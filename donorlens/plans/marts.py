@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from donorlens import schemas
 from donorlens.functions.timecols import as_of_date
