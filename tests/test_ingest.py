@@ -296,8 +296,11 @@ def test_upsert_rewrites_only_touched_segments_and_marts_stay_exact(spark, tmpdi
     segs_b = read_segments(spark, orders_dir)
     assert [p.rsplit("/", 1)[-1].endswith(".kept") for p in segs_b] == [True, False]   # a rewritten as kept + b
     assert spark.read.parquet(segs_b[0]).count() == 2                                  # keys 1, 3 kept
+    kept_part = os.path.join(out, "_state", "grid", segs_b[0].rsplit("/", 1)[-1], "_SUCCESS")
+    built_at = os.path.getmtime(kept_part)
     _write(os.path.join(land, "orders.csv"), _orders_csv(c))
     r = run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
+    assert os.path.getmtime(kept_part) == built_at                                      # derived part reused
     segs_c = read_segments(spark, orders_dir)
     assert segs_c[:2] == segs_b and len(segs_c) == 3                                   # nothing rewritten
     grid_parts = read_segments(spark, os.path.join(out, "_state", "grid"))
