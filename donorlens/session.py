@@ -30,6 +30,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # coalesce to the advisory size, not to the default parallelism (busy shared cluster)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "4096",
