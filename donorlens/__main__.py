@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from donorlens.plans.pipeline import run_pipeline
+from donorlens.plans.pipeline import import_manifest, run_pipeline
 from donorlens.session import apply_cluster_conf, build_session
 
 
@@ -18,13 +18,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", help="as-of date YYYY-MM-DD (default: today)")
     ap.add_argument("--mode", choices=["upsert", "insert_ignore", "append"], default="upsert")
     ap.add_argument("--compact-over", type=int, help="compact a state table with more segments than this")
+    ap.add_argument("--digest", choices=["lines", "md5"], default="lines", help="change-detection digest")
+    ap.add_argument("--import-manifest", help="seed the state manifest from a {file_name: md5} JSON file first")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     if not spark.sparkContext.master.startswith("local"):
         apply_cluster_conf(spark)
+    if a.import_manifest:
+        import_manifest(spark, a.import_manifest, a.out)
     report = run_pipeline(spark, out_dir=a.out, as_of=a.as_of, source=a.source, landing_dir=a.landing,
-                          orders_dir=a.orders_dir, mode=a.mode, compact_over=a.compact_over)
+                          orders_dir=a.orders_dir, mode=a.mode, compact_over=a.compact_over,
+                          digest=a.digest)
     print(json.dumps(report))
 
 

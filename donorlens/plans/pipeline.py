@@ -211,8 +211,16 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
     return {"files": [f for _, f, _ in files], "rows_per_file": rows_per_file}
 
 
+def import_manifest(spark: SparkSession, json_path: str, out_dir: str) -> DataFrame:
+    """Seed the state manifest from a ``{file_name: md5}`` JSON file, so a landing folder that
+    was already loaded elsewhere is not loaded again (run with ``digest="md5"``)."""
+    state = f"{out_dir.rstrip('/')}/_state/manifest"
+    return commit_table(spark, exports.manifest_from_json(spark, json_path), state, "imported")
+
+
 def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
-                   mode: str = "upsert", compact_over: int | None = None) -> dict | None:
+                   mode: str = "upsert", compact_over: int | None = None,
+                   digest: str = "lines") -> dict | None:
     """D-01..D-07 for one landing folder. Returns None when no file is new or changed.
 
     ``compact_over``: after the load, rewrite a state table whose segment count exceeds it as
@@ -220,7 +228,7 @@ def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id
     compaction is a maintenance job to schedule, not a side effect of every load.
     """
     manifest = current_table(spark, f"{state_dir}/manifest")
-    changed = exports.changed_files(exports.file_digests(spark, landing_dir), manifest)
+    changed = exports.changed_files(exports.file_digests(spark, landing_dir, digest), manifest)
     # one row per changed file: a file listing, bounded by the number of files
     files = [(r["path"], r["file_name"], r["md5"]) for r in changed.select("path", "file_name", "md5").collect()]
     if not files:
@@ -402,7 +410,8 @@ def new_run_id() -> str:
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
                  mode: str = "upsert", names: tuple[str, ...] | None = None,
-                 keep_intermediates: bool = False, compact_over: int | None = None) -> dict:
+                 keep_intermediates: bool = False, compact_over: int | None = None,
+                 digest: str = "lines") -> dict:
     """The whole refresh.
 
     ``source="exports"``: CSV exports in ``landing_dir`` (paid status ``Paid``, first-action
@@ -410,7 +419,8 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     ``source="tpch"``: the driver's Parquet ``orders`` in ``orders_dir`` (paid status ``F``,
     first-action cohorts from orders of any status).
     The intermediates this run writes to the checkpoint folder are deleted once the marts are
-    written, unless ``keep_intermediates``.
+    written, unless ``keep_intermediates``. ``digest``: ``lines`` (distributed, default) or
+    ``md5`` (file bytes; comparable with an imported manifest, see ``import_manifest``).
     """
     check_session(spark)
     run_id = new_run_id()
@@ -419,7 +429,7 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     with scratch_scope(spark, cleanup=not keep_intermediates) as scratch:
         if source == "exports":
             state = f"{out_dir.rstrip('/')}/_state"
-            ingested = ingest_exports(spark, landing_dir, state, run_id, mode, compact_over)
+            ingested = ingest_exports(spark, landing_dir, state, run_id, mode, compact_over, digest)
             if ingested is None:
                 report["skipped"] = "no new or changed file"
                 return report

@@ -66,6 +66,15 @@ def line_digests(text: DataFrame) -> DataFrame:
                            F.md5(F.concat_ws(":", F.col("n").cast("string"), F.col("s").cast("string"))).alias("md5"))
 
 
+def manifest_from_json(spark: SparkSession, path: str) -> DataFrame:
+    """A ``{file_name: md5}`` JSON object (the manifest format of the original tool) as manifest
+    rows. Its hashes are md5 of the file bytes, so use ``method="md5"`` digests with it."""
+    text = spark.read.option("wholetext", True).text(path)
+    entries = F.explode(F.from_json("value", "map<string,string>"))
+    return text.select(entries.alias("file_name", "md5")).select(
+        "file_name", "md5", F.lit(None).cast("timestamp").alias("loaded_at"))
+
+
 def changed_files(digests: DataFrame, manifest: DataFrame | None) -> DataFrame:
     """D-02: files that are new or whose md5 differs from the manifest (anti-join)."""
     if manifest is None:

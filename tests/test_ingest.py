@@ -350,3 +350,19 @@ def test_exports_pipeline_equals_tpch_pipeline(spark, tmpdir_run):
         if name == "paid_only":  # the export's order id is the first-action id column (= o_orderkey + 1000 here)
             a = a.withColumn("order_id", F.col("order_id") - 1000)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_imported_json_manifest_skips_files_already_loaded(spark, tmpdir_run):
+    import hashlib
+    import json
+    from donorlens.plans.pipeline import import_manifest
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    text = _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid")])
+    _write(os.path.join(land, "orders.csv"), text)
+    _write(os.path.join(land, "ev_1.csv"), EVENTS_HEADER + "1;7;01.01.2024 09:00\n")
+    manifest = os.path.join(tmpdir_run, "hashes.json")
+    _write(manifest, json.dumps({"orders.csv": hashlib.md5(text.encode()).hexdigest()}))
+    import_manifest(spark, manifest, out)
+    r = run_pipeline(spark, out_dir=out, landing_dir=land, as_of="2024-01-31", digest="md5")
+    assert r["files"] == ["ev_1.csv"]                                   # orders.csv is known already
