@@ -292,7 +292,10 @@ def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
     if not read_segments(spark, f"{state}/orders"):
         return {"skipped": "no orders loaded yet"}
     grid, n = _derived_segments(spark, state, "orders", "grid", _orders_grid)
-    grid = base.combine_grids(grid) if n > 1 else grid
+    if n > 1:
+        # one shuffle by customer serves the combine and the per-customer window after it; safe
+        # from skew because a partial grid has at most one row per customer, month and segment
+        grid = base.combine_grids(grid.repartition("customer_id"))
     first, n = _derived_segments(spark, state, "events", "first_actions", _events_first)
     first = base.combine_first_actions(first) if n > 1 else first
     _derived_segments(spark, state, "orders", "paid_only", _orders_paid_only)
