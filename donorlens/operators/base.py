@@ -90,11 +90,14 @@ def with_cohort(grid: DataFrame) -> DataFrame:
     """
     by_customer = Window.partitionBy("customer_id")
     ordered = by_customer.orderBy("month")
-    return (grid.withColumn("cohort_month", F.min("month").over(ordered))
-                .withColumn("next_month", F.lead("month").over(ordered))
-                .withColumn("cust_last_s", F.max("last_s").over(by_customer))
-                .withColumn("cust_orders", F.sum("n_orders").over(by_customer))
-                .withColumn("cust_cents", F.sum("revenue_cents").over(by_customer)))
+    return grid.select(
+        "*",
+        F.min("month").over(ordered).alias("cohort_month"),
+        F.lead("month").over(ordered).alias("next_month"),
+        F.max("last_s").over(by_customer).alias("cust_last_s"),
+        F.sum("n_orders").over(by_customer).alias("cust_orders"),
+        F.sum("revenue_cents").over(by_customer).alias("cust_cents"),
+    )
 
 
 def rejected_activity(activity: DataFrame) -> DataFrame:
