@@ -21,8 +21,8 @@ from donorlens.plans.marts import MartPlan
 from donorlens.schemas import ORDERS_CSV
 from donorlens.session import scratch_path
 from donorlens.sources import exports
-from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, orders_from_tpch,
-                                      purchases_from_events, read_table)
+from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, purchases_from_events,
+                                      read_table, tpch_orders)
 
 ORDERS_AS_OF = dt.date(2001, 8, 1)
 EVENTS_AS_OF = dt.date(2024, 2, 1)
@@ -45,7 +45,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:
-    return orders_from_tpch(read_table(spark, d, "orders"))
+    return tpch_orders(spark, d)
 
 
 def _plan(spark: SparkSession, d: str) -> MartPlan:
