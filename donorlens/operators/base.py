@@ -53,12 +53,14 @@ def donor_month_grid(paid: DataFrame, precision: str = "minute") -> DataFrame:
     seconds of the first/last order that month, at ``precision`` - the reference reads these
     times with an ``HH24:MI`` pattern, so minutes by default).
     """
-    ts_s = epoch_seconds("order_ts", precision)
-    return paid.groupBy(F.col("customer_id"), month_start("order_ts").alias("month")).agg(
+    # each per-row expression evaluated once, in the same codegen stage as the partial aggregate
+    rows = paid.select("customer_id", month_start("order_ts").alias("month"),
+                       to_cents("amount").alias("cents"), epoch_seconds("order_ts", precision).alias("ts_s"))
+    return rows.groupBy("customer_id", "month").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(to_cents("amount")).alias("revenue_cents"),
-        F.min(ts_s).alias("first_s"),
-        F.max(ts_s).alias("last_s"),
+        F.sum("cents").alias("revenue_cents"),
+        F.min("ts_s").alias("first_s"),
+        F.max("ts_s").alias("last_s"),
     )
 
 
