@@ -49,7 +49,7 @@ def _brute(rows):
     return out
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(orders_st)
 def test_cdr_matches_brute_force(spark, orders_df, rows):
     frame = orders_df([(c, i, "Paid", f"{_month(off).isoformat()[:8]}{day:02d} {hour:02d}:00", 10)
@@ -69,7 +69,7 @@ slot_orders_st = st.lists(st.tuples(st.integers(1, 5), st.integers(0, 17), st.bo
 AS_OF_OFF = 16  # as-of date 2024-05-20: slot 1 is 2024-05
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(slot_orders_st)
 def test_slot_marts_match_brute_force(spark, orders_df, rows):
     from donorlens.plans.marts import MartPlan
