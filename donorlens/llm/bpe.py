@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from donorlens.llm.common import ship
+
 REMEMBER = 200_000
 BATCH_IDS = 2_000_000
 #: Displacements tried at once.
@@ -231,6 +233,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
            spaced: bool = True) -> DataFrame:
     """``docs`` with its text replaced by ``ids`` (array of int; a column of that name is replaced too). ``spaced``: see
     ``Encoder``; turn it off for a pattern that needs it."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(vocabulary_path)))
     keep = _clash(docs, "ids", text_col.lower())
     given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
@@ -240,6 +243,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ids (null ids: null); a column of that name is replaced."""
+    ship(encoded.sparkSession)
     held = encoded.sparkSession.sparkContext.broadcast({i: token for token, i in read_ranks(vocabulary_path).items()})
     given = encoded.select(*[F.col(f"`{c}`") for c in _clash(encoded, "decoded", ids_col.lower())], F.col(ids_col))
     return given.mapInArrow(_decoder(held), T.StructType([*given.schema.fields, T.StructField("decoded", T.BinaryType())]))

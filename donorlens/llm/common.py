@@ -5,8 +5,11 @@ narrow decision table, and connected components.
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from donorlens.session import materialize
@@ -18,6 +21,23 @@ BROADCAST_ROWS = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors, once per application, so that Python tasks find them wherever the
+    driver was started."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="donorlens-code-")) / "donorlens_code.zip"
+        with zipfile.ZipFile(path, "w") as code:
+            for module in sorted(root.rglob("*.py")):
+                code.write(module, module.relative_to(root.parent))
+        context.addPyFile(str(path))
+        _SHIPPED.add(context.applicationId)
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)

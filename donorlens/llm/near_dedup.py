@@ -3,16 +3,21 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
 
 1. Each text becomes its set of distinct word shingles (hashes) and a sketch, the k smallest of them. Texts with equal
    sets form one class, of which one representative goes on; a thousand copies cost one row.
-2. Each retained value has an inverted list of the representatives that hold it. First every member is paired with the
-   smallest member of its lists only, so that a list with a third of all rows gives a pair per member; proven links
-   are joined into components.
-3. Lists that still hold several components are completed: all pairs of members in *different* components, counted per
-   pair as overlaps. A list of over ``HOT_LIST`` members is completed among those members alone of whose sketch over a
-   quarter lies in such lists. The others share enough short lists to be found there: of the k smallest values of a
-   union, three in four lie in both texts at the threshold, so a pair with at most k/4 = 8 values in long lists also
-   meets in a short one but for a chance of 4e-9 (Bin(32, 0.75) <= 8). No member is ever left out or sampled.
+2. Each of the ``LISTED`` smallest retained values has an inverted list of the representatives that hold it. First every
+   member is paired with one leader of each of its lists only, so that a list with a third of all rows gives a pair per
+   member. The leader is the member whose values have the longest lists: of copies with changes it is the text they
+   derive from. Proven links are joined into components.
+3. Lists that still hold several components are completed: all pairs of members of like size in *different* components with
+   at least ``MEET`` common listed values, each pair in the list of its smallest one only. A list of over ``HOT_LIST`` members is
+   completed among those members alone of whose listed values over an eighth lie in such lists. The others share
+   enough short lists to be found there: of the 16 smallest values of a union, three in four lie in both texts at the
+   threshold, so a pair with at most two values in long lists also meets in a short one but for a chance of 2e-7
+   (Bin(16, 0.75) <= 2). In long lists a bound comes first: of each member's full set, the shingles that any other of
+   these members holds are counted, as an intersection can't be larger. Members and pairs whose bound is under the
+   threshold go, such as copies with too many changes, whose changed passages are their own. All that is exact; no
+   member is ever left out or sampled.
 4. A pair's similarity is estimated from the k smallest values of both sketches' union; pairs with under ``FLOOR`` of
-   them in common go (a true link does with a chance of 3e-8). The rest is decided on full sets:
+   them in common go (a true link does with a chance of 1e-8). The rest is decided on full sets:
    100 * intersection >= 75 * union.
 
 Defined cases: a null, empty or blank text has no shingles and links with nothing; a text with fewer words than a
@@ -29,15 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlens.llm.common import bounded, components, drop_ids
+from donorlens.llm.common import bounded, components, drop_ids, ship
 from donorlens.llm.shingles import shingle_set
 from donorlens.session import materialize
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75
-SKETCH = 32
+SKETCH = 64
+LISTED = 16
 HOT_LIST = 128
-FLOOR = 0.3
+#: Least number of common listed values of a pair (fewer with a chance of 2e-7 at the threshold).
+MEET = 3
+FLOOR = 0.42
 
 
 def _per_text(size: int, sketch: int | None):
@@ -67,6 +75,7 @@ def _per_text(size: int, sketch: int | None):
 
 
 def _sets(docs: DataFrame, size: int, sketch: int | None) -> DataFrame:
+    ship(docs.sparkSession)
     kind = dict(docs.dtypes)["id"]
     return docs.mapInArrow(_per_text(size, sketch), f"id {kind}, n long, mark binary, vals array<long>")
 
@@ -90,8 +99,14 @@ def _proven(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, th
                        .select("a", "b").distinct(), f"{name}-links")
 
 
+def _several(rest: DataFrame) -> DataFrame:
+    """The members of lists that hold several parts, with the list's size."""
+    sizes = rest.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    return rest.join(sizes.select("value", "size"), "value")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
-                    threshold: int = THRESHOLD, k: int = SKETCH, hot: int = HOT_LIST) -> DataFrame:
+                    threshold: int = THRESHOLD, k: int = SKETCH, hot: int = HOT_LIST, listed: int = LISTED) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable over links with a Jaccard
     similarity of at least ``threshold`` per cent) and kept (it is that smallest id)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -99,33 +114,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sketches.where("n > 0 AND id IS NOT NULL")
     classes = materialize(known.groupBy("mark", "n").agg(F.min("id").alias("id"), F.first("vals").alias("vals")),
                           "near-classes")
-    postings = classes.select("id", F.size("vals").alias("kept"), F.explode("vals").alias("value"))
-    lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min("id").alias("first"),
-                                          F.max("id").alias("last")).where("first <> last").drop("last")
+    brief = classes.select("id", "n", F.slice("vals", 1, listed).alias("listed"))
+    postings = brief.select("id", F.size("listed").alias("kept"), F.explode("listed").alias("value"))
+    lists = postings.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
     members = materialize(postings.join(lists, "value"), "near-members")
-
-    star = materialize(members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
-                       "near-star")
+    # a member's weight: how many others it meets per value; that of a text from which others derive is the largest
+    weights = members.groupBy("id", "kept").agg((F.sum("members") / F.first("kept")).alias("weight"),
+                                                F.sum((F.col("members") > hot).cast("int")).alias("long"))
+    weights = materialize(weights, "near-weights")
+    often = weights.where("long * 8 > kept").select("id")
+    long = members.where(F.col("members") > hot).join(often, "id", "left_semi")
+    completed = members.where(F.col("members") <= hot).unionByName(long).select("id", "value")
+
+    leader = F.min(F.struct((-F.round("weight", 6)).alias("order"), "id")).alias("leader")
+    met = members.join(weights.select("id", "weight"), "id")
+    star = met.join(met.groupBy("value").agg(leader), "value").where("id <> leader.id").select(
+        F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b"))
+    star = materialize(star.distinct(), "near-star")
     links = _proven(star, classes, rows, size, threshold, k, "near-star")
-    parts = components(links, "a", "b")
-
-    often = (members.where(F.col("members") > hot).groupBy("id", "kept").count()
-             .where(F.col("count") * 4 > F.col("kept")).select("id"))
-    short, long = members.where(F.col("members") <= hot), members.where(F.col("members") > hot)
-    rest = (short.unionByName(long.join(often, "id", "left_semi")).select("id", "value")
-            .join(parts.withColumnRenamed("node", "id"), "id", "left")
-            .select("id", "value", F.coalesce("component", "id").alias("part")))
-    rest = materialize(rest, "near-rest")
-    several = rest.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("value")
-    ends = rest.join(several, "value")
-    left, right = (ends.select("value", F.col("id").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
-    pairs = (left.join(right, "value").where("a < b AND part_a <> part_b").groupBy("a", "b").agg(F.count("*").alias("overlap"))
-             .join(star, ["a", "b"], "left_anti").select("a", "b"))
+    parts = components(links, "a", "b").withColumnRenamed("node", "id")
+
+    rest = completed.join(parts, "id", "left").join(brief, "id").select("id", "value", "n", "listed", F.coalesce("component", "id").alias("part"))
+    ends = materialize(_several(rest), "near-ends")
+    family = ends.where(F.col("size") > hot).select("id").distinct()
+    held = materialize(_sets(rows.join(bounded(family), "id", "left_semi"), size, None).select("id", "vals"), "near-family")
+    held = held.select("id", F.explode("vals").alias("shingle"))
+    shared = (held.join(held.groupBy("shingle").count().where("count > 1"), "shingle", "left_semi")
+              .groupBy("id").agg(F.count("*").alias("shared")))
+    ends = ends.join(shared, "id", "left").where(F.col("shared").isNull() | (F.col("shared") * 100 >= F.col("n") * threshold))
+    ends = materialize(_several(ends.drop("size")), "near-open")
+
+    left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "part", "n", "listed", "shared")]) for x in "ab")
+    common = F.array_intersect("listed_a", "listed_b")
+    reach = F.least("shared_a", "shared_b") * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold
+    both = F.col("shared_a").isNotNull() & F.col("shared_b").isNotNull()
+    pairs = (left.join(right, "value").where("id_a < id_b AND part_a <> part_b")
+             .where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold) & (~both | reach))
+             .where((F.size(common) >= F.least(F.lit(MEET), F.size("listed_a"), F.size("listed_b"))) & (F.array_min(common) == F.col("value")))
+             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(star, ["a", "b"], "left_anti"))
     more = _proven(materialize(pairs, "near-pairs"), classes, rows, size, threshold, k, "near-rest")
-    parts = components(links.unionByName(more), "a", "b")
+    if more.limit(1).count():
+        parts = components(links.unionByName(more), "a", "b").withColumnRenamed("node", "id")
 
-    reached = classes.select(F.col("id").alias("node"), "mark", "n").join(parts, "node", "left").select(
-        "mark", "n", F.coalesce("component", "node").alias("component_id"))
+    reached = classes.select("id", "mark", "n").join(parts, "id", "left").select(
+        "mark", "n", F.coalesce("component", "id").alias("component_id"))
     out = known.select("id", "mark", "n").join(reached, ["mark", "n"], "left").select("id", "n", "component_id")
     other = sketches.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
     return out.unionByName(other).select(

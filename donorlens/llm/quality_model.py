@@ -21,6 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from donorlens.llm.common import ship
 from donorlens.llm.labelled import fit_logistic
 
 PER_CLASS = 4000
@@ -95,6 +96,7 @@ def fit(texts: list[str], labels: list[int]) -> CompressionModel:
 
 def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, difference and score (0 to 1, higher: better)."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlens.llm.common import bounded
+from donorlens.llm.common import bounded, ship
 from donorlens.llm.shingles import window_hashes, word_hashes
 from donorlens.session import materialize
 
@@ -84,6 +84,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
           max_docs: int = MAX_DOCS, min_share: int = MIN_SHARE) -> DataFrame:
     """One row per row of ``docs``: id, the five counts, base_failed, removed_words, removed_lines (positions of the lines
     above the limit, from 0) and kept."""
+    ship(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
                        F.col(text_col).cast("binary").alias("text"))

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from donorlens.llm.common import ship
 from donorlens.llm.labelled import fit_logistic
 from donorlens.llm.shingles import window_hashes, word_hashes
 
@@ -235,6 +236,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> ToxicityModel:
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
                    remember: int = REMEMBER) -> DataFrame:
     """One row per row of ``docs``: id, margin, score (0 to 1, higher: toxic) and worst, the word of the highest margin."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlens.llm.common import ascii_lower
+from donorlens.llm.common import ascii_lower, ship
 from donorlens.session import materialize
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
@@ -96,6 +96,7 @@ def names_in(text):
 
 def segment(names: DataFrame, corpus: DataFrame) -> DataFrame:
     """``names`` (name) to (name, words). ``corpus`` has the counted words (word, n)."""
+    ship(names.sparkSession)
     corpus = corpus.where(F.length("word") <= MAX_WORD)
     total = corpus.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     places = names.select("name", F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("at"))
