@@ -138,10 +138,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ends = materialize(_several(rest), "near-ends")
     family = ends.where(F.col("size") > hot).select("id").distinct()
     held = materialize(_sets(rows.join(bounded(family), "id", "left_semi"), size, None).select("id", "vals"), "near-family")
-    held = held.select("id", F.explode("vals").alias("shingle"))
-    shared = (held.join(held.groupBy("shingle").count().where("count > 1"), "shingle", "left_semi")
-              .groupBy("id").agg(F.count("*").alias("shared")))
-    ends = ends.join(shared, "id", "left").where(F.col("shared").isNull() | (F.col("shared") * 100 >= F.col("n") * threshold))
+    # shingles that one member alone holds; the rest of its set is what others can share with it
+    alone = (held.select("id", F.explode("vals").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("count"), F.min("id").alias("id"))
+             .where("count = 1").groupBy("id").agg(F.count("*").alias("alone")))
+    shared = family.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
+    ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
+    ends = ends.where(F.col("shared").isNull() | (F.col("shared") * 100 >= F.col("n") * threshold))
     ends = materialize(_several(ends.drop("size")), "near-open")
 
     left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "part", "n", "listed", "shared")]) for x in "ab")
