@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from donorlens.llm.common import ship
 
-REMEMBER = 200_000
+REMEMBER = 500_000
 BATCH_IDS = 2_000_000
 #: Displacements tried at once.
 TRIES = 64
@@ -98,6 +98,7 @@ class Vocabulary:
         self.keys = list(ranks)
         self.ids = [array("i", [i]).tobytes() for i in ranks.values()]
         self.hash = PerfectHash(self.keys)
+        self.mark = xxhash.xxh3_128_hexdigest(b" ".join(self.keys) + b"".join(self.ids))
         #: left id << 32 | right id: the token that the two make
         self.pairs = {ranks[a] << 32 | ranks[b]: i for token, i in ranks.items() for k in range(1, len(token))
                       if (a := token[:k]) in ranks and (b := token[k:]) in ranks}
@@ -167,10 +168,19 @@ class Encoder:
     """Encodes texts. With ``spaced``, stretches between single spaces are remembered with the ids of all their
     pre-tokens; that holds for patterns of which no match goes on from another character to a space."""
 
+    last = None
+
     def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = REMEMBER, spaced: bool = True):
         self.find, self.spaced = regex.compile(pattern).findall, spaced
         self.pieces = _Memory(lambda new: vocabulary.encode_many([x.encode() for x in new]), remember)
-        self.stretches = _Memory(self._many, remember)
+        self.stretches = _Memory(self._many, remember // 2)
+
+    @classmethod
+    def shared(cls, vocabulary: Vocabulary, *args) -> Encoder:
+        """One encoder for all tasks of a Python worker, so that a task goes on with what the last one remembers."""
+        if cls.last is None or cls.last[0] != (vocabulary.mark, *args):
+            cls.last = (vocabulary.mark, *args), cls(vocabulary, *args)
+        return cls.last[1]
 
     def _many(self, stretches: list[str]) -> list[bytes | None]:
         found = [self.find(" " + x) for x in stretches]
@@ -199,7 +209,7 @@ class Encoder:
 
 def _encoder(held, pattern: str, remember: int, spaced: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value, pattern, remember, spaced)
+        encoder = Encoder.shared(held.value, pattern, remember, spaced)
         for batch in batches:
             texts, begin, ids, at = batch.column(batch.num_columns - 1), 0, [], [0]
             for i in range(batch.num_rows):
@@ -217,14 +227,35 @@ def _encoder(held, pattern: str, remember: int, spaced: bool):
 
 def _decoder(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = held.value.__getitem__
+        blob, start, length = held.value
         for batch in batches:
-            out = [None if (ids := x.as_py()) is None else b"".join(map(token, ids)) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
+            column = batch.column(batch.num_columns - 1)
+            found = []
+            for i in range(batch.num_rows):  # a text at a time: ids to where their bytes lie, then one gather
+                out = None
+                if column[i].is_valid:
+                    ids = column[i].values.to_numpy()
+                    sizes = length[ids]
+                    ends = np.cumsum(sizes)
+                    at = np.arange(ends[-1] if len(ids) else 0) + np.repeat(start[ids] - ends + sizes, sizes)
+                    out = blob[at].tobytes()
+                found.append(out)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
+                                             names=[*batch.schema.names, "decoded"])
 
     return run
 
 
+def _token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes in a row, and by id where a token starts and how long it is."""
+    start, length = (np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64) for _ in range(2))
+    at = 0
+    for token, i in ranks.items():
+        start[i], length[i] = at, len(token)
+        at += len(token)
+    return np.frombuffer(b"".join(ranks), dtype=np.uint8), start, length
+
+
 def _clash(docs: DataFrame, *names: str) -> list[str]:
     return [c for c in docs.columns if c.lower() not in names]
 
@@ -244,6 +275,6 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ids (null ids: null); a column of that name is replaced."""
     ship(encoded.sparkSession)
-    held = encoded.sparkSession.sparkContext.broadcast({i: token for token, i in read_ranks(vocabulary_path).items()})
+    held = encoded.sparkSession.sparkContext.broadcast(_token_bytes(read_ranks(vocabulary_path)))
     given = encoded.select(*[F.col(f"`{c}`") for c in _clash(encoded, "decoded", ids_col.lower())], F.col(ids_col))
     return given.mapInArrow(_decoder(held), T.StructType([*given.schema.fields, T.StructField("decoded", T.BinaryType())]))
