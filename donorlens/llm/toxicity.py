@@ -10,7 +10,7 @@ sentences of clean texts are clean. A word is evidence if its share among toxic
 ``LIFT`` times that among clean ones and no chance finding (likelihood ratio statistic of ``SURPRISE``, for up to millions
 of words); a toxic text's sentence is toxic if it holds evidence, and its other
 sentences are left out. Each toxic sentence stands for its evidence words, also with gaps and inserted characters; clean
-sentences for their words. A linear machine (squared hinge loss) is fitted on the kernels with ``LANDMARKS`` words, whitened
+sentences for their words, those most like toxic ones in several rounds. A linear machine (squared hinge loss) is fitted on the kernels with ``LANDMARKS`` words, whitened
 by the landmarks' own kernel matrix. As kernel values are sums over subsequences, the fitted machine is one weight per
 subsequence, which is what tasks look up: the same value without a pass over the landmarks.
 
@@ -46,12 +46,16 @@ DECAY = 0.5
 SURPRISE = 30.0
 LIFT = 20.0
 LANDMARKS = 400
+ROUNDS = 3
+HARD = 1500
 LONG = 32
 REMEMBER = 300_000
 CODES = 64
 
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]\s){3,}[^\W\d_](?!\S)")
+#: Stands before a word and counts as a letter, so that a beginning differs from the same letters further on.
+START = "\x02"
 _STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 
 
@@ -64,6 +68,7 @@ def words_of(text: str) -> set[str]:
 
 
 def _pieces(word: str) -> list[str]:
+    word = START + word
     return [word] if len(word) <= LONG else [word[i:i + LONG] for i in range(0, len(word) - LONG // 2, LONG // 2)]
 
 
@@ -71,7 +76,7 @@ class Features:
     """Three-letter subsequences of words as numbers under ``CODES ** 3``."""
 
     def __init__(self, letters: str):
-        self.letters = {c: i + 1 for i, c in enumerate(letters)}
+        self.letters = {c: i + 1 for i, c in enumerate(START + letters)}
 
     def codes(self, words: list[str]) -> np.ndarray:
         """A row per word: 0 for a gap and past its end, ``CODES - 1`` for an unlisted letter."""
@@ -205,26 +210,33 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> ToxicityModel:
     others = sorted(set(negative) - set(common))
     others = rng.sample(others, min(len(others), 6000))
     letters = Counter(c for w, n in negative.items() for c in w * min(n, 3) if c.isalpha()) + Counter(c for w in positive for c in w if c.isalpha())
-    letters = "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:CODES - 2])
+    letters = "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:CODES - 3])
     features = Features(letters)
-    good = [w[:LONG] for w in common + others]
-    bad = [w[:LONG] for w in positive]
-    bad += [x[:LONG] for w in positive[:400] for x in _disguised(w, rng)]
+    good = [_pieces(w)[0] for w in common + others]
+    bad = [_pieces(x)[0] for w in positive for x in (w, *(_disguised(w, rng) if w in positive[:400] else ()))]
     marks = positive[:LANDMARKS * 5 // 8]
-    marks = [w[:LONG] for w in marks + rng.sample(common + others, min(len(common + others), LANDMARKS - len(marks)))]
+    marks = [_pieces(w)[0] for w in marks + rng.sample(common + others, min(len(common + others), LANDMARKS - len(marks)))]
     used = np.unique(np.concatenate([found.ravel() for found, _ in features.each(marks)]))
     used = used[used > 0]
     landmarks = features.table(marks, used)
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     keep = values > 1e-4 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
-    words = bad + good
-    kernel = np.vstack([features.table(words[i:i + 1000], used) @ landmarks.T for i in range(0, len(y), 1000)])
-    w = _svm(kernel.astype(np.float64) @ whiten, y)
-    weights = np.zeros(CODES ** 3)
-    weights[used] = landmarks.T @ (whiten @ w[:-1])
-    model = ToxicityModel(letters, weights, float(w[-1]), 1.0, 0.0)
+
+    def kernel(words: list[str]) -> np.ndarray:
+        return np.vstack([features.table(words[i:i + 1000], used) @ landmarks.T for i in range(0, len(words), 1000)]).astype(np.float64) @ whiten
+
+    on, off = kernel(bad), kernel(good)
+    every = sorted(negative)
+    for _ in range(ROUNDS):
+        w = _svm(np.vstack([on, off]), np.r_[np.ones(len(on)), -np.ones(len(off))])
+        weights = np.zeros(CODES ** 3)
+        weights[used] = landmarks.T @ (whiten @ w[:-1])
+        model = ToxicityModel(letters, weights, float(w[-1]), 1.0, 0.0)
+        # the clean words most like toxic ones join the next round
+        margins = model.margins(every)
+        near = [every[k] for k in np.argsort(-margins)[:HARD]]
+        off = np.vstack([off, kernel([max(_pieces(x), key=lambda p: features.sums([p], weights)[0]) if len(x) >= LONG else _pieces(x)[0] for x in near])])
     sets = [words_of(t) for t in texts[::2]]  # every other text calibrates the curve
     every = sorted(set().union(*sets))
     memory = dict(zip(every, model.margins(every).tolist(), strict=True))
