@@ -7,7 +7,7 @@ Rules are (host, path, verdict). A rule fits its host and all subdomains if the
 one with the longest host, then the longest path wins.
 
 Segmentation. Host and path are cut at everything but letters into names ("cheappills"). Words are counted over the whole html
-of all pages and over the names themselves; a name is split by Viterbi's method into the words of the highest product
+of all pages (each listed bad word counting once more); a name is split by Viterbi's method into the words of the highest product
 of probabilities, an unknown word of n letters counting 10**-n of an unseen one. Only substrings (up to ``MAX_WORD``
 letters) of the distinct names are joined with the counts, so the dictionary never has to fit into a task.
 
@@ -121,7 +121,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     written = pages.select(F.explode(names_in(F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), r"<[^>]*>", " "))).alias("word"))
     named = hosts.select(F.explode("names").alias("word")).unionByName(paths.select(F.explode("names").alias("word")))
     listed = pages.sparkSession.createDataFrame([(x,) for x in seeds], "word string")
-    corpus = written.unionByName(named).unionByName(listed).groupBy("word").agg(F.count("*").alias("n"))
+    corpus = written.unionByName(listed).groupBy("word").agg(F.count("*").alias("n"))
     names = materialize(segment(named.distinct().withColumnRenamed("word", "name"), corpus), "url-names")
 
     parts = lambda df, *keys: (df.select(*keys, F.posexplode("names").alias("pos", "name")).join(names, "name")
