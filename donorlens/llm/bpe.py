@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from donorlens.llm.common import ship
 
-REMEMBER = 500_000
+REMEMBER = 300_000
 BATCH_IDS = 2_000_000
 #: Displacements tried at once.
 TRIES = 64
