@@ -23,19 +23,16 @@ from pyspark.sql.types import DecimalType
 INT38 = DecimalType(38, 0)
 MONEY = DecimalType(38, 2)
 
-# Operand precisions for the exact integer division: x / y with x Decimal(24,0) and y
-# Decimal(13,0) is computed by Spark at scale 14, enough to keep (y-1)/y below 1, so floor()
-# of the quotient is the exact integer quotient. Overflow of a cast raises under ANSI mode.
-_X_PREC, _Y_PREC = 24, 13
-
 
 def ratio_scaled_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
     """SQL: ``round(num * mult / den, scale) * 10^scale`` as an integral DECIMAL, half away
     from zero; NULL when ``den`` is 0 or NULL (the reference's ``NULLIF(den, 0)``)."""
     k2 = 2 * mult * 10**scale
-    x = f"CAST(CAST(abs({num}) AS DECIMAL({_X_PREC},0)) * {k2} + ({den}) AS DECIMAL({_X_PREC},0))"
-    y = f"CAST(({den}) * 2 AS DECIMAL({_Y_PREC},0))"
-    q = f"floor({x} / {y})"
+    # integral division of decimals is exact for operands of any size; only the quotient has to
+    # fit a BIGINT. Overflow raises under ANSI mode.
+    d = f"CAST(({den}) AS DECIMAL(20,0))"
+    x = f"CAST(CAST(abs({num}) AS DECIMAL(28,0)) * CAST({k2} AS DECIMAL(9,0)) + {d} AS DECIMAL(38,0))"
+    q = f"CAST({x} div CAST({d} * CAST(2 AS DECIMAL(1,0)) AS DECIMAL(38,0)) AS DECIMAL(20,0))"
     return f"(CASE WHEN ({den}) != 0 THEN (CASE WHEN ({num}) < 0 THEN -{q} ELSE {q} END) END)"
 
 
@@ -87,11 +84,10 @@ def ratio_scaled(num: str | Column, den: str | Column, scale: int = 2, mult: int
         return F.expr(ratio_scaled_sql(num, den, scale, mult))
     num, den = _c(num), _c(den)
     k2 = 2 * mult * 10**scale
-    x = (F.abs(num).cast(DecimalType(_X_PREC, 0)) * F.lit(k2) + den).cast(DecimalType(_X_PREC, 0))
-    y = (den * F.lit(2)).cast(DecimalType(_Y_PREC, 0))
-    q = F.floor(x / y)
-    q = F.when(num < 0, -q).otherwise(q)
-    return F.when(den != 0, q)
+    d = den.cast(DecimalType(20, 0))
+    x = (F.abs(num).cast(DecimalType(28, 0)) * F.lit(k2).cast(DecimalType(9, 0)) + d).cast(INT38)
+    q = F.call_function("div", x, (d * F.lit(2).cast(DecimalType(1, 0))).cast(INT38)).cast(DecimalType(20, 0))
+    return F.when(den != 0, F.when(num < 0, -q).otherwise(q))
 
 
 def ratio_decimal(num: str | Column, den: str | Column, scale: int = 2, mult: int = 1) -> Column:

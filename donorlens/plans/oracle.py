@@ -10,8 +10,19 @@ on cents and counts; DuckDB's DOUBLE division would round differently.
 
 from __future__ import annotations
 
-from donorlens.operators.cohorts import ARPPU_SCALE
-from donorlens.operators.rfm import SEGMENTS
+# Fixed values of the mart definitions, written out here so that the code under test can't change them.
+ARPPU_SCALE = 6
+SEGMENTS: list[tuple[str, list[str]]] = [
+    ("VIP", ["444", "443", "344"]),
+    ("Постоянные", ["442", "441", "434", "433", "432", "331", "332", "343", "342", "334"]),
+    ("Новые", ["431", "424", "423", "422", "421", "414", "413", "412", "411"]),
+    ("Высокий потенциал", ["341", "333", "324", "323", "322", "243"]),
+    ("Малоактивные", ["321", "314", "313", "312", "311", "241", "232", "222", "221", "214",
+                      "213", "212", "211", "142", "141"]),
+    ("Спящие", ["234", "233", "242", "244", "144", "224", "223", "143"]),
+    ("Потерянные", ["134", "133", "132", "131", "124", "123", "122", "121", "114", "113",
+                    "112", "111"]),
+]
 
 AS_OF = "DATE '2001-08-01'"
 EV_AS_OF = "DATE '2024-02-01'"

@@ -71,7 +71,7 @@ def read_pointer(spark: SparkSession, dir_path: str) -> str | None:
 
 def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str], name: str = "_CURRENT") -> None:
     """Publish ``target`` (one directory or a list of segments): write the pointer to a
-    temporary name, then rename it over the old one."""
+    temporary name, then rename it over the old one in one step."""
     targets = [target] if isinstance(target, str) else list(target)
     fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/" + name)
     tmp = jvm.org.apache.hadoop.fs.Path(dir_path.rstrip("/") + f"/{name}.{uuid.uuid4().hex}")
@@ -80,9 +80,12 @@ def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str], n
         out.write(bytearray("".join(t + "\n" for t in targets).encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    # one step that replaces the old pointer: a crash leaves either the old or the new one
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(options, 1)
+    over[0] = options.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), over)
 
 
 def _run_dir(base_dir: str, run_id: str) -> str:
@@ -410,6 +413,12 @@ def new_run_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
+def _refreshed_from(spark: SparkSession, state: str, as_of: dt.date, names: tuple[str, ...] | None) -> list[str]:
+    """What a refresh depends on: the as-of date, the marts asked for and the published segments of the state tables."""
+    return [f"as_of={as_of.isoformat()}", f"names={','.join(names or ('all',))}"] + [
+        segment for table in ("orders", "events") for segment in read_segments(spark, f"{state}/{table}")]
+
+
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
                  mode: str = "upsert", names: tuple[str, ...] | None = None,
@@ -418,7 +427,8 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     """The whole refresh.
 
     ``source="exports"``: CSV exports in ``landing_dir`` (paid status ``Paid``, first-action
-    cohorts from the events). Nothing is recomputed when no file changed.
+    cohorts from the events). Nothing is recomputed when no file changed and the last refresh succeeded
+    with the same as-of date and marts.
     ``source="tpch"``: the driver's Parquet ``orders`` in ``orders_dir`` (paid status ``F``,
     first-action cohorts from orders of any status).
     The intermediates this run writes to the checkpoint folder are deleted once the marts are
@@ -433,11 +443,13 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
         if source == "exports":
             state = f"{out_dir.rstrip('/')}/_state"
             ingested = ingest_exports(spark, landing_dir, state, run_id, mode, compact_over, digest)
-            if ingested is None:
+            made_from = _refreshed_from(spark, state, as_of, names)
+            if ingested is None and read_segments(spark, state, "_REFRESHED") == made_from:
                 report["skipped"] = "no new or changed file"
                 return report
-            report.update(ingested)
+            report.update(ingested or {})
             report.update(refresh_marts(spark, out_dir, as_of, run_id, names))
+            write_pointer(spark, state, _refreshed_from(spark, state, as_of, names), "_REFRESHED")
         elif source == "tpch":
             orders = orders_from_tpch(read_table(spark, orders_dir, "orders"))
             report.update(_write_all(spark, orders, None, TPCH_PAID_STATUS, as_of, out_dir, run_id, names))

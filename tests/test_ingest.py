@@ -366,3 +366,26 @@ def test_imported_json_manifest_skips_files_already_loaded(spark, tmpdir_run):
     import_manifest(spark, manifest, out)
     r = run_pipeline(spark, out_dir=out, landing_dir=land, as_of="2024-01-31", digest="md5")
     assert r["files"] == ["ev_1.csv"]                                   # orders.csv is known already
+
+
+def test_failed_or_stale_refresh_is_redone(spark, tmpdir_run, monkeypatch):
+    from donorlens.plans import pipeline
+
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid")]))
+    _write(os.path.join(land, "events.csv"), EVENTS_HEADER + "1;7;01.01.2024 09:00\n")
+
+    def run(as_of):
+        return run_pipeline(spark, out_dir=out, as_of=as_of, source="exports", landing_dir=land, names=("rfm",))
+
+    def broken(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "refresh_marts", broken)
+        with pytest.raises(RuntimeError, match="stopped"):
+            run("2024-02-29")
+    assert "marts" in run("2024-02-29")          # the files are loaded, the refresh is redone
+    assert run("2024-02-29").get("skipped")
+    assert "marts" in run("2024-03-31")          # another as-of date

@@ -4,6 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from donorlens.functions.numeric import cents_to_money, ratio_decimal
 from donorlens.functions.timecols import trunc_div
@@ -45,3 +46,10 @@ def test_cents_and_truncating_division(spark):
     r = df.select(cents_to_money("c"), trunc_div(F.col("s"), 86400)).collect()
     assert r[0][0] == Decimal("123.45") and r[1][0] == Decimal("-0.05")
     assert r[0][1] == -1 and r[1][1] == 0          # toward zero, like the day field of an interval
+
+
+def test_ratio_has_no_divisor_cap(spark):
+    # the average span of 10^9 repeat donors: their count times the seconds of a day is the divisor
+    row = spark.createDataFrame([(10**18, 10**9)], "span_s long, donors long")
+    got = row.select(ratio_decimal(F.col("span_s"), F.col("donors") * F.lit(86400), 2).alias("x")).first().x
+    assert str(got) == "11574.07"
