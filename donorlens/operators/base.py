@@ -9,7 +9,7 @@ per-customer window (``with_cohort``) has a bounded partition size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from donorlens.functions.numeric import to_cents
@@ -18,15 +18,22 @@ from donorlens.sources.tables import PAID_STATUS
 
 
 def valid_orders(orders: DataFrame) -> DataFrame:
-    """Rows that can be attributed: customer and time present."""
-    return orders.where(F.col("customer_id").isNotNull() & F.col("order_ts").isNotNull())
+    """Rows that can be attributed: customer and time present, and no value that didn't parse."""
+    return orders.where(F.col("customer_id").isNotNull() & F.col("order_ts").isNotNull() & ~_bad_value(orders))
+
+
+def _bad_value(orders: DataFrame) -> Column:
+    return F.col("bad_value").isNotNull() if "bad_value" in orders.columns else F.lit(False)
 
 
 def rejected_orders(orders: DataFrame) -> DataFrame:
-    """Quarantine: rows with no customer or an unparsable/missing time, with the reason."""
-    reason = (F.when(F.col("customer_id").isNull(), F.lit("null_customer"))
+    """Quarantine: rows with a value that didn't parse, no customer or an unparsable/missing time,
+    with the reason."""
+    reason = (F.when(_bad_value(orders), F.concat(F.lit("bad_value:"), F.col("bad_value")) if "bad_value" in orders.columns
+                     else F.lit(None))
+              .when(F.col("customer_id").isNull(), F.lit("null_customer"))
               .otherwise(F.lit("bad_timestamp")))
-    return (orders.where(F.col("customer_id").isNull() | F.col("order_ts").isNull())
+    return (orders.where(F.col("customer_id").isNull() | F.col("order_ts").isNull() | _bad_value(orders))
             .withColumn("reject_reason", reason))
 
 
@@ -38,7 +45,7 @@ def paid_orders(orders: DataFrame, paid_value: str = PAID_STATUS) -> DataFrame:
 
 def paid_only(orders: DataFrame, paid_value: str = PAID_STATUS) -> DataFrame:
     """D-09 ``paid_only`` mart: user_id, order_id, order_date, order_price (seconds kept)."""
-    return orders.where(F.col("status") == F.lit(paid_value)).select(
+    return valid_orders(orders.where(F.col("status") == F.lit(paid_value))).select(
         F.col("customer_id").alias("user_id"),
         F.col("order_id"),
         F.col("order_ts").alias("order_date"),

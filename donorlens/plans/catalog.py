@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from donorlens.functions.timecols import format_text_ts, parse_text_ts
 from donorlens.operators import base, churn, merge, quality, reshape, rfm
+from donorlens.plans import pipeline
 from donorlens.plans.marts import MartPlan
-from donorlens.schemas import ORDERS_CSV
+from donorlens.schemas import ORDERS_CSV, ORDERS_KEY
 from donorlens.session import scratch_path
 from donorlens.sources import exports
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, purchases_from_events,
@@ -80,10 +81,13 @@ def q_parse_order_times(spark, d):
 
 
 def export_orders_csv(spark: SparkSession, d: str) -> list[str]:
+    return _export_csv(spark, read_table(spark, d, "orders"))
+
+
+def _export_csv(spark: SparkSession, o: DataFrame) -> list[str]:
     """The driver's ``orders`` written as a ``;`` export in the source layout (text times,
     status ``Paid`` for ``F``) to a fresh folder under the shared checkpoint folder; returns
     the file paths (a listing: one entry per file)."""
-    o = read_table(spark, d, "orders")
     path = scratch_path(spark, "orders-export")
     key, first_action, customer, ts, price, status = ORDERS_CSV.fieldNames()
     (o.select(F.col("o_orderkey").alias(key),
@@ -99,7 +103,7 @@ def export_orders_csv(spark: SparkSession, d: str) -> list[str]:
 
 def q_csv_ingest(spark, d):
     """D-01, D-03: the export read back by header name and parsed into canonical orders."""
-    return orders_from_export(exports.read_orders_export(spark, export_orders_csv(spark, d)))
+    return orders_from_export(exports.read_orders_export(spark, export_orders_csv(spark, d))).drop("bad_value")
 
 
 def q_changed_files(spark, d):
@@ -146,6 +150,37 @@ def q_insert_ignore_by_key(spark, d):
     return merge.insert_ignore(existing, incoming, ["order_id"])
 
 
+def _stored(spark, d, mode: str, first, second, raised: bool = False) -> DataFrame:
+    """D-05: two batches of orders exported, loaded one after the other and the table read back."""
+    o, state = read_table(spark, d, "orders"), scratch_path(spark, "stored-orders")
+    later = o.where(second)
+    if raised:
+        later = later.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)") + F.lit(1))
+    for run_id, batch in (("1", o.where(first)), ("2", later)):
+        rows = exports.read_orders_export(spark, _export_csv(spark, batch))
+        pipeline.load_table(spark, "orders", rows, state, [ORDERS_KEY], run_id, mode)
+    out = orders_from_export(pipeline.current_table(spark, state)).drop("bad_value")
+    return out.withColumn("status", F.when(F.col("status") == PAID_STATUS, TPCH_PAID_STATUS).otherwise(F.col("status")))
+
+
+def _overlap():
+    day = F.col("o_orderdate")
+    return day < F.lit("2000-01-01").cast("date"), day >= F.lit("1999-01-01").cast("date")
+
+
+def q_stored_upsert(spark, d):
+    return _stored(spark, d, "upsert", *_overlap(), raised=True)
+
+
+def q_stored_insert_ignore(spark, d):
+    return _stored(spark, d, "insert_ignore", *_overlap(), raised=True)
+
+
+def q_stored_append(spark, d):
+    even = F.col("o_orderkey") % 2 == 0
+    return _stored(spark, d, "append", even, ~even)
+
+
 def q_union_by_name_missing_columns(spark, d):
     """D-04: event files with different column sets concatenated by name."""
     ev = read_table(spark, d, "events")
@@ -306,6 +341,9 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_key_assertion": q_unique_key_assertion,
     "upsert_by_key": q_upsert_by_key,
     "insert_ignore_by_key": q_insert_ignore_by_key,
+    "stored_upsert": q_stored_upsert,
+    "stored_insert_ignore": q_stored_insert_ignore,
+    "stored_append": q_stored_append,
     "union_by_name_missing_columns": q_union_by_name_missing_columns,
     "rfm_base": q_rfm_base,
     "rfm_base_events": q_rfm_base_events,

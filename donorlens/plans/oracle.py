@@ -107,6 +107,11 @@ INSERT_IGNORE_BY_KEY = f"""{_LOADS}
 SELECT {_OCOLS} FROM ex
 UNION ALL SELECT {_OCOLS} FROM inc WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.order_id = inc.order_id)"""
 
+STORED_APPEND = """
+SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderstatus AS status, o_orderdate AS order_ts,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM orders"""
+
 UNION_BY_NAME = """
 SELECT event_id, user_id, ts, CAST(NULL AS DOUBLE) AS value FROM events WHERE event_type IN ('click', 'view')
 UNION ALL
@@ -353,6 +358,9 @@ ORACLE: dict[str, str] = {
     "unique_key_assertion": UNIQUE_KEY_ASSERTION,
     "upsert_by_key": UPSERT_BY_KEY,
     "insert_ignore_by_key": INSERT_IGNORE_BY_KEY,
+    "stored_upsert": UPSERT_BY_KEY,
+    "stored_insert_ignore": INSERT_IGNORE_BY_KEY,
+    "stored_append": STORED_APPEND,
     "union_by_name_missing_columns": UNION_BY_NAME,
     "rfm_base": RFM_BASE,
     "rfm_base_events": RFM_BASE_EVENTS,

@@ -164,6 +164,36 @@ def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None
 
 # ---- ingest ----------------------------------------------------------------------------------
 
+def load_table(spark: SparkSession, name: str, rows: DataFrame, table_dir: str, key: list[str], run_id: str,
+               mode: str = "upsert") -> dict[str, int]:
+    """Keyed load of export rows into one state table (see ``load_files``); rows loaded per file."""
+    if _run_dir(table_dir, run_id) in read_segments(spark, table_dir):
+        return {}  # already loaded by an earlier attempt of this run (a replayed micro-batch)
+    # rows keep their lineage: _source_file (export file) and _load_run (this load)
+    incoming = rows.withColumn("_load_run", F.lit(run_id))
+    old = current_table(spark, table_dir)
+    # D-07: the batch's keys are unique and not NULL; with the stored keys unique, every
+    # mode below keeps the table unique by construction (anti-join before union)
+    quality.assert_unique(incoming, key, f"{name} batch")
+    if old is None:
+        commit_table(spark, incoming, table_dir, run_id)
+    elif mode == "upsert":
+        # rewrites only the segments holding superseded keys (copy-on-write per segment)
+        upsert_segments(spark, table_dir, old, incoming, key, run_id)
+    elif mode == "insert_ignore":
+        # only the rows with new keys are written, as one more segment: the stored table is
+        # read for its key column only and never rewritten
+        commit_table(spark, merge.new_rows(old, incoming, key), table_dir, run_id, append=True)
+    else:
+        clash = incoming.join(old.select(*key), key, "left_semi").count()
+        if clash:
+            raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
+        commit_table(spark, incoming, table_dir, run_id, append=True)
+    written = spark.read.parquet(_run_dir(table_dir, run_id)).where(F.col("_load_run") == run_id)
+    counts = exports.rows_per_file(written).collect()  # rows loaded, one row per file
+    return {r["_source_file"]: r["rows"] for r in counts}
+
+
 def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir: str, run_id: str,
                mode: str = "upsert") -> dict:
     """Keyed load of the given export files (path, file_name, md5) into the state tables,
@@ -180,33 +210,7 @@ def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir
                                 ("events", event_paths, exports.read_events_export)):
         if not paths:
             continue
-        table_dir = f"{state_dir}/{name}"
-        if _run_dir(table_dir, run_id) in read_segments(spark, table_dir):
-            continue  # already loaded by an earlier attempt of this run (a replayed micro-batch)
-        # rows keep their lineage: _source_file (export file) and _load_run (this load)
-        incoming = reader(spark, paths).withColumn("_load_run", F.lit(run_id))
-        old = current_table(spark, table_dir)
-        key = [key_of[name]]
-        # D-07: the batch's keys are unique and not NULL; with the stored keys unique, every
-        # mode below keeps the table unique by construction (anti-join before union)
-        quality.assert_unique(incoming, key, f"{name} batch")
-        if old is None:
-            commit_table(spark, incoming, table_dir, run_id)
-        elif mode == "upsert":
-            # rewrites only the segments holding superseded keys (copy-on-write per segment)
-            upsert_segments(spark, table_dir, old, incoming, key, run_id)
-        elif mode == "insert_ignore":
-            # only the rows with new keys are written, as one more segment: the stored table is
-            # read for its key column only and never rewritten
-            commit_table(spark, merge.new_rows(old, incoming, key), table_dir, run_id, append=True)
-        else:
-            clash = incoming.join(old.select(*key), key, "left_semi").count()
-            if clash:
-                raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
-            commit_table(spark, incoming, table_dir, run_id, append=True)
-        written = spark.read.parquet(_run_dir(table_dir, run_id)).where(F.col("_load_run") == run_id)
-        counts = exports.rows_per_file(written).collect()  # rows loaded, one row per file
-        rows_per_file.update({r["_source_file"]: r["rows"] for r in counts})
+        rows_per_file.update(load_table(spark, name, reader(spark, paths), f"{state_dir}/{name}", [key_of[name]], run_id, mode))
     # the digests taken before the load, not a re-evaluation of the listing after it: a file
     # rewritten meanwhile must show up as changed on the next run
     seen = spark.createDataFrame([(f, m) for _, f, m in files], "file_name string, md5 string")

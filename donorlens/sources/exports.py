@@ -3,14 +3,16 @@
 Files are ``;``-separated with a header row. ``orders.csv`` holds orders; every other
 ``*.csv`` holds events. A row with more fields than the header is skipped and a short row is
 padded with NULLs - read with one sentinel column ``_extra`` appended to the schema and keep
-the rows where it is NULL (Spark's DROPMALFORMED would also drop the short rows).
+the rows where it is NULL (Spark's DROPMALFORMED would also drop the short rows). Quotes within
+quoted text are doubled; a backslash is text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,11 @@ def _file_name(path_col: str = "path"):
     return F.element_at(F.split(F.col(path_col), "/"), -1)
 
 
+def _plain_path(uri: Column) -> Column:
+    """A path as the file system names it: ``_metadata.file_path`` escapes spaces and percent signs."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def list_csv(spark: SparkSession, landing_dir: str) -> DataFrame:
     """D-01: path, file_name, length, modificationTime of the ``*.csv`` files (no content read)."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing_dir)
@@ -59,7 +66,7 @@ def digests_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def line_digests(text: DataFrame) -> DataFrame:
     """path, file_name, md5 from a text scan (one row per line): partial per-file sums."""
     lines = (text
-             .select(F.col("_metadata.file_path").alias("path"),
+             .select(_plain_path(F.col("_metadata.file_path")).alias("path"),
                      F.xxhash64("value").cast("decimal(20,0)").alias("h")))
     per_file = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("s"))
     return per_file.select("path", _file_name().alias("file_name"),
@@ -105,15 +112,26 @@ def read_header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
     return [c.strip().strip('"') for c in line.lstrip("\ufeff").split(sep)]
 
 
-def read_export(spark: SparkSession, paths: Sequence[str], schema: T.StructType, sep: str = ";") -> DataFrame:
+def _open_quote(line: str, sep: str) -> Column:
+    """The line ends within a quoted value (loops are possessive, so a line is read once)."""
+    text, other = r'"[^"]*+(?:""[^"]*+)*+', rf"[^{re.escape(sep)}]*+"
+    field = rf"""(?:{text}"{other}|[^"{re.escape(sep)}]{other}|)"""
+    return F.contains(line, F.lit('"')) & F.col(line).rlike(rf"^(?:{field}{re.escape(sep)})*+{text}$")
+
+
+def read_export(spark: SparkSession, paths: Sequence[str], schema: T.StructType, sep: str = ";",
+                multiline: bool = False) -> DataFrame:
     """D-03: lenient ``;`` CSV read by header name.
 
     Files are grouped by their header line and each group is read in one scan with an all-string
     schema taken from that header plus a sentinel column ``_extra``: a row with more fields than
     the header fills the sentinel and is skipped, a short row is padded with NULLs. The columns
-    of ``schema`` are then taken by name and cast with ``try_cast`` (a bad value becomes NULL and
-    its row is quarantined downstream); a column missing from a file is NULL; any other column
-    is carried along as text. Adds ``_source_file``.
+    of ``schema`` are then taken by name and cast with ``try_cast``; a column missing from a file is
+    NULL; any other column is carried along as text. Adds ``_source_file`` and ``_bad_value``, the
+    first column whose value is present but doesn't parse (such rows are quarantined downstream).
+
+    ``multiline``: quoted text may hold line breaks; each file is then read by one task. Without it
+    files are split among tasks, and a quote left open at the end of a line stops the load.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for path in paths:  # one header line per file
@@ -121,13 +139,21 @@ def read_export(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
     known = {f.name: f.dataType for f in schema.fields}
     frames = []
     for header, files in groups.items():
-        raw = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                           + [T.StructField("_extra", T.StringType())])
+        # every row that fits is short of the sentinel, so Spark gives its line in _line
+        raw = T.StructType([T.StructField(c, T.StringType()) for c in (*header, "_extra", "_line")])
         df = (spark.read.schema(raw).option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
-              .csv(files).where(F.col("_extra").isNull()))
+              .option("columnNameOfCorruptRecord", "_line").option("escape", '"').option("multiLine", multiline).csv(files))
+        fits = F.col("_extra").isNull()
+        if not multiline:
+            stop = F.raise_error(F.lit("a quoted value goes on over a line break: read with multiline=True"))
+            fits = F.when(_open_quote("_line", sep), stop.cast("boolean")).otherwise(fits)
+        df = df.where(fits)
         cols = [F.expr(f"try_cast(`{n}` AS {t.simpleString()})").alias(n) if n in header
                 else F.lit(None).cast(t).alias(n) for n, t in known.items()]
+        bad = [F.when((F.trim(f"`{n}`") != "") & F.expr(f"try_cast(`{n}` AS {t.simpleString()})").isNull(), F.lit(n))
+               for n, t in known.items() if n in header and not isinstance(t, T.StringType)]
         cols += [F.col(f"`{c}`") for c in header if c not in known]
+        cols.append(F.coalesce(*bad, F.lit(None).cast("string")).alias("_bad_value"))
         frames.append(df.select(*cols, F.col("_metadata.file_name").alias("_source_file")))
     return union_by_name(frames)
 
@@ -139,13 +165,13 @@ def route(paths: Sequence[str]) -> tuple[list[str], list[str]]:
     return orders, events
 
 
-def read_orders_export(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return read_export(spark, paths, ORDERS_CSV)
+def read_orders_export(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
+    return read_export(spark, paths, ORDERS_CSV, multiline=multiline)
 
 
-def read_events_export(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_events_export(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
     """All event files in one scan (same export layout)."""
-    return read_export(spark, paths, EVENTS_CSV)
+    return read_export(spark, paths, EVENTS_CSV, multiline=multiline)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -41,14 +41,17 @@ def orders_from_tpch(orders: DataFrame) -> DataFrame:
 def orders_from_export(orders: DataFrame) -> DataFrame:
     """Reference CSV orders (text timestamps) -> canonical orders.
 
-    ``OrderFirstActionIdsMindboxId`` is the published order id, as in the paid-orders mart.
+    ``OrderFirstActionIdsMindboxId`` is the published order id, as in the paid-orders mart. The
+    name of a column that didn't parse is carried along as ``bad_value``.
     """
+    flag = [F.col("_bad_value").alias("bad_value")] if "_bad_value" in orders.columns else []
     return orders.select(
         F.col("OrderCustomerIdsMindboxId").alias("customer_id"),
         F.col("OrderFirstActionIdsMindboxId").alias("order_id"),
         F.col("OrderLineStatusIdsExternalId").alias("status"),
         parse_text_ts("OrderFirstActionDateTimeUtc").alias("order_ts"),
         F.col("OrderTotalPrice").cast(MONEY_IN).alias("amount"),
+        *flag,
     )
 
 

@@ -10,6 +10,7 @@ from donorlens.functions.timecols import parse_text_ts
 from donorlens.operators import base, merge, quality
 from donorlens.plans.pipeline import current_table, read_mart, read_pointer, run_pipeline
 from donorlens.sources import exports
+from donorlens.sources.tables import orders_from_export
 
 
 def _write(path, text):
@@ -389,3 +390,47 @@ def test_failed_or_stale_refresh_is_redone(spark, tmpdir_run, monkeypatch):
     assert "marts" in run("2024-02-29")          # the files are loaded, the refresh is redone
     assert run("2024-02-29").get("skipped")
     assert "marts" in run("2024-03-31")          # another as-of date
+
+
+_ORDERS_HEADER = ("OrderIdsMindboxId;OrderFirstActionIdsMindboxId;OrderCustomerIdsMindboxId;"
+                  "OrderFirstActionDateTimeUtc;OrderTotalPrice;OrderLineStatusIdsExternalId")
+
+
+def test_price_that_does_not_parse_is_quarantined(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "orders.csv")
+    _write(p, _ORDERS_HEADER + "\n1;1;7;01.01.2001 10:00;1 200,50;Paid\n2;2;7;02.01.2001 10:00;50.00;Paid\n"
+           "3;3;8;02.01.2001 10:00;;Paid\n")
+    orders = orders_from_export(exports.read_orders_export(spark, [p]))
+    assert sorted(r["order_id"] for r in base.valid_orders(orders).collect()) == [2, 3]  # a missing price stays
+    bad = base.rejected_orders(orders).collect()
+    assert [(r["order_id"], r["reject_reason"]) for r in bad] == [(1, "bad_value:OrderTotalPrice")]
+    assert base.paid_only(orders).count() == 2
+
+
+_NOTES = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType())])
+
+
+def test_quotes_and_backslashes_in_quoted_text(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "a.csv")
+    _write(p, 'id;note\n1;"say ""hi""; twice"\n2;"ends with \\"\n3;"""quoted"""\n4;5" pipe\n')
+    rows = {r["id"]: r["note"] for r in exports.read_export(spark, [p], _NOTES).collect()}
+    assert rows == {1: 'say "hi"; twice', 2: "ends with \\", 3: '"quoted"', 4: '5" pipe'}
+
+
+def test_quoted_line_break_stops_the_load_or_is_read_whole(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "a.csv")
+    _write(p, 'id;note\n1;"two\nlines"\n2;plain\n')
+    with pytest.raises(Exception, match="multiline=True"):
+        exports.read_export(spark, [p], _NOTES).collect()
+    rows = {r["id"]: r["note"] for r in exports.read_export(spark, [p], _NOTES, multiline=True).collect()}
+    assert rows == {1: "two\nlines", 2: "plain"}
+
+
+def test_file_names_with_spaces_and_signs(spark, tmpdir_run):
+    names = ["my events.csv", "a+b 100%.csv", "заказы.csv"]
+    for n in names:
+        _write(os.path.join(tmpdir_run, n), "id;note\n1;x\n")
+    found = {r["file_name"]: r["path"] for r in exports.file_digests(spark, tmpdir_run).collect()}
+    assert sorted(found) == sorted(names)
+    df = exports.read_export(spark, list(found.values()), _NOTES)
+    assert df.count() == 3
