@@ -5,11 +5,11 @@ Base rules: under ``MIN_WORDS`` words, or over 20 % of the words in repeated 5-w
 documents that hold the line are counted. Lines above ``MAX_DOCS`` documents of a host are removed from its documents;
 a document left with under ``MIN_SHARE`` per cent of its words is depleted and rejected.
 
-Two documents count as distinct for a line if they differ elsewhere too: they are told apart by the smallest line hash
-that each holds besides this line; and a line is above the limit only if at least half of the rows that hold it are
-distinct so. Copies and near copies of one document therefore don't make its lines frequent, and the one that later
-stages keep of them isn't rejected because of its copies, while a notice shared by many different documents counts in
-full. The counts are sums with partial aggregation by (host, line, other line) and (host, line).
+Documents are told apart by a hash of their whole set of normalised lines with a word: copies (also with lines repeated
+or in another order) count once, so a document copied a thousand times doesn't make its lines frequent, and every other
+document counts in full, however many lines it shares. A near copy with a line of its own is a document of its own; over
+``MAX_DOCS`` of them in a host make their common lines frequent. The limit alone decides. The counts are sums with partial
+aggregation by (host, line, document) and (host, line).
 
 Defined cases: a null text has no words (and fails); lines without a word are never counted or removed; a null source
 is a host of its own; a row that repeats an id is judged as a row of its own; an empty table gives an empty table.
@@ -94,11 +94,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
     worded = F.expr("array_sort(array_distinct(transform(filter(arrays_zip(lines, sizes), x -> x.sizes > 0), x -> x.lines)))")
     own = stats.select("host", worded.alias("own"))
-    held = own.select("host", F.get("own", F.lit(0)).alias("least"), F.get("own", F.lit(1)).alias("second"), F.explode("own").alias("line"))
-    held = held.select("host", "line", F.when(F.col("line") == F.col("least"), F.col("second")).otherwise(F.col("least")).alias("beside"))
-    above = (held.groupBy("host", "line", "beside").agg(F.count("*").alias("rows"))
-             .groupBy("host", "line").agg(F.count("*").alias("documents"), F.sum("rows").alias("rows"))
-             .where((F.col("documents") > max_docs) & (2 * F.col("documents") >= F.col("rows"))).select("host", "line"))
+    held = own.select("host", F.xxhash64("own").alias("document"), F.explode("own").alias("line"))
+    above = (held.distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
+             .where(F.col("documents") > max_docs).select("host", "line"))
     above = bounded(materialize(above, "quality-lines"))
     lines = stats.select("row", "host", F.explode(F.arrays_zip("lines", "sizes", F.expr("sequence(0, size(lines) - 1)").alias("at"))).alias("x"))
     lines = lines.select("row", "host", F.col("x.lines").alias("line"), F.col("x.sizes").alias("words"), F.col("x.at").alias("at"))

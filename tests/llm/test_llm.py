@@ -158,6 +158,27 @@ def test_quality_rules_lines(docs, spark):
     assert quality_rules.judge(docs(many).where("false")).count() == 0
 
 
+def test_quality_rules_pages_with_several_shared_lines(docs):
+    rng = random.Random(14)
+    frame, shared, at = None, {}, 0
+    for n_shared, n_body in ((2, 1), (5, 2), (5, 3), (10, 5)):
+        shared[n_shared, n_body] = [words(rng, 4) for _ in range(n_shared)], range(at, at + 60)
+        pages = docs([(at + i, "\n".join([*shared[n_shared, n_body][0], *(words(rng, 30) for _ in range(n_body))])) for i in range(60)],
+                     source=f"host{n_shared}-{n_body}")
+        frame = pages if frame is None else frame.unionByName(pages)
+        at += 60
+    notice = words(rng, 12)
+    copied = notice + "\n" + words(rng, 40)
+    frame = frame.unionByName(docs([(at + i, copied) for i in range(3000)] + [(at + 3000 + i, notice + "\n" + words(rng, 40)) for i in range(29)]))
+    frame = frame.unionByName(docs([(at + 4000 + i, copied) for i in range(3000)] + [(at + 7000 + i, notice + "\n" + words(rng, 40)) for i in range(30)], source="b"))
+    got = {r.doc_id: r for r in quality_rules.judge(frame).collect()}
+    for (n_shared, _), (_, ids) in shared.items():
+        assert all(got[i].removed_lines == list(range(n_shared)) and got[i].kept for i in ids)
+    # 30 different documents aren't above the limit, 31 are, whatever the number of copies
+    assert all(got[i].removed_lines is None and got[i].kept for i in range(at, at + 3029))
+    assert all(got[i].removed_lines == [0] and got[i].kept for i in [*range(at + 4000, at + 7030)])
+
+
 def test_mixture_budgets(docs, spark):
     rng = random.Random(5)
     rows = [(i, words(rng, rng.randint(1, 30)), rng.choice(["en", "de", None]), rng.choice("abc"), 0) for i in range(400)]
