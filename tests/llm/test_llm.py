@@ -5,6 +5,7 @@ import glob
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -226,6 +227,50 @@ def test_licences(docs):
     assert licences.scan_licences(docs(texts).where("false")).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD_TEXT = """Copyright (c) 2020, Some One. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+(b) Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0"""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY."""
+
+
+def test_licence_texts_wrapped_and_on_one_line(docs):
+    want, texts = {}, []
+    for name, text in (("MIT", MIT_TEXT), ("BSD-3-Clause", BSD_TEXT), ("Apache-2.0", APACHE_TEXT), ("GPL-3.0", GPL_TEXT)):
+        paragraphs = text.split("\n\n")
+        layouts = [text, " ".join(paragraphs), text.replace("\n\n", "\r\n\r\n")]
+        for width in (24, 40, 60, 72, 78, 100):
+            wrapped = "\n\n".join(textwrap.fill(p, width) for p in paragraphs)
+            layouts += [wrapped, "/*\n" + textwrap.indent(wrapped, " * ", lambda _: True) + "\n */\nint x;", "Some Title\n" + wrapped.replace("\n\n", "\n")]
+        for layout in layouts:
+            want[len(texts)] = [name]
+            texts.append(layout)
+    texts += ["Licensed under the Apache License,\nVersion 2.0", "This is not licensed under the MIT License.\nIt is\nlicensed under the MIT License yet.",
+              "All rights\n\nreserved", "License: SPDX-License-Identifier: MIT\nAll rights reserved\nno licence"]
+    got = {r.doc_id: (r.sentence_ids, r.licences) for r in licences.scan_licences(docs(texts)).collect()}
+    n = len(want)
+    assert {i: got[i][1] for i in want} == want
+    assert [got[n + i][1] for i in range(4)] == [["Apache-2.0"], [], [], ["MIT", "proprietary"]]
+    assert got[n + 3][0] == [18, 16]
+
+
 def test_sharding(spark, docs):
     table = sharding.lookup_table(SHARDS, 65_537)
     share = [table.count(i) for i in range(len(SHARDS))]
