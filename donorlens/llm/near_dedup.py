@@ -8,7 +8,8 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
    member. The leader is the member whose values have the longest lists: of copies with changes it is the text they
    derive from. Proven links are joined into components.
 3. Lists that still hold several components are completed: all pairs of members of like size in *different* components with
-   at least ``MEET`` common listed values, each pair in the list of its smallest one only. A list of over ``HOT_LIST`` members is
+   at least ``MEET`` common listed values, each pair in one list only: that of the smallest value under which both take part.
+   A list of over ``HOT_LIST`` members is
    completed among those members alone of whose listed values over an eighth lie in such lists. The others share
    enough short lists to be found there: of the 16 smallest values of a union, three in four lie in both texts at the
    threshold, so a pair with at most two values in long lists also meets in a short one but for a chance of 2e-7
@@ -144,15 +145,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = family.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
     ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
     ends = ends.where(F.col("shared").isNull() | (F.col("shared") * 100 >= F.col("n") * threshold))
-    ends = materialize(_several(ends.drop("size")), "near-open")
+    ends = _several(ends.drop("size"))
+    # a pair is emitted under the smallest value under which both still take part: not every listed value is one
+    taken = ends.groupBy("id").agg(F.collect_set("value").alias("taken"))
+    ends = materialize(ends.join(taken, "id"), "near-open")
 
-    left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "part", "n", "listed", "shared")]) for x in "ab")
+    left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "part", "n", "listed", "taken", "shared")]) for x in "ab")
     common = F.array_intersect("listed_a", "listed_b")
     reach = F.least("shared_a", "shared_b") * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold
     both = F.col("shared_a").isNotNull() & F.col("shared_b").isNotNull()
     pairs = (left.join(right, "value").where("id_a < id_b AND part_a <> part_b")
              .where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold) & (~both | reach))
-             .where((F.size(common) >= F.least(F.lit(MEET), F.size("listed_a"), F.size("listed_b"))) & (F.array_min(common) == F.col("value")))
+             .where((F.size(common) >= F.least(F.lit(MEET), F.size("listed_a"), F.size("listed_b"))) & (F.array_min(F.array_intersect("taken_a", "taken_b")) == F.col("value")))
              .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(star, ["a", "b"], "left_anti"))
     more = _proven(materialize(pairs, "near-pairs"), classes, rows, size, threshold, k, "near-rest")
     if more.limit(1).count():

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from donorlens.llm import bpe, exact_dedup, licences, mixing, near_dedup, quality_rules, sharding, toxicity, urls
-from donorlens.llm import labelled, quality_model
+from donorlens.llm import labelled, quality_model, shingles
 from donorlens.llm.queries import QUERIES, SHARDS
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,27 @@ def test_near_duplicates_defined_cases(docs):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (5, 5, True), (5, 5, True), (9, 5, False)]
 
 
+def test_near_duplicates_smallest_hash_in_a_long_list(docs):
+    """Families of variants whose smallest shingle lies in a passage that over ``hot`` other documents share."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(4):
+        while True:
+            passage, body = words(rng, 10), words(rng, 118)
+            if shingles.shingle_set(f"{passage} {body}".encode(), 5)[0] in shingles.shingle_set(passage.encode(), 5):
+                break
+        texts += [f"{passage} {words(rng, 60)}" for _ in range(45)]
+        for _ in range(20):
+            variant = body.split()
+            for k in rng.sample(range(len(variant)), 2):
+                variant[k] = words(rng, 1) + "z"
+            texts.append(" ".join([passage, *variant]))
+    rng.shuffle(texts)
+    texts = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs(texts), hot=24).collect()}
+    assert got == brute_components(texts)
+
+
 def test_bpe_equals_library_and_round_trip(spark, docs):
     rng = random.Random(2)
     pieces = [" ", "  ", "\n", "\t", "a", "é", "B", "12", "'s", "!", " ", "漢", "😀", "the", "token", "isation"]
