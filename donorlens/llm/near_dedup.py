@@ -14,9 +14,10 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
    enough short lists to be found there: of the 16 smallest values of a union, three in four lie in both texts at the
    threshold, so a pair with at most two values in long lists also meets in a short one but for a chance of 2e-7
    (Bin(16, 0.75) <= 2). In long lists a bound comes first: of each member's full set, the shingles that any other of
-   these members holds are counted, as an intersection can't be larger. Members and pairs whose bound is under the
-   threshold go, such as copies with too many changes, whose changed passages are their own. All that is exact; no
-   member is ever left out or sampled.
+   these members holds are counted, as an intersection can't be larger. Members whose bound is under the threshold leave the
+   long lists (not the short ones, where they meet others), and pairs of two of these members go by the same bound, such
+   as copies with too many changes, whose changed passages are their own. All that is exact; no member is ever left out
+   or sampled.
 4. A pair's similarity is estimated from the k smallest values of both sketches' union; pairs with under ``FLOOR`` of
    them in common go (a true link does with a chance of 1e-8). The rest is decided on full sets:
    100 * intersection >= 75 * union.
@@ -144,7 +145,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where("count = 1").groupBy("id").agg(F.count("*").alias("alone")))
     shared = family.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
     ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
-    ends = ends.where(F.col("shared").isNull() | (F.col("shared") * 100 >= F.col("n") * threshold))
+    # the bound is on what members of long lists share with each other: rows of short lists stay
+    ends = ends.where((F.col("size") <= hot) | (F.col("shared") * 100 >= F.col("n") * threshold))
     ends = _several(ends.drop("size"))
     # a pair is emitted under the smallest value under which both still take part: not every listed value is one
     taken = ends.groupBy("id").agg(F.collect_set("value").alias("taken"))

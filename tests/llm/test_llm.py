@@ -110,6 +110,21 @@ def test_near_duplicates_smallest_hash_in_a_long_list(docs):
     assert got == brute_components(texts)
 
 
+def test_near_duplicates_bound_of_long_lists_spares_short_ones(docs):
+    """A text and the same with a passage of long lists: the texts that lead their common lists are like neither."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(4):
+        passage, filler, text = words(rng, 20), words(rng, 50), words(rng, 84)
+        texts += [f"{passage} {words(rng, 40)}" for _ in range(45)] + [f"{filler} {words(rng, 40)}" for _ in range(18)]
+        texts += [" ".join(text.split()[k:k + 24]) + " " + filler for k in (0, 20, 40, 60)]
+        texts += [text, text + " " + passage]
+    rng.shuffle(texts)
+    texts = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs(texts), hot=24).collect()}
+    assert got == brute_components(texts)
+
+
 def test_bpe_equals_library_and_round_trip(spark, docs):
     rng = random.Random(2)
     pieces = [" ", "  ", "\n", "\t", "a", "é", "B", "12", "'s", "!", " ", "漢", "😀", "the", "token", "isation"]
