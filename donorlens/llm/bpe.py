@@ -5,8 +5,8 @@ the vocabulary tells a whole pre-token that is a token itself. Tier two, for the
 nodes of a linked list, and a heap gives the adjacent pair of the lowest rank (the leftmost of equals) to merge next.
 
 The vocabulary is read once by the driver, from a path that is a parameter, and broadcast; its size is that of the file.
-Each task remembers recent strings in two generations of at most ``REMEMBER`` each, so memory is bounded for any
-input. Texts are read whole; a batch is cut after ``BATCH_IDS`` ids, so long texts don't pile up.
+Each task remembers recent strings in two generations of at most ``REMEMBER`` strings and ``LENGTH`` times as many
+characters each (a longer text alone fills one), so what is remembered is bounded by these and the longest text. Texts are read whole; a batch is cut after ``BATCH_IDS`` ids, so long texts don't pile up.
 
 Defined cases: a null text counts as the empty text, which has no ids and decodes to no bytes; special tokens are
 ordinary text; letters and numbers are those of the matcher's Unicode version; rows come back one by one whatever their ids; an empty table gives an empty table. The input's other
@@ -32,6 +32,8 @@ from donorlens.llm.common import ship
 
 REMEMBER = 300_000
 BATCH_IDS = 2_000_000
+#: Characters remembered per string of the limit, on average.
+LENGTH = 24
 #: Displacements tried at once.
 TRIES = 64
 
@@ -143,18 +145,22 @@ class Vocabulary:
 
 
 class _Memory(dict):
-    """Ids by recent string, in two generations of at most ``limit`` each; ``make`` gives those of unknown ones."""
+    """Ids by recent string, in two generations of at most ``limit`` strings and ``LENGTH`` times as many characters (or
+    one text's) each; ``make`` gives those of unknown ones."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.old, self.chars = make, limit, {}, 0
 
     def learn(self, strings: set[str]) -> None:
         unknown = {x for x in strings if x not in self}
-        if len(self) + len(unknown) > self.limit:
+        chars = sum(map(len, unknown))
+        if len(self) + len(unknown) > self.limit or self.chars + chars > LENGTH * self.limit:
             self.old = self.copy()
             self.clear()
             unknown = strings
+            self.chars, chars = 0, sum(map(len, strings))
+        self.chars += chars
         new = []
         for x in unknown:
             if x in self.old:

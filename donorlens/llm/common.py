@@ -54,6 +54,12 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def narrow(df: DataFrame, array_col: str, rows: int = BROADCAST_ROWS, values: int = 4 * BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it holds at most ``rows`` rows and ``values`` array elements, else as it is."""
+    count, held = df.agg(F.count("*"), F.sum(F.size(array_col))).first()
+    return F.broadcast(df) if count <= rows and (held or 0) <= values else df
+
+
 def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``ids`` (one narrow column of the same name). Rows with a null id
     stay. The texts move between executors only when the ids are too many to broadcast."""
@@ -63,13 +69,14 @@ def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # written first: Spark splits a hub in a join of written tables, but not beside an aggregate of the same stage
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "large-star")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "small-star")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
@@ -82,7 +89,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
              .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     seen = None
     while True:
-        edges = materialize(_small_star(_large_star(edges)).where("u <> v").distinct(), "components")
+        larger = materialize(_large_star(edges).distinct(), "large-edges")
+        edges = materialize(_small_star(larger).where("u <> v").distinct(), "components")
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

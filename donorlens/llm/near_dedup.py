@@ -7,21 +7,25 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
    member is paired with one leader of each of its lists only, so that a list with a third of all rows gives a pair per
    member. The leader is the member whose values have the longest lists: of copies with changes it is the text they
    derive from. Proven links are joined into components.
-3. Lists that still hold several components are completed: all pairs of members of like size in *different* components with
+3. Lists that still hold several components are completed: pairs of members of like size in *different* components with
    at least ``MEET`` common listed values, each pair in one list only: that of the smallest value under which both take part.
-   A list of over ``HOT_LIST`` members is
+   Members of a list's largest component aren't compared with each other. A list of over ``HOT_LIST`` members is
    completed among those members alone of whose listed values over an eighth lie in such lists. The others share
    enough short lists to be found there: of the 16 smallest values of a union, three in four lie in both texts at the
    threshold, so a pair with at most two values in long lists also meets in a short one but for a chance of 2e-7
-   (Bin(16, 0.75) <= 2). In long lists a bound comes first: of each member's full set, the shingles that any other of
-   these members holds are counted, as an intersection can't be larger. Members whose bound is under the threshold leave the
-   long lists (not the short ones, where they meet others), and pairs of two of these members go by the same bound, such
-   as copies with too many changes, whose changed passages are their own. All that is exact; no member is ever left out
-   or sampled.
+   (Bin(16, 0.75) <= 2). In long lists two bounds on the intersection come first, both exact. One: of each member's full
+   set, the shingles that any other of these members holds are counted; members whose bound is under the threshold leave
+   the long lists (not the short ones, where they meet others). Two: each member has a centre, the leader of its long
+   lists. What two members of one centre share lies in the centre (at most as much as the lesser of them shares with it)
+   or in both their other shingles, of which only those count that several members of the centre hold. So a copy with too
+   many changes to be linked with the centre is compared further only with members that have changes in common with it.
+   No member is ever left out or sampled.
 4. A pair's similarity is estimated from the k smallest values of both sketches' union; pairs with under ``FLOOR`` of
    them in common go (a true link does with a chance of 1e-8). The rest is decided on full sets:
    100 * intersection >= 75 * union.
 
+``listed=None`` leaves nothing to these chances, at the price of lists over a quarter of each set.
+
 Defined cases: a null, empty or blank text has no shingles and links with nothing; a text with fewer words than a
 shingle is one shingle of all its words; rows that repeat an id are one node, and each comes back; a row with a null id
 is in no component and is kept; an empty table gives an empty table. Other columns play no part.
@@ -48,30 +52,35 @@ HOT_LIST = 128
 #: Least number of common listed values of a pair (fewer with a chance of 2e-7 at the threshold).
 MEET = 3
 FLOOR = 0.42
+#: Values held by a task before they go out (4 MB).
+FLUSH = 500_000
+#: Sets of centres are sent to every task up to so many values (32 MB); more are joined by shuffling.
+BROADCAST_VALUES = 4_000_000
 
 
 def _per_text(size: int, sketch: int | None):
-    """Over (id, text as bytes): the sketch of each text's shingle set, or the whole set if ``sketch`` is None."""
+    """Over (id, text as bytes): the sketch of each text's shingle set, or the whole set if ``sketch`` is None. A text's
+    set is let go before the next one; rows go out after ``FLUSH`` values."""
 
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             counts, marks, kept, at = [], [], [], [0]
-            out = []
             for i in range(batch.num_rows):
                 found = shingle_set(texts[i].as_py() or b"", size)
                 counts.append(len(found))
-                marks.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                kept.append(found if sketch is None else found[:sketch])
+                marks.append(hashlib.blake2b(found, digest_size=16).digest() if len(found) else None)
+                kept.append(found if sketch is None else found[:sketch].copy())  # a slice would hold the whole set
+                del found
                 at.append(at[-1] + len(kept[-1]))
-                if at[-1] > 4_000_000 or i == batch.num_rows - 1:  # long texts go out in smaller batches
+                if at[-1] > FLUSH or i == batch.num_rows - 1:
                     first = i + 1 - len(kept)
                     values = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(kept), pa.int64()))
-                    out.append(pa.RecordBatch.from_arrays(
+                    out = pa.RecordBatch.from_arrays(
                         [ids.slice(first, len(kept)), pa.array(counts, pa.int64()), pa.array(marks, pa.binary()), values],
-                        names=["id", "n", "mark", "vals"]))
+                        names=["id", "n", "mark", "vals"])
                     counts, marks, kept, at = [], [], [], [0]
-                    yield out.pop()
+                    yield out
 
     return run
 
@@ -101,72 +110,110 @@ def _proven(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, th
                        .select("a", "b").distinct(), f"{name}-links")
 
 
-def _several(rest: DataFrame) -> DataFrame:
-    """The members of lists that hold several parts, with the list's size."""
+def _several(rest: DataFrame, name: str) -> DataFrame:
+    """The members of lists that hold several parts, with the list's size. The sizes are written first: Spark splits a
+    hot list in a join of two written tables, but not beside an aggregate of the same stage."""
     sizes = rest.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-    return rest.join(sizes.select("value", "size"), "value")
+    return rest.join(materialize(sizes.select("value", "size"), name), "value")
+
+
+def _around(family: DataFrame, held: DataFrame) -> DataFrame:
+    """For each (id, centre): ``inside``, how many shingles it shares with its centre, and ``beside``, those of its other
+    shingles that another member of the same centre holds too. Two such members share at most the lesser ``inside`` and
+    what their ``beside`` have in common."""
+    centres = held.join(family.select(F.col("centre").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("centre"), F.col("vals").alias("middle"))
+    centres = materialize(centres, "near-centres")
+    if (centres.agg(F.sum(F.size("middle"))).first()[0] or 0) <= BROADCAST_VALUES:
+        centres = F.broadcast(centres)
+    around = family.join(held, "id").join(centres, "centre").select(
+        "id", "centre", F.size(F.array_intersect("vals", "middle")).alias("inside"), F.array_except("vals", "middle").alias("rest"))
+    around = materialize(around, "near-around")
+    rest = around.select("id", "centre", F.explode("rest").alias("shingle"))
+    common = materialize(rest.groupBy("centre", "shingle").agg(F.count("*").alias("count")).where("count > 1").drop("count"), "near-beside")
+    beside = rest.join(common, ["centre", "shingle"]).groupBy("id").agg(F.collect_list("shingle").alias("beside"))
+    return around.drop("rest").join(beside, "id", "left").withColumn("beside", F.coalesce("beside", F.array().cast("array<long>")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
-                    threshold: int = THRESHOLD, k: int = SKETCH, hot: int = HOT_LIST, listed: int = LISTED) -> DataFrame:
+                    threshold: int = THRESHOLD, k: int = SKETCH, hot: int = HOT_LIST, listed: int | None = LISTED) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable over links with a Jaccard
-    similarity of at least ``threshold`` per cent) and kept (it is that smallest id)."""
+    similarity of at least ``threshold`` per cent) and kept (it is that smallest id). With ``listed=None`` no link is left
+    to chance: so many values of a set are listed (a quarter of it) that linked sets share one in any case, and whole
+    sets are compared in place of sketches."""
+    exact = listed is None
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    sketches = materialize(_sets(rows, size, k), "near-sketches")
+    sketches = materialize(_sets(rows, size, None if exact else k), "near-sketches")
+    k, meet = (1 << 30, 1) if exact else (k, MEET)
     known = sketches.where("n > 0 AND id IS NOT NULL")
     classes = materialize(known.groupBy("mark", "n").agg(F.min("id").alias("id"), F.first("vals").alias("vals")),
                           "near-classes")
-    brief = classes.select("id", "n", F.slice("vals", 1, listed).alias("listed"))
-    postings = brief.select("id", F.size("listed").alias("kept"), F.explode("listed").alias("value"))
-    lists = postings.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    prefix = F.expr(f"CAST(n - CEIL(n * {threshold} / 100) + 1 AS INT)") if exact else F.lit(listed)
+    brief = classes.select("id", "n", F.slice("vals", F.lit(1), prefix).alias("listed"))
+    postings = brief.select("id", "n", F.size("listed").alias("kept"), F.explode("listed").alias("value"))
+    lists = materialize(postings.groupBy("value").agg(F.count("*").alias("members")).where("members > 1"), "near-lists")
     members = materialize(postings.join(lists, "value"), "near-members")
     # a member's weight: how many others it meets per value; that of a text from which others derive is the largest
     weights = members.groupBy("id", "kept").agg((F.sum("members") / F.first("kept")).alias("weight"),
                                                 F.sum((F.col("members") > hot).cast("int")).alias("long"))
     weights = materialize(weights, "near-weights")
-    often = weights.where("long * 8 > kept").select("id")
+    often = weights.where("true" if exact else "long * 8 > kept").select("id")
     long = members.where(F.col("members") > hot).join(often, "id", "left_semi")
     completed = members.where(F.col("members") <= hot).unionByName(long).select("id", "value")
 
-    leader = F.min(F.struct((-F.round("weight", 6)).alias("order"), "id")).alias("leader")
-    met = members.join(weights.select("id", "weight"), "id")
-    star = met.join(met.groupBy("value").agg(leader), "value").where("id <> leader.id").select(
+    leader = F.min(F.struct((-F.round("weight", 6)).alias("order"), "id", "n")).alias("leader")
+    met = materialize(members.join(weights.select("id", "weight"), "id").select("value", "id", "n", "weight"), "near-met")
+    leaders = materialize(met.groupBy("value").agg(leader), "near-leaders")
+    alike = F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * threshold
+    star = met.join(leaders, "value").where("id <> leader.id").where(alike).select(
         F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b"))
     star = materialize(star.distinct(), "near-star")
     links = _proven(star, classes, rows, size, threshold, k, "near-star")
     parts = components(links, "a", "b").withColumnRenamed("node", "id")
 
     rest = completed.join(parts, "id", "left").join(brief, "id").select("id", "value", "n", "listed", F.coalesce("component", "id").alias("part"))
-    ends = materialize(_several(rest), "near-ends")
-    family = ends.where(F.col("size") > hot).select("id").distinct()
-    held = materialize(_sets(rows.join(bounded(family), "id", "left_semi"), size, None).select("id", "vals"), "near-family")
+    ends = materialize(_several(materialize(rest, "near-rest"), "near-sizes"), "near-ends")
+    family = (ends.where(F.col("size") > hot).select("id", "value").join(leaders, "value")
+              .groupBy("id").agg(F.min("leader").alias("leader")).select("id", F.col("leader.id").alias("centre")))
+    family = materialize(family, "near-family-ids")
+    ids = family.select("id").unionByName(family.select(F.col("centre").alias("id"))).distinct()
+    held = materialize(_sets(rows.join(bounded(ids), "id", "left_semi"), size, None).select("id", "vals"), "near-family")
     # shingles that one member alone holds; the rest of its set is what others can share with it
     alone = (held.select("id", F.explode("vals").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("count"), F.min("id").alias("id"))
              .where("count = 1").groupBy("id").agg(F.count("*").alias("alone")))
-    shared = family.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
+    shared = _around(family, held).join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
     ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
     # the bound is on what members of long lists share with each other: rows of short lists stay
     ends = ends.where((F.col("size") <= hot) | (F.col("shared") * 100 >= F.col("n") * threshold))
-    ends = _several(ends.drop("size"))
+    ends = _several(materialize(ends.drop("size"), "near-bound"), "near-open-sizes").drop("size")
     # a pair is emitted under the smallest value under which both still take part: not every listed value is one
-    taken = ends.groupBy("id").agg(F.collect_set("value").alias("taken"))
-    ends = materialize(ends.join(taken, "id"), "near-open")
-
-    left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "part", "n", "listed", "taken", "shared")]) for x in "ab")
+    taken = materialize(ends.groupBy("id").agg(F.collect_set("value").alias("taken")), "near-taken")
+    # members of a list's largest part have no pairs among themselves: all others meet it and each other
+    largest = (ends.groupBy("value", "part").agg(F.count("*").alias("count")).groupBy("value")
+               .agg(F.max(F.struct("count", "part")).alias("largest")).select("value", F.col("largest.part").alias("main")))
+    ends = ends.join(taken, "id").join(materialize(largest, "near-largest"), "value").withColumn("main", F.col("main") == F.col("part"))
+    ends = materialize(ends, "near-open")
+
+    columns = ("id", "part", "n", "listed", "taken", "shared", "centre", "inside", "beside", "main")
+    left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
+    need = (F.col("n_a") + F.col("n_b")) * threshold
+    reach = F.coalesce(F.least("shared_a", "shared_b") * (100 + threshold) >= need, F.lit(True))
+    apart = F.coalesce(F.col("centre_a") != F.col("centre_b"), F.lit(True))
+    inner = F.least("inside_a", "inside_b") + F.size(F.array_intersect("beside_a", "beside_b"))
+    known_apart = F.col("shared_a").isNull() | F.col("shared_b").isNull()
     common = F.array_intersect("listed_a", "listed_b")
-    reach = F.least("shared_a", "shared_b") * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold
-    both = F.col("shared_a").isNotNull() & F.col("shared_b").isNotNull()
-    pairs = (left.join(right, "value").where("id_a < id_b AND part_a <> part_b")
-             .where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold) & (~both | reach))
-             .where((F.size(common) >= F.least(F.lit(MEET), F.size("listed_a"), F.size("listed_b"))) & (F.array_min(F.array_intersect("taken_a", "taken_b")) == F.col("value")))
-             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(star, ["a", "b"], "left_anti"))
+    pairs = (left.where("NOT main_a").join(right, "value").where("part_a <> part_b AND (main_b OR id_a < id_b)")
+             .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold)
+             .where(known_apart | reach).where(known_apart | apart | (inner * (100 + threshold) >= need))
+             .where(F.size(common) >= F.least(F.lit(meet), F.size("listed_a"), F.size("listed_b")))
+             .where(F.array_min(F.array_intersect("taken_a", "taken_b")) == F.col("value"))
+             .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).join(star, ["a", "b"], "left_anti"))
     more = _proven(materialize(pairs, "near-pairs"), classes, rows, size, threshold, k, "near-rest")
     if more.limit(1).count():
         parts = components(links.unionByName(more), "a", "b").withColumnRenamed("node", "id")
 
     reached = classes.select("id", "mark", "n").join(parts, "id", "left").select(
         "mark", "n", F.coalesce("component", "id").alias("component_id"))
-    out = known.select("id", "mark", "n").join(reached, ["mark", "n"], "left").select("id", "n", "component_id")
+    out = known.select("id", "mark", "n").join(materialize(reached, "near-reached"), ["mark", "n"], "left").select("id", "n", "component_id")
     other = sketches.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
     return out.unionByName(other).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",

@@ -19,14 +19,15 @@ Texts are read whole. Other columns play no part.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorlens.llm.common import bounded, ship
+from donorlens.llm.common import bounded, narrow, ship
 from donorlens.llm.shingles import window_hashes, word_hashes
 from donorlens.session import materialize
 
@@ -34,6 +35,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 MAX_DOCS = 30
 MIN_SHARE = 30
+#: Lines held by a task before they go out.
+FLUSH = 500_000
 
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 
@@ -55,41 +58,66 @@ def repeat_words(words: np.ndarray, size: int = 5) -> int:
 def measure(text: bytes) -> tuple:
     """Counts of one text, and the hash and word count of each of its lines (0 words: a blank line)."""
     words = word_hashes(text, lower=False)
-    inner = b"".join(text.split())
+    inner = text.translate(None, b" \t\n\x0b\x0c\r")
     points = int(np.count_nonzero((np.frombuffer(inner, np.uint8) & 0xC0) != 0x80))
-    seen, dup, hashes, sizes = set(), 0, [], []
+    seen, dup, hashes, sizes = set(), 0, array("q"), array("i")
     for line in text.split(b"\n"):
         parts = line.split()
         sizes.append(len(parts))
         if parts:
-            dup += line in seen
-            seen.add(line)
+            mark = xxhash.xxh3_128_digest(line)
+            dup += mark in seen
+            seen.add(mark)
         hashes.append(xxhash.xxh3_64_intdigest(b" ".join(parts).lower()) >> 1)
-    return (len(words), points, len(_SYMBOLS.findall(text)), dup, repeat_words(words), hashes, sizes)
+    return (len(words), points, len(_SYMBOLS.findall(text)), dup, repeat_words(words)), hashes, sizes
 
 
 _FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def _measure_batches(batches):
+    """Rows go out after ``FLUSH`` lines, so that a batch of long texts doesn't pile up."""
     for batch in batches:
-        found = [measure(t.as_py() or b"") for t in batch.column(2)]
-        arrays = [batch.column(0), batch.column(1)]
-        arrays += [pa.array([x[i] for x in found], pa.int64()) for i in range(5)]
-        arrays += [pa.array([x[5] for x in found], pa.list_(pa.int64())), pa.array([x[6] for x in found], pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["id", "host", *_FIELDS, "lines", "sizes"])
+        texts, first, counts, at = batch.column(batch.num_columns - 1), 0, [], [0]
+        hashes, sizes = array("q"), array("i")
+        for i in range(batch.num_rows):
+            found, lines, words = measure(texts[i].as_py() or b"")
+            counts.append(found)
+            hashes.extend(lines)
+            sizes.extend(words)
+            at.append(len(hashes))
+            if len(hashes) > FLUSH or i == batch.num_rows - 1:
+                part = batch.slice(first, i + 1 - first)
+                arrays = [*part.columns[:-1], *(pa.array([x[k] for x in counts], pa.int64()) for k in range(len(_FIELDS)))]
+                ends = pa.array(at, pa.int32())
+                arrays += [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(hashes, np.int64))),
+                           pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(sizes, np.int32)))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], *_FIELDS, "lines", "sizes"])
+                first, counts, at = i + 1, [], [0]
+                hashes, sizes = array("q"), array("i")
+
+
+def _mark(text_col: str) -> Column:
+    """Tells rows with one id but different texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           max_docs: int = MAX_DOCS, min_share: int = MIN_SHARE) -> DataFrame:
     """One row per row of ``docs``: id, the five counts, base_failed, removed_words, removed_lines (positions of the lines
     above the limit, from 0) and kept."""
+    out = _judged(docs, id_col, text_col, host_col, max_docs, min_share).drop("host", "mark")
+    return out.withColumnRenamed("id", id_col)
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, min_share: int) -> DataFrame:
+    """The columns of ``judge``, the id as ``id``, with the row's host and a hash of its text."""
     ship(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-                       F.col(text_col).cast("binary").alias("text"))
+                       _mark(text_col).alias("mark"), F.col(text_col).cast("binary").alias("text"))
     counts = ", ".join(f"{x} long" for x in _FIELDS)
-    stats = rows.mapInArrow(_measure_batches, f"id {kind}, host string, {counts}, lines array<long>, sizes array<int>")
+    stats = rows.mapInArrow(_measure_batches, f"id {kind}, host string, mark long, {counts}, lines array<long>, sizes array<int>")
     stats = materialize(stats.withColumn("row", F.monotonically_increasing_id()), "quality-stats")
 
     worded = F.expr("array_sort(array_distinct(transform(filter(arrays_zip(lines, sizes), x -> x.sizes > 0), x -> x.lines)))")
@@ -105,22 +133,23 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     out = stats.join(gone, "row", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     depleted = 100 * (F.col("n_words") - F.col("removed_words")) < min_share * F.col("n_words")
-    return out.select(F.col("id").alias(id_col), *_FIELDS, failed.alias("base_failed"), "removed_words", "removed_lines",
+    return out.select("id", "host", "mark", *_FIELDS, failed.alias("base_failed"), "removed_words", "removed_lines",
                       (~failed & ~depleted).alias("kept"))
 
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                     length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` without the rejected documents and without the lines above the limit, with all columns; the length column
-    of a text that lost lines is counted anew. Rows that repeat an id go if one of them is rejected, and lose the lines
-    that each of them loses; rows with a null id stay as they are."""
-    verdicts = judge(docs, id_col, text_col, host_col).where(F.col(id_col).isNotNull() & (~F.col("kept") | (F.col("removed_words") > 0)))
-    verdicts = verdicts.groupBy(F.col(id_col).alias("verdict_id")).agg(
-        F.min("kept").alias("verdict_kept"), F.max("removed_lines").alias("verdict_lines"))
-    verdicts = bounded(materialize(verdicts, "quality-verdicts"))
-    left = F.concat_ws("\n", F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("verdict_lines", i)))
-    out = docs.join(verdicts, docs[id_col] == F.col("verdict_id"), "left").where("verdict_kept IS NULL OR verdict_kept")
-    changed = F.col("verdict_lines").isNotNull()
+    of a text that lost lines is counted anew. Each row has its own verdict, also rows that share an id or have none."""
+    verdicts = _judged(docs, id_col, text_col, host_col, MAX_DOCS, MIN_SHARE).where(~F.col("kept") | (F.col("removed_words") > 0))
+    verdicts = verdicts.select(F.col("id").alias("__id"), F.col("host").alias("__host"), F.col("mark").alias("__mark"), F.col("kept").alias("__kept"),
+                               F.col("removed_lines").alias("__lines")).dropDuplicates(["__id", "__host", "__mark"])
+    verdicts = narrow(materialize(verdicts, "quality-verdicts"), "__lines")
+    left = F.concat_ws("\n", F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("__lines", i)))
+    same = (F.col(id_col).eqNullSafe(F.col("__id")) & (F.coalesce(F.col(host_col).cast("string"), F.lit("")) == F.col("__host"))
+            & (_mark(text_col) == F.col("__mark")))
+    out = docs.join(verdicts, same, "left").where("__kept IS NULL OR __kept")
+    changed = F.col("__lines").isNotNull()
     out = out.withColumn(text_col, F.when(changed, left).otherwise(F.col(text_col)))
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.when(changed, F.length(text_col)).otherwise(F.col(length_col)).cast(dict(docs.dtypes)[length_col]))
