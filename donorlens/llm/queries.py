@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from donorlens.llm import bpe, exact_dedup, labelled, licences, mixing, near_dedup, quality_model, quality_rules, sharding, toxicity, urls
+from donorlens.llm import bpe, collocations, exact_dedup, filter_audit, labelled, licences, mixing, near_dedup, quality_model, quality_rules
+from donorlens.llm import sharding, toxicity, trie_bpe, urls
 from donorlens.llm.oracles import ORACLE_SQL
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 #: Sources of the hot crawl against curated ones; languages without a weight have 1.
@@ -86,6 +88,23 @@ def op10_quality(spark, d):
                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_trie_bpe(spark, d):
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = trie_bpe.encode(read(spark, d, "documents").select("doc_id", "text"), path)
+    return trie_bpe.decode(encoded, path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_filter_audit(spark, d):
+    rows = filter_audit.failures(read(spark, d, "documents"))
+    return filter_audit.audit(filter_audit.with_labels(rows, read(spark, d, "labels")))
+
+
+def op13_collocations(spark, d):
+    return collocations.collocations(read(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_byte_bpe, op3_exact_dedup, op4_url_filter, op5_toxicity, op6_quality_rules,
-                                   op7_mix, op8_licences, op9_shards, op10_quality)}
+                                   op7_mix, op8_licences, op9_shards, op10_quality, op11_trie_bpe, op12_filter_audit, op13_collocations)}
 ORACLE = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}

@@ -377,5 +377,5 @@ def test_pipeline_stages(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert not glob.glob("/root/repo/donorlens/llm/*.tiktoken")
