@@ -17,7 +17,8 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
    set, the shingles that any other of these members holds are counted; members whose bound is under the threshold leave
    the long lists (not the short ones, where they meet others). Two: each member has a centre, the leader of its long
    lists. What two members of one centre share lies in the centre (at most as much as the lesser of them shares with it)
-   or in both their other shingles, of which only those count that several members of the centre hold. So a copy with too
+   or in both their other shingles, of which only those count that several members of the centre hold (for members
+   that lie in the centre by half at least). So a copy with too
    many changes to be linked with the centre is compared further only with members that have changes in common with it.
    No member is ever left out or sampled.
 4. A pair's similarity is estimated from the k smallest values of both sketches' union; pairs with under ``FLOOR`` of
@@ -118,16 +119,16 @@ def _several(rest: DataFrame, name: str) -> DataFrame:
 
 
 def _around(family: DataFrame, held: DataFrame) -> DataFrame:
-    """For each (id, centre): ``inside``, how many shingles it shares with its centre, and ``beside``, those of its other
-    shingles that another member of the same centre holds too. Two such members share at most the lesser ``inside`` and
-    what their ``beside`` have in common."""
+    """For each member that shares at least half of its shingles with its centre: ``inside``, how many these are, and
+    ``beside``, those of its other shingles that another such member of the centre holds too. Two such members share at
+    most the lesser ``inside`` and what their ``beside`` have in common."""
     centres = held.join(family.select(F.col("centre").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("centre"), F.col("vals").alias("middle"))
     centres = materialize(centres, "near-centres")
     if (centres.agg(F.sum(F.size("middle"))).first()[0] or 0) <= BROADCAST_VALUES:
         centres = F.broadcast(centres)
     around = family.join(held, "id").join(centres, "centre").select(
         "id", "centre", F.size(F.array_intersect("vals", "middle")).alias("inside"), F.array_except("vals", "middle").alias("rest"))
-    around = materialize(around, "near-around")
+    around = materialize(around.where(F.col("inside") >= F.size("rest")), "near-around")
     rest = around.select("id", "centre", F.explode("rest").alias("shingle"))
     common = materialize(rest.groupBy("centre", "shingle").agg(F.count("*").alias("count")).where("count > 1").drop("count"), "near-beside")
     beside = rest.join(common, ["centre", "shingle"]).groupBy("id").agg(F.collect_list("shingle").alias("beside"))
@@ -180,7 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # shingles that one member alone holds; the rest of its set is what others can share with it
     alone = (held.select("id", F.explode("vals").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("count"), F.min("id").alias("id"))
              .where("count = 1").groupBy("id").agg(F.count("*").alias("alone")))
-    shared = _around(family, held).join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    shared = family.drop("centre").join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).join(_around(family, held), "id", "left")
     ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
     # the bound is on what members of long lists share with each other: rows of short lists stay
     ends = ends.where((F.col("size") <= hot) | (F.col("shared") * 100 >= F.col("n") * threshold))
