@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from donorlens.plans.pipeline import import_manifest, run_pipeline
+from donorlens.plans.pipeline import export_manifest, import_manifest, run_pipeline
 from donorlens.session import apply_cluster_conf, build_session
 
 
@@ -17,8 +17,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", choices=["exports", "tpch"], default="exports")
     ap.add_argument("--as-of", help="as-of date YYYY-MM-DD (default: today)")
     ap.add_argument("--mode", choices=["upsert", "insert_ignore", "append"], default="upsert")
-    ap.add_argument("--compact-over", type=int, help="compact a state table with more segments than this")
-    ap.add_argument("--digest", choices=["lines", "md5"], default="lines", help="change-detection digest")
+    ap.add_argument("--digest", choices=["lines", "ordered", "md5"], default="lines", help="change-detection digest")
+    ap.add_argument("--multiline", action="store_true", help="quoted text in the exports may hold line breaks")
+    ap.add_argument("--cohorts-from", choices=["events", "orders"], default="events", help="first actions of the all-user cohorts")
+    ap.add_argument("--export-manifest", help="write the state manifest to this new JSON file afterwards")
     ap.add_argument("--import-manifest", help="seed the state manifest from a {file_name: md5} JSON file first")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
@@ -28,8 +30,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.import_manifest:
         import_manifest(spark, a.import_manifest, a.out)
     report = run_pipeline(spark, out_dir=a.out, as_of=a.as_of, source=a.source, landing_dir=a.landing,
-                          orders_dir=a.orders_dir, mode=a.mode, compact_over=a.compact_over,
-                          digest=a.digest)
+                          orders_dir=a.orders_dir, mode=a.mode, digest=a.digest,
+                          multiline=a.multiline, cohorts_from=a.cohorts_from)
+    if a.export_manifest:
+        export_manifest(spark, a.out, a.export_manifest)
     print(json.dumps(report))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the source text formats are ``DD.MM.YYYY HH24:MI`` and ``DD.MM.YYYY HH24:MI:SS``.
@@ -59,8 +59,8 @@ def month_index(c: str | Column) -> Column:
 
 
 def as_of_date(as_of: dt.date | str | None) -> dt.date:
-    if as_of is None:
-        return dt.date.today()
+    if as_of is None:  # the session's date, in its time zone, not that of the driver's host
+        return SparkSession.active().sql("SELECT current_date()").first()[0]
     if isinstance(as_of, str):
         return dt.date.fromisoformat(as_of)
     if isinstance(as_of, dt.datetime):

@@ -2,10 +2,8 @@
 
 Without a table format that has MERGE, a keyed load is an anti-join plus a union. The stored
 table is never overwritten in place (that would delete the input before it is read): the
-pipeline writes new segments and publishes a pointer - insert-if-absent and append add the
-``new_rows`` as one segment, an upsert rewrites only the segments holding superseded keys
-(``plans.pipeline.upsert_segments``). The joins shuffle on the key only (or broadcast the
-batch's keys when AQE measures them small); AQE's skew-join handling splits a hot key.
+pipeline writes the next version and publishes its number (``sources.versions``). The joins shuffle on the key only (or
+broadcast the batch's keys when AQE measures them small).
 """
 
 from __future__ import annotations
@@ -22,7 +20,7 @@ def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` plus the rows of ``incoming`` whose key is not there yet
-    (``ON CONFLICT DO NOTHING``). A keyed store appends ``new_rows`` instead of rewriting."""
+    (``ON CONFLICT DO NOTHING``)."""
     return existing.unionByName(new_rows(existing, incoming, keys), allowMissingColumns=True)
 
 

@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from donorlens.functions.numeric import cents_to_money, ratio_decimal
-from donorlens.functions.timecols import as_of_date, as_of_epoch, whole_days_between
-from donorlens.session import materialize
+from donorlens.functions.numeric import cents_to_money, ratio_decimal, to_cents
+from donorlens.functions.timecols import as_of_date, as_of_epoch, epoch_seconds, whole_days_between
 
 # Segment labels and the three-digit codes (recency, frequency, monetary score)
 # of each, in the order they are tested. Code 231 is in no list and gets NULL.
@@ -26,21 +25,24 @@ SEGMENTS: list[tuple[str, list[str]]] = [
 ]
 
 
-def rfm_base(grid: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def rfm_base(rows: DataFrame, as_of: dt.date | str | None = None, precision: str = "minute") -> DataFrame:
     """M-01: customer_id, recency_days, frequency, monetary_cents per paying customer.
 
     recency_days is the day field of (as-of midnight - last order): elapsed seconds / 86400
-    truncated toward zero, not a calendar-date difference. On a grid with the customer
-    columns of ``base.with_cohort`` this is a filter (one row per customer: its first month);
-    on a bare grid it is one aggregate by customer.
+    truncated toward zero, not a calendar-date difference. ``rows``: paid orders (one aggregate by customer, partial per
+    task, and no other shuffle), a grid with the customer columns of ``base.with_cohort`` (a filter: one row per
+    customer, its first month) or a bare grid (one aggregate by customer).
     """
     as_of = as_of_date(as_of)
-    if "cust_last_s" in grid.columns:
-        per_customer = grid.where(F.col("month") == F.col("cohort_month")).select(
+    if "cust_last_s" in rows.columns:
+        per_customer = rows.where(F.col("month") == F.col("cohort_month")).select(
             "customer_id", F.col("cust_last_s").alias("last_s"), F.col("cust_orders").alias("frequency"),
             F.col("cust_cents").alias("monetary_cents"))
     else:
-        per_customer = grid.groupBy("customer_id").agg(
+        if "order_ts" in rows.columns:
+            rows = rows.select("customer_id", epoch_seconds("order_ts", precision).alias("last_s"), F.lit(1).alias("n_orders"),
+                               to_cents("amount").alias("revenue_cents"))
+        per_customer = rows.groupBy("customer_id").agg(
             F.max("last_s").alias("last_s"),
             F.sum("n_orders").alias("frequency"),
             F.sum("revenue_cents").alias("monetary_cents"),
@@ -53,32 +55,32 @@ def rfm_base(grid: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     )
 
 
-def _score(x: Column, avg: Column, sd: Column, larger_is_better: bool) -> Column:
-    """1..4 by mean +- one sample standard deviation; inclusive bounds; NULL sd skips a branch."""
+def _score(x: str, stats: Column, larger_is_better: bool) -> Column:
+    """1..4 by mean +- one sample standard deviation; inclusive bounds; an undefined deviation skips a branch.
+
+    With n values, their sum s and their sum of squares q, all exact, a value lies n*x - s from the mean, in n-ths, and the
+    deviation is sqrt(n * (n*q - s*s) / (n - 1)) n-ths: the comparison doesn't depend on how the rows were dealt.
+    """
+    wide = "decimal(20,0)"
+    n, s, q = (stats.getField(k) for k in ("n", f"s_{x}", f"q_{x}"))
+    apart = (n.cast(wide) * F.col(x).cast(wide) - s).cast("double")
+    spread = F.sqrt(n.cast("double") * (n.cast(wide) * q - s * s).cast("double") / F.nullif(n - 1, F.lit(0)))
     if larger_is_better:
-        return (F.when(x >= avg + sd, 4).when(x >= avg, 3).when(x >= avg - sd, 2).otherwise(1))
-    return (F.when(x <= avg - sd, 4).when(x <= avg, 3).when(x <= avg + sd, 2).otherwise(1))
+        return F.when(apart >= spread, 4).when(apart >= 0, 3).when(apart >= -spread, 2).otherwise(1)
+    return F.when(apart <= -spread, 4).when(apart <= 0, 3).when(apart <= spread, 2).otherwise(1)
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """M-02: adds recency_score, frequency_score, monetary_score.
 
-    The six statistics are one global aggregate (partial per task, one row at the end) used as
+    The statistics are one global aggregate of exact decimals (partial per task, one row at the end) used as
     an uncorrelated scalar subquery: no join and no single-partition window over customers.
-    Monetary statistics are taken over whole cents, so a tie can only come from an exact mean.
     """
-    stats = base.agg(F.struct(
-        F.avg("recency_days").alias("ar"), F.stddev_samp("recency_days").alias("sr"),
-        F.avg("frequency").alias("af"), F.stddev_samp("frequency").alias("sf"),
-        F.avg("monetary_cents").alias("am"), F.stddev_samp("monetary_cents").alias("sm"),
-    ).alias("s")).scalar()
-    s = lambda name: stats.getField(name)
-    return base.select(
-        "*",
-        _score(F.col("recency_days"), s("ar"), s("sr"), larger_is_better=False).alias("recency_score"),
-        _score(F.col("frequency"), s("af"), s("sf"), larger_is_better=True).alias("frequency_score"),
-        _score(F.col("monetary_cents"), s("am"), s("sm"), larger_is_better=True).alias("monetary_score"),
-    )
+    values = ("recency_days", "frequency", "monetary_cents")
+    wide = lambda x: F.col(x).cast("decimal(19,0)")
+    sums = [F.sum(wide(x)).cast("decimal(19,0)").alias(f"s_{x}") for x in values] + [F.sum(wide(x) * wide(x)).cast("decimal(38,0)").alias(f"q_{x}") for x in values]
+    stats = base.agg(F.struct(F.count(F.lit(1)).alias("n"), *sums).alias("s")).scalar()
+    return base.select("*", *[_score(x, stats, x != "recency_days").alias(f"{x.split('_')[0]}_score") for x in values])
 
 
 def segment_of(code: Column) -> Column:
@@ -107,26 +109,19 @@ def with_group(scored: DataFrame) -> DataFrame:
         F.col("monetary_score").cast("string")))
 
 
-def rfm_scored(grid: DataFrame, as_of: dt.date | str | None = None, materialize_base: bool = True) -> DataFrame:
-    """M-01 + M-02 + group code, with the customer-level base written once.
-
-    The base feeds the statistics, the scores and the group shares; materialised in the shared
-    checkpoint folder, those three reads cost one Parquet scan each instead of three
-    recomputations of the customer aggregate.
-    """
-    b = rfm_base(grid, as_of)
-    if materialize_base:
-        b = materialize(b, "rfm_base")
-    return with_group(rfm_scores(b))
+def rfm_scored(rows: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """M-01 + M-02 + group code of a grid or of paid orders. Nothing is written: the statistics, the scores and the
+    group shares read the customers alike, so Spark makes the one shuffle by customer once and reuses it."""
+    return with_group(rfm_scores(rfm_base(rows, as_of)))
 
 
-def rfm(grid: DataFrame, as_of: dt.date | str | None = None, materialize_base: bool = True) -> DataFrame:
-    """Full RFM mart (M-01..M-04), schema ``schemas.RFM``.
+def rfm(rows: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """Full RFM mart (M-01..M-04), schema ``schemas.RFM``, of a grid or of paid orders.
 
     The share table is joined back by broadcast: its size is bounded by 64 rows by
     construction (three scores in 1..4), whatever the number of customers.
     """
-    grouped = rfm_scored(grid, as_of, materialize_base)
+    grouped = rfm_scored(rows, as_of)
     shares = rfm_group_shares(grouped)
     return grouped.join(F.broadcast(shares), "rfm_group", "left").select(
         "customer_id", "recency_days", "frequency",

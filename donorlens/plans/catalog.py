@@ -20,8 +20,8 @@ from donorlens.operators import base, churn, merge, quality, reshape, rfm
 from donorlens.plans import pipeline
 from donorlens.plans.marts import MartPlan
 from donorlens.schemas import ORDERS_CSV, ORDERS_KEY
-from donorlens.session import scratch_path
-from donorlens.sources import exports
+from donorlens.session import scratch_path, scratch_scope
+from donorlens.sources import exports, versions
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, purchases_from_events,
                                       read_table, tpch_orders)
 
@@ -84,20 +84,23 @@ def export_orders_csv(spark: SparkSession, d: str) -> list[str]:
     return _export_csv(spark, read_table(spark, d, "orders"))
 
 
-def _export_csv(spark: SparkSession, o: DataFrame) -> list[str]:
-    """The driver's ``orders`` written as a ``;`` export in the source layout (text times,
-    status ``Paid`` for ``F``) to a fresh folder under the shared checkpoint folder; returns
+def _export_rows(o: DataFrame, *more) -> DataFrame:
+    """The driver's ``orders`` in the source layout (text times, status ``Paid`` for ``F``)."""
+    key, first_action, customer, ts, price, status = ORDERS_CSV.fieldNames()
+    return o.select(F.col("o_orderkey").alias(key),
+                    F.col("o_orderkey").alias(first_action),
+                    F.col("o_custkey").alias(customer),
+                    format_text_ts("o_orderdate").alias(ts),
+                    F.col("o_totalprice").cast("decimal(18,2)").alias(price),
+                    F.when(F.col("o_orderstatus") == TPCH_PAID_STATUS, F.lit(PAID_STATUS))
+                     .otherwise(F.col("o_orderstatus")).alias(status), *more)
+
+
+def _export_csv(spark: SparkSession, o: DataFrame, *more) -> list[str]:
+    """The orders written as a ``;`` export to a fresh folder under the shared checkpoint folder; returns
     the file paths (a listing: one entry per file)."""
     path = scratch_path(spark, "orders-export")
-    key, first_action, customer, ts, price, status = ORDERS_CSV.fieldNames()
-    (o.select(F.col("o_orderkey").alias(key),
-              F.col("o_orderkey").alias(first_action),
-              F.col("o_custkey").alias(customer),
-              format_text_ts("o_orderdate").alias(ts),
-              F.col("o_totalprice").cast("decimal(18,2)").alias(price),
-              F.when(F.col("o_orderstatus") == TPCH_PAID_STATUS, F.lit(PAID_STATUS))
-               .otherwise(F.col("o_orderstatus")).alias(status))
-      .write.option("sep", ";").option("header", True).csv(path))
+    _export_rows(o, *more).write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
     return [r["path"] for r in exports.list_csv(spark, path).select("path").collect()]
 
 
@@ -106,10 +109,58 @@ def q_csv_ingest(spark, d):
     return orders_from_export(exports.read_orders_export(spark, export_orders_csv(spark, d))).drop("bad_value")
 
 
+def q_csv_ingest_quoted(spark, d):
+    """D-03, P-01: an export with a quoted column that holds line breaks, separators and quotes, read as multi-line text."""
+    note = F.concat(F.lit('order "'), F.col("o_orderkey").cast("string"), F.lit('"\n a;b\\'), F.col("o_orderpriority"))
+    paths = _export_csv(spark, read_table(spark, d, "orders"), note.alias("note"))
+    return exports.read_orders_export(spark, paths, multiline=True).select(
+        F.col("OrderIdsMindboxId").alias("order_id"), F.col("OrderTotalPrice").alias("amount"), "note")
+
+
+def _yearly_exports(spark: SparkSession, d: str) -> str:
+    """The driver's ``orders`` as a landing folder of one export file per order year, ``orders_<year>.csv``, by order id."""
+    parts, folder = scratch_path(spark, "orders-parts"), scratch_path(spark, "orders-yearly")
+    year = F.year("o_orderdate").alias("year")
+    rows = _export_rows(read_table(spark, d, "orders"), year).repartition("year").sortWithinPartitions("year", ORDERS_KEY)
+    rows.write.partitionBy("year").option("sep", ";").option("header", True).csv(parts)
+    for r in exports.list_csv(spark, f"{parts}/year=*").select("path").collect():  # a listing: one file per year
+        versions.move(spark, r["path"], f"{folder}/orders_{r['path'].split('year=')[1].split('/')[0]}.csv")
+    return folder
+
+
 def q_changed_files(spark, d):
-    """D-01, D-02: content digests of the export files against an empty manifest."""
-    folder = export_orders_csv(spark, d)[0].rsplit("/", 1)[0]
-    return exports.changed_files(exports.file_digests(spark, folder), None).select("file_name", "md5")
+    """D-01, D-02, P-02: yearly export files against the manifest of an earlier load, read from its JSON file: the files from
+    1999 on were not there yet, those of 1997 and 1998 have changed since, the others haven't. The load's manifest is
+    then written back as JSON and read again."""
+    folder = _yearly_exports(spark, d)
+    now = exports.file_digests(spark, folder)
+    known = now.where("file_name < 'orders_1999'").withColumn("md5", F.when(F.col("file_name") < "orders_1997", F.col("md5")).otherwise(F.reverse("md5")))
+    before, after = f"{folder}-before.json", f"{folder}-after.json"
+    exports.write_manifest(spark, known, before)
+    old = exports.manifest_from_json(spark, before)
+    changed = exports.changed_files(now, old)
+    exports.write_manifest(spark, exports.updated_manifest(old, changed), after)
+    status = F.when(F.col("old_md5").isNull(), "new").when(F.col("old_md5") == F.col("md5"), "unchanged").otherwise("changed")
+    return exports.manifest_from_json(spark, after).select("file_name", "md5").join(
+        old.select("file_name", F.col("md5").alias("old_md5")), "file_name", "left").select("file_name", "md5", status.alias("status"))
+
+
+def q_ordered_digests(spark, d):
+    """P-74: digests of the yearly export files over lines with their number in the file."""
+    return exports.file_digests(spark, _yearly_exports(spark, d), "ordered").select("file_name", "md5")
+
+
+def q_mart_schemas(spark, d):
+    """D-10, P-05: the 18 marts published by the pipeline: each column's type, the rows and the values that aren't null."""
+    out = scratch_path(spark, "marts")
+    report = pipeline.run_pipeline(spark, out_dir=out, as_of=ORDERS_AS_OF, source="tpch", orders_dir=d)
+    frames = []
+    for name in MartPlan.MART_NAMES:
+        mart = pipeline.read_mart(spark, report["marts"], name)
+        entry = lambda f: F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.count(f"`{f.name}`").alias("n_values"))
+        counts = mart.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*[entry(f) for f in mart.schema.fields]).alias("x"))
+        frames.append(counts.select(F.lit(name).alias("mart"), "n_rows", F.explode("x").alias("x")).select("mart", "n_rows", "x.*"))
+    return exports.union_by_name(frames)
 
 
 def q_rfm_segments_from_export(spark, d):
@@ -156,10 +207,11 @@ def _stored(spark, d, mode: str, first, second, raised: bool = False) -> DataFra
     later = o.where(second)
     if raised:
         later = later.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)") + F.lit(1))
-    for run_id, batch in (("1", o.where(first)), ("2", later)):
-        rows = exports.read_orders_export(spark, _export_csv(spark, batch))
-        pipeline.load_table(spark, "orders", rows, state, [ORDERS_KEY], run_id, mode)
-    out = orders_from_export(pipeline.current_table(spark, state)).drop("bad_value")
+    with scratch_scope(spark):
+        for run_id, batch in (("1", o.where(first)), ("2", later)):
+            rows = exports.read_orders_export(spark, _export_csv(spark, batch))
+            pipeline.load_table(spark, "orders", rows, state, [ORDERS_KEY], run_id, mode)
+    out = orders_from_export(versions.read(spark, state)).drop("bad_value")
     return out.withColumn("status", F.when(F.col("status") == PAID_STATUS, TPCH_PAID_STATUS).otherwise(F.col("status")))
 
 
@@ -193,22 +245,22 @@ def q_union_by_name_missing_columns(spark, d):
 
 def q_rfm_base(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_base(p.grid_with_cohort, p.as_of)
+    return rfm.rfm_base(p.rfm_rows, p.as_of)
 
 
 def q_rfm_base_events(spark, d):
     p = _events_plan(spark, d)
-    return rfm.rfm_base(p.grid_with_cohort, p.as_of)
+    return rfm.rfm_base(p.rfm_rows, p.as_of)
 
 
 def q_rfm_scores(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_scored(p.grid_with_cohort, p.as_of).drop("rfm_group")
+    return rfm.rfm_scored(p.rfm_rows, p.as_of).drop("rfm_group")
 
 
 def q_rfm_group_share(spark, d):
     p = _plan(spark, d)
-    return rfm.rfm_group_shares(rfm.rfm_scored(p.grid_with_cohort, p.as_of))
+    return rfm.rfm_group_shares(rfm.rfm_scored(p.rfm_rows, p.as_of))
 
 
 def q_rfm_segments(spark, d):
@@ -335,7 +387,10 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_event_times": q_parse_event_times,
     "parse_order_times": q_parse_order_times,
     "csv_ingest": q_csv_ingest,
+    "csv_ingest_quoted": q_csv_ingest_quoted,
     "changed_files": q_changed_files,
+    "ordered_digests": q_ordered_digests,
+    "mart_schemas": q_mart_schemas,
     "rfm_segments_from_export": q_rfm_segments_from_export,
     "duplicate_keys_lineitem": q_duplicate_keys_lineitem,
     "unique_key_assertion": q_unique_key_assertion,

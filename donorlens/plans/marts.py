@@ -87,9 +87,14 @@ class MartPlan:
             return self.slot_table
         return cohorts.slot_wide(self.grid_with_cohort, self.as_of, self.horizon)
 
+    @cached_property
+    def rfm_rows(self) -> DataFrame:
+        """What RFM is made of: a grid that is there already, else the paid orders (one aggregate by customer)."""
+        return self.grid_with_cohort if self.grid is not None else self.paid
+
     # published marts
     def rfm(self) -> DataFrame:
-        return conform(rfm.rfm(self.grid_with_cohort, self.as_of), schemas.RFM)
+        return conform(rfm.rfm(self.rfm_rows, self.as_of), schemas.RFM)
 
     def cohorts_all(self) -> DataFrame:
         return conform(self.all_user_cohorts, schemas.COHORTS)

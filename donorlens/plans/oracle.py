@@ -348,6 +348,80 @@ ARPPU_CUM_LONG = _long(PAID_SLOTS + f", {CUM}", "cum", "cohort_month", f"{rnd('c
 RR_LONG = _long(PAID_SLOTS, "sv", "cohort_month", f"{_RR} AS rr")
 AC_LONG = _long(PAID_SLOTS, "sv", "cohort_month", f"{_AC} AS average_check", month="off")
 
+# ---- export files and published marts --------------------------------------------------------
+
+# the lines of one export file per order year, numbered from the header on
+_EXPORT_LINES = """
+lines AS (
+    SELECT 'orders_' || year(o_orderdate) || '.csv' AS file_name, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS n,
+           concat_ws(';', o_orderkey, o_orderkey, o_custkey, strftime(o_orderdate, '%d.%m.%Y %H:%M:%S'), CAST(o_totalprice AS DECIMAL(18,2)),
+                     CASE WHEN o_orderstatus = 'F' THEN 'Paid' ELSE o_orderstatus END) AS line
+    FROM orders
+    UNION ALL
+    SELECT DISTINCT 'orders_' || year(o_orderdate) || '.csv', 0, 'OrderIdsMindboxId;OrderFirstActionIdsMindboxId;OrderCustomerIdsMindboxId;'
+           || 'OrderFirstActionDateTimeUtc;OrderTotalPrice;OrderLineStatusIdsExternalId' FROM orders)"""
+
+
+def _digests(hashed: str) -> str:
+    return f"""
+hashed AS (SELECT file_name, md5({hashed}) AS h FROM lines),
+digests AS (SELECT file_name, md5(concat_ws(':', count(*), sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)), sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)))) AS md5
+            FROM hashed GROUP BY file_name)"""
+
+
+CHANGED_FILES = f"""
+WITH {_EXPORT_LINES}, {_digests('line')}
+SELECT file_name, md5, CASE WHEN file_name >= 'orders_1999' THEN 'new' WHEN file_name >= 'orders_1997' AND md5 <> reverse(md5) THEN 'changed' ELSE 'unchanged' END AS status
+FROM digests"""
+
+ORDERED_DIGESTS = f"""
+WITH {_EXPORT_LINES}, {_digests("n || ':' || line")}
+SELECT file_name, md5 FROM digests"""
+
+CSV_INGEST_QUOTED = r"""
+SELECT o_orderkey AS order_id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+       'order "' || o_orderkey || '"' || chr(10) || ' a;b' || chr(92) || o_orderpriority AS note
+FROM orders"""
+
+
+def _down(prefix: str, kind: str) -> list[tuple[str, str]]:
+    return [(f"{prefix}{k}", kind) for k in range(H, 0, -1)]
+
+
+# The columns of the published marts and their types, and the query with the mart's rows.
+_COHORT = [("cohort_month", "date"), ("total_users", "bigint")]
+_D2 = "decimal(38,2)"
+MARTS: dict[str, tuple[str, list[tuple[str, str]]]] = {
+    "rfm": ("rfm_segments", [("customer_id", "bigint"), ("recency_days", "int"), ("frequency", "int"), ("monetary", _D2),
+                             ("recency_score", "int"), ("frequency_score", "int"), ("monetary_score", "int"), ("rfm_group", "string"),
+                             ("percent_rfm", _D2), ("cats", "string")]),
+    "cohorts_all": ("cohorts_all", [("user_id", "bigint"), ("cohort_month", "date")]),
+    "cohorts_paid": ("cohorts_paid", [("user_id", "bigint"), ("cohort_month", "date")]),
+    "cohorts_revenue_arppu_data": ("cohort_revenue_arppu", _COHORT + _down("revenue_month_", _D2) + _down("arppu_month_", "decimal(38,6)")),
+    "arppu_cumulative": ("arppu_cumulative", _COHORT + _down("cumulative_arppu_", _D2)),
+    "ltv_cohorts": ("ltv_cohorts", _COHORT + _down("revenue_month_", _D2) + _down("ltv_month_", _D2)),
+    "cumulative_ltv": ("ltv_cumulative", _COHORT + _down("ltv_cumulative_", _D2)),
+    "rr_cohorts": ("retention_rate", [("cohort", "string"), ("total_users", "bigint")] + _down("RR Month ", "decimal(5,2)")),
+    "ac_cohort": ("average_check", [("cohort", "string"), ("unique_users", "bigint"), ("average_check_current_month", _D2)]
+                  + [(f"average_check_month_{k}", _D2) for k in range(1, H)]),
+    "cdr": ("cdr", [("month", "date"), ("churn_rate", _D2), ("new_donors_ratio", _D2), ("avg_days_between_donations", _D2)]),
+    "paid_only": ("paid_orders_extract", [("user_id", "bigint"), ("order_id", "bigint"), ("order_date", "timestamp_ntz"), ("order_price", "decimal(18,2)")]),
+    **{mart: (query, [("cohort_month", "date"), ("month", "int"), (value, kind)]) for mart, query, value, kind in (
+        ("ltv_t", "ltv_long", "ltv", _D2), ("revenue_t", "revenue_long", "revenue", _D2), ("ltv_cum_t", "ltv_cum_long", "ltv_cumulative", _D2),
+        ("arppu_t", "arppu_long", "arppu", "decimal(38,6)"), ("arppu_cum_t", "arppu_cum_long", "cumulative_arppu", _D2),
+        ("rr_t", "rr_long", "rr", "decimal(5,2)"), ("ac_t", "ac_long", "average_check", _D2))},
+}
+
+
+def _mart_schemas() -> str:
+    rows = []
+    for mart, (query, columns) in MARTS.items():
+        entries = ", ".join(f"{{'column_name': '{c}', 'data_type': '{t}', 'n_values': count(\"{c}\")}}" for c, t in columns)
+        rows.append(f"SELECT '{mart}' AS mart, count(*) AS n_rows, [{entries}] AS x FROM ({ORACLE[query]}) AS m")
+    whole = "\nUNION ALL\n".join(rows)
+    return f"SELECT mart, n_rows, x.column_name, x.data_type, x.n_values FROM (SELECT mart, n_rows, unnest(x) AS x FROM ({whole}))"
+
+
 ORACLE: dict[str, str] = {
     "paid_orders_extract": PAID_ORDERS_EXTRACT,
     "parse_event_times": PARSE_EVENT_TIMES,
@@ -394,3 +468,7 @@ ORACLE: dict[str, str] = {
     "rr_long": RR_LONG,
     "ac_long": AC_LONG,
 }
+ORACLE["changed_files"] = CHANGED_FILES
+ORACLE["ordered_digests"] = ORDERED_DIGESTS
+ORACLE["csv_ingest_quoted"] = CSV_INGEST_QUOTED
+ORACLE["mart_schemas"] = _mart_schemas()

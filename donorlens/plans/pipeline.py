@@ -2,18 +2,16 @@
 
 Layout under ``out_dir`` (any Hadoop-compatible path):
 
-    _state/orders/run=<id>/        canonical orders after the keyed load (Parquet)
-    _state/events/run=<id>/        events after the keyed load
-    _state/manifest/run=<id>/      file_name, md5, loaded_at
-    _state/<table>/_CURRENT        one line: the run directory in use
-    marts/as_of=<date>/run=<id>/<mart>/    one Parquet table per mart
-    marts/as_of=<date>/_CURRENT
-
-Every write goes to a new ``run=<id>`` directory and is published by rewriting the small
-``_CURRENT`` pointer after all data of the run is written; the manifest is committed after
-the tables it describes, so a failed run is simply retried. The donor x month grid (with
-cohort) is materialised once in the shared checkpoint folder and read by all marts: the
-orders are aggregated in one pass whatever the number of marts.
+    _state/orders, _state/events, _state/manifest     versioned tables (``sources.versions``)
+    _state/grid                                       the donor x month grid with cohorts, versioned
+    _state/changed/run=<id>                           the customers whose orders the load changed
+    marts/as_of=<date>/run=<id>/<mart>/               one Parquet table per mart
+    marts/as_of=<date>/versions/v<n>                  one line: the snapshot in use
+
+A load parses the changed files once into a written batch, checks its keys, and publishes the next version of the table;
+the manifest is published after the tables it describes, so a failed run is simply retried. The grid is brought up to date
+from the customers that the loads since its version changed: their rows are made anew from their orders, all others are
+kept, without a shuffle of the grid. Every mart reads the grid.
 """
 
 from __future__ import annotations
@@ -22,199 +20,85 @@ import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from donorlens.functions.timecols import as_of_date
 from donorlens.operators import base, merge, quality
-from donorlens import schemas
-from donorlens.plans.marts import MartPlan, conform
-from donorlens.schemas import EVENTS_KEY, ORDERS_KEY
+from donorlens.plans.marts import MartPlan
+from donorlens.schemas import EVENTS_KEY, ORDERS_CUSTOMER, ORDERS_KEY
 from donorlens.session import check_session, materialize, scratch_scope
-from donorlens.sources import exports
+from donorlens.sources import exports, versions
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, activity_from_export, activity_from_orders,
                                       orders_from_export, orders_from_tpch, read_table)
 
-
-# ---- pointers on the cluster file system (Hadoop FS through the session's JVM) -----------------
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def read_segments(spark: SparkSession, dir_path: str, name: str = "_CURRENT") -> list[str]:
-    """The directories named by ``dir_path/_CURRENT`` (one per line); [] when unpublished."""
-    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/" + name)
-    if not fs.exists(p):
-        return []
-    stream = fs.open(p)
-    out = []
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        while line is not None:
-            if line.strip():
-                out.append(line.strip())
-            line = reader.readLine()
-    finally:
-        stream.close()
-    return out
-
-
-def read_pointer(spark: SparkSession, dir_path: str) -> str | None:
-    """The last published directory (for single-directory snapshots such as the marts)."""
-    segs = read_segments(spark, dir_path)
-    return segs[-1] if segs else None
-
-
-def write_pointer(spark: SparkSession, dir_path: str, target: str | list[str], name: str = "_CURRENT") -> None:
-    """Publish ``target`` (one directory or a list of segments): write the pointer to a
-    temporary name, then rename it over the old one in one step."""
-    targets = [target] if isinstance(target, str) else list(target)
-    fs, p, jvm = _fs(spark, dir_path.rstrip("/") + "/" + name)
-    tmp = jvm.org.apache.hadoop.fs.Path(dir_path.rstrip("/") + f"/{name}.{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray("".join(t + "\n" for t in targets).encode("utf-8")))
-    finally:
-        out.close()
-    # one step that replaces the old pointer: a crash leaves either the old or the new one
-    options = jvm.org.apache.hadoop.fs.Options.Rename
-    over = spark.sparkContext._gateway.new_array(options, 1)
-    over[0] = options.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), over)
-
-
-def _run_dir(base_dir: str, run_id: str) -> str:
-    return f"{base_dir.rstrip('/')}/run={run_id}"
-
-
-def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    """The published table: the union of its segments (one scan, Parquet reads them together)."""
-    segs = read_segments(spark, table_dir)
-    return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs) if segs else None
-
-
-def commit_table(spark: SparkSession, df: DataFrame, table_dir: str, run_id: str,
-                 append: bool = False) -> DataFrame:
-    """Write ``df`` to the run's directory and publish it - as the whole table, or with
-    ``append`` as one more segment (only the new rows are written). Returns the table.
-
-    Idempotent per run id: when the pointer already names this run's directory the data was
-    committed by an earlier attempt of the same run and is not written again (it may be an
-    input of ``df``, so it is never overwritten); leftovers of a crashed attempt that was never
-    published are overwritten.
-    """
-    target = _run_dir(table_dir, run_id)
-    segs = read_segments(spark, table_dir)
-    if target not in segs:
-        df.write.mode("overwrite").parquet(target)
-        segs = (segs + [target]) if append else [target]
-        write_pointer(spark, table_dir, segs)
-    return spark.read.option("mergeSchema", len(segs) > 1).parquet(*segs)
-
-
-def _leaf(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` completed (its ``_SUCCESS`` marker exists)."""
-    fs, p, _ = _fs(spark, path.rstrip("/") + "/_SUCCESS")
-    return bool(fs.exists(p))
-
-
-def upsert_segments(spark: SparkSession, table_dir: str, old: DataFrame, incoming: DataFrame,
-                    key: list[str], run_id: str) -> None:
-    """Keyed update with copy-on-write at segment granularity.
-
-    Only the stored segments holding a key of the batch are rewritten: their rows without such
-    a key become the segment ``run=<id>.kept``, the batch becomes ``run=<id>``, and every other
-    segment stays as it is (with the tables derived from it). Which segments are touched is one
-    semi-join of the stored key column with the batch keys, collected as a list of segment
-    names (bounded by the number of segments).
-    """
-    segs = read_segments(spark, table_dir)
-    seg_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    hits = (old.select(*key, seg_name.alias("_segment")).join(incoming.select(*key), key, "left_semi")
-            .select("_segment").distinct().collect())
-    touched = {r["_segment"] for r in hits}
-    target = _run_dir(table_dir, run_id)
-    new_segs = [sg for sg in segs if _leaf(sg) not in touched]
-    if touched:
-        kept = (spark.read.option("mergeSchema", True).parquet(*[sg for sg in segs if _leaf(sg) in touched])
-                .join(incoming.select(*key), key, "left_anti"))
-        kept_dir = target + ".kept"
-        kept.write.mode("overwrite").parquet(kept_dir)
-        new_segs.append(kept_dir)
-    incoming.write.mode("overwrite").parquet(target)
-    write_pointer(spark, table_dir, new_segs + [target])
-
-
-def compact_table(spark: SparkSession, table_dir: str, run_id: str | None = None) -> DataFrame:
-    """Rewrite an append-only table's segments as one (maintenance for many small loads)."""
-    table = current_table(spark, table_dir)
-    if table is None or len(read_segments(spark, table_dir)) <= 1:
-        return table
-    return commit_table(spark, table, table_dir, run_id or new_run_id())
+#: Loads since the grid's version that are folded into it; after more the grid is made anew.
+FOLDED_LOADS = 50
 
 
 # ---- ingest ----------------------------------------------------------------------------------
 
 def load_table(spark: SparkSession, name: str, rows: DataFrame, table_dir: str, key: list[str], run_id: str,
-               mode: str = "upsert") -> dict[str, int]:
-    """Keyed load of export rows into one state table (see ``load_files``); rows loaded per file."""
-    if _run_dir(table_dir, run_id) in read_segments(spark, table_dir):
-        return {}  # already loaded by an earlier attempt of this run (a replayed micro-batch)
+               mode: str = "upsert", owner: str | None = None, changed_dir: str | None = None) -> dict[str, int]:
+    """Keyed load of export rows into one stored table (see ``load_files``); rows loaded per file.
+
+    The rows are parsed once, into a written batch: what is checked is what is loaded. With ``owner`` (a column) and
+    ``changed_dir``, the owners of rows that the load adds or replaces are written beside the version.
+    """
+    if versions.loaded(spark, table_dir, run_id):
+        return {}  # loaded by an earlier attempt of this run (a replayed micro-batch)
+    number, line = versions.newest(spark, table_dir)
+    old = spark.read.parquet(f"{table_dir}/data/{line}") if line else None
     # rows keep their lineage: _source_file (export file) and _load_run (this load)
-    incoming = rows.withColumn("_load_run", F.lit(run_id))
-    old = current_table(spark, table_dir)
+    batch = materialize(rows.withColumn("_load_run", F.lit(run_id)), f"{name}-batch")
     # D-07: the batch's keys are unique and not NULL; with the stored keys unique, every
     # mode below keeps the table unique by construction (anti-join before union)
-    quality.assert_unique(incoming, key, f"{name} batch")
+    quality.assert_unique(batch, key, f"{name} batch")
+    if mode == "insert_ignore" and old is not None:
+        batch = materialize(merge.new_rows(old, batch, key), f"{name}-new")
+    replaced = old.join(batch.select(*key), key, "left_semi") if old is not None and mode != "insert_ignore" else None
+    if mode == "append" and replaced is not None and (clash := replaced.count()):
+        raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
     if old is None:
-        commit_table(spark, incoming, table_dir, run_id)
+        table = batch
     elif mode == "upsert":
-        # rewrites only the segments holding superseded keys (copy-on-write per segment)
-        upsert_segments(spark, table_dir, old, incoming, key, run_id)
-    elif mode == "insert_ignore":
-        # only the rows with new keys are written, as one more segment: the stored table is
-        # read for its key column only and never rewritten
-        commit_table(spark, merge.new_rows(old, incoming, key), table_dir, run_id, append=True)
+        table = merge.upsert(old, batch, key)
     else:
-        clash = incoming.join(old.select(*key), key, "left_semi").count()
-        if clash:
-            raise quality.KeyViolation(f"{name}: {clash} appended rows repeat a stored key")
-        commit_table(spark, incoming, table_dir, run_id, append=True)
-    written = spark.read.parquet(_run_dir(table_dir, run_id)).where(F.col("_load_run") == run_id)
-    counts = exports.rows_per_file(written).collect()  # rows loaded, one row per file
+        table = old.unionByName(batch, allowMissingColumns=True)
+    if owner and changed_dir:
+        owners = batch.select(owner)
+        if replaced is not None and mode == "upsert":
+            owners = owners.unionByName(replaced.select(owner))
+        owners.where(F.col(owner).isNotNull()).distinct().write.mode("overwrite").parquet(f"{changed_dir}/run={run_id}")
+    versions.publish(spark, table_dir, table, run_id, number)
+    counts = exports.rows_per_file(batch).collect()  # rows loaded, one row per file
     return {r["_source_file"]: r["rows"] for r in counts}
 
 
 def load_files(spark: SparkSession, files: list[tuple[str, str, str]], state_dir: str, run_id: str,
-               mode: str = "upsert") -> dict:
+               mode: str = "upsert", multiline: bool = False) -> dict:
     """Keyed load of the given export files (path, file_name, md5) into the state tables,
     then the manifest. D-03..D-07.
 
     ``mode``: ``upsert`` (a changed row replaces the stored one), ``insert_ignore`` (the stored
     row is kept, the reference's ON CONFLICT DO NOTHING) or ``append`` (the reference's load).
+    ``multiline``: quoted text in the files may hold line breaks (see ``exports.read_export``).
     """
-    manifest_dir = f"{state_dir}/manifest"
     order_paths, event_paths = exports.route([p for p, _, _ in files])
     key_of = {"orders": ORDERS_KEY, "events": EVENTS_KEY}
     rows_per_file: dict[str, int] = {}
     for name, paths, reader in (("orders", order_paths, exports.read_orders_export),
                                 ("events", event_paths, exports.read_events_export)):
-        if not paths:
-            continue
-        rows_per_file.update(load_table(spark, name, reader(spark, paths), f"{state_dir}/{name}", [key_of[name]], run_id, mode))
+        if paths:
+            owner = {"owner": ORDERS_CUSTOMER, "changed_dir": f"{state_dir}/changed"} if name == "orders" else {}
+            rows_per_file.update(load_table(spark, name, reader(spark, paths, multiline), f"{state_dir}/{name}",
+                                            [key_of[name]], run_id, mode, **owner))
     # the digests taken before the load, not a re-evaluation of the listing after it: a file
     # rewritten meanwhile must show up as changed on the next run
     seen = spark.createDataFrame([(f, m) for _, f, m in files], "file_name string, md5 string")
-    commit_table(spark, exports.updated_manifest(current_table(spark, manifest_dir), seen), manifest_dir, run_id)
+    manifest_dir = f"{state_dir}/manifest"
+    versions.replace(spark, manifest_dir, exports.updated_manifest(versions.read(spark, manifest_dir), seen), run_id)
     return {"files": [f for _, f, _ in files], "rows_per_file": rows_per_file}
 
 
@@ -222,145 +106,110 @@ def import_manifest(spark: SparkSession, json_path: str, out_dir: str) -> DataFr
     """Seed the state manifest from a ``{file_name: md5}`` JSON file, so a landing folder that
     was already loaded elsewhere is not loaded again (run with ``digest="md5"``)."""
     state = f"{out_dir.rstrip('/')}/_state/manifest"
-    return commit_table(spark, exports.manifest_from_json(spark, json_path), state, "imported")
+    versions.replace(spark, state, exports.manifest_from_json(spark, json_path), "imported")
+    return versions.read(spark, state)
 
 
-def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
-                   mode: str = "upsert", compact_over: int | None = None,
-                   digest: str = "lines") -> dict | None:
-    """D-01..D-07 for one landing folder. Returns None when no file is new or changed.
+def export_manifest(spark: SparkSession, out_dir: str, json_path: str) -> None:
+    """The state manifest as a new ``{file_name: md5}`` JSON file, as ``import_manifest`` reads it."""
+    exports.write_manifest(spark, versions.read(spark, f"{out_dir.rstrip('/')}/_state/manifest"), json_path)
 
-    ``compact_over``: after the load, rewrite a state table whose segment count exceeds it as
-    one segment (its derived parts are then rebuilt once). Off by default: on a large table
-    compaction is a maintenance job to schedule, not a side effect of every load.
-    """
-    manifest = current_table(spark, f"{state_dir}/manifest")
+
+def ingest_exports(spark: SparkSession, landing_dir: str, state_dir: str, run_id: str,
+                   mode: str = "upsert", digest: str = "lines", multiline: bool = False) -> dict | None:
+    """D-01..D-07 for one landing folder. Returns None when no file is new or changed."""
+    manifest = versions.read(spark, f"{state_dir}/manifest")
     changed = exports.changed_files(exports.file_digests(spark, landing_dir, digest), manifest)
     # one row per changed file: a file listing, bounded by the number of files
     files = [(r["path"], r["file_name"], r["md5"]) for r in changed.select("path", "file_name", "md5").collect()]
-    if not files:
-        return None
-    report = load_files(spark, files, state_dir, run_id, mode)
-    if compact_over is not None:
-        for name in ("orders", "events"):
-            table_dir = f"{state_dir}/{name}"
-            if len(read_segments(spark, table_dir)) > compact_over:
-                compact_table(spark, table_dir, f"{run_id}.compact")
-                report.setdefault("compacted", []).append(name)
-    return report
+    return load_files(spark, files, state_dir, run_id, mode, multiline) if files else None
+
+
+def _whole_grid(orders: DataFrame) -> DataFrame:
+    return base.with_cohort(base.donor_month_grid(base.paid_orders(orders, PAID_STATUS)))
+
+
+def folded_grid(grid: DataFrame, orders: DataFrame, changed: DataFrame) -> DataFrame:
+    """``grid`` with the rows of the ``changed`` customers made anew from all their orders."""
+    return grid.join(changed, "customer_id", "left_anti").unionByName(_whole_grid(orders.join(changed, "customer_id", "left_semi")))
 
 
-def _derived_segments(spark: SparkSession, state: str, source: str, derived: str,
-                      build) -> tuple[DataFrame | None, int]:
-    """A table derived segment by segment from a segmented source table.
+def current_grid(spark: SparkSession, state: str, run_id: str) -> DataFrame:
+    """The donor x month grid with cohorts of the stored orders, brought up to date and published.
 
-    Each source segment ``.../<source>/<name>`` has its derived part in ``.../<derived>/<name>``,
-    built once (a write is complete when its ``_SUCCESS`` marker exists) and reused while the
-    source segment is published. After any load only the new segments are built - an upsert
-    replaces just the segments it touched - so maintaining the state costs O(new segments).
-    Returns the union of the parts of the current source segments and their number.
+    Rows of customers that no load since the grid's version changed are kept as they are: a filter by the changed
+    customers (broadcast by Spark where they are few), no shuffle of the grid. The others' rows are made from their orders.
     """
-    src_segs = read_segments(spark, f"{state}/{source}")
-    if not src_segs:
-        return None, 0
-    dst_dir = f"{state}/{derived}"
-    parts = []
-    for seg in src_segs:
-        part = f"{dst_dir}/{_leaf(seg)}"
-        if not _committed(spark, part):
-            build(spark.read.parquet(seg)).write.mode("overwrite").parquet(part)
-        parts.append(part)
-    if read_segments(spark, dst_dir) != parts:
-        write_pointer(spark, dst_dir, parts)
-    return spark.read.option("mergeSchema", len(parts) > 1).parquet(*parts), len(parts)
-
-
-def _orders_grid(raw_orders: DataFrame) -> DataFrame:
-    return base.donor_month_grid(base.paid_orders(orders_from_export(raw_orders), PAID_STATUS))
-
-
-def _events_first(raw_events: DataFrame) -> DataFrame:
-    return base.first_actions(activity_from_export(raw_events))
-
-
-def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str,
-                  names: tuple[str, ...] | None = None) -> dict:
-    """Marts from the export state tables (paid status ``Paid``, all-user cohorts from the
-    events).
-
-    Everything read from the orders and events is derived segment by segment
-    (``_derived_segments``): a partial donor x month grid, the users' first actions, the
-    paid-orders extract and the quarantined rows of each loaded segment. The partial grids and
-    first actions are combined by one partial aggregate; ``paid_only`` is published in the
-    snapshot as a pointer to its immutable parts rather than copied. A refresh after any load
-    therefore never re-reads the segments that did not change.
+    number, _ = versions.newest(spark, f"{state}/orders")
+    grid_dir = f"{state}/grid"
+    made, line = versions.newest(spark, grid_dir)
+    of = int(line.rsplit("-orders-", 1)[1]) if line else 0
+    if line and of == number:
+        return spark.read.parquet(f"{grid_dir}/data/{line}")
+    orders = orders_from_export(versions.read(spark, f"{state}/orders"))
+    grid = None
+    if line and number - of <= FOLDED_LOADS:
+        try:
+            loads = [versions.line_of(spark, f"{state}/orders", k) for k in range(of + 1, number + 1)]
+            changed = spark.read.parquet(*[f"{state}/changed/{load}" for load in loads])
+        except AnalysisException:  # a load whose changes weren't noted
+            changed = None
+        if changed is not None:
+            changed = materialize(changed.select(F.col(ORDERS_CUSTOMER).alias("customer_id")).distinct(), "changed")
+            grid = folded_grid(spark.read.parquet(f"{grid_dir}/data/{line}"), orders, changed)
+    versions.publish(spark, grid_dir, _whole_grid(orders) if grid is None else grid, f"{run_id}-orders-{number}", made)
+    return versions.read(spark, grid_dir)
+
+
+def refresh_marts(spark: SparkSession, out_dir: str, as_of, run_id: str, names: tuple[str, ...] | None = None,
+                  cohorts_from: str = "events") -> dict:
+    """Marts from the export state tables (paid status ``Paid``).
+
+    ``cohorts_from``: the all-user cohorts start with a user's first event (``events``; there are none while no events
+    are loaded) or with the first order of any status (``orders``).
     """
     state = f"{out_dir.rstrip('/')}/_state"
-    if not read_segments(spark, f"{state}/orders"):
+    stored, events = versions.read(spark, f"{state}/orders"), versions.read(spark, f"{state}/events")
+    if stored is None:
         return {"skipped": "no orders loaded yet"}
-    grid, n = _derived_segments(spark, state, "orders", "grid", _orders_grid)
-    if n > 1:
-        # one shuffle by customer serves the combine and the per-customer window after it; safe
-        # from skew because a partial grid has at most one row per customer, month and segment
-        grid = base.combine_grids(grid.repartition("customer_id"))
-    first, n = _derived_segments(spark, state, "events", "first_actions", _events_first)
-    first = base.combine_first_actions(first) if n > 1 else first
-    _derived_segments(spark, state, "orders", "paid_only", _orders_paid_only)
-    report = {}
-    for name, src, build in (("orders", "orders", _orders_rejected), ("events", "events", _events_rejected)):
-        rej, _ = _derived_segments(spark, state, src, f"rejected_{name}", build)
-        if rej is not None:
-            report[f"rejected_{name}"] = rej.count()
-            report[f"rejected_{name}_path"] = f"{state}/rejected_{name}"
-    if first is None:  # no events loaded: first actions from the orders of any status
-        first = base.first_actions(activity_from_orders(base.valid_orders(
-            orders_from_export(current_table(spark, f"{state}/orders")))))
-    activity = first.select("user_id", F.col("first_ts").alias("ts"))
-    plan = build_plan(spark, None, as_of, PAID_STATUS, activity, grid)
-    todo = [n for n in (names or MartPlan.MART_NAMES) if n != "paid_only"]
-    target = write_marts(spark, plan, out_dir, run_id, tuple(todo), publish=False)
-    if names is None or "paid_only" in names:
-        write_pointer(spark, f"{target}/paid_only", read_segments(spark, f"{state}/paid_only"))
-    write_pointer(spark, _snapshot_dir(out_dir, plan.as_of), target)
-    report["marts"] = target
+    orders = orders_from_export(stored)
+    rejected = {"orders": base.rejected_orders(orders)}
+    if events is not None:
+        rejected["events"] = base.rejected_activity(activity_from_export(events))
+    if cohorts_from == "orders":
+        activity = activity_from_orders(base.valid_orders(orders))
+    elif cohorts_from != "events":
+        raise ValueError(f"unknown source of cohorts {cohorts_from!r}")
+    elif events is not None:
+        activity = activity_from_export(events)
+    else:
+        activity = activity_from_orders(orders).where("false")
+    report = {"cohorts_from": cohorts_from if events is not None or cohorts_from == "orders" else "events (none loaded)"}
+    report.update(_write_rejected(spark, rejected, out_dir, run_id))
+    plan = build_plan(spark, base.valid_orders(orders), as_of, PAID_STATUS, activity, current_grid(spark, state, run_id))
+    report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
     return report
 
 
-def _orders_paid_only(raw_orders: DataFrame) -> DataFrame:
-    return conform(base.paid_only(base.valid_orders(orders_from_export(raw_orders)), PAID_STATUS), schemas.PAID_ONLY)
-
-
-def _orders_rejected(raw_orders: DataFrame) -> DataFrame:
-    return base.rejected_orders(orders_from_export(raw_orders))
-
-
-def _events_rejected(raw_events: DataFrame) -> DataFrame:
-    return base.rejected_activity(activity_from_export(raw_events))
+def read_mart(spark: SparkSession, snapshot: str, name: str) -> DataFrame:
+    """A mart of a published snapshot."""
+    return spark.read.parquet(f"{snapshot.rstrip('/')}/{name}")
 
 
-def read_mart(spark: SparkSession, snapshot: str, name: str) -> DataFrame:
-    """A mart of a published snapshot (a Parquet directory or a pointer to state segments)."""
-    path = f"{snapshot.rstrip('/')}/{name}"
-    return current_table(spark, path) if read_segments(spark, path) else spark.read.parquet(path)
+def current_marts(spark: SparkSession, out_dir: str, as_of) -> str:
+    """The published snapshot of an as-of date."""
+    return versions.newest(spark, _snapshot_dir(out_dir, as_of_date(as_of)))[1]
 
 
-def _write_all(spark, orders, activity, paid_value, as_of, out_dir, run_id, names, grid=None,
-               rejected_events=None) -> dict:
-    """Quarantine unattributable rows (written and counted), then build and write the marts."""
-    root = out_dir.rstrip("/")
+def _write_rejected(spark: SparkSession, rejected: dict[str, DataFrame], out_dir: str, run_id: str) -> dict:
+    """Unattributable rows, written and counted while they are written."""
     report = {}
-    rejected = {"orders": base.rejected_orders(orders)}
-    if rejected_events is not None:
-        rejected["events"] = rejected_events
-    elif activity is not None:
-        rejected["events"] = base.rejected_activity(activity)
     for name, df in rejected.items():
-        path = f"{root}/rejected/{name}/run={run_id}"
-        df.write.mode("overwrite").parquet(path)
-        report[f"rejected_{name}"] = spark.read.parquet(path).count()  # from the Parquet footers
+        path = f"{out_dir.rstrip('/')}/rejected/{name}/run={run_id}"
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        report[f"rejected_{name}"] = seen.get["rows"]
         report[f"rejected_{name}_path"] = path
-    plan = build_plan(spark, base.valid_orders(orders), as_of, paid_value, activity, grid)
-    report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
     return report
 
 
@@ -375,7 +224,8 @@ def build_plan(spark: SparkSession, orders: DataFrame, as_of, paid_value: str,
     row per cohort month and feed 12 and 4 marts.
     """
     plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=activity, grid=grid)
-    gwc = materialize(plan.grid_with_cohort, "grid")
+    # a stored grid has its cohort columns already
+    gwc = plan.grid_with_cohort if grid is not None and "cohort_month" in grid.columns else materialize(plan.grid_with_cohort, "grid")
     plan = MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=gwc)
     return MartPlan(orders, as_of=as_of, paid_value=paid_value, activity=plan.activity, grid=gwc,
                     slot_table=materialize(plan.slots, "slots"),
@@ -387,15 +237,15 @@ def _snapshot_dir(out_dir: str, as_of) -> str:
 
 
 def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,
-                names: tuple[str, ...] | None = None, parallel: int = 8, publish: bool = True) -> str:
-    """One Parquet table per mart under a new run directory, then publish the pointer.
+                names: tuple[str, ...] | None = None, parallel: int = 8) -> str:
+    """One Parquet table per mart under a new run directory, then publish it as the date's newest snapshot.
 
     The marts are independent jobs; ``parallel`` of them are submitted at once from driver
     threads so the small ones fill executors the large ones leave idle. ``overwrite`` inside
     the run directory makes a replayed run (same id) idempotent.
     """
     snap = _snapshot_dir(out_dir, plan.as_of)
-    target = _run_dir(snap, run_id)
+    target = f"{snap}/run={run_id}"
 
     def write(name: str) -> None:
         getattr(plan, name)().write.mode("overwrite").parquet(f"{target}/{name}")
@@ -408,8 +258,7 @@ def write_marts(spark: SparkSession, plan: MartPlan, out_dir: str, run_id: str,
     else:
         for n in todo:
             write(n)
-    if publish:
-        write_pointer(spark, snap, target)
+    versions.advance(spark, snap, versions.newest(spark, snap)[0], target)
     return target
 
 
@@ -417,27 +266,26 @@ def new_run_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
-def _refreshed_from(spark: SparkSession, state: str, as_of: dt.date, names: tuple[str, ...] | None) -> list[str]:
-    """What a refresh depends on: the as-of date, the marts asked for and the published segments of the state tables."""
-    return [f"as_of={as_of.isoformat()}", f"names={','.join(names or ('all',))}"] + [
-        segment for table in ("orders", "events") for segment in read_segments(spark, f"{state}/{table}")]
+def _refreshed_from(spark: SparkSession, state: str, as_of: dt.date, names: tuple[str, ...] | None, cohorts_from: str) -> str:
+    """What a refresh depends on: the as-of date, the marts asked for and the versions of the stored tables."""
+    numbers = [f"{table}={versions.newest(spark, f'{state}/{table}')[0]}" for table in ("orders", "events")]
+    return " ".join([f"as_of={as_of.isoformat()}", f"names={','.join(names or ('all',))}", f"cohorts={cohorts_from}", *numbers])
 
 
 def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | None = None,
                  source: str = "exports", landing_dir: str | None = None, orders_dir: str | None = None,
-                 mode: str = "upsert", names: tuple[str, ...] | None = None,
-                 keep_intermediates: bool = False, compact_over: int | None = None,
-                 digest: str = "lines") -> dict:
+                 mode: str = "upsert", names: tuple[str, ...] | None = None, keep_intermediates: bool = False,
+                 digest: str = "lines", multiline: bool = False, cohorts_from: str = "events") -> dict:
     """The whole refresh.
 
     ``source="exports"``: CSV exports in ``landing_dir`` (paid status ``Paid``, first-action
-    cohorts from the events). Nothing is recomputed when no file changed and the last refresh succeeded
-    with the same as-of date and marts.
+    cohorts by ``cohorts_from``, see ``refresh_marts``). Nothing is recomputed when no file changed and the last refresh
+    succeeded with the same as-of date, marts and cohorts.
     ``source="tpch"``: the driver's Parquet ``orders`` in ``orders_dir`` (paid status ``F``,
     first-action cohorts from orders of any status).
     The intermediates this run writes to the checkpoint folder are deleted once the marts are
-    written, unless ``keep_intermediates``. ``digest``: ``lines`` (distributed, default) or
-    ``md5`` (file bytes; comparable with an imported manifest, see ``import_manifest``).
+    written, unless ``keep_intermediates``. ``digest``: see ``exports.file_digests`` (``md5`` is
+    comparable with an imported manifest, see ``import_manifest``); ``multiline``: see ``load_files``.
     """
     check_session(spark)
     run_id = new_run_id()
@@ -446,17 +294,20 @@ def run_pipeline(spark: SparkSession, *, out_dir: str, as_of: dt.date | str | No
     with scratch_scope(spark, cleanup=not keep_intermediates) as scratch:
         if source == "exports":
             state = f"{out_dir.rstrip('/')}/_state"
-            ingested = ingest_exports(spark, landing_dir, state, run_id, mode, compact_over, digest)
-            made_from = _refreshed_from(spark, state, as_of, names)
-            if ingested is None and read_segments(spark, state, "_REFRESHED") == made_from:
+            ingested = ingest_exports(spark, landing_dir, state, run_id, mode, digest, multiline)
+            made_from = _refreshed_from(spark, state, as_of, names, cohorts_from)
+            refreshed, line = versions.newest(spark, f"{state}/refreshed")
+            if ingested is None and line == made_from:
                 report["skipped"] = "no new or changed file"
                 return report
             report.update(ingested or {})
-            report.update(refresh_marts(spark, out_dir, as_of, run_id, names))
-            write_pointer(spark, state, _refreshed_from(spark, state, as_of, names), "_REFRESHED")
+            report.update(refresh_marts(spark, out_dir, as_of, run_id, names, cohorts_from))
+            versions.advance(spark, f"{state}/refreshed", refreshed, made_from)
         elif source == "tpch":
             orders = orders_from_tpch(read_table(spark, orders_dir, "orders"))
-            report.update(_write_all(spark, orders, None, TPCH_PAID_STATUS, as_of, out_dir, run_id, names))
+            report.update(_write_rejected(spark, {"orders": base.rejected_orders(orders)}, out_dir, run_id))
+            plan = build_plan(spark, base.valid_orders(orders), as_of, TPCH_PAID_STATUS, None)
+            report["marts"] = write_marts(spark, plan, out_dir, run_id, names)
         else:
             raise ValueError(f"unknown source {source!r}")
         report["intermediates"] = list(scratch)

@@ -31,6 +31,7 @@ EVENTS_CSV = _s(
 )
 ORDERS_KEY = "OrderIdsMindboxId"
 EVENTS_KEY = "CustomerActionIdsMindboxId"
+ORDERS_CUSTOMER = "OrderCustomerIdsMindboxId"
 
 # --- canonical frames every operator takes -------------------------------------------------
 # orders: customer_id, order_id, status, order_ts, amount

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
-import threading
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,29 +104,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "donorlens", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
 
 
-_SCOPES: list[list[str]] = []
-_SCOPES_LOCK = threading.Lock()
+_SCOPE: ContextVar[list[str] | None] = ContextVar("donorlens_scratch", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession, cleanup: bool = True) -> Iterator[list[str]]:
-    """Record the paths ``materialize`` writes inside the block (from any thread) and, with
-    ``cleanup``, delete exactly those paths from the shared folder when the block ends. Use it
+    """Record the paths ``materialize`` writes inside the block and, with ``cleanup``, delete exactly those paths from the
+    shared folder when the block ends. A block sees what is written in its own thread of control (threads that it starts
+    with a copied context included), not what other runs of the session write; an inner block's paths are its own. Use it
     around work whose outputs no longer read the intermediates (the pipeline's mart writes)."""
     paths: list[str] = []
-    with _SCOPES_LOCK:
-        _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield paths
     finally:
-        with _SCOPES_LOCK:
-            _SCOPES.remove(paths)
+        _SCOPE.reset(token)
         if cleanup:
-            jvm = spark.sparkContext._jvm
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-            for path in paths:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            delete_paths(spark, paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -139,7 +141,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    with _SCOPES_LOCK:
-        for scope in _SCOPES:
-            scope.append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return spark.read.parquet(path)
+
+
+def written(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` returns, written and read back; the intermediates that it wrote on the way are deleted."""
+    with scratch_scope(spark) as paths:
+        out = materialize(build(), name)
+        kept = paths.pop()  # written last
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(kept)
+    return out

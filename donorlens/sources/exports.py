@@ -9,14 +9,16 @@ quoted text are doubled; a backslash is text.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from donorlens.schemas import EVENTS_CSV, ORDERS_CSV
+from donorlens.sources import versions
 
 ORDERS_FILE = "orders.csv"
 MANIFEST_SCHEMA = T.StructType([T.StructField("file_name", T.StringType()),
@@ -42,20 +44,22 @@ def list_csv(spark: SparkSession, landing_dir: str) -> DataFrame:
 def file_digests(spark: SparkSession, landing_dir: str, method: str = "lines") -> DataFrame:
     """D-02: path, file_name, md5 (a content digest) of every ``*.csv`` file.
 
-    ``method="lines"`` (default): digest of the file's multiset of lines - count and the sum
-    of 64-bit line hashes, hashed with md5. The text scan splits large files into many tasks
-    and the per-file sums are partial aggregates, so one huge export file is not one task.
+    ``method="lines"`` (default): digest of the file's multiset of lines (``line_digests``). The text scan splits large
+    files into many tasks and the per-file sums are partial aggregates, so one huge export file is not one task.
     Any changed, added or removed line changes the digest (with overwhelming probability); a
     reordering of lines does not, which is right for a keyed table.
+    ``method="ordered"``: the same over lines with their number in the file, so that a reordering changes it
+    (``ordered_digests``); a second scan, as parallel as the first.
     ``method="md5"``: md5 of the whole content, one task per file (binaryFile reads each file
     whole, at most 2 GiB) - for small files when the exact file md5 is wanted.
     """
     if method == "md5":
         return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing_dir)
                 .select("path", _file_name().alias("file_name"), F.md5("content").alias("md5")))
-    if method != "lines":
+    if method not in ("lines", "ordered"):
         raise ValueError(f"unknown digest method {method!r}")
-    return line_digests(spark.read.option("pathGlobFilter", "*.csv").text(landing_dir))
+    text = spark.read.option("pathGlobFilter", "*.csv").text(landing_dir)
+    return line_digests(text) if method == "lines" else ordered_digests(text)
 
 
 def digests_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -63,14 +67,36 @@ def digests_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return line_digests(spark.read.text(list(paths)))
 
 
-def line_digests(text: DataFrame) -> DataFrame:
-    """path, file_name, md5 from a text scan (one row per line): partial per-file sums."""
-    lines = (text
-             .select(_plain_path(F.col("_metadata.file_path")).alias("path"),
-                     F.xxhash64("value").cast("decimal(20,0)").alias("h")))
-    per_file = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("s"))
+def _folded(lines: DataFrame) -> DataFrame:
+    """path, file_name, md5 from rows of (path, md5 of a line): the number of lines and the sums of the first and the next
+    15 hexadecimal digits of their hashes, hashed in turn. Any SQL engine with md5 gives the same."""
+    part = lambda at: F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")
+    per_file = lines.select("path", part(1).alias("x"), part(16).alias("y")).groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"))
     return per_file.select("path", _file_name().alias("file_name"),
-                           F.md5(F.concat_ws(":", F.col("n").cast("string"), F.col("s").cast("string"))).alias("md5"))
+                           F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in ("n", "x", "y")])).alias("md5"))
+
+
+def line_digests(text: DataFrame) -> DataFrame:
+    """path, file_name, md5 from a text scan (one row per line): partial per-file sums over the lines, whatever their order."""
+    return _folded(text.select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.md5("value").alias("h")))
+
+
+def ordered_digests(text: DataFrame) -> DataFrame:
+    """path, file_name, md5 from a text scan, each line hashed with its number in the file.
+
+    A line's number is the lines in the splits before its own (a count per split, summed up along the file) and its place
+    in the split (rows of a split keep their order). Both scans plan the same splits, as they read the same listing;
+    the digest doesn't depend on where files are split, so equal files have equal digests under any settings.
+    """
+    rows = text.select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("row"), "value")
+    splits = rows.groupBy("path", "start").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    along = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per split (a split is a few hundred MB): small enough to send along for any landing folder
+    splits = splits.select("path", "start", "first", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("row") - F.col("first")
+    return _folded(rows.join(splits, ["path", "start"]).select("path", F.md5(F.concat(number.cast("string"), F.lit(":"), "value")).alias("h")))
 
 
 def manifest_from_json(spark: SparkSession, path: str) -> DataFrame:
@@ -82,6 +108,14 @@ def manifest_from_json(spark: SparkSession, path: str) -> DataFrame:
         "file_name", "md5", F.lit(None).cast("timestamp").alias("loaded_at"))
 
 
+def write_manifest(spark: SparkSession, manifest: DataFrame, path: str) -> None:
+    """A manifest as a new ``{file_name: md5}`` JSON file, as ``manifest_from_json`` reads it (an entry per export file).
+    Refuses to replace a file."""
+    entries = {r["file_name"]: r["md5"] for r in manifest.select("file_name", "md5").collect()}
+    if not versions.create_file(spark, path, json.dumps(entries, ensure_ascii=False)):
+        raise FileExistsError(path)
+
+
 def changed_files(digests: DataFrame, manifest: DataFrame | None) -> DataFrame:
     """D-02: files that are new or whose md5 differs from the manifest (anti-join)."""
     if manifest is None:

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from donorlens.functions.timecols import parse_text_ts
 from donorlens.operators import base, merge, quality
-from donorlens.plans.pipeline import current_table, read_mart, read_pointer, run_pipeline
-from donorlens.sources import exports
+from donorlens.plans.pipeline import current_marts, read_mart, run_pipeline
+from donorlens.sources import exports, versions
 from donorlens.sources.tables import orders_from_export
 
 
@@ -81,7 +81,7 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
     assert sorted(r1["files"]) == ["events_1.csv", "events_2.csv", "orders.csv"]
     assert r1["rows_per_file"] == {"orders.csv": 5, "events_1.csv": 2, "events_2.csv": 1}
     assert r1["rejected_orders"] == 1 and r1["rejected_events"] == 0  # the unparsable time
-    assert current_table(spark, r1["rejected_orders_path"]).first()["reject_reason"] == "bad_timestamp"
+    assert spark.read.parquet(r1["rejected_orders_path"]).first()["reject_reason"] == "bad_timestamp"
     rfm = {r["customer_id"]: r for r in spark.read.parquet(f"{r1['marts']}/rfm").collect()}
     assert set(rfm) == {7, 8} and rfm[7]["frequency"] == 2
     assert spark.read.parquet(f"{r1['marts']}/cohorts_all").count() == 3   # users 7, 8, 9 from events
@@ -93,13 +93,13 @@ def test_pipeline_reload_is_keyed_and_idempotent(spark, tmpdir_run):
     _write(os.path.join(land, "orders.csv"), _orders_csv(orders))
     r3 = run_pipeline(spark, out_dir=out, as_of="2024-02-29", source="exports", landing_dir=land)
     assert r3["files"] == ["orders.csv"] and r3["rows_per_file"] == {"orders.csv": 5}
-    state = current_table(spark, os.path.join(out, "_state", "orders"))
+    state = versions.read(spark, os.path.join(out, "_state", "orders"))
     assert state.count() == 5 and state.select("OrderIdsMindboxId").distinct().count() == 5
     assert float(state.where(F.col("OrderIdsMindboxId") == 2).first()["OrderTotalPrice"]) == 55.0
-    assert read_pointer(spark, os.path.join(out, "marts", "as_of=2024-02-29")) == r3["marts"]
+    assert current_marts(spark, out, "2024-02-29") == r3["marts"]
     paid = read_mart(spark, r3["marts"], "paid_only")
     assert paid.count() == 3 and paid.where(F.col("order_date").isNull()).count() == 0   # bad time quarantined
-    manifest = current_table(spark, os.path.join(out, "_state", "manifest"))
+    manifest = versions.read(spark, os.path.join(out, "_state", "manifest"))
     assert manifest.count() == 3
 
 
@@ -130,33 +130,158 @@ def test_pipeline_marts_equal_the_lazy_plan(spark, tmpdir_run):
         assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0, name
 
 
-def test_insert_ignore_appends_a_segment_without_rewriting(spark, tmpdir_run):
+def test_insert_ignore_keeps_stored_rows(spark, tmpdir_run):
     land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
     os.makedirs(land)
+    kw = dict(as_of="2024-01-31", source="exports", landing_dir=land, mode="insert_ignore")
     _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid")]))
-    run_pipeline(spark, out_dir=out, as_of="2024-01-31", source="exports", landing_dir=land, mode="insert_ignore")
-    first = read_pointer(spark, os.path.join(out, "_state", "orders"))
+    run_pipeline(spark, out_dir=out, **kw)
     _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 999, "Paid"),
                                                          (2, 8, "06.01.2024 10:11", 30, "Paid")]))
-    run_pipeline(spark, out_dir=out, as_of="2024-01-31", source="exports", landing_dir=land, mode="insert_ignore")
-    from donorlens.plans.pipeline import read_segments
-    segs = read_segments(spark, os.path.join(out, "_state", "orders"))
-    assert len(segs) == 2 and segs[0] == first                        # first segment kept as is
-    assert spark.read.parquet(segs[1]).count() == 1                   # only the new key written
-    state = current_table(spark, os.path.join(out, "_state", "orders"))
+    r = run_pipeline(spark, out_dir=out, **kw)
+    assert r["rows_per_file"] == {"orders.csv": 1}                    # only the new key
+    state = versions.read(spark, os.path.join(out, "_state", "orders"))
     assert sorted((r[0], float(r[1])) for r in state.select("OrderIdsMindboxId", "OrderTotalPrice").collect()) == \
         [(1, 100.0), (2, 30.0)]                                       # stored row kept
 
 
-def test_compaction_keeps_rows(spark, tmpdir_run):
-    from donorlens.plans.pipeline import commit_table, compact_table, read_segments
+def _rows(spark, *keys):
+    return spark.createDataFrame([(k, "x", "a.csv") for k in keys], "k long, v string, _source_file string")
+
+
+def _keys(spark, table):
+    return sorted(r["k"] for r in versions.read(spark, table).collect())
+
+
+def test_two_writers_keep_all_rows(spark, tmpdir_run, monkeypatch):
+    """Two loads that start from one version: the second is refused and, run again, keeps the first one's rows."""
+    from donorlens.plans.pipeline import load_table
+    t = os.path.join(tmpdir_run, "t")
+    load_table(spark, "t", _rows(spark, 1, 2), t, ["k"], "a")
+    publish = versions.publish
+
+    def overtaken(*args):
+        monkeypatch.setattr(versions, "publish", publish)
+        load_table(spark, "t", _rows(spark, 3), t, ["k"], "b")       # another writer comes first
+        return publish(*args)
+
+    monkeypatch.setattr(versions, "publish", overtaken)
+    with pytest.raises(versions.StaleVersion):
+        load_table(spark, "t", _rows(spark, 4), t, ["k"], "c")
+    assert _keys(spark, t) == [1, 2, 3] and not versions.loaded(spark, t, "c")
+    load_table(spark, "t", _rows(spark, 4), t, ["k"], "c")
+    assert _keys(spark, t) == [1, 2, 3, 4] and versions.newest(spark, t) == (3, "run=c")
+    assert load_table(spark, "t", _rows(spark, 4), t, ["k"], "b") == {}  # a replay of an older load does nothing
+    assert _keys(spark, t) == [1, 2, 3, 4]
+
+
+def test_lost_versions_stop_the_load(spark, tmpdir_run):
+    import shutil
+
+    from donorlens.plans.pipeline import load_table
     t = os.path.join(tmpdir_run, "t")
-    commit_table(spark, spark.createDataFrame([(1,)], "k long"), t, "a")
-    commit_table(spark, spark.createDataFrame([(2,), (3,)], "k long"), t, "b", append=True)
-    assert len(read_segments(spark, t)) == 2
-    compact_table(spark, t, "c")
-    assert read_segments(spark, t) == [os.path.join(t, "run=c")]
-    assert sorted(r[0] for r in current_table(spark, t).collect()) == [1, 2, 3]
+    load_table(spark, "t", _rows(spark, 1, 2), t, ["k"], "a")
+    shutil.move(os.path.join(t, "versions"), os.path.join(tmpdir_run, "kept"))
+    with pytest.raises(versions.LostVersions):
+        load_table(spark, "t", _rows(spark, 3), t, ["k"], "b")
+    shutil.move(os.path.join(tmpdir_run, "kept"), os.path.join(t, "versions"))
+    load_table(spark, "t", _rows(spark, 3), t, ["k"], "b")
+    assert _keys(spark, t) == [1, 2, 3]
+
+
+def test_failed_first_load_is_repeated_and_old_versions_expire(spark, tmpdir_run, monkeypatch):
+    from donorlens.plans.pipeline import load_table
+    t = os.path.join(tmpdir_run, "t")
+    with monkeypatch.context() as m:
+        m.setattr(versions, "advance", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError, match="stopped"):
+            load_table(spark, "t", _rows(spark, 1), t, ["k"], "a")
+    assert versions.read(spark, t) is None                             # data, but not published
+    for run, key in (("a", 1), ("b", 2), ("c", 3)):
+        load_table(spark, "t", _rows(spark, key), t, ["k"], run)
+    assert versions.expire(spark, t, keep=2) == ["run=a"] and _keys(spark, t) == [1, 2, 3]
+    assert sorted(os.listdir(os.path.join(t, "data"))) == ["run=b", "run=c"]
+
+
+def test_append_refuses_stored_keys(spark, tmpdir_run):
+    from donorlens.plans.pipeline import load_table
+    t = os.path.join(tmpdir_run, "t")
+    load_table(spark, "t", _rows(spark, 1), t, ["k"], "a", "append")
+    with pytest.raises(quality.KeyViolation, match="1 appended rows"):
+        load_table(spark, "t", _rows(spark, 1, 2), t, ["k"], "b", "append")
+    load_table(spark, "t", _rows(spark, 2), t, ["k"], "c", "append")
+    assert _keys(spark, t) == [1, 2]
+
+
+def test_ordered_digest_does_not_depend_on_splits(spark, tmpdir_run):
+    lines = [f"{i};{'x' * (i % 50)}" for i in range(4000)]
+    for name, text in (("a", lines), ("b", lines), ("c", [lines[1], lines[0], *lines[2:]]), ("d", lines[:-1])):
+        _write(os.path.join(tmpdir_run, f"{name}.csv"), "\n".join(text) + "\n")
+
+    def digests(method):
+        return {r["file_name"][0]: r["md5"] for r in exports.file_digests(spark, tmpdir_run, method).collect()}
+
+    whole, lines_only = digests("ordered"), digests("lines")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "4096")
+        assert spark.read.option("pathGlobFilter", "*.csv").text(tmpdir_run).rdd.getNumPartitions() > 20  # one file is many tasks
+        assert digests("ordered") == whole and digests("lines") == lines_only
+    finally:
+        for k in keys:
+            spark.conf.set(k, old[k])
+    assert whole["a"] == whole["b"] and len({whole[k] for k in "acd"}) == 3
+    assert lines_only["a"] == lines_only["c"] != lines_only["d"]
+
+
+def test_manifest_round_trip_and_quoted_line_breaks_in_the_pipeline(spark, tmpdir_run):
+    from donorlens.plans.pipeline import export_manifest, import_manifest
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    text = _ORDERS_HEADER + ';note\n1;1;7;05.01.2024 10:11;100;Paid;"two\nlines; ""quoted"""\n2;2;8;06.01.2024 10:11;50;Paid;plain\n'
+    _write(os.path.join(land, "orders.csv"), text)
+    kw = dict(landing_dir=land, as_of="2024-01-31", names=("paid_only",))
+    with pytest.raises(Exception, match="multiline=True"):
+        run_pipeline(spark, out_dir=out, **kw)
+    r = run_pipeline(spark, out_dir=out, multiline=True, **kw)
+    assert r["rows_per_file"] == {"orders.csv": 2} and r["cohorts_from"] == "events (none loaded)"
+    notes = {x["OrderIdsMindboxId"]: x["note"] for x in versions.read(spark, os.path.join(out, "_state", "orders")).collect()}
+    assert notes == {1: 'two\nlines; "quoted"', 2: "plain"}
+    path = os.path.join(tmpdir_run, "manifest.json")
+    export_manifest(spark, out, path)
+    with pytest.raises(FileExistsError):
+        export_manifest(spark, out, path)
+    other = os.path.join(tmpdir_run, "other")
+    import_manifest(spark, path, other)
+    _write(os.path.join(land, "ev_1.csv"), EVENTS_HEADER + "1;7;01.01.2024 09:00\n")
+    assert run_pipeline(spark, out_dir=other, **kw)["files"] == ["ev_1.csv"]  # orders.csv is known there
+
+
+def test_cohorts_come_from_events_unless_asked_otherwise(spark, tmpdir_run):
+    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
+    os.makedirs(land)
+    _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid")]))
+    kw = dict(out_dir=out, landing_dir=land, as_of="2024-01-31", names=("cohorts_all",))
+    r = run_pipeline(spark, **kw)
+    assert read_mart(spark, r["marts"], "cohorts_all").count() == 0
+    r = run_pipeline(spark, cohorts_from="orders", **kw)
+    assert r["cohorts_from"] == "orders" and read_mart(spark, r["marts"], "cohorts_all").count() == 1
+    with pytest.raises(ValueError):
+        run_pipeline(spark, cohorts_from="clicks", **kw)
+
+
+def test_scopes_are_separate(spark):
+    from donorlens.session import materialize, scratch_scope, written
+    frame = spark.range(3)
+    with scratch_scope(spark) as outer:
+        kept = written(spark, lambda: materialize(frame, "inside").where("id > 0"), "result")
+        with scratch_scope(spark) as inner:
+            materialize(frame, "other")
+            assert len(inner) == 1 and len(outer) == 1
+        assert kept.count() == 2 and not os.path.exists(inner[0])
+    assert not os.path.exists(outer[0])
 
 
 def test_line_digest_detects_changed_added_and_removed_lines(spark, tmpdir_run):
@@ -209,9 +334,7 @@ def test_export_columns_are_taken_by_header_name(spark, tmpdir_run):
 
 
 def test_incremental_grid_equals_full_recompute(spark, tmpdir_run):
-    """Two append-only loads fold the new rows into the stored grid; the marts equal a
-    pipeline that loads everything at once."""
-    from donorlens.plans.pipeline import read_segments
+    """Two loads fold the changed customers into the stored grid; the marts equal a pipeline that loads everything at once."""
     inc_land, full_land = os.path.join(tmpdir_run, "inc"), os.path.join(tmpdir_run, "full")
     os.makedirs(inc_land)
     os.makedirs(full_land)
@@ -230,8 +353,10 @@ def test_incremental_grid_equals_full_recompute(spark, tmpdir_run):
     _write(os.path.join(inc_land, "ev_2.csv"), EVENTS_HEADER + ev2)
     r_inc = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_inc"), landing_dir=inc_land, **kw)
     state = os.path.join(tmpdir_run, "out_inc", "_state")
-    assert len(read_segments(spark, os.path.join(state, "grid"))) == 2       # one partial grid per order segment
-    assert len(read_segments(spark, os.path.join(state, "paid_only"))) == 2  # second batch appended, not copied
+    assert versions.newest(spark, os.path.join(state, "grid"))[0] == 2
+    run = versions.newest(spark, os.path.join(state, "orders"))[1]
+    changed = spark.read.parquet(os.path.join(state, "changed", run))
+    assert sorted(r[0] for r in changed.collect()) == [7, 8, 9]
 
     _write(os.path.join(full_land, "orders.csv"), _orders_csv(batch1 + batch2))
     _write(os.path.join(full_land, "ev_1.csv"), EVENTS_HEADER + ev1)
@@ -254,7 +379,7 @@ def test_command_line_runs_the_pipeline(spark, tmpdir_run, capsys):
 
 
 def test_replayed_load_and_repeated_refresh_do_not_double_count(spark, tmpdir_run):
-    from donorlens.plans.pipeline import load_files, read_segments, refresh_marts
+    from donorlens.plans.pipeline import load_files, refresh_marts
     land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
     os.makedirs(land)
     _write(os.path.join(land, "orders.csv"), _orders_csv([(1, 7, "05.01.2024 10:11", 100, "Paid"),
@@ -263,15 +388,12 @@ def test_replayed_load_and_repeated_refresh_do_not_double_count(spark, tmpdir_ru
     files = [(r["path"], r["file_name"], r["md5"]) for r in exports.file_digests(spark, land).collect()]
     load_files(spark, files, state, "r1", mode="insert_ignore")
     load_files(spark, files, state, "r1", mode="insert_ignore")          # the same micro-batch again
-    assert current_table(spark, os.path.join(state, "orders")).count() == 2
-    refresh_marts(spark, out, dt_date("2024-01-31"), "r1")
-    grid1 = sorted(map(tuple, current_table(spark, os.path.join(state, "grid")).collect()))
-    refresh_marts(spark, out, dt_date("2024-01-31"), "r2")               # nothing new: no fold
-    refresh_marts(spark, out, dt_date("2024-01-31"), "r3")
-    grid3 = sorted(map(tuple, current_table(spark, os.path.join(state, "grid")).collect()))
-    assert grid1 == grid3 and grid1[0][2] == 2                          # 2 orders in the one cell
-    leaves = lambda d: [p.rsplit("/", 1)[-1] for p in read_segments(spark, os.path.join(state, d))]
-    assert leaves("grid") == leaves("orders") == ["run=r1"]
+    assert versions.read(spark, os.path.join(state, "orders")).count() == 2
+    for run in ("r1", "r2", "r3"):
+        refresh_marts(spark, out, dt_date("2024-01-31"), run, ("rfm",))
+    grid = versions.read(spark, os.path.join(state, "grid")).collect()
+    assert len(grid) == 1 and grid[0]["n_orders"] == 2                  # 2 orders in the one cell
+    assert versions.newest(spark, os.path.join(state, "grid"))[0] == 1  # nothing new: not made again
 
 
 def dt_date(s):
@@ -279,35 +401,30 @@ def dt_date(s):
     return datetime.date.fromisoformat(s)
 
 
-def test_upsert_rewrites_only_touched_segments_and_marts_stay_exact(spark, tmpdir_run):
-    from donorlens.plans.pipeline import read_segments
+def test_upserts_fold_into_the_grid_without_shuffling_it(spark, tmpdir_run):
+    from donorlens.plans import pipeline
     land, out, full = (os.path.join(tmpdir_run, d) for d in ("landing", "out", "full"))
     os.makedirs(land)
     os.makedirs(full)
     a = [(1, 7, "05.01.2024 10:11", 100, "Paid"), (2, 7, "07.02.2024 11:00", 50, "Paid"),
-         (3, 8, "09.02.2024 12:00", 70, "Paid")]
-    b = [(2, 7, "07.02.2024 11:00", 55, "Paid"), (4, 9, "10.02.2024 12:00", 20, "Paid")]   # 2 corrected, 4 new
+         (3, 8, "09.02.2024 12:00", 70, "Paid"), (6, 9, "11.01.2024 12:00", 5, "Paid")]
+    b = [(2, 8, "07.02.2024 11:00", 55, "Paid"), (4, 9, "10.02.2024 12:00", 20, "Paid")]   # 2 goes to another customer, 4 new
     c = [(5, 8, "01.03.2024 12:00", 30, "Paid")]                                         # only new keys
     kw = dict(as_of="2024-03-31", source="exports", mode="upsert")
-    _write(os.path.join(land, "orders.csv"), _orders_csv(a))
-    run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
-    _write(os.path.join(land, "orders.csv"), _orders_csv(b))
-    run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
-    orders_dir = os.path.join(out, "_state", "orders")
-    segs_b = read_segments(spark, orders_dir)
-    assert [p.rsplit("/", 1)[-1].endswith(".kept") for p in segs_b] == [True, False]   # a rewritten as kept + b
-    assert spark.read.parquet(segs_b[0]).count() == 2                                  # keys 1, 3 kept
-    kept_part = os.path.join(out, "_state", "grid", segs_b[0].rsplit("/", 1)[-1], "_SUCCESS")
-    built_at = os.path.getmtime(kept_part)
-    _write(os.path.join(land, "orders.csv"), _orders_csv(c))
-    r = run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
-    assert os.path.getmtime(kept_part) == built_at                                      # derived part reused
-    segs_c = read_segments(spark, orders_dir)
-    assert segs_c[:2] == segs_b and len(segs_c) == 3                                   # nothing rewritten
-    grid_parts = read_segments(spark, os.path.join(out, "_state", "grid"))
-    assert [p.rsplit("/", 1)[-1] for p in grid_parts] == [p.rsplit("/", 1)[-1] for p in segs_c]
-
-    _write(os.path.join(full, "orders.csv"), _orders_csv([a[0], a[2]] + b + c))
+    for batch in (a, b, c):
+        _write(os.path.join(land, "orders.csv"), _orders_csv(batch))
+        r = run_pipeline(spark, out_dir=out, landing_dir=land, **kw)
+    state = os.path.join(out, "_state")
+    grid = versions.read(spark, os.path.join(state, "grid"))
+    orders = orders_from_export(versions.read(spark, os.path.join(state, "orders")))
+    changed = spark.read.parquet(os.path.join(state, "changed", versions.newest(spark, os.path.join(state, "orders"))[1]))
+    folded = pipeline.folded_grid(grid, orders, changed.withColumnRenamed("OrderCustomerIdsMindboxId", "customer_id"))
+    folded.collect()
+    plan = folded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    kept = plan[plan.index("Union"):].split("Window")[0]
+    assert "LeftAnti" in kept and "hashpartitioning(customer_id" not in kept.split("month")[0]
+
+    _write(os.path.join(full, "orders.csv"), _orders_csv([a[0], a[2], a[3]] + b + c))
     r_full = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "out_full"), landing_dir=full, **kw)
     for name in ("rfm", "cohorts_paid", "cohorts_revenue_arppu_data", "ltv_cohorts", "rr_cohorts", "ac_cohort",
                  "cdr", "paid_only", "arppu_t"):
@@ -315,23 +432,6 @@ def test_upsert_rewrites_only_touched_segments_and_marts_stay_exact(spark, tmpdi
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
 
 
-def test_compaction_threshold_keeps_marts_exact(spark, tmpdir_run):
-    from donorlens.plans.pipeline import read_segments
-    land, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "out")
-    os.makedirs(land)
-    rows = [(1, 7, "05.01.2024 10:11", 100, "Paid"), (2, 8, "07.02.2024 11:00", 50, "Paid"),
-            (3, 7, "09.02.2024 12:00", 70, "Paid")]
-    kw = dict(as_of="2024-03-31", source="exports", mode="insert_ignore", compact_over=2)
-    reports = []
-    for i in range(3):  # three loads, one new order each
-        _write(os.path.join(land, "orders.csv"), _orders_csv(rows[: i + 1]))
-        reports.append(run_pipeline(spark, out_dir=out, landing_dir=land, **kw))
-    assert reports[2].get("compacted") == ["orders"]
-    assert len(read_segments(spark, os.path.join(out, "_state", "orders"))) == 1
-    rfm = {r["customer_id"]: r["frequency"] for r in read_mart(spark, reports[2]["marts"], "rfm").collect()}
-    assert rfm == {7: 2, 8: 1}
-
-
 def test_exports_pipeline_equals_tpch_pipeline(spark, tmpdir_run):
     """The driver's orders written as a ';' export (text times, status Paid) and run through
     the export path give the same 18 marts as the Parquet path."""
@@ -343,7 +443,7 @@ def test_exports_pipeline_equals_tpch_pipeline(spark, tmpdir_run):
     rows = [(r["o_orderkey"], r["o_custkey"], r["o_orderdate"].strftime("%d.%m.%Y %H:%M:%S"),
              f"{r['o_totalprice']:.2f}", "Paid" if r["o_orderstatus"] == "F" else r["o_orderstatus"]) for r in t]
     _write(os.path.join(land, "orders.csv"), _orders_csv(rows))
-    ex = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "ex"), landing_dir=land, as_of="2001-08-01")
+    ex = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "ex"), landing_dir=land, as_of="2001-08-01", cohorts_from="orders")
     tp = run_pipeline(spark, out_dir=os.path.join(tmpdir_run, "tp"), source="tpch", orders_dir=sf, as_of="2001-08-01")
     from donorlens.plans.marts import MartPlan
     for name in MartPlan.MART_NAMES:
