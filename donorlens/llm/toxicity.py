@@ -1,6 +1,7 @@
 """Toxicity by a subsequence string kernel and a support vector machine on Nyström landmarks.
 
-Unit of comparison is a word within a sentence. Its features are all subsequences of three letters, contiguous or not,
+Two machines read a text's sentences: one their words as strings of letters, one the sentences as strings of words. A word's
+features are all subsequences of three letters, contiguous or not,
 that span at most ``SPAN`` characters, weighted by ``DECAY`` per character skipped; characters other than letters are gaps.
 The kernel of two words is the cosine of these features by place, so that ``l.o-ser`` or ``losser`` stay close to ``loser``.
 A run of single letters between spaces is one word too.
@@ -14,7 +15,12 @@ sentences for their words, those most like toxic ones in several rounds. A linea
 by the landmarks' own kernel matrix. As kernel values are sums over subsequences, the fitted machine is one weight per
 subsequence, which is what tasks look up: the same value without a pass over the landmarks.
 
-A sentence's margin is that of its worst word, a text's that of its worst sentence; a logistic curve makes it the
+Toxic texts that no word gives away teach the second machine. Its kernel is that of sentences as strings of words: the
+subsequences of two words at most ``REACH`` apart, weighted by ``DECAY`` per word between, so that insults made of harmless
+words are told by their order. Evidence is found among pairs as among words; a sentence that holds some is toxic, all
+sentences of clean texts (``CLEAN_SENTENCES`` of them at most) are clean.
+
+A sentence's margin is the larger of its worst word's and its own, a text's that of its worst sentence; a logistic curve makes it the
 score. Every text is read whole; words of over ``LONG`` characters are scored in overlapping pieces. Tasks remember the margins
 of recent words in two generations of at most ``REMEMBER``.
 
@@ -26,6 +32,7 @@ table. Other columns play no part.
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import math
 import random
 import re
@@ -38,7 +45,7 @@ from pyspark.sql import functions as F
 
 from donorlens.llm.common import ship
 from donorlens.llm.labelled import fit_logistic
-from donorlens.llm.shingles import window_hashes, word_hashes
+from donorlens.llm.shingles import mix, shingle_set, word_hashes
 
 PER_CLASS = 3000
 SPAN = 7
@@ -51,7 +58,22 @@ HARD = 1500
 LONG = 32
 REMEMBER = 300_000
 CODES = 64
-
+#: Words that take part in the fit: toxic ones, the most frequent clean ones, a sample of the other clean ones; and how many
+#: of the toxic ones also appear disguised.
+TOXIC_WORDS, COMMON_WORDS, OTHER_WORDS, DISGUISED_WORDS = 1500, 2000, 6000, 400
+#: Words between the two of a pair at most, less one; words of a sentence.
+REACH, STRETCH = 3, 32
+PAIR_SURPRISE = 40.0
+#: Clean sentences that take part in the fit.
+CLEAN_SENTENCES = 6000
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_STOP = b"\x03"
+_STOP_HASH = word_hashes(_STOP, lower=False)[0]
+#: Ends of sentences become a word of their own; other ASCII marks but those within words are blanks.
+_ENDS = bytes(3 if chr(b) in ".!?\n" else 32 if chr(b) in ",;:()[]{}\"" else b for b in range(256))
+
+_MARKS = ".,;:!?"
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]\s){3,}[^\W\d_](?!\S)")
 #: Stands before a word and counts as a letter, so that a beginning differs from the same letters further on.
@@ -60,9 +82,9 @@ _STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 
 
 def words_of(text: str) -> set[str]:
-    """The distinct lower-cased words; runs of single letters count as one word besides."""
+    """The distinct lower-cased words without sentence marks at their ends; runs of single letters count as one word besides."""
     text = text.lower()
-    found = set(text.split())
+    found = {w.strip(_MARKS) or w for w in set(text.split())}
     found.update("".join(x.split()) for x in _SPACED.findall(text))
     return found
 
@@ -127,6 +149,7 @@ class ToxicityModel:
     bias: float
     slope: float
     intercept: float
+    phrases: Phrases | None = None
 
     def margins(self, words: list[str]) -> np.ndarray:
         if self.weights is None or not words:
@@ -168,12 +191,103 @@ def _svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 40) ->
     return w
 
 
+def phrase_pairs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The subsequences of two words of a text's sentences that are at most ``REACH`` words apart: their hashes, weights and
+    sentences, and for each sentence where its words begin. Sentences of over ``STRETCH`` words count as several."""
+    marked = text.lower().encode().translate(_ENDS).replace(_STOP, b" " + _STOP + b" ")
+    words = word_hashes(marked, lower=False)
+    stop = words == _STOP_HASH
+    sentence = np.cumsum(stop)
+    starts = np.flatnonzero(np.r_[True, stop])  # the word after a stop, or a stop itself in an empty sentence
+    stretch = (np.arange(len(words)) - starts[sentence]) // STRETCH
+    piece = np.cumsum(np.r_[True, (np.diff(sentence) != 0) | (np.diff(stretch) != 0)])[:len(words)] - 1 if len(words) else np.zeros(0, dtype=np.int64)
+    pairs, weights, pieces = [], [], []
+    for k in range(1, REACH + 1):
+        a, b = words[:-k], words[k:]
+        at = np.flatnonzero((sentence[:-k] == sentence[k:]) & ~stop[:-k] & ~stop[k:])
+        pairs.append(mix(a[at] * _ODD + mix(b[at])))
+        weights.append(np.full(len(at), DECAY ** (k - 1)))
+        pieces.append(piece[:-k][at])
+    first = np.flatnonzero(np.r_[True, np.diff(piece) != 0]) if len(words) else np.zeros(0, dtype=np.int64)
+    return np.concatenate(pairs), np.concatenate(weights), np.concatenate(pieces), first
+
+
+@dataclasses.dataclass
+class Phrases:
+    """A linear machine over sentences: a weight per subsequence of two words, as kernel values with the landmarks add up to."""
+
+    keys: np.ndarray
+    weights: np.ndarray
+    bias: float
+
+    def worst(self, text: str) -> tuple[float, str | None]:
+        """The margin of the worst sentence, and its words."""
+        pairs, weights, pieces, first = phrase_pairs(text)
+        if not len(pairs):
+            return self.bias, None
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        value = np.where(self.keys[at] == pairs, self.weights[at], 0.0) * weights
+        n = len(first)
+        margins = np.bincount(pieces, value, n) / np.sqrt(np.maximum(np.bincount(pieces, weights ** 2, n), 1e-12)) + self.bias
+        k = int(np.argmax(margins))
+        if margins[k] <= 0:
+            return float(margins[k]), None
+        words = text.lower().encode().translate(_ENDS).replace(_STOP, b" " + _STOP + b" ").split()
+        end = first[k + 1] if k + 1 < n else len(words)
+        return float(margins[k]), b" ".join(w for w in words[first[k]:end] if w != _STOP).decode("utf-8", "replace")
+
+
+def fit_phrases(toxic: list[str], clean: list[str], rng: random.Random) -> Phrases | None:
+    """The machine over sentences, learned from toxic texts that no word gives away: subsequences of two words are evidence
+    by the same test as words, a toxic text's sentences with evidence are toxic, all sentences of clean texts are clean."""
+    if not toxic or not clean:
+        return None
+    found = [[phrase_pairs(t) for t in part] for part in (clean, toxic)]
+    (off, n_off), (on, n_on) = (np.unique(np.concatenate([np.unique(p[0]) for p in part]), return_counts=True) for part in found)
+    at = np.minimum(np.searchsorted(off, on), max(0, len(off) - 1))
+    beside = np.where(off[at] == on, n_off[at], 0) if len(off) else np.zeros(len(on), dtype=np.int64)
+    share = len(toxic) / (len(toxic) + len(clean))
+    p = n_on / (n_on + beside)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        surprise = 2 * (n_on * np.log(p / share) + np.where(beside > 0, beside * np.log((1 - p) / (1 - share)), 0.0))
+    evidence = on[(p > share) & (n_on * len(clean) >= LIFT * beside * len(toxic)) & (surprise >= PAIR_SURPRISE)]
+    if not len(evidence):
+        return None
+    bad, good = [], []
+    for part, out in zip(found, (good, bad), strict=True):
+        for pairs, weights, pieces, first in part:
+            order = np.argsort(pieces, kind="stable")
+            cuts = np.flatnonzero(np.diff(pieces[order])) + 1
+            for rows in np.split(order, cuts) if len(order) else []:
+                if out is good or np.isin(pairs[rows], evidence).any():
+                    out.append((pairs[rows], weights[rows]))
+    good = good if len(good) <= CLEAN_SENTENCES else rng.sample(good, CLEAN_SENTENCES)
+    marks = rng.sample(bad, min(len(bad), LANDMARKS // 2)) + rng.sample(good, min(len(good), LANDMARKS // 2))
+    used = np.unique(np.concatenate([p for p, _ in marks]))
+
+    def table(part: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        out = np.zeros((len(part), len(used)), dtype=np.float32)
+        for row, (pairs, weights) in zip(out, part, strict=True):
+            at = np.minimum(np.searchsorted(used, pairs), len(used) - 1)
+            hit = used[at] == pairs
+            np.add.at(row, at[hit], weights[hit] / math.sqrt((weights ** 2).sum()))
+        return out
+
+    landmarks = table(marks)
+    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+    keep = values > 1e-4 * values.max()
+    whiten = vectors[:, keep] / np.sqrt(values[keep])
+    kernel = lambda part: np.vstack([table(part[i:i + 500]) @ landmarks.T for i in range(0, len(part), 500)]).astype(np.float64) @ whiten
+    w = _svm(np.vstack([kernel(bad), kernel(good)]), np.r_[np.ones(len(bad)), -np.ones(len(good))])
+    return Phrases(used, landmarks.T.astype(np.float64) @ (whiten @ w[:-1]), float(w[-1]))
+
+
 def distinct_texts(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:
-    """One text of those that share their smallest shingle hash, so that copies don't count as findings of their own."""
+    """One text of those with the same shingles, so that copies don't count as findings of their own."""
     seen, out = set(), []
     for text, label in zip(texts, labels, strict=True):
-        found = window_hashes(word_hashes(text.encode()), 5)
-        mark = (label, int(found.min())) if len(found) else (label, text)
+        found = shingle_set(text.encode(), 5)
+        mark = (label, hashlib.blake2b(found, digest_size=16).digest()) if len(found) else (label, text)
         if mark not in seen:
             seen.add(mark)
             out.append((text, label))
@@ -198,22 +312,23 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> ToxicityModel:
     evidence = [w for w, n in held[1].items() if sum(c.isalpha() for c in w) >= 3 and n * len(clean) >= LIFT * held[0][w] * len(toxic)
                 and surprise(n, held[0][w]) >= SURPRISE]
     evidence = sorted(evidence, key=lambda w: (-held[1][w], w))
-    if not evidence:
-        p = len(toxic) / len(labels)
-        return ToxicityModel("", None, 0.0, 0.0, math.log(p / (1 - p)))
     known = set(evidence)
+    if not evidence:
+        p, phrases = len(toxic) / len(labels), fit_phrases(toxic, clean, rng)
+        model = ToxicityModel("", None, 0.0 if phrases is None else -1.0, 0.0, math.log(p / (1 - p)), phrases)
+        return model if phrases is None else _calibrated(model, toxic[::2], clean[::2])
     # sentences with their labels: 1 with evidence, 0 of clean texts
     positive = Counter(w for t in toxic for s in _SENTENCE.split(t) for w in words_of(s) if w in known)
     negative = Counter(w for t in clean for s in _SENTENCE.split(t) for w in words_of(s))
-    positive = [w for w, _ in positive.most_common(1500)] or evidence[:1500]
-    common = [w for w, _ in negative.most_common(2000)]
+    positive = [w for w, _ in positive.most_common(TOXIC_WORDS)] or evidence[:TOXIC_WORDS]
+    common = [w for w, _ in negative.most_common(COMMON_WORDS)]
     others = sorted(set(negative) - set(common))
-    others = rng.sample(others, min(len(others), 6000))
+    others = rng.sample(others, min(len(others), OTHER_WORDS))
     letters = Counter(c for w, n in negative.items() for c in w * min(n, 3) if c.isalpha()) + Counter(c for w in positive for c in w if c.isalpha())
     letters = "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:CODES - 3])
     features = Features(letters)
-    good = [_pieces(w)[0] for w in common + others]
-    bad = [_pieces(x)[0] for w in positive for x in (w, *(_disguised(w, rng) if w in positive[:400] else ()))]
+    good = [p for w in common + others for p in _pieces(w)]
+    bad = [max(_pieces(x), key=len) for k, w in enumerate(positive) for x in (w, *(_disguised(w, rng) if k < DISGUISED_WORDS else ()))]
     marks = positive[:LANDMARKS * 5 // 8]
     marks = [_pieces(w)[0] for w in marks + rng.sample(common + others, min(len(common + others), LANDMARKS - len(marks)))]
     used = np.unique(np.concatenate([found.ravel() for found, _ in features.each(marks)]))
@@ -237,17 +352,27 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> ToxicityModel:
         margins = model.margins(every)
         near = [every[k] for k in np.argsort(-margins)[:HARD]]
         off = np.vstack([off, kernel([max(_pieces(x), key=lambda p: features.sums([p], weights)[0]) if len(x) >= LONG else _pieces(x)[0] for x in near])])
-    sets = [words_of(t) for t in texts[::2]]  # every other text calibrates the curve
+    missed = [t for t in toxic if model.margins(sorted(words_of(t))).max(initial=model.bias) <= 0]
+    model.phrases = fit_phrases(missed, clean, rng)
+    return _calibrated(model, toxic[::2], clean[::2])  # every other text of a class calibrates the curve
+
+
+def _calibrated(model: ToxicityModel, toxic: list[str], clean: list[str]) -> ToxicityModel:
+    texts, labels = toxic + clean, [1] * len(toxic) + [0] * len(clean)
+    sets = [words_of(t) for t in texts]
     every = sorted(set().union(*sets))
     memory = dict(zip(every, model.margins(every).tolist(), strict=True))
     worst = [max((memory[x] for x in s), default=model.bias) for s in sets]
-    model.slope, model.intercept = fit_logistic(worst, labels[::2], ridge=0.05)
+    if model.phrases is not None:
+        worst = [max(m, model.phrases.worst(t)[0]) for m, t in zip(worst, texts, strict=True)]
+    model.slope, model.intercept = fit_logistic(worst, labels, ridge=0.05)
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
                    remember: int = REMEMBER) -> DataFrame:
-    """One row per row of ``docs``: id, margin, score (0 to 1, higher: toxic) and worst, the word of the highest margin."""
+    """One row per row of ``docs``: id, margin, score (0 to 1, higher: toxic) and worst, the word or sentence of the
+    highest margin."""
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -256,19 +381,25 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
         for batch in batches:
             margins, worst = [], []
             for first in range(0, batch.num_rows, 500):
-                sets = [words_of(t.as_py() or "") for t in batch.column(1).slice(first, 500)]
+                texts = [t.as_py() or "" for t in batch.column(1).slice(first, 500)]
+                sets = [words_of(t) for t in texts]
                 words = set().union(*sets)
                 if len(new) + len(words) > remember:
                     old, new = new, {}
                 new.update((w, old[w]) for w in words if w in old and w not in new)
                 unknown = [w for w in words if w not in new]
                 new.update(zip(unknown, fitted.margins(unknown).tolist(), strict=True))
-                for s in sets:
+                for text, s in zip(texts, sets, strict=True):
                     word = max(s, key=new.__getitem__, default=None)
                     if word is not None:
                         word = min(w for w in s if new[w] == new[word])
+                    margin = fitted.bias if word is None else new[word]
+                    if fitted.phrases is not None:
+                        other, sentence = fitted.phrases.worst(text)
+                        if other > margin:
+                            margin, word = other, sentence or word
                     worst.append(word)
-                    margins.append(fitted.bias if word is None else new[word])
+                    margins.append(margin)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(margins, pa.float64()),
                                               pa.array([fitted.score(m) for m in margins], pa.float64()), pa.array(worst, pa.string())],
                                              names=["id", "margin", "score", "worst"])
