@@ -29,8 +29,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.octet_length(text).alias("len"),
                        F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))).alias("prefix"))
     narrow = materialize(base.drop("text"), "exact-narrow")
-    lengths = narrow.groupBy("len").count().where("count > 1").select("len")
-    keys = materialize(narrow.join(bounded(lengths, broadcast_rows), "len", "left_semi")
+    lengths = bounded(materialize(narrow.groupBy("len").count().where("count > 1").select("len"), "exact-lengths"))
+    keys = materialize(narrow.join(lengths, "len", "left_semi")
                        .groupBy("len", "prefix").count().where("count > 1").select("len", "prefix"), "exact-keys")
     hits = keys.withColumn("hit", F.lit(True))
     digest = F.sha2(ascii_lower(F.col("text")), 256)
@@ -38,12 +38,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = base.join(F.broadcast(hits), ["len", "prefix"], "left")
         digest = digest if digest_all else F.when(F.col("hit"), digest)
         rows = rows.select("id", "len", "prefix", "hit", digest.alias("digest"))
-    else:  # too many keys to send to each task: hash where the text lies rather than move it to a join
-        rows = base.select("id", "len", "prefix", digest.alias("digest")).join(hits, ["len", "prefix"], "left")
+    else:  # too many keys to send to each task: texts of a shared length are hashed where they lie rather than moved to a join
+        same = base.join(lengths.withColumn("same", F.lit(True)), "len", "left")
+        rows = same.select("id", "len", "prefix", (digest if digest_all else F.when(F.col("same"), digest)).alias("digest"))
+        rows = rows.join(hits, ["len", "prefix"], "left")
+        rows = rows if digest_all else rows.withColumn("digest", F.when(F.col("hit"), F.col("digest")))
     rows = materialize(rows, "exact-digests")
     shared = rows.where("hit")
     groups = (shared.groupBy("len", "prefix", "digest")
               .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1"))
+    # written first: Spark splits a large group in a join of written tables, but not beside an aggregate of the same stage
+    groups = bounded(materialize(groups, "exact-groups"), broadcast_rows)
     out = (shared.join(groups, ["len", "prefix", "digest"], "left")
            .withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")))
            .select("id", "keep_id", F.coalesce("group_size", F.lit(1)).alias("group_size"), "digest"))
