@@ -19,6 +19,8 @@ without a listed weight have ``DEFAULT_WEIGHT``; an empty table gives an empty t
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ def n_tokens(text: Column) -> Column:
 
 
 def _weight(level: str, weights: dict[str, float]) -> Column:
+    if any(weight < 0 for weight in weights.values()):
+        raise ValueError("weights must not be negative")
     out = F.lit(DEFAULT_WEIGHT)
     for name, weight in weights.items():
         out = F.when(F.col(level) == name, F.lit(float(weight))).otherwise(out)
@@ -46,7 +50,9 @@ def _share(nodes: DataFrame, parent: list[str], level: str, weights: dict[str, f
     """Splits each parent's ``budget`` among the rows of ``nodes`` (one per child, with its ``capacity``): with the
     children in the order of capacity per weight, a child is exhausted if its capacity is at most its share of what
     the ones before it leave; the others share the rest by weight."""
-    nodes = nodes.withColumn("weight", _weight(level, weights)).withColumn("ratio", F.col("capacity") / F.col("weight"))
+    # what has the weight 0 has no capacity either, so any weight will do for it
+    weight = F.coalesce(F.nullif(_weight(level, weights), F.lit(0.0)), F.lit(DEFAULT_WEIGHT))
+    nodes = nodes.withColumn("weight", weight).withColumn("ratio", F.col("capacity") / F.col("weight"))
     w = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
     order = w.orderBy("ratio", level)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -61,8 +67,10 @@ def _share(nodes: DataFrame, parent: list[str], level: str, weights: dict[str, f
 
 def leaf_budgets(leaves: DataFrame, budget: Column, weights: dict[str, dict[str, float]], epochs: int) -> DataFrame:
     """(domain, lang, source, tokens) with each leaf's ``budget`` in whole tokens. ``budget`` is an expression over
-    ``total``, the tokens of all leaves."""
-    leaves = leaves.withColumn("capacity", F.col("tokens").cast("double") * epochs)
+    ``total``, the tokens of all leaves. The weight 0 at any level leaves a node out: nothing is taken from it, and its
+    share goes to its siblings as that of an exhausted one does."""
+    left_out = functools.reduce(lambda a, b: a | b, [_weight(level, weights.get(level, {})) == 0 for level in LEVELS])
+    leaves = leaves.withColumn("capacity", F.when(left_out, 0.0).otherwise(F.col("tokens").cast("double") * epochs))
     done = leaves.agg(F.sum("tokens").alias("total")).select(budget.cast("double").alias("budget"))
     for depth, level in enumerate(LEVELS):
         above, here = list(LEVELS[:depth]), list(LEVELS[:depth + 1])
