@@ -28,8 +28,6 @@ PER_CLASS = 4000
 BLOCK = 1024
 DICTIONARY = 64 * 1024
 LEVEL = 3
-#: Bytes of blocks from which a dictionary is built.
-MATERIAL = 8_000_000
 
 
 def blocks(text: bytes) -> list[bytes]:
@@ -38,8 +36,6 @@ def blocks(text: bytes) -> list[bytes]:
 
 def _dictionary(texts: list[bytes]) -> bytes:
     material = [x for t in texts for x in blocks(t)]
-    keep = max(1, math.ceil(sum(map(len, material)) / MATERIAL))
-    material = material[::keep]
     try:
         return zstandard.train_dictionary(DICTIONARY, material).as_bytes()
     except zstandard.ZstdError:  # too little material to train on: its bytes are the dictionary
