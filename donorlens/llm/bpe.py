@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlens.llm.common import ship
+from donorlens.llm.common import fresh, ship
 
 REMEMBER = 300_000
 BATCH_IDS = 2_000_000
@@ -273,7 +273,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(vocabulary_path)))
     keep = _clash(docs, "ids", text_col.lower())
-    given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
+    given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias(fresh("__text", docs.columns)))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return given.mapInArrow(_encoder(held, pattern, remember, spaced), schema)
 

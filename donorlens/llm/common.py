@@ -38,6 +38,14 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores before it as make it differ from the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)

@@ -57,12 +57,10 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 def place(rows: DataFrame, key_col: str, shards: list[str], slots: int = SLOTS, weights: dict[str, int] | None = None) -> DataFrame:
     """``rows`` with ``slot`` and ``shard`` (columns of these names are replaced)."""
     spark = rows.sparkSession
-    table = spark.createDataFrame([(i, s) for i, s in enumerate(lookup_table(shards, slots, weights))], "place_slot int, place_shard int")
-    names = spark.createDataFrame(list(enumerate(shards)), "place_shard int, place_name string")
-    table = table.join(F.broadcast(names), "place_shard")
+    table = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(lookup_table(shards, slots, weights))], "slot int, shard string")
     keep = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in ("slot", "shard")]
-    rows = rows.select(*keep, slot_of(F.col(key_col), slots).alias("slot"))
-    return rows.join(F.broadcast(table), F.col("slot") == F.col("place_slot")).drop("place_slot", "place_shard").withColumnRenamed("place_name", "shard")
+    rows = rows.select(*keep, slot_of(F.col(f"`{key_col}`"), slots).alias("slot"))
+    return rows.join(F.broadcast(table), "slot").select(*[c for c in rows.columns if c != "slot"], "slot", "shard")
 
 
 def write_shards(rows: DataFrame, path: str, key_col: str, shards: list[str], files_per_shard: int = 8, **kw) -> None:

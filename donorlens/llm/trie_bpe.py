@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from donorlens.llm.bpe import REMEMBER, Encoder
-from donorlens.llm.common import ship
+from donorlens.llm.common import fresh, ship
 
 #: Fixed value: the splitting pattern of byte-level tokenizers that name none.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -220,7 +220,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", pattern
     ship(docs.sparkSession)
     tokens, merges, added = read_tokenizer(tokenizer_path)
     held = docs.sparkSession.sparkContext.broadcast(Trie(tokens, merges))
-    given = docs.select(*_columns(docs, "ids", text_col.lower()), F.col(text_col).cast("string").alias("__text"))
+    given = docs.select(*_columns(docs, "ids", text_col.lower()), F.col(text_col).cast("string").alias(fresh("__text", docs.columns)))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.BinaryType())])
     return given.mapInArrow(_encoder(held, added, pattern, remember), schema)
 
