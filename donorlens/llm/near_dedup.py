@@ -55,6 +55,8 @@ MEET = 3
 FLOOR = 0.42
 #: Values held by a task before they go out (4 MB).
 FLUSH = 500_000
+#: Shingles of a bucket, and the mark of a shingle with several holders.
+BUCKET, SEVERAL = 1_000_000, -1
 #: Sets of centres are sent to every task up to so many values (32 MB); more are joined by shuffling.
 BROADCAST_VALUES = 4_000_000
 
@@ -118,21 +120,72 @@ def _several(rest: DataFrame, name: str) -> DataFrame:
     return rest.join(materialize(sizes.select("value", "size"), name), "value")
 
 
-def _around(family: DataFrame, held: DataFrame) -> DataFrame:
-    """For each member that shares at least half of its shingles with its centre: ``inside``, how many these are, and
-    ``beside``, those of its other shingles that another such member of the centre holds too. Two such members share at
-    most the lesser ``inside`` and what their ``beside`` have in common."""
+def _grouped(shingles: np.ndarray, holders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles in order, each with its only holder, or ``SEVERAL``."""
+    order = np.argsort(shingles, kind="stable")
+    shingles, holders = shingles[order], holders[order]
+    first = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]]) if len(shingles) else np.zeros(0, dtype=np.int64)
+    only = np.diff(np.r_[first, len(shingles)]) == 1
+    return shingles[first], np.where(only, holders[first], SEVERAL)
+
+
+def _dealt(buckets: int):
+    """Over (member, own): a row per bucket of the shingles' range and batch, with the batch's distinct shingles and holders."""
+
+    def run(batches):
+        for batch in batches:
+            own = batch.column(1)
+            shingles = own.flatten().to_numpy(zero_copy_only=False)
+            holders = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), own.value_lengths().to_numpy(zero_copy_only=False))
+            shingles, holders = _grouped(shingles, holders)
+            bucket = ((shingles >> 32) * buckets) >> 31  # shingles have 63 bits
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            keep = np.flatnonzero(np.diff(cuts))
+            ends = pa.array(np.r_[cuts[keep], len(shingles)] if len(keep) else [0], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keep, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(shingles)), pa.ListArray.from_arrays(ends, pa.array(holders))],
+                names=["bucket", "shingles", "holders"])
+
+    return run
+
+
+def _count_alone(table: pa.Table) -> pa.Table:
+    """How many shingles of a bucket each member alone holds."""
+    flat = [table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("shingles", "holders")]
+    _, holders = _grouped(*flat)
+    members, counts = np.unique(holders[holders != SEVERAL], return_counts=True)
+    return pa.table({"member": pa.array(members, pa.int64()), "alone": pa.array(counts, pa.int64())})
+
+
+def _bounds(family: DataFrame, held: DataFrame) -> DataFrame:
+    """For each member of long lists (id, centre), what bounds its intersection with others of them.
+
+    ``alone``: its shingles that no other member holds. For members that share at least half of their shingles with their
+    centre also ``centre``, ``inside``, how many these are, and ``beside``, those of its other shingles that another such member
+    of the centre holds too: two such members share at most the lesser ``inside`` and what their ``beside`` have in
+    common.
+
+    Shingles are counted in buckets of their range, of about ``BUCKET`` each whatever the number of members: tasks first
+    merge the shingles of their own members, so that one that all members hold comes once per batch, and only
+    those outside a member's centre are dealt out; the centres' are added once.
+    """
     centres = held.join(family.select(F.col("centre").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("centre"), F.col("vals").alias("middle"))
     centres = materialize(centres, "near-centres")
-    if (centres.agg(F.sum(F.size("middle"))).first()[0] or 0) <= BROADCAST_VALUES:
-        centres = F.broadcast(centres)
-    around = family.join(held, "id").join(centres, "centre").select(
+    few = (centres.agg(F.sum(F.size("middle"))).first()[0] or 0) <= BROADCAST_VALUES
+    around = family.join(held, "id").join(F.broadcast(centres) if few else centres, "centre", "left").select(
         "id", "centre", F.size(F.array_intersect("vals", "middle")).alias("inside"), F.array_except("vals", "middle").alias("rest"))
-    around = materialize(around.where(F.col("inside") >= F.size("rest")), "near-around")
-    rest = around.select("id", "centre", F.explode("rest").alias("shingle"))
+    around = materialize(around.withColumn("member", F.monotonically_increasing_id()), "near-around")
+    buckets = 1 + (around.agg(F.sum(F.size("rest"))).first()[0] or 0) // BUCKET
+    own = around.select("member", "rest").unionByName(centres.select(F.lit(SEVERAL).cast("long").alias("member"), F.col("middle").alias("rest")))
+    dealt = own.mapInArrow(_dealt(buckets), "bucket long, shingles array<long>, holders array<long>")
+    alone = dealt.groupBy("bucket").applyInArrow(_count_alone, "member long, alone long").groupBy("member").agg(F.sum("alone").alias("alone"))
+    near = around.where(F.col("inside") >= F.size("rest")).select("id", "centre", "inside", "rest")
+    rest = near.select("id", "centre", F.explode("rest").alias("shingle"))
     common = materialize(rest.groupBy("centre", "shingle").agg(F.count("*").alias("count")).where("count > 1").drop("count"), "near-beside")
     beside = rest.join(common, ["centre", "shingle"]).groupBy("id").agg(F.collect_list("shingle").alias("beside"))
-    return around.drop("rest").join(beside, "id", "left").withColumn("beside", F.coalesce("beside", F.array().cast("array<long>")))
+    near = near.drop("rest").join(beside, "id", "left").withColumn("beside", F.coalesce("beside", F.array().cast("array<long>")))
+    return (around.select("id", "member").join(alone, "member", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
+            .join(near, "id", "left"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
@@ -178,10 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     family = materialize(family, "near-family-ids")
     ids = family.select("id").unionByName(family.select(F.col("centre").alias("id"))).distinct()
     held = materialize(_sets(rows.join(bounded(ids), "id", "left_semi"), size, None).select("id", "vals"), "near-family")
-    # shingles that one member alone holds; the rest of its set is what others can share with it
-    alone = (held.select("id", F.explode("vals").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("count"), F.min("id").alias("id"))
-             .where("count = 1").groupBy("id").agg(F.count("*").alias("alone")))
-    shared = family.drop("centre").join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).join(_around(family, held), "id", "left")
+    shared = _bounds(family, held)
     ends = ends.join(shared, "id", "left").withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
     # the bound is on what members of long lists share with each other: rows of short lists stay
     ends = ends.where((F.col("size") <= hot) | (F.col("shared") * 100 >= F.col("n") * threshold))
