@@ -36,9 +36,9 @@ def op2_byte_bpe(spark, d):
     return bpe_digests(read(spark, d, "documents")).drop("ids")
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
+def bpe_digests(docs: DataFrame, remember: int = bpe.REMEMBER) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remember=remember)
     ids = F.col("ids")
     encoded = encoded.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
                              F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
