@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from donorlens.llm import exact_dedup, mixing, near_dedup, quality_rules
 from donorlens.llm.queries import WEIGHTS, bpe_digests, domain, read
-from donorlens.session import materialize
+from donorlens.session import delete_paths, scratch_scope, written
 
 #: The mixture's tokens as a share of what the stage is given; with one epoch no document is repeated.
 MIX_SHARE = 0.9
+#: Strings that the encoder remembers in each generation: its workers stay beside those of the other stages.
+REMEMBER = 80_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +34,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_digests(docs)
+    return bpe_digests(docs, REMEMBER)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("mixing", mixture), ("byte bpe", tokens)]
@@ -40,8 +44,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written and read again before the next."""
-    docs = read(spark, sf_dir, "documents")
+    """The stages applied to ``documents``, each written and read again before the next. What a stage wrote on the way is
+    deleted with its end, and its input once the next one is written."""
+    docs, before = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch_scope(spark, cleanup=False) as paths:
+            docs = written(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        delete_paths(spark, before)
+        before = paths
     return STAGES[-1][1](spark, docs, sf_dir)
