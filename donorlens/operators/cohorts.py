@@ -34,7 +34,7 @@ def cohort_month_revenue(matrix: DataFrame) -> DataFrame:
 
 
 def slot_wide(grid_with_cohort: DataFrame, as_of: dt.date | str | None = None,
-              horizon: int = HORIZON) -> DataFrame:
+              horizon: int = HORIZON, sizes: DataFrame | None = None) -> DataFrame:
     """cohort_month, total_users, and per offset o: active_o, orders_o, rev_o.
 
     total_users = customers whose first paid month is the cohort month (each is active then).
@@ -42,15 +42,23 @@ def slot_wide(grid_with_cohort: DataFrame, as_of: dt.date | str | None = None,
     customer and month, so a count is a distinct count); orders_o, rev_o = orders and cents.
     Slot sums are NULL when the cohort had no order in that month. The slot months are date
     literals, so the 3 * horizon conditional aggregates stay inside one codegen'd hash aggregate.
+
+    With ``sizes`` (cohort_month, total_users; a row per month) only the slots' months are read: the filter on the month reaches
+    the scan, and a stored grid is sorted by month within its files, so other row groups are skipped.
     """
     as_of = as_of_date(as_of)
-    aggs = ["count(CASE WHEN month = cohort_month THEN 1 END) AS total_users"]
+    aggs = ["count(CASE WHEN month = cohort_month THEN 1 END) AS total_users"] if sizes is None else []
     for o in range(horizon):
         m = f"month = DATE'{add_months_py(as_of, -o).isoformat()}'"
         aggs += [f"count(CASE WHEN {m} THEN 1 END) AS active_{o}",
                  f"sum(CASE WHEN {m} THEN n_orders END) AS orders_{o}",
                  f"sum(CASE WHEN {m} THEN revenue_cents END) AS rev_{o}"]
-    return grid_with_cohort.groupBy("cohort_month").agg(*[F.expr(a) for a in aggs])
+    if sizes is None:
+        return grid_with_cohort.groupBy("cohort_month").agg(*[F.expr(a) for a in aggs])
+    window = F.col("month").between(F.lit(add_months_py(as_of, 1 - horizon)), F.lit(add_months_py(as_of, 0)))
+    slots = grid_with_cohort.where(window).groupBy("cohort_month").agg(*[F.expr(a) for a in aggs])
+    out = sizes.join(slots, "cohort_month", "left")
+    return out.select(*[F.coalesce(c, F.lit(0)).alias(c) if c.startswith("active_") else F.col(c) for c in out.columns])
 
 
 def _rev(o: int) -> str:

@@ -20,7 +20,7 @@ from donorlens.operators import base, churn, merge, quality, reshape, rfm
 from donorlens.plans import pipeline
 from donorlens.plans.marts import MartPlan
 from donorlens.schemas import ORDERS_CSV, ORDERS_KEY
-from donorlens.session import scratch_path, scratch_scope
+from donorlens.session import materialize, scratch_path, scratch_scope
 from donorlens.sources import exports, versions
 from donorlens.sources.tables import (PAID_STATUS, TPCH_PAID_STATUS, orders_from_export, purchases_from_events,
                                       read_table, tpch_orders)
@@ -296,8 +296,12 @@ def q_cohort_revenue_arppu(spark, d):
 
 
 def q_cohort_revenue_slots(spark, d):
-    """M-09 alone: revenue per paid cohort in the 12 as-of slots."""
-    return _plan(spark, d).cohorts_revenue_arppu_data().select(
+    """M-09 alone: revenue per paid cohort in the 12 as-of slots, from a stored grid of which the slots' months are read."""
+    p = _plan(spark, d)
+    grid = materialize(pipeline.by_month(p.grid_with_cohort), "month-grid")
+    sizes = base.cohort_sizes(base.paid_cohorts(grid))
+    stored = MartPlan(p.orders, as_of=p.as_of, paid_value=p.paid_value, grid=grid, paid_sizes=sizes)
+    return stored.cohorts_revenue_arppu_data().select(
         "cohort_month", "total_users", *[f"revenue_month_{k}" for k in range(12, 0, -1)])
 
 

@@ -36,7 +36,8 @@ class MartPlan:
     first action defines the all-user cohorts for LTV; defaults to all orders of any status.
     ``grid``: an already materialised donor x month grid (optionally with the cohort columns
     of ``base.with_cohort``), if the caller has one; ``slot_table`` / ``user_sizes``: already
-    materialised ``slots`` / ``all_user_sizes``.
+    materialised ``slots`` / ``all_user_sizes``; ``paid_sizes``: the paid cohorts' sizes, with which the slots
+    read their months of the grid alone.
     """
     orders: DataFrame
     as_of: dt.date | str | None = None
@@ -45,6 +46,7 @@ class MartPlan:
     grid: DataFrame | None = None
     slot_table: DataFrame | None = None
     user_sizes: DataFrame | None = None
+    paid_sizes: DataFrame | None = None
     horizon: int = HORIZON
     precision: str = "minute"
 
@@ -85,7 +87,7 @@ class MartPlan:
         """Per paid cohort: size and the slot measures (``cohorts.slot_wide``)."""
         if self.slot_table is not None:
             return self.slot_table
-        return cohorts.slot_wide(self.grid_with_cohort, self.as_of, self.horizon)
+        return cohorts.slot_wide(self.grid_with_cohort, self.as_of, self.horizon, self.paid_sizes)
 
     @cached_property
     def rfm_rows(self) -> DataFrame:

@@ -62,3 +62,15 @@ def test_pipeline_marts_read_the_materialised_grid_not_the_orders(spark):
         text = getattr(plan, name)()._jdf.queryExecution().executedPlan().toString()
         scans_orders = "orders.parquet" in text
         assert scans_orders == (name in ("paid_only", "cohorts_all")), name
+
+
+def test_slot_months_are_filtered_in_the_scan_of_the_stored_grid(spark):
+    plan = QUERIES["cohort_revenue_slots"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    pushed = re.findall(r"PushedFilters: \[([^\n]*)", plan)
+    assert any("GreaterThanOrEqual(month,2000-09-01)" in p and "LessThanOrEqual(month,2001-08-01)" in p for p in pushed), pushed
+
+
+def test_rfm_reads_the_orders_once_with_one_shuffle_by_customer(spark):
+    plan = _final_plan(QUERIES["rfm_segments"](spark, SF))
+    assert len(re.findall(r"- FileScan parquet \[o_", plan)) == 1
+    assert len(re.findall(r"- Exchange hashpartitioning\(customer_id", plan)) == 1 and "ReusedExchange [customer_id" in plan
