@@ -121,7 +121,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     choices = "|".join(starts[s] + s.replace(" ", f"[ {SOFT}]") for s in sorted(names, key=lambda s: (-len(s), s)))
     parts = F.regexp_extract_all(marked(whole_text(text_col)), F.lit(f"[ {HARD}{SOFT}]({choices})(?=[{HARD}{SOFT}])"), 1)
     ids = F.transform(parts, lambda s: F.element_at(known, F.translate(s, SOFT, " ")))
-    out = docs.select(F.col(id_col), ids.alias("sentence_ids"))
+    out = docs.select(F.col(id_col).alias("id"), ids.alias("sentence_ids"))
     # a rule takes its identifiers out of the line ",1,2,"; what later rules see has a bar in their place
     line = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ",,"), F.lit(","))
     found = []
@@ -132,4 +132,4 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found.append(f"rule{n}")
     names = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(x), F.lit(r[0])) for x, r in zip(found, rules)])))
     kinds = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.col(x), F.lit(r[1])) for x, r in zip(found, rules)]))))
-    return out.select(id_col, "sentence_ids", names.alias("licences"), kinds.alias("kinds"))
+    return out.select(F.col("id").alias(id_col), "sentence_ids", names.alias("licences"), kinds.alias("kinds"))
