@@ -132,13 +132,20 @@ def _cut(texts: list[bytes], lang: str, size: int, table: np.ndarray | None) ->
         at = stop + 1
 
 
-def stripes(docs: DataFrame, size: int, held=None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, prefix, next, count) of all phrases of ``size`` words, with ``held`` only of those whose parts pass its filter."""
+def stripes(docs: DataFrame, size: int, held=None, text_col: str = "text", lang_col: str = "lang", least: int = 1) -> DataFrame:
+    """(lang, prefix, next, count) of all phrases of ``size`` words that occur ``least`` times, with ``held`` only of those
+    whose parts pass its filter. Entries are merged under one short string each: words, a line break, the language."""
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     found = rows.mapInArrow(_stripes(size, held), "lang string, prefix string, next array<string>, count array<long>")
-    entries = found.select("lang", "prefix", F.explode(F.arrays_zip("next", "count")).alias("x")).select("lang", "prefix", "x.*")
-    return entries.groupBy("lang", "prefix", "next").agg(F.sum("count").alias("count"))
+    entries = found.select("lang", "prefix", F.explode(F.arrays_zip("next", "count")).alias("x"))
+    entry = F.concat("prefix", F.lit(" "), "x.next", F.lit("\n"), "lang")
+    merged = entries.select(entry.alias("entry"), "x.count").groupBy("entry").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
+    words = F.substring_index("entry", "\n", 1)
+    last = F.substring_index(words, " ", -1)
+    prefix = F.expr("substring(substring_index(entry, '\n', 1), 1, length(substring_index(entry, '\n', 1)) - length(substring_index(substring_index(entry, '\n', 1), ' ', -1)) - 1)")
+    lang = F.expr("substring(entry, length(substring_index(entry, '\n', 1)) + 2)")
+    return merged.select(lang.alias("lang"), prefix.alias("prefix"), last.alias("next"), "count")
 
 
 def _slots(size: int, bits: int):
@@ -178,16 +185,16 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  subsume: int = SUBSUME, top: int = TOP) -> DataFrame:
     """Each language's ``top`` phrases of two or three words: lang, rank, phrase, a, l, r (the counts of the phrase and of its
     two parts), n (all words) and score, by score and a descending and phrase ascending."""
-    level = lambda size, held: stripes(docs, size, held, text_col, lang_col)
+    level = lambda size, held: stripes(docs, size, held, text_col, lang_col, 1 if size == 1 else min_count)
     single = materialize(level(1, None).select("lang", F.col("next").alias("w1"), F.col("count").alias("f")), "word-counts")
     totals = F.broadcast(single.groupBy("lang").agg(F.sum("f").alias("n")))  # a row per language
     frequent = materialize(single.where(F.col("f") >= min_count), "frequent-words")
     held = bit_filter(frequent.select("lang", F.col("w1").alias("phrase")), 1)
-    pairs = level(2, held).where(F.col("count") >= min_count)
+    pairs = level(2, held)
     pairs = materialize(pairs.select("lang", F.col("prefix").alias("w1"), F.col("next").alias("w2"), F.col("count").alias("a")), "frequent-pairs")
     held.unpersist()
     held = bit_filter(pairs.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase")), 2)
-    triples = level(3, held).where(F.col("count") >= min_count)
+    triples = level(3, held)
     first_two = F.split("prefix", " ")
     triples = materialize(triples.select("lang", first_two[0].alias("w1"), first_two[1].alias("w2"), F.col("next").alias("w3"), F.col("count").alias("a")), "frequent-triples")
     held.unpersist()
