@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from donorlens.llm import bpe, collocations, exact_dedup, filter_audit, labelled, licences, mixing, near_dedup, quality_model, quality_rules
 from donorlens.llm import sharding, toxicity, trie_bpe, urls
 from donorlens.llm.oracles import ORACLE_SQL
+from donorlens.session import materialize
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,12 +37,15 @@ def op2_byte_bpe(spark, d):
     return bpe_digests(read(spark, d, "documents")).drop("ids")
 
 
-def bpe_digests(docs: DataFrame, remember: int = bpe.REMEMBER) -> DataFrame:
+def bpe_digests(docs: DataFrame, remember: int = bpe.REMEMBER, apart: bool = False) -> DataFrame:
+    """The digests of ``op2_byte_bpe`` and the ids. ``apart``: the ids are written before they are decoded, so that a task has one
+    Python worker at a time rather than two."""
     path = public_tokenizers.path(VOCABULARY)
     encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remember=remember)
     ids = F.col("ids")
     encoded = encoded.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
                              F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
+    encoded = materialize(encoded, "bpe-ids") if apart else encoded
     return bpe.decode(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
