@@ -34,7 +34,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_digests(docs, REMEMBER)
+    return bpe_digests(docs, REMEMBER, apart=True)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("mixing", mixture), ("byte bpe", tokens)]
