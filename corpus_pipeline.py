@@ -14,7 +14,7 @@ from donorlens.session import delete_paths, scratch_scope, written
 #: The mixture's tokens as a share of what the stage is given; with one epoch no document is repeated.
 MIX_SHARE = 0.9
 #: Strings that the encoder remembers in each generation: its workers stay beside those of the other stages.
-REMEMBER = 80_000
+REMEMBER = 40_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
