@@ -534,3 +534,13 @@ def test_file_names_with_spaces_and_signs(spark, tmpdir_run):
     assert sorted(found) == sorted(names)
     df = exports.read_export(spark, list(found.values()), _NOTES)
     assert df.count() == 3
+
+
+def test_session_check_takes_sparks_own_defaults(spark):
+    from donorlens.session import check_session
+    session = spark.newSession()
+    session.conf.unset("spark.sql.ansi.enabled")  # as in a session that never named it: on by default
+    check_session(session)
+    session.conf.set("spark.sql.ansi.enabled", "false")
+    with pytest.raises(RuntimeError, match="spark.sql.ansi.enabled=true, session has 'false'"):
+        check_session(session)
