@@ -5,8 +5,8 @@ the vocabulary tells a whole pre-token that is a token itself. Tier two, for the
 nodes of a linked list, and a heap gives the adjacent pair of the lowest rank (the leftmost of equals) to merge next.
 
 The vocabulary is read once by the driver, from a path that is a parameter, and broadcast; its size is that of the file.
-Each task remembers recent strings in two generations of at most ``REMEMBER`` strings and ``LENGTH`` times as many
-characters each (a longer text alone fills one), so what is remembered is bounded by these and the longest text. Texts are read whole; a batch is cut after ``BATCH_IDS`` ids, so long texts don't pile up.
+Each task remembers the latest strings, at most ``REMEMBER`` of them with ``LENGTH`` times as many bytes. Texts are read
+whole, at most ``CHUNK`` bytes of them or one text at a time, so long texts don't pile up.
 
 Defined cases: a null text counts as the empty text, which has no ids and decodes to no bytes; special tokens are
 ordinary text; letters and numbers are those of the matcher's Unicode version; rows come back one by one whatever their ids; an empty table gives an empty table. The input's other
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 from donorlens.llm.common import fresh, ship
 
 REMEMBER = 300_000
-BATCH_IDS = 2_000_000
-#: Characters remembered per string of the limit, on average.
+#: Bytes of the texts that are encoded together.
+CHUNK = 1_000_000
+#: Bytes remembered per string of the limit, on average.
 LENGTH = 24
 #: Displacements tried at once.
 TRIES = 64
@@ -144,41 +146,63 @@ class Vocabulary:
         return [i for i in ids if i is not None]
 
 
-class _Memory(dict):
-    """Ids by recent string, in two generations of at most ``limit`` strings and ``LENGTH`` times as many characters (or
-    one text's) each; ``make`` gives those of unknown ones."""
+def _gather(flat: np.ndarray, sizes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` of these sizes and starts, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((start - ends + sizes).astype(kind), sizes)
+    return flat[at]
+
+
+class _Memory:
+    """Ids by recent string: at most ``limit`` strings with ``LENGTH`` times as many bytes, those of the latest calls;
+    ``make`` gives the ids of unknown ones and how many each has. Held in Arrow and numpy, not as an object a string."""
 
     def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.old, self.chars = make, limit, {}, 0
-
-    def learn(self, strings: set[str]) -> None:
-        unknown = {x for x in strings if x not in self}
-        chars = sum(map(len, unknown))
-        if len(self) + len(unknown) > self.limit or self.chars + chars > LENGTH * self.limit:
-            self.old = self.copy()
-            self.clear()
-            unknown = strings
-            self.chars, chars = 0, sum(map(len, strings))
-        self.chars += chars
-        new = []
-        for x in unknown:
-            if x in self.old:
-                self[x] = self.old[x]
-            else:
-                new.append(x)
-        self.update(zip(new, self.make(new), strict=True))
+        self.make, self.limit, self.strings = make, limit, pa.array([], pa.string())
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def ids(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct strings, one string's after the other's, and how many each has."""
+        at = pc.index_in(strings, value_set=self.strings)
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        made, made_sizes = self.make(strings.filter(pa.array(~known)))
+        held = len(self.strings)
+        at[~known] = held + np.arange(len(made_sizes))
+        flat, sizes = np.concatenate([self.flat, made]), np.concatenate([self.sizes, made_sizes])
+        start = np.cumsum(sizes) - sizes
+        unused = np.ones(held, dtype=bool)
+        unused[at[known]] = False
+        # the strings of this call, then earlier ones, the latest first
+        order = np.concatenate([at, np.flatnonzero(unused)])
+        names = pa.concat_arrays([strings, self.strings.filter(pa.array(unused))])
+        lengths = np.cumsum(pc.binary_length(names).to_numpy())
+        kept = min(self.limit, int(np.searchsorted(lengths, LENGTH * self.limit, side="right")))
+        self.strings = names.take(pa.array(np.arange(min(kept, len(names)))))
+        order = order[:kept]
+        self.flat, self.sizes = _gather(flat, sizes[order], start[order]), sizes[order]
+        return _gather(flat, sizes[at], start[at]), sizes[at]
+
+
+def _distinct(strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct strings, and for each string which it is."""
+    found = strings.dictionary_encode()
+    return found.dictionary, found.indices.to_numpy()
 
 
 class Encoder:
     """Encodes texts. With ``spaced``, stretches between single spaces are remembered with the ids of all their
-    pre-tokens; that holds for patterns of which no match goes on from another character to a space."""
+    pre-tokens; that holds for patterns of which no match goes on from another character to a space. The distinct
+    stretches and pre-tokens of some texts are looked up together."""
 
     last = None
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = REMEMBER, spaced: bool = True):
-        self.find, self.spaced = regex.compile(pattern).findall, spaced
-        self.pieces = _Memory(lambda new: vocabulary.encode_many([x.encode() for x in new]), remember)
+        self.find, self.spaced, self.vocabulary = regex.compile(pattern).findall, spaced, vocabulary
+        self.pieces = _Memory(self._encode, remember)
         self.stretches = _Memory(self._many, remember // 2)
 
     @classmethod
@@ -188,45 +212,99 @@ class Encoder:
             cls.last = (vocabulary.mark, *args), cls(vocabulary, *args)
         return cls.last[1]
 
-    def _many(self, stretches: list[str]) -> list[bytes | None]:
-        found = [self.find(" " + x) for x in stretches]
-        self.pieces.learn({x for pieces in found for x in pieces})
-        ids = self.pieces.__getitem__
-        return [b"".join(map(ids, pieces)) if x and not (x[0].isspace() or x[-1].isspace()) else None
-                for x, pieces in zip(stretches, found, strict=True)]
-
-    def _plain(self, text: str) -> bytes:
-        pieces = self.find(text)
-        self.pieces.learn(set(pieces))
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def encode(self, text: str) -> bytes:
-        """The ids, as 32-bit integers."""
-        head, *inner = text.split(" ")
-        if not self.spaced or len(inner) < 2 or head[-1:].isspace():
-            return self._plain(text)
-        tail = inner.pop()
-        self.stretches.learn(set(inner))
-        ids = list(map(self.stretches.__getitem__, inner))
-        if None in ids or not tail or tail[0].isspace():
-            return self._plain(text)  # white space runs on over a space
-        return b"".join((self._plain(head), *ids, self._plain(" " + tail)))
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.vocabulary.encode_many(pieces.cast(pa.binary()).to_pylist())
+        return np.frombuffer(b"".join(ids), dtype=np.int32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+    def _pieces(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings that have so many pre-tokens each, and how many ids each has."""
+        distinct, at = _distinct(pa.array(pieces, pa.string()))
+        flat, sizes = self.pieces.ids(distinct)
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        return _gather(flat, sizes[at], (np.cumsum(sizes) - sizes)[at]), np.diff(ends[cuts])
+
+    def _plain(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = list(map(self.find, strings))
+        return self._pieces([x for pieces in found for x in pieces], np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _many(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches with a space before them; none for those that are empty or have white space at an end."""
+        strings = stretches.to_pylist()
+        fit = np.fromiter([x != "" and not (x[0].isspace() or x[-1].isspace()) for x in strings], bool, len(strings))
+        good = strings if fit.all() else [x for x, f in zip(strings, fit.tolist(), strict=True) if f]
+        pieces = self.find(" " + " ".join(good)) if good else []
+        first = np.flatnonzero(np.fromiter([x[:1] == " " for x in pieces], bool, len(pieces)))
+        if len(first) == len(good):  # a pre-token that begins with a space begins a stretch
+            flat, some = self._pieces(pieces, np.diff(np.append(first, len(pieces))))
+        else:
+            flat, some = self._plain([" " + x for x in good])
+        sizes = np.zeros(len(strings), dtype=np.int64)
+        sizes[fit] = some
+        return flat, sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts (no nulls), as 32-bit integers one text's after the other's, and how many each text has."""
+        if not self.spaced or not len(texts):
+            return self._plain(texts.to_pylist())
+        split = pc.split_pattern(texts, " ")
+        words, counts = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+        first = np.cumsum(counts) - counts
+        last = first + counts - 1
+        inner = np.ones(len(words), dtype=bool)
+        inner[first] = inner[last] = False
+        distinct, at = _distinct(words.filter(pa.array(inner)))
+        flat, sizes = self.stretches.ids(distinct)
+        of = np.repeat(np.arange(len(texts)), counts)[inner]
+        whole = counts < 3
+        whole[of[sizes[at] == 0]] = True  # white space runs on over a space
+        heads, tails = words.take(pa.array(first)).to_pylist(), words.take(pa.array(last)).to_pylist()
+        plain = []  # of a text: its first and its last word, or all of it and nothing
+        for i, (head, tail) in enumerate(zip(heads, tails, strict=True)):
+            if whole[i] or head[-1:].isspace() or not tail or tail[0].isspace():
+                whole[i] = True
+                plain += texts[i].as_py(), ""
+            else:
+                plain += head, " " + tail
+        ends, ends_sizes = self._plain(plain)
+        flat, sizes = np.concatenate([flat, ends]), np.concatenate([sizes, ends_sizes])
+        number = np.empty(len(words), dtype=np.int64)
+        number[inner] = at
+        number[last] = len(distinct) + 1 + 2 * np.arange(len(texts))
+        number[first] = len(distinct) + 2 * np.arange(len(texts))
+        taken = sizes[number]
+        taken[np.flatnonzero(inner)[whole[of]]] = 0
+        return _gather(flat, taken, (np.cumsum(sizes) - sizes)[number]), np.add.reduceat(taken, first)
+
+
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Rows from one to before another, of at most this size together, or one row."""
+    ends, begin = np.cumsum(sizes), 0
+    while begin < len(ends):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - sizes[begin] + most, side="right")))
+        yield begin, end
+        begin = end
+
+
+def some_texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The rows of a batch, some at a time, and their texts, the last column (null: empty): at most ``CHUNK`` bytes, or one text."""
+    texts = batch.column(batch.num_columns - 1).fill_null("").cast(pa.string())
+    for begin, end in _parts(pc.binary_length(texts).to_numpy().astype(np.int64), CHUNK):
+        yield batch.slice(begin, end - begin), texts.slice(begin, end - begin)
+
+
+def offsets(sizes: np.ndarray, width: int = 1) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int32)
 
 
 def _encoder(held, pattern: str, remember: int, spaced: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(held.value, pattern, remember, spaced)
         for batch in batches:
-            texts, begin, ids, at = batch.column(batch.num_columns - 1), 0, [], [0]
-            for i in range(batch.num_rows):
-                ids.append(encoder.encode(texts[i].as_py() or ""))
-                at.append(at[-1] + len(ids[-1]) // 4)
-                if at[-1] > BATCH_IDS or i == batch.num_rows - 1:
-                    flat = pa.Array.from_buffers(pa.int32(), at[-1], [None, pa.py_buffer(b"".join(ids))])
-                    column = pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
-                    part = batch.slice(begin, i + 1 - begin)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], names=[*batch.schema.names[:-1], "ids"])
-                    begin, ids, at = i + 1, [], [0]
+            for part, texts in some_texts(batch):
+                ids, sizes = encoder.encode(texts)
+                column = pa.ListArray.from_arrays(pa.array(offsets(sizes)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], names=[*batch.schema.names[:-1], "ids"])
 
     return run
 
@@ -236,18 +314,16 @@ def _decoder(held):
         blob, start, length = held.value
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            found = []
-            for i in range(batch.num_rows):  # a text at a time: ids to where their bytes lie, then one gather
-                out = None
-                if column[i].is_valid:
-                    ids = column[i].values.to_numpy()
-                    sizes = length[ids]
-                    ends = np.cumsum(sizes)
-                    at = np.arange(ends[-1] if len(ids) else 0) + np.repeat(start[ids] - ends + sizes, sizes)
-                    out = blob[at].tobytes()
-                found.append(out)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+            counts = pc.list_value_length(column).fill_null(0).to_numpy().astype(np.int64)
+            for begin, end in _parts(counts, CHUNK // 4):  # ids to where their bytes lie, then one gather
+                part = column.slice(begin, end - begin)
+                ids = part.flatten().to_numpy()
+                sizes = length[ids]
+                at = offsets(sizes)[offsets(counts[begin:end])]
+                texts = pa.Array.from_buffers(pa.binary(), end - begin, [None, pa.py_buffer(at), pa.py_buffer(_gather(blob, sizes, start[ids]))])
+                if part.null_count:
+                    texts = pc.if_else(part.is_valid(), texts, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(begin, end - begin).columns, texts], names=[*batch.schema.names, "decoded"])
 
     return run
 

@@ -13,8 +13,7 @@ been the next to merge. It needs merges that each make a token of their own out
 ``read_tokenizer`` checks that, and refuses files with parts this operator doesn't know.
 
 The file is read by the driver (its path is a parameter) and what is built of it broadcast, its size that of the
-vocabulary. A task remembers words within the limits of ``bpe.Encoder``; texts are read whole, and a batch goes out after
-``BATCH_IDS`` ids.
+vocabulary. A task remembers words within the limits of ``bpe.Encoder``; texts are read whole, some at a time.
 
 Defined cases: a null text counts as the empty text, which has no ids and decodes to the empty text; the strings of added
 tokens give their ids; repeated rows each come back; an empty table gives an empty table; other columns are passed through,
@@ -29,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlens.llm.bpe import REMEMBER, Encoder
+from donorlens.llm.bpe import REMEMBER, Encoder, offsets, some_texts
 from donorlens.llm.common import fresh, ship
 
 #: Fixed value: the splitting pattern of byte-level tokenizers that name none.
@@ -191,25 +191,37 @@ def _columns(docs: DataFrame, *replaced: str) -> list:
     return [F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced]
 
 
+def _with_added(encoder: Encoder, texts: list[str], special: dict[str, bytes], cut) -> list[bytes]:
+    """The ids of texts that hold strings of added tokens."""
+    found = [[x for x in cut(text) if x] for text in texts]
+    ids, sizes = encoder.encode(pa.array([x for parts in found for x in parts if x not in special], pa.string()))
+    at = offsets(sizes)
+    between = (ids[i:j].tobytes() for i, j in zip(at, at[1:]))
+    return [b"".join(special[x] if x in special else next(between) for x in parts) for parts in found]
+
+
 def _encoder(held, added: dict[str, int], pattern: str, remember: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(held.value, pattern, remember, True)
         special = {x: array("i", [i]).tobytes() for x, i in added.items()}
-        cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
+        strings = "|".join(map(regex.escape, sorted(added, key=len, reverse=True)))
+        cut = regex.compile(f"({strings})").split if added else None
         for batch in batches:
-            texts, first, ids, size = batch.column(batch.num_columns - 1), 0, [], 0
-            for i in range(batch.num_rows):
-                text = texts[i].as_py() or ""
-                if cut and any(x in text for x in special):
-                    found = b"".join(special[x] if x in special else encoder.encode(x) for x in cut(text) if x)
+            for part, texts in some_texts(batch):
+                held_by = np.zeros(len(texts), dtype=bool)
+                for x in added:
+                    held_by |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+                mixed = np.flatnonzero(held_by)
+                ids, sizes = encoder.encode(pc.if_else(pa.array(held_by), "", texts) if len(mixed) else texts)
+                if len(mixed):
+                    at = offsets(sizes)
+                    found = [ids[i:j].tobytes() for i, j in zip(at, at[1:])]
+                    for i, x in zip(mixed, _with_added(encoder, texts.take(pa.array(mixed)).to_pylist(), special, cut)):
+                        found[i] = x
+                    column = pa.array(found, pa.binary())
                 else:
-                    found = encoder.encode(text) if text else b""
-                ids.append(found)
-                size += len(found) // 4
-                if size > BATCH_IDS or i == batch.num_rows - 1:
-                    part = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
-                    first, ids, size = i + 1, [], 0
+                    column = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets(sizes, 4)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], names=[*batch.schema.names[:-1], "ids"])
 
     return run
 

@@ -379,3 +379,38 @@ def test_pipeline_stages(spark):
 def test_queries_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert not glob.glob("/root/repo/donorlens/llm/*.tiktoken")
+
+
+def test_bpe_looks_words_up_for_many_texts_at_once_and_remembers_no_more_than_it_may():
+    import pyarrow as pa
+
+    class Counted(bpe.Vocabulary):
+        calls, words = 0, 0
+
+        def encode_many(self, pieces):
+            Counted.calls, Counted.words = Counted.calls + 1, Counted.words + len(pieces)
+            return super().encode_many(pieces)
+
+    class Held:
+        value = Counted(bpe.read_ranks(VOCABULARY))
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdehinorst\n.,") for _ in range(rng.randint(1, 12))) for _ in range(700)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(400)] + [None, " ".join(words)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    out = list(bpe._encoder(Held, public_tokenizers.PATTERN, 100, True)(iter([batch])))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=Held.value.ranks, special_tokens={})
+    assert [x for part in out for x in part.column(1).to_pylist()] == [library.encode_ordinary(t or "") for t in texts]
+    assert Counted.calls <= 4 and Counted.words < 4 * len(words)
+    for memory, limit in ((bpe.Encoder.last[1].pieces, 100), (bpe.Encoder.last[1].stretches, 50)):
+        assert 0 < len(memory.strings) == len(memory.sizes) <= limit
+        assert sum(len(x.encode()) for x in memory.strings.to_pylist()) <= bpe.LENGTH * limit and len(memory.flat) == memory.sizes.sum()
+    bpe.Encoder.last = None
+    part = pa.RecordBatch.from_arrays([pa.array([[0, 1], None, [], [300]], pa.list_(pa.int32()))], names=["ids"])
+
+    class Tokens:
+        value = bpe._token_bytes(Held.value.ranks)
+
+    by_id = {i: x for x, i in Held.value.ranks.items()}
+    decoded = [x for p in bpe._decoder(Tokens)(iter([part, part.slice(1, 3), part.slice(0, 0)])) for x in p.column(1).to_pylist()]
+    assert decoded == [by_id[0] + by_id[1], None, b"", by_id[300], None, b"", by_id[300]]
