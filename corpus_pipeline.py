@@ -13,8 +13,9 @@ from donorlens.session import delete_paths, scratch_scope, written
 
 #: The mixture's tokens as a share of what the stage is given; with one epoch no document is repeated.
 MIX_SHARE = 0.9
-#: Strings that the encoder remembers in each generation: its workers stay beside those of the other stages.
+#: Strings that the encoder remembers, and bytes that it encodes together: its workers stay beside those of the other stages.
 REMEMBER = 40_000
+CHUNK = 1_000_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_digests(docs, REMEMBER, apart=True)
+    return bpe_digests(docs, REMEMBER, CHUNK, apart=True)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("mixing", mixture), ("byte bpe", tokens)]

@@ -6,7 +6,7 @@ nodes of a linked list, and a heap gives the adjacent pair of the lowest rank (t
 
 The vocabulary is read once by the driver, from a path that is a parameter, and broadcast; its size is that of the file.
 Each task remembers the latest strings, at most ``REMEMBER`` of them with ``LENGTH`` times as many bytes. Texts are read
-whole, at most ``CHUNK`` bytes of them or one text at a time, so long texts don't pile up.
+whole, at most ``chunk`` bytes of them or one text at a time, so long texts don't pile up.
 
 Defined cases: a null text counts as the empty text, which has no ids and decodes to no bytes; special tokens are
 ordinary text; letters and numbers are those of the matcher's Unicode version; rows come back one by one whatever their ids; an empty table gives an empty table. The input's other
@@ -33,7 +33,9 @@ from donorlens.llm.common import fresh, ship
 
 REMEMBER = 300_000
 #: Bytes of the texts that are encoded together.
-CHUNK = 1_000_000
+CHUNK = 4_000_000
+#: Ids that are decoded together.
+DECODED = 250_000
 #: Bytes remembered per string of the limit, on average.
 LENGTH = 24
 #: Displacements tried at once.
@@ -286,10 +288,10 @@ def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def some_texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """The rows of a batch, some at a time, and their texts, the last column (null: empty): at most ``CHUNK`` bytes, or one text."""
+def some_texts(batch: pa.RecordBatch, chunk: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The rows of a batch, some at a time, and their texts, the last column (null: empty): at most ``chunk`` bytes, or one text."""
     texts = batch.column(batch.num_columns - 1).fill_null("").cast(pa.string())
-    for begin, end in _parts(pc.binary_length(texts).to_numpy().astype(np.int64), CHUNK):
+    for begin, end in _parts(pc.binary_length(texts).to_numpy().astype(np.int64), chunk):
         yield batch.slice(begin, end - begin), texts.slice(begin, end - begin)
 
 
@@ -297,11 +299,11 @@ def offsets(sizes: np.ndarray, width: int = 1) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int32)
 
 
-def _encoder(held, pattern: str, remember: int, spaced: bool):
+def _encoder(held, pattern: str, remember: int, spaced: bool, chunk: int = CHUNK):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(held.value, pattern, remember, spaced)
         for batch in batches:
-            for part, texts in some_texts(batch):
+            for part, texts in some_texts(batch, chunk):
                 ids, sizes = encoder.encode(texts)
                 column = pa.ListArray.from_arrays(pa.array(offsets(sizes)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], names=[*batch.schema.names[:-1], "ids"])
@@ -315,7 +317,7 @@ def _decoder(held):
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             counts = pc.list_value_length(column).fill_null(0).to_numpy().astype(np.int64)
-            for begin, end in _parts(counts, CHUNK // 4):  # ids to where their bytes lie, then one gather
+            for begin, end in _parts(counts, DECODED):  # ids to where their bytes lie, then one gather
                 part = column.slice(begin, end - begin)
                 ids = part.flatten().to_numpy()
                 sizes = length[ids]
@@ -343,15 +345,15 @@ def _clash(docs: DataFrame, *names: str) -> list[str]:
 
 
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", remember: int = REMEMBER,
-           spaced: bool = True) -> DataFrame:
+           spaced: bool = True, chunk: int = CHUNK) -> DataFrame:
     """``docs`` with its text replaced by ``ids`` (array of int; a column of that name is replaced too). ``spaced``: see
-    ``Encoder``; turn it off for a pattern that needs it."""
+    ``Encoder``; turn it off for a pattern that needs it. ``chunk``: bytes of the texts that are encoded together."""
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(vocabulary_path)))
     keep = _clash(docs, "ids", text_col.lower())
     given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias(fresh("__text", docs.columns)))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return given.mapInArrow(_encoder(held, pattern, remember, spaced), schema)
+    return given.mapInArrow(_encoder(held, pattern, remember, spaced, chunk), schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlens.llm.bpe import REMEMBER, Encoder, offsets, some_texts
+from donorlens.llm.bpe import CHUNK, REMEMBER, Encoder, offsets, some_texts
 from donorlens.llm.common import fresh, ship
 
 #: Fixed value: the splitting pattern of byte-level tokenizers that name none.
@@ -207,7 +207,7 @@ def _encoder(held, added: dict[str, int], pattern: str, remember: int):
         strings = "|".join(map(regex.escape, sorted(added, key=len, reverse=True)))
         cut = regex.compile(f"({strings})").split if added else None
         for batch in batches:
-            for part, texts in some_texts(batch):
+            for part, texts in some_texts(batch, CHUNK):
                 held_by = np.zeros(len(texts), dtype=bool)
                 for x in added:
                     held_by |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
