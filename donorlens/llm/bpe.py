@@ -208,12 +208,20 @@ class Encoder:
         self.stretches = _Memory(self._many, remember // 2)
 
     @classmethod
-    def shared(cls, vocabulary: Vocabulary, *args) -> Encoder:
-        """One encoder for all tasks of a Python worker, so that a task goes on with what the last one remembers."""
-        if cls.last is None or cls.last[0] != (vocabulary.mark, *args):
-            cls.last = (vocabulary.mark, *args), cls(vocabulary, *args)
+    def shared(cls, held, mark: str, *args) -> Encoder:
+        """One encoder for all tasks of a Python worker, so that a task goes on with what the last one remembers. The broadcast
+        vocabulary is only read if that encoder has another one, by its mark: a worker never holds two."""
+        if cls.last is None or cls.last[0] != (mark, *args):
+            cls.last = None
+            cls.last = (mark, *args), cls(held.value, *args)
         return cls.last[1]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Frees the encoder of a worker that now does other work; Spark gives idle workers to any task."""
+        cls.last = None
+        pa.default_memory_pool().release_unused()
+
     def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         ids = self.vocabulary.encode_many(pieces.cast(pa.binary()).to_pylist())
         return np.frombuffer(b"".join(ids), dtype=np.int32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -299,9 +307,9 @@ def offsets(sizes: np.ndarray, width: int = 1) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int32)
 
 
-def _encoder(held, pattern: str, remember: int, spaced: bool, chunk: int = CHUNK):
+def _encoder(held, pattern: str, remember: int, spaced: bool, chunk: int = CHUNK, mark: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(held.value, pattern, remember, spaced)
+        encoder = Encoder.shared(held, held.value.mark if mark is None else mark, pattern, remember, spaced)
         for batch in batches:
             for part, texts in some_texts(batch, chunk):
                 ids, sizes = encoder.encode(texts)
@@ -313,6 +321,7 @@ def _encoder(held, pattern: str, remember: int, spaced: bool, chunk: int = CHUNK
 
 def _decoder(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()
         blob, start, length = held.value
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
@@ -349,11 +358,12 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
     """``docs`` with its text replaced by ``ids`` (array of int; a column of that name is replaced too). ``spaced``: see
     ``Encoder``; turn it off for a pattern that needs it. ``chunk``: bytes of the texts that are encoded together."""
     ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(vocabulary_path)))
+    vocabulary = Vocabulary(read_ranks(vocabulary_path))
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
     keep = _clash(docs, "ids", text_col.lower())
     given = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias(fresh("__text", docs.columns)))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return given.mapInArrow(_encoder(held, pattern, remember, spaced, chunk), schema)
+    return given.mapInArrow(_encoder(held, pattern, remember, spaced, chunk, vocabulary.mark), schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids") -> DataFrame:

@@ -40,7 +40,8 @@ from donorlens.llm.common import fresh, ship
 
 #: Fixed value: the splitting pattern of byte-level tokenizers that name none.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_IDS = 2_000_000
+#: Characters that are decoded together, at least.
+DECODED = 1_000_000
 #: Pairs of tokens whose order is remembered.
 PAIRS = 1_000_000
 NEVER = 1 << 60
@@ -200,9 +201,9 @@ def _with_added(encoder: Encoder, texts: list[str], special: dict[str, bytes], c
     return [b"".join(special[x] if x in special else next(between) for x in parts) for parts in found]
 
 
-def _encoder(held, added: dict[str, int], pattern: str, remember: int):
+def _encoder(held, mark: str, added: dict[str, int], pattern: str, remember: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(held.value, pattern, remember, True)
+        encoder = Encoder.shared(held, mark, pattern, remember, True)
         special = {x: array("i", [i]).tobytes() for x, i in added.items()}
         strings = "|".join(map(regex.escape, sorted(added, key=len, reverse=True)))
         cut = regex.compile(f"({strings})").split if added else None
@@ -231,10 +232,11 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", pattern
     ``ids_array``)."""
     ship(docs.sparkSession)
     tokens, merges, added = read_tokenizer(tokenizer_path)
-    held = docs.sparkSession.sparkContext.broadcast(Trie(tokens, merges))
+    trie = Trie(tokens, merges)
+    held = docs.sparkSession.sparkContext.broadcast(trie)
     given = docs.select(*_columns(docs, "ids", text_col.lower()), F.col(text_col).cast("string").alias(fresh("__text", docs.columns)))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.BinaryType())])
-    return given.mapInArrow(_encoder(held, added, pattern, remember), schema)
+    return given.mapInArrow(_encoder(held, trie.mark, added, pattern, remember), schema)
 
 
 def ids_array(col: str = "ids"):
@@ -247,6 +249,7 @@ def ids_array(col: str = "ids"):
 
 def _decoder(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()
         blob, start, length = held.value
         for batch in batches:
             given, first, out, size = batch.column(batch.num_columns - 1), 0, [], 0
@@ -260,7 +263,7 @@ def _decoder(held):
                     text = blob[at].tobytes().decode("utf-8", "replace")
                 out.append(text)
                 size += len(text or "")
-                if size > 4 * BATCH_IDS or i == batch.num_rows - 1:
+                if size > DECODED or i == batch.num_rows - 1:
                     part = batch.slice(first, i + 1 - first)
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
                     first, out, size = i + 1, [], 0

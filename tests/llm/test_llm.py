@@ -414,3 +414,31 @@ def test_bpe_looks_words_up_for_many_texts_at_once_and_remembers_no_more_than_it
     by_id = {i: x for x, i in Held.value.ranks.items()}
     decoded = [x for p in bpe._decoder(Tokens)(iter([part, part.slice(1, 3), part.slice(0, 0)])) for x in p.column(1).to_pylist()]
     assert decoded == [by_id[0] + by_id[1], None, b"", by_id[300], None, b"", by_id[300]]
+
+
+def test_bpe_workers_hold_one_vocabulary_and_give_it_up_to_decode():
+    import pyarrow as pa
+
+    ranks = bpe.read_ranks(VOCABULARY)
+    vocabulary = bpe.Vocabulary(ranks)
+
+    class Held:
+        reads = 0
+
+        @property
+        def value(self):
+            Held.reads += 1
+            return vocabulary
+
+    class Tokens:
+        value = bpe._token_bytes(ranks)
+
+    texts = ["some words", "", None, "words\n\n and  more"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    bpe.Encoder.forget()
+    for _ in range(2):  # as tasks of two runs, each with a broadcast of its own
+        out = list(bpe._encoder(Held(), public_tokenizers.PATTERN, 100, True, mark=vocabulary.mark)(iter([batch])))
+    assert Held.reads == 1 and bpe.Encoder.last[1].vocabulary is vocabulary
+    back = list(bpe._decoder(Tokens)(iter(out)))
+    assert bpe.Encoder.last is None
+    assert [x for part in back for x in part.column("decoded").to_pylist()] == [(t or "").encode() for t in texts]

@@ -218,3 +218,35 @@ def test_op11_digests(spark):
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest, hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+
+
+def test_trie_bpe_workers_hold_one_vocabulary_and_give_it_up_to_decode():
+    import pyarrow as pa
+
+    tokens, merges, added = trie_bpe.read_tokenizer(TOKENIZER)
+    trie = trie_bpe.Trie(tokens, merges)
+
+    class Held:
+        reads = 0
+
+        @property
+        def value(self):
+            Held.reads += 1
+            return trie
+
+    spelled = {**tokens, **{i: x.encode() for x, i in added.items()}}
+
+    class Spelled:
+        value = (np.frombuffer(b"".join(spelled[i] for i in sorted(spelled)), dtype=np.uint8),
+                 np.cumsum([0, *(len(spelled[i]) for i in sorted(spelled))])[:-1], np.array([len(spelled[i]) for i in sorted(spelled)]))
+
+    assert sorted(spelled) == list(range(len(spelled)))
+    texts = ["ab cd ef", "", None, "é x\n" * 900_000, "ab"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    trie_bpe.Encoder.forget()
+    for _ in range(2):  # as tasks of two runs, each with a broadcast of its own
+        out = list(trie_bpe._encoder(Held(), trie.mark, added, trie_bpe.PATTERN, 100)(iter([batch])))
+    assert Held.reads == 1 and trie_bpe.Encoder.last[1].vocabulary is trie
+    back = list(trie_bpe._decoder(Spelled)(iter(out)))
+    assert trie_bpe.Encoder.last is None
+    assert [x for part in back for x in part.column("decoded").to_pylist()] == [t or "" for t in texts]
