@@ -16,10 +16,10 @@ estimate as a filter, exact Jaccard similarity as the proof, and connected compo
    (Bin(16, 0.75) <= 2). In long lists two bounds on the intersection come first, both exact. One: of each member's full
    set, the shingles that any other of these members holds are counted; members whose bound is under the threshold leave
    the long lists (not the short ones, where they meet others). Two: each member has a centre, the leader of its long
-   lists. What two members of one centre share lies in the centre (at most as much as the lesser of them shares with it)
+   lists. What two members of one centre share lies in the centre (what the one holds of it but for what the other lacks)
    or in both their other shingles, of which only those count that several members of the centre hold (for members
-   that lie in the centre by half at least). So a copy with too
-   many changes to be linked with the centre is compared further only with members that have changes in common with it.
+   that lie in the centre by half at least). So of copies with too
+   many changes to be linked with the centre only those that reach the threshold with each other become pairs.
    No member is ever left out or sampled.
 4. A pair's similarity is estimated from the k smallest values of both sketches' union; pairs with under ``FLOOR`` of
    them in common go (a true link does with a chance of 1e-8). The rest is decided on full sets:
@@ -161,9 +161,10 @@ def _bounds(family: DataFrame, held: DataFrame) -> DataFrame:
     """For each member of long lists (id, centre), what bounds its intersection with others of them.
 
     ``alone``: its shingles that no other member holds. For members that share at least half of their shingles with their
-    centre also ``centre``, ``inside``, how many these are, and ``beside``, those of its other shingles that another such member
-    of the centre holds too: two such members share at most the lesser ``inside`` and what their ``beside`` have in
-    common.
+    centre also ``centre``, ``inside``, how many these are, ``lacks``, the centre's shingles that it doesn't hold (null if these
+    are more than ``inside``), and ``beside``, those of its other shingles that another such member of the centre holds too.
+    Two such members share, of the centre, what is inside the one and not lacking in the other (at most the lesser ``inside``),
+    and what their ``beside`` have in common.
 
     Shingles are counted in buckets of their range, of about ``BUCKET`` each whatever the number of members: tasks first
     merge the shingles of their own members, so that one that all members hold comes once per batch, and only
@@ -173,13 +174,15 @@ def _bounds(family: DataFrame, held: DataFrame) -> DataFrame:
     centres = materialize(centres, "near-centres")
     few = (centres.agg(F.sum(F.size("middle"))).first()[0] or 0) <= BROADCAST_VALUES
     around = family.join(held, "id").join(F.broadcast(centres) if few else centres, "centre", "left").select(
-        "id", "centre", F.size(F.array_intersect("vals", "middle")).alias("inside"), F.array_except("vals", "middle").alias("rest"))
+        "id", "centre", F.size(F.array_intersect("vals", "middle")).alias("inside"), F.array_except("vals", "middle").alias("rest"),
+        F.array_except("middle", "vals").alias("lacks"))
+    around = around.withColumn("lacks", F.when((F.col("inside") >= F.size("rest")) & (F.size("lacks") <= F.col("inside")), F.col("lacks")))
     around = materialize(around.withColumn("member", F.monotonically_increasing_id()), "near-around")
     buckets = 1 + (around.agg(F.sum(F.size("rest"))).first()[0] or 0) // BUCKET
     own = around.select("member", "rest").unionByName(centres.select(F.lit(SEVERAL).cast("long").alias("member"), F.col("middle").alias("rest")))
     dealt = own.mapInArrow(_dealt(buckets), "bucket long, shingles array<long>, holders array<long>")
     alone = dealt.groupBy("bucket").applyInArrow(_count_alone, "member long, alone long").groupBy("member").agg(F.sum("alone").alias("alone"))
-    near = around.where(F.col("inside") >= F.size("rest")).select("id", "centre", "inside", "rest")
+    near = around.where(F.col("inside") >= F.size("rest")).select("id", "centre", "inside", "lacks", "rest")
     rest = near.select("id", "centre", F.explode("rest").alias("shingle"))
     common = materialize(rest.groupBy("centre", "shingle").agg(F.count("*").alias("count")).where("count > 1").drop("count"), "near-beside")
     beside = rest.join(common, ["centre", "shingle"]).groupBy("id").agg(F.collect_list("shingle").alias("beside"))
@@ -244,12 +247,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ends = ends.join(taken, "id").join(materialize(largest, "near-largest"), "value").withColumn("main", F.col("main") == F.col("part"))
     ends = materialize(ends, "near-open")
 
-    columns = ("id", "part", "n", "listed", "taken", "shared", "centre", "inside", "beside", "main")
+    columns = ("id", "part", "n", "listed", "taken", "shared", "centre", "inside", "lacks", "beside", "main")
     left, right = (ends.select("value", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
     need = (F.col("n_a") + F.col("n_b")) * threshold
     reach = F.coalesce(F.least("shared_a", "shared_b") * (100 + threshold) >= need, F.lit(True))
     apart = F.coalesce(F.col("centre_a") != F.col("centre_b"), F.lit(True))
-    inner = F.least("inside_a", "inside_b") + F.size(F.array_intersect("beside_a", "beside_b"))
+    both = F.col("lacks_a").isNotNull() & F.col("lacks_b").isNotNull()
+    middle = F.when(both, F.col("inside_a") - F.size(F.array_except("lacks_b", "lacks_a"))).otherwise(F.least("inside_a", "inside_b"))
+    inner = middle + F.size(F.array_intersect("beside_a", "beside_b"))
     known_apart = F.col("shared_a").isNull() | F.col("shared_b").isNull()
     common = F.array_intersect("listed_a", "listed_b")
     pairs = (left.where("NOT main_a").join(right, "value").where("part_a <> part_b AND (main_b OR id_a < id_b)")

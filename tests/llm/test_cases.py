@@ -203,3 +203,21 @@ def test_pipeline_stages_of_an_empty_table(spark):
     nothing = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, SF).count() == 0
+
+
+def test_bounds_give_what_two_members_of_a_centre_share(spark):
+    rng = random.Random(31)
+    sets = {0: set(range(60))}
+    for i in range(1, 30):
+        sets[i] = {*rng.sample(range(60), rng.choice([25, 35, 45, 55])), *rng.sample(range(100, 110), 4)}
+    held = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, vals array<long>")
+    family = spark.createDataFrame([(i, 0) for i in sets], "id long, centre long")
+    got = {r.id: r for r in near_dedup._bounds(family, held).collect()}
+    known = [i for i in sets if got[i].lacks is not None]
+    assert known == [i for i in sets if 2 * len(sets[i] & sets[0]) >= 60]
+    assert all(set(got[i].lacks) == sets[0] - sets[i] for i in known)
+    for i in known:
+        for j in known:
+            if i < j:
+                shared = got[i].inside - len(set(got[j].lacks) - set(got[i].lacks)) + len(set(got[i].beside) & set(got[j].beside))
+                assert shared == len(sets[i] & sets[j])
